@@ -155,5 +155,5 @@ def escape_formula(c: str | Column) -> Column:
 
 def schema_sha(df: DataFrame) -> Column:
     """Fingerprint of the ordered column facts (position, name, type, nullability)."""
-    facts = "\n".join(f"{i}|{f.name}|{f.dataType.simpleString()}|{f.nullable}" for i, f in enumerate(df.schema))
+    facts = "\n".join(f"{i}|{f.name}|{f.dataType.simpleString()}|{str(f.nullable).lower()}" for i, f in enumerate(df.schema))
     return F.sha2(F.lit(facts), 256)

@@ -45,6 +45,10 @@ class Layout:
     ties: dict[int, list[int]] = field(default_factory=dict)
 
 
+# For rows already reduced to few per key (bars, days, members): no key is cut and nothing is measured.
+WHOLE = Layout([], [])
+
+
 def measure(df: DataFrame, by: list[str], order: list[str], chunks: int | None = None) -> Layout:
     """Choose the cuts from the data: frequent keys and quantiles of the first order column."""
     if chunks is None:

@@ -214,9 +214,9 @@ def c03(spark, sf):
 
 @query("c04_classify_drift", """
 WITH d AS (SELECT CASE WHEN doc_id < 20 THEN 1 ELSE doc_id END AS k, text, doc_id FROM documents),
-a AS (SELECT k, min(text) AS t, min(lower(trim(text))) AS n, count(*) AS c FROM d WHERE doc_id % 3 <> 0 GROUP BY k),
-b AS (SELECT k, min(u) AS t, min(lower(trim(u))) AS n, count(*) AS c FROM
- (SELECT k, CASE WHEN doc_id % 2 = 0 THEN upper(text) WHEN doc_id % 4 = 1 THEN text || '!' ELSE text END AS u FROM d WHERE doc_id % 5 <> 0) GROUP BY k)
+a AS (SELECT k, min(text) AS t, min(trim(text)) AS n, count(*) AS c FROM d WHERE doc_id % 3 <> 0 GROUP BY k),
+b AS (SELECT k, min(u) AS t, min(trim(u)) AS n, count(*) AS c FROM
+ (SELECT k, CASE WHEN doc_id % 2 = 0 THEN text || '  ' WHEN doc_id % 4 = 1 THEN text || '!' ELSE text END AS u FROM d WHERE doc_id % 5 <> 0) GROUP BY k)
 SELECT coalesce(a.k, b.k) AS k, CASE WHEN coalesce(a.k, b.k) % 7 = 0 THEN 'out_of_scope' WHEN b.k IS NULL THEN 'missing' WHEN a.k IS NULL THEN 'new'
  WHEN a.c > 1 OR b.c > 1 THEN 'not_unique' WHEN a.t = b.t THEN 'same' WHEN a.n = b.n THEN 'normalised_equal' ELSE 'changed' END AS drift
 FROM a FULL JOIN b ON a.k = b.k""")
@@ -224,11 +224,11 @@ def c04(spark, sf):
     i = F.col("doc_id")
     docs = load(spark, sf, "documents").withColumn("k", F.when(i < 20, 1).otherwise(i).cast("bigint"))
     frozen = docs.filter("doc_id % 3 <> 0")
-    text = F.when(i % 2 == 0, F.upper("text")).when(i % 4 == 1, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    text = F.when(i % 2 == 0, F.concat("text", F.lit("  "))).when(i % 4 == 1, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
     current = docs.filter("doc_id % 5 <> 0").withColumn("text", text)
 
     def hashed(df):
-        return df.select("k", S.sha256("text").alias("raw"), S.sha256(F.lower(F.trim("text"))).alias("norm"))
+        return df.select("k", S.sha256("text").alias("raw"), S.sha256(F.trim("text")).alias("norm"))
 
     return C.classify_drift(hashed(frozen), hashed(current), ["k"], "raw", "norm", in_scope=F.col("k") % 7 != 0)
 

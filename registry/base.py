@@ -64,7 +64,7 @@ def ctes(*names: str) -> str:
 
     for n in names:
         need(n)
-    return "WITH " + ", ".join(f"{n} AS ({VIEWS[n]})" for n in VIEWS if n in wanted) + " "
+    return "WITH RECURSIVE " + ", ".join(f"{n} AS ({VIEWS[n]})" for n in VIEWS if n in wanted) + " "
 
 
 def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()) -> Callable[[Query], Query]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -25,11 +26,19 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
     return builder.getOrCreate()
 
 
+_LOCAL: list[str] = []
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a local one is made only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    root = tempfile.mkdtemp(prefix="plumbline-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    """The shared folder the cluster names; only where none is set (tests) one local folder per process."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="plumbline-"))
+    return _LOCAL[0]
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new, empty path under the checkpoint root."""
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"

@@ -11,10 +11,14 @@ from pyspark.sql import types as T
 from plumbline.contracts import COST_COMPONENTS, STATUSES
 from plumbline.functions.scalars import record_sha
 from plumbline.functions.verdicts import status_rank
+from plumbline.rules import RuleSet
 
 
-def profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Rows, nulls, blanks and non-finite values of every column in one pass, one output row per column."""
+def profile(df: DataFrame, cols: list[str] | None = None, rules: RuleSet | None = None) -> DataFrame:
+    """Rows, nulls, blanks and non-finite values of every column in one pass, one output row per column.
+
+    With `rules`, the same pass counts the rows that break each rule (array `broken`, equal on every row).
+    """
     cols = cols or df.columns
     kinds = {f.name: f.dataType for f in df.schema}
     facts = []
@@ -27,7 +31,11 @@ def profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
             F.lit(c).alias("column"), F.lit(kinds[c].simpleString()).alias("type"), F.count("*").alias("n_rows"),
             F.count_if(F.col(c).isNull()).alias("n_null"), blank.alias("n_blank"), odd.alias("n_non_finite"),
         ).alias(c))
-    return df.agg(*facts).select(F.inline(F.array(*[F.col(f"`{c}`") for c in cols])))
+    per_column = F.inline(F.array(*[F.col(f"`{c}`") for c in cols]))
+    if rules is None:
+        return df.agg(*facts).select(per_column)
+    broken = F.array(*[F.struct(F.lit(r.reason).alias("anomaly"), F.count_if(r.broken()).alias("n")) for r in rules.rules])
+    return df.agg(*facts, broken.alias("broken")).select("broken", per_column)
 
 
 def record_duplicates(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -65,10 +73,14 @@ member_status = worst_status
 
 
 def rollup_floor(df: DataFrame, levels: list[str], status: str, order: list[str]) -> DataFrame:
-    """Status per unit and per higher level; a summary never exceeds its lowest unit."""
+    """Status per unit and per higher level; a summary never exceeds its lowest unit.
+
+    Units are reduced before the roll-up, which would otherwise copy every input row per level.
+    """
     names = F.array(*[F.lit(s) for s in order])
-    return df.rollup(*levels).agg(
-        F.grouping_id().cast("int").alias("level"), F.get(names, F.min(status_rank(status, order))).alias("floor_status"))
+    units = df.groupBy(*levels).agg(F.min(status_rank(status, order)).alias("__rank"))
+    return units.rollup(*levels).agg(
+        F.grouping_id().cast("int").alias("level"), F.get(names, F.min("__rank")).alias("floor_status"))
 
 
 def conservation(df: DataFrame, by: list[str], status: str, states: list[str]) -> DataFrame:
@@ -84,10 +96,15 @@ def assert_conserved(df: DataFrame, by: list[str], status: str, states: list[str
 
 
 def denominators(df: DataFrame, dims: list[str], formal: Column, rejected: Column) -> DataFrame:
-    """Formal, rejected and total counts for every level of the dimensions, with grouping id."""
-    return df.rollup(*dims).agg(
-        F.grouping_id().cast("int").alias("level"), F.count("*").alias("total"),
-        F.count_if(formal).alias("formal"), F.count_if(rejected).alias("rejected"))
+    """Formal, rejected and total counts for every level of the dimensions, with grouping id.
+
+    The finest counts are taken first; only they are copied per level.
+    """
+    finest = df.groupBy(*dims).agg(
+        F.count("*").alias("__t"), F.count_if(formal).alias("__f"), F.count_if(rejected).alias("__r"))
+    return finest.rollup(*dims).agg(
+        F.grouping_id().cast("int").alias("level"), F.sum("__t").alias("total"),
+        F.sum("__f").alias("formal"), F.sum("__r").alias("rejected"))
 
 
 def coverage_record(df: DataFrame, by: list[str], ts: str, version: str = "1") -> DataFrame:

@@ -25,22 +25,20 @@ def check_inventory(inv: DataFrame, required: list[str], key: str, batch: str, f
     if missing:
         raise ValueError(f"inventory lacks columns {missing}")
     repeated = inv.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(key, F.lit(True).alias("repeated"))
-    first = inv.agg(F.min(batch).alias("first_batch"))  # one row
     inside = F.lit(False)
     for root in roots:
         inside = inside | F.col(path).startswith(root.rstrip("/") + "/")
     code = F.when
     reasons = F.array_compact(F.array(
         code(F.col("repeated"), "duplicate_id"),
-        code(F.col(batch) != F.col("first_batch"), "second_batch"),
+        code(F.col(batch) != inv.agg(F.min(batch)).scalar(), "second_batch"),
         code(~F.coalesce(F.col(fmt).isin(formats), F.lit(False)), "bad_format"),
         code(~F.coalesce(F.col(path).startswith("/"), F.lit(False)), "relative_path"),
         code(F.col(path).rlike(r"(^|/)\.\.(/|$)"), "path_escape"),
         code(~F.coalesce(inside, F.lit(False)), "outside_roots"),
     ))
     return (
-        skew_join(inv, repeated, [key]).crossJoin(F.broadcast(first))
-        .withColumn("reasons", reasons).drop("repeated", "first_batch")
+        skew_join(inv, repeated, [key]).withColumn("reasons", reasons).drop("repeated")
     )
 
 

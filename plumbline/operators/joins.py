@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.ordering import Layout, micros, over_order, skew_join, upto
+from plumbline.ordering import Layout, measure, micros, over_order, skew_join, upto
 
 
 def _per_key(df: DataFrame, on: list[str], fields: list[str], tag: str) -> DataFrame:
@@ -146,6 +146,7 @@ def forward_outcome(df: DataFrame, by: list[str], ts: str, row_id: str, value: s
     is the next row; horizons multiply rows by a fixed list, not by pairs.
     """
     rows = df.select(*by, row_id, ts, micros(ts).alias("__at"), F.col(value).alias("base"))
+    layout = layout or measure(rows, by, [-F.col("__at")])  # the base rows show the shape of the union as well
     asks = rows.select(
         "*", F.explode(F.array(*[F.lit(h) for h in horizons_minutes])).alias("horizon_min"), F.lit(1).alias("__side")
     ).withColumn("__at", F.col("__at") + F.col("horizon_min").cast("bigint") * 60_000_000)
@@ -185,10 +186,10 @@ def reconcile_one_to_one(a: DataFrame, b: DataFrame, key: list[str], attr_a: str
     return joined.select(*key, _present("a").alias("left_n"), _present("b").alias("right_n"), status.alias("reconciled"))
 
 
-def adopt(candidates: DataFrame, proven: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Candidates with a proven, identical re-verification, and the others (kept for the counts)."""
-    keys = proven.select(*on).distinct()
-    return skew_join(candidates, keys, on, "left_semi"), skew_join(candidates, keys, on, "left_anti")
+def adopt(candidates: DataFrame, proven: DataFrame, on: list[str]) -> DataFrame:
+    """Candidates with flag `adopted`: true where a proven, identical re-verification exists; the others stay counted."""
+    keys = proven.select(*on).distinct().withColumn("adopted", F.lit(True))
+    return skew_join(candidates, keys, on).withColumn("adopted", F.coalesce("adopted", F.lit(False)))
 
 
 def with_grid(df: DataFrame, **axes: list) -> DataFrame:

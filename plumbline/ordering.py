@@ -6,8 +6,9 @@ what earlier chunks of the key leave behind (a count, a maximum, the last row) e
 as one *seed* row placed at the head of the chunk. Keys that are not large keep one
 chunk and get no seed.
 
-Two bounded facts are read on the driver: at most 1/share hashes of large keys, and
-at most MAX_CHUNKS split points. Together they bound a chunk by about rows / chunks.
+One aggregate is read on the driver before the work: the heavy keys (at most 1/HOT_SHARE)
+and at most MAX_CHUNKS split points. Together they bound a chunk by about rows / chunks,
+and a key that is left whole by max(HOT_SHARE of the rows, `spark.plumbline.hotRows`).
 """
 
 from __future__ import annotations
@@ -16,11 +17,12 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 HOT_SHARE = 0.001
+TRACKED = 10_000  # sketch entries: the count error stays near 0.02 % of the rows, so no key above HOT_SHARE is missed
 MAX_CHUNKS = 10_000
 TIE_CHUNKS = 32
 
@@ -30,15 +32,29 @@ def micros(ts: str | Column) -> Column:
     return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
 
 
-def heavy_hashes(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of all keys above `share` of the rows: one map-side pass, at most 1/share values, none missed."""
-    row = df.select(F.xxhash64(*keys).alias("h")).stat.freqItems(["h"], share).first()
-    return sorted(h for h in (row[0] or []) if h is not None) if row else []
+def hot_rows(spark: SparkSession) -> int:
+    """Rows one task may hold of a single key."""
+    return int(spark.conf.get("spark.plumbline.hotRows", "1000000"))
+
+
+def _top_hashes() -> Column:
+    return F.expr(f"approx_top_k(__hash, {int(1 / HOT_SHARE)}, {TRACKED})")
+
+
+def _heavy(top: list, n: int, spark: SparkSession) -> list[int]:
+    floor = max(n * HOT_SHARE, hot_rows(spark))
+    return sorted(entry["item"] for entry in top or [] if entry["count"] >= floor)
+
+
+def heavy_hashes(df: DataFrame, keys: list[str]) -> list[int]:
+    """xxhash64 of every key above max(HOT_SHARE of the rows, hotRows): one pass over the keys, combined map-side."""
+    top, n = df.select(F.xxhash64(*keys).alias("__hash")).agg(_top_hashes(), F.count("*")).first()
+    return _heavy(top, n, df.sparkSession)
 
 
 @dataclass(frozen=True)
 class Layout:
-    """How keys are cut: which keys (None = all), where, and how heavy single order values are cut further."""
+    """How keys are cut: which keys (None = the whole table is one key), where, and how heavy single order values are cut further."""
 
     hot: list[int] | None
     splits: list[float]
@@ -49,25 +65,25 @@ class Layout:
 WHOLE = Layout([], [])
 
 
-def measure(df: DataFrame, by: list[str], order: list[str], chunks: int | None = None) -> Layout:
-    """Choose the cuts from the data: frequent keys and quantiles of the first order column."""
-    if chunks is None:
-        chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    chunks = max(2, min(chunks, MAX_CHUNKS))
-    hot = heavy_hashes(df, by) if by else None
-    if hot == []:
-        return Layout([], [])
-    probs = [i / chunks for i in range(1, chunks)]
-    found = df.agg(F.percentile_approx(order[0], probs, 10 * chunks)).first()[0] or []
+def measure(df: DataFrame, by: list[str], order: list[Column]) -> Layout:
+    """Choose the cuts from the data, in one aggregate: heavy keys and quantiles of the first order column."""
+    spark = df.sparkSession
+    grid = max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), MAX_CHUNKS))
+    keys = [f"__o{i}" for i in range(len(order))]
+    rows = df.select(F.xxhash64(*(by or [F.lit(0)])).alias("__hash"), *[c.cast("bigint").alias(k) for c, k in zip(order, keys)])
+    probs = [i / grid for i in range(1, grid)]
+    n, found, top = rows.agg(F.count("*"), F.percentile_approx(keys[0], probs, 10 * grid), _top_hashes()).first()
+    hot = _heavy(top, n, spark) if by else None
+    if hot == [] or n <= hot_rows(spark) or not found:
+        return Layout(hot and [], [])
+    step = max(1, int(grid * hot_rows(spark) / (2 * n)))  # no finer than the row bound asks for
+    found = found[::step]
     repeated = sorted({v for v, following in zip(found, found[1:]) if v == following})
     ties = {}
     if repeated and len(order) > 1:
         parts = [i / TIE_CHUNKS for i in range(1, TIE_CHUNKS)]
-        for value, cuts in (
-            df.filter(F.col(order[0]).isin(repeated)).groupBy(order[0])
-            .agg(F.percentile_approx(order[1], parts, 10 * TIE_CHUNKS)).collect()  # one row per repeated split
-        ):
-            ties[value] = sorted(set(cuts or []))
+        cuts = rows.filter(F.col(keys[0]).isin(repeated)).groupBy(keys[0]).agg(F.percentile_approx(keys[1], parts, 10 * TIE_CHUNKS))
+        ties = {value: sorted(set(at or [])) for value, at in cuts.collect()}  # one row per repeated split point
     return Layout(hot, sorted({float(v) for v in found}), ties)
 
 
@@ -121,7 +137,7 @@ def over_order(
         "*", *[c.cast("bigint").alias(k) for c, k in zip(order, keys)],
         *[value.alias(name) for name, (value, _) in state.items()],
     )
-    rows = place(rows, by, keys, layout or measure(rows, by, keys))
+    rows = place(rows, by, keys, layout or measure(df, by, order))
     summary = rows.filter("__chunk >= 0").groupBy(*by, "__chunk").agg(
         *[_SUMMARY[kind](name, keys).alias(name) for name, (_, kind) in state.items()]
     )
@@ -167,18 +183,18 @@ def ordinal(df: DataFrame, by: list[str], order: list[Column], name: str = "ordi
     )
 
 
-def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",
-              share: float = HOT_SHARE) -> DataFrame:
+def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join rows to a side that is unique on `on` (`inner`, `left`, `left_semi`, `left_anti`).
 
-    Rows of large keys meet a broadcast of at most 1/share right rows, so they are never
-    shuffled; all other keys are small and take the ordinary shuffled join.
+    Rows of heavy keys meet a broadcast of the right rows of those keys (at most one per
+    key, so at most 1/HOT_SHARE), and are never shuffled; all other keys are small and take
+    the ordinary join, whose strategy is left to the optimizer.
     """
-    hot = heavy_hashes(left, on, share)
-    if not hot:
-        return left.join(right, on, how)
     kinds = {f.name: f.dataType for f in left.schema}  # equal values hash alike only within one type
     right = right.select(*[F.col(c).cast(kinds[c]).alias(c) if c in on else F.col(c) for c in right.columns])
+    hot = heavy_hashes(left, on)
+    if not hot:
+        return left.join(right, on, how)
     is_hot = F.xxhash64(*on).isin(hot)
     large = left.filter(is_hot).join(F.broadcast(right.filter(is_hot)), on, how)
     return left.filter(~is_hot).join(right.filter(~is_hot), on, how).unionByName(large)

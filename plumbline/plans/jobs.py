@@ -12,6 +12,7 @@ from plumbline.functions import book, scalars, verdicts
 from plumbline.operators import aggregates, features, filters, joins, ranking, sets, windows
 from plumbline.ordering import WHOLE, over_order
 from plumbline.rules import RuleSet
+from plumbline.session import materialise
 from plumbline.sources import catalog
 
 
@@ -49,17 +50,16 @@ def audit_inventory(spark: SparkSession, units: DataFrame, frames: dict[str, Dat
     for name, df in frames.items():
         contract = contracts[name]
         tag = F.lit(name).alias("asset_id")
-        facts = aggregates.profile(df).agg(
+        facts = aggregates.profile(df, rules=contract.rules).groupBy().agg(
             F.max("n_rows").alias("n_rows"), F.sum("n_null").alias("n_null"), F.sum("n_blank").alias("n_blank"),
-            F.sum("n_non_finite").alias("n_non_finite"))
+            F.sum("n_non_finite").alias("n_non_finite"), F.max("broken").alias("broken"))
         copies = aggregates.duplicate_verdict(df, [], scalars.record_sha(df.columns), budget).select("n_duplicate", "duplicate_verdict")
-        # Both sides are one-row aggregates.
-        quality = add(quality, facts.crossJoin(copies).select(tag, "*", F.lit(contract.rules.sha).alias("rule_sha")))
-        broken = aggregates.reason_counts(contract.rules.apply(df), ["rule_sha"]).select(tag, F.col("reason").alias("anomaly"), "n")
-        structure = facts.select(tag, F.inline(F.array(
-            F.struct(F.lit("blank_field").alias("anomaly"), F.col("n_blank").alias("n")),
-            F.struct(F.lit("non_finite").alias("anomaly"), F.col("n_non_finite").alias("n")))))
-        anomalies = add(anomalies, broken.unionByName(structure))
+        quality = add(quality, facts.drop("broken").withColumn("asset_id", F.lit(name)).join(
+            copies.withColumn("asset_id", F.lit(name)), "asset_id").withColumn("rule_sha", F.lit(contract.rules.sha)))
+        structure = F.array(F.struct(F.lit("blank_field").alias("anomaly"), F.col("n_blank").alias("n")),
+                            F.struct(F.lit("non_finite").alias("anomaly"), F.col("n_non_finite").alias("n")))
+        broken = F.filter("broken", lambda b: b["n"] > 0)
+        anomalies = add(anomalies, facts.select(tag, F.inline(F.concat(structure, broken))))
         if contract.day:
             lost = joins.missing_days(df.select(F.lit(name).alias("asset_id"), contract.day), ["asset_id"], contract.day)
             gap = lost.agg(F.count("*").alias("n_missing_days")).select(tag, F.lit("measured").alias("gap_status"), "n_missing_days")
@@ -250,6 +250,7 @@ def cost_evidence(books: DataFrame, grid: DataFrame, by: list[str], notional: fl
 # ---- K09 ----
 def session_study(bars: DataFrame, horizon_minutes: int) -> DataFrame:
     """Per symbol and session: bars, share that rose over the horizon, volatility, breaks and false breaks."""
+    bars = materialise(bars, "bars")
     broken = features.range_break(bars)
     labelled = broken.withColumn("session", scalars.session_label("bar_ts"))
     labelled = labelled.withColumn("row", F.unix_micros(F.col("bar_ts").cast("timestamp")))
@@ -264,7 +265,7 @@ def session_study(bars: DataFrame, horizon_minutes: int) -> DataFrame:
 
 # ---- K10 ----
 def compression_features(bars: DataFrame, oi: DataFrame, needed: int = 4, n: int = 14) -> DataFrame:
-    """Every sign of compression and release on each bar."""
+    """Every sign of compression and release on each bar. Both inputs are read several times: hand in stored bars."""
     x = features.volume_contraction(features.volatility(bars, n))
     x = features.body_ratio(features.macd(x), n)
     x = x.join(features.oi_change(oi), ["symbol", "bar_ts"])
@@ -281,7 +282,7 @@ def compression_features(bars: DataFrame, oi: DataFrame, needed: int = 4, n: int
 
 def compression_study(bars: DataFrame, oi: DataFrame, horizon_minutes: int, needed: int = 4) -> DataFrame:
     """Outcome rate after compressed and other bars, per symbol and first-release mark."""
-    x = compression_features(bars, oi, needed).withColumn("row", F.unix_micros(F.col("bar_ts").cast("timestamp")))
+    x = materialise(compression_features(bars, oi, needed), "features").withColumn("row", F.unix_micros(F.col("bar_ts").cast("timestamp")))
     later = joins.forward_outcome(x, ["symbol"], "bar_ts", "row", "close", [horizon_minutes], WHOLE).select("symbol", "row", "outcome")
     joined = x.join(later, ["symbol", "row"])
     return aggregates.hit_rate(joined, ["symbol", "compressed", "is_first_release"], F.col("outcome") > F.col("close"))

@@ -19,6 +19,10 @@ class Rule:
     reason: str
     version: int = 1
 
+    def broken(self) -> Column:
+        """True for a row that breaks the rule; a condition that cannot be decided breaks it."""
+        return F.coalesce(F.expr(self.violation), F.lit(True))
+
 
 @dataclass(frozen=True)
 class RuleSet:
@@ -34,10 +38,8 @@ class RuleSet:
         return RuleSet(ordered, hashlib.sha256(text.encode()).hexdigest())
 
     def reasons(self) -> Column:
-        """Reason codes of the broken rules; a condition that cannot be decided breaks its rule."""
-        return F.array_compact(F.array(*[
-            F.when(F.coalesce(F.expr(r.violation), F.lit(True)), F.lit(r.reason)) for r in self.rules
-        ]))
+        """Reason codes of the broken rules."""
+        return F.array_compact(F.array(*[F.when(r.broken(), F.lit(r.reason)) for r in self.rules]))
 
     def apply(self, df: DataFrame, name: str = "reasons") -> DataFrame:
         return df.withColumn(name, self.reasons()).withColumn("rule_sha", F.lit(self.sha))

@@ -26,9 +26,16 @@ def stream_quality(stream: DataFrame, ts: str, width: str, delay: str, by: list[
     return out.select(F.col("w")["start"].alias("window_start"), *[c for c in out.columns if c != "w"])
 
 
-def stream_dedup(stream: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
-    """First row per key; state is dropped once the watermark has passed a key."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
+def stream_dedup(stream: DataFrame, keys: list[str], ts: str, delay: str, spread: Column | None = None) -> DataFrame:
+    """First row per key; state is dropped once the watermark has passed a key.
+
+    With `spread` (any value that differs between copies, for example a row id modulo 64)
+    copies of a hot key are first reduced in that many tasks, then once per key.
+    """
+    marked = stream.withWatermark(ts, delay)
+    if spread is not None:
+        marked = marked.withColumn("__spread", spread).dropDuplicatesWithinWatermark([*keys, "__spread"]).drop("__spread")
+    return marked.dropDuplicatesWithinWatermark(keys)
 
 
 def stream_late_split(stream: DataFrame, event: str, arrival: str, delay: str) -> DataFrame:

@@ -9,6 +9,7 @@ from plumbline.functions import verdicts as V
 from plumbline.operators import joins as C
 from plumbline.plans import jobs
 from plumbline.rules import Rule, RuleSet
+from plumbline.session import materialise
 from plumbline.sources import files
 from registry.audits import GATE_VIEW, GATES, cutoff, CUTOFF, gate_rows
 from registry.base import bars, load, members, oi, query, ticks, visibility
@@ -63,9 +64,9 @@ SELECT name, reason, CASE WHEN reason IS NULL THEN 'proven' WHEN reason IN ('che
 def k02(spark, sf):
     docs = load(spark, sf, "documents")
     i, name = F.col("doc_id"), F.concat(F.lit("d-"), F.col("doc_id").cast("string"))
-    lowest = docs.agg(F.min("source").alias("lowest"))  # one row
-    archives = docs.crossJoin(F.broadcast(lowest)).select(
-        name.alias("name"), F.length("text").alias("size"), S.sha256("text").alias("sha256"), (F.col("source") == F.col("lowest")).alias("open"))
+    archives = docs.select(
+        name.alias("name"), F.length("text").alias("size"), S.sha256("text").alias("sha256"),
+        (F.col("source") == docs.agg(F.min("source")).scalar()).alias("open"))
     line = F.concat(S.sha256(F.when(i % 7 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text"))), F.lit("  d-"),
                     F.when(i % 13 == 0, 0).otherwise(i).cast("string"))
     checksums = docs.filter("doc_id % 5 <> 0").select(name.alias("name"), F.when(i % 11 == 0, "broken").otherwise(line).alias("line"))
@@ -207,14 +208,14 @@ y4 AS (SELECT *, cand AND bar_ts = min(bar_ts) FILTER (cand) OVER (PARTITION BY
 
 @query("k10_compression_features", STUDY_SQL + " SELECT symbol, bar_ts, met, compressed, direction, is_first_release FROM y4", ("bars_1h", "oi"))
 def k10(spark, sf):
-    rows = bars(spark, sf)
+    rows = materialise(bars(spark, sf), "bars")
     return jobs.compression_features(rows, oi(rows), needed=3).select("symbol", "bar_ts", "met", "compressed", "direction", "is_first_release")
 
 
 @query("k10_compression_study", STUDY_SQL + """ SELECT a.symbol, compressed, is_first_release, count(*) AS n, count(n.close) AS denominator, count(*) - count(n.close) AS n_unknown, count(*) FILTER (n.close > a.close) AS n_hit,
  round(avg(CAST(n.close > a.close AS DOUBLE)), 6) AS rate FROM (SELECT *, bar_ts + INTERVAL 4 HOUR AS target FROM y4) a ASOF LEFT JOIN bars_1h n ON a.symbol = n.symbol AND a.target <= n.bar_ts GROUP BY ALL""", ("bars_1h", "oi"))
 def k10s(spark, sf):
-    rows = bars(spark, sf)
+    rows = materialise(bars(spark, sf), "bars")
     return jobs.compression_study(rows, oi(rows), 240, needed=3).withColumn("rate", F.round("rate", 6))
 
 

@@ -43,7 +43,8 @@ def i01(spark, sf):
 
 @query("i02_stream_dedup", """SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_users FROM (SELECT DISTINCT user_id, symbol FROM ticks)""", ("ticks",))
 def i02(spark, sf):
-    unique = L.stream_dedup(tick_stream(spark, sf).select("user_id", "symbol", "ts"), ["user_id", "symbol"], "ts", "60 days")
+    unique = L.stream_dedup(tick_stream(spark, sf).select("user_id", "symbol", "ts", "trade_id"), ["user_id", "symbol"], "ts", "60 days",
+                            spread=F.col("trade_id") % 8)
     return finish(spark, unique, "i02").agg(F.count("*").alias("n_rows"), F.count_distinct("user_id").alias("n_users"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib.util
+import os
 import sys
 import time
 from pathlib import Path
@@ -29,6 +30,7 @@ def main() -> int:
     spec.loader.exec_module(entry)
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
              .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
+             .config("spark.plumbline.hotRows", os.environ.get("HOT_ROWS", "1000000"))
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()

@@ -153,7 +153,7 @@ def b07(spark, sf):
 @query("b08_inside_segment", """
 SELECT o_orderkey, grp, o.day, coalesce(o.day - 30 >= seg_start, false) AS inside FROM
  (SELECT o_orderkey, o_orderpriority AS grp, CAST(o_orderdate AS DATE) AS day FROM orders) o
- JOIN segs USING (grp) WHERE o.day BETWEEN seg_start AND seg_end""", ("segs",))
+ JOIN segs USING (grp) WHERE o.day BETWEEN seg_start AND seg_end""", ("segs",), day="VARCHAR")
 def b08(spark, sf):
     rows = load(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("grp"), F.to_date("o_orderdate").alias("day"))
     return B.inside_segment(rows, E.segments(order_days(spark, sf), ["grp"], "day"), ["grp"], "day", 30).select(
@@ -270,7 +270,7 @@ def c07(spark, sf):
 @query("c08_asof_join", """
 SELECT p.trade_id, p.user_id, p.ts, v.trade_id AS matched_id, v.ts AS matched_ts, v.price AS matched_price
 FROM (SELECT * FROM ticks WHERE symbol = 'purchase') p ASOF LEFT JOIN (SELECT * FROM ticks WHERE symbol = 'view') v
-ON p.user_id = v.user_id AND p.ts >= v.ts""", ("ticks",))
+ON p.user_id = v.user_id AND p.ts >= v.ts""", ("ticks",), matched_price="DOUBLE")
 def c08(spark, sf):
     rows = ticks(spark, sf)
     left = rows.filter("symbol = 'purchase'").select("trade_id", "user_id", "ts")
@@ -332,7 +332,7 @@ def c12(spark, sf):
 
 @query("c12_scenario_grid", """
 SELECT symbol, event_date, side, kind, clock FROM members CROSS JOIN (SELECT unnest(['buy', 'sell']) AS side)
-CROSS JOIN (SELECT unnest(['aggressive_market', 'aggressive_limit', 'passive_limit_cancel']) AS kind) CROSS JOIN (SELECT unnest(['baseline', 'stress']) AS clock)""", ("members",))
+CROSS JOIN (SELECT unnest(['aggressive_market', 'aggressive_limit', 'passive_limit_cancel']) AS kind) CROSS JOIN (SELECT unnest(['baseline', 'stress']) AS clock)""", ("members",), event_date="VARCHAR")
 def c12b(spark, sf):
     from plumbline.contracts import CLOCKS, ORDER_KINDS, SIDES
     return C.scenario_grid(members(spark, sf).select("symbol", "event_date"), SIDES, ORDER_KINDS, CLOCKS)
@@ -340,7 +340,7 @@ def c12b(spark, sf):
 
 @query("c13_missing_days", """
 SELECT grp, day FROM (SELECT grp, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT grp, min(day) AS lo, max(day) AS hi FROM days GROUP BY grp))
-EXCEPT SELECT grp, day FROM days""", ("days",))
+EXCEPT SELECT grp, day FROM days""", ("days",), day="VARCHAR")
 def c13(spark, sf):
     return C.missing_days(order_days(spark, sf), ["grp"], "day")
 
@@ -367,7 +367,7 @@ def c14b(spark, sf):
 @query("c15_forward_outcome", """
 SELECT a.symbol, a.trade_id, a.ts, a.price AS base, a.horizon_min, b.ts AS outcome_ts, b.price AS outcome FROM
  (SELECT *, ts + to_minutes(horizon_min) AS target FROM ticks, (SELECT unnest([15, 60, 240, 480, 1440, 2880]) AS horizon_min)) a
-ASOF LEFT JOIN ticks b ON a.symbol = b.symbol AND a.target <= b.ts""", ("ticks",))
+ASOF LEFT JOIN ticks b ON a.symbol = b.symbol AND a.target <= b.ts""", ("ticks",), base="DOUBLE", outcome="DOUBLE")
 def c15(spark, sf):
     from plumbline.contracts import OUTCOME_HORIZONS_M
     return C.forward_outcome(ticks(spark, sf), ["symbol"], "ts", "trade_id", "price", OUTCOME_HORIZONS_M)
@@ -572,7 +572,7 @@ def d18(spark, sf):
     return D.assert_unique(load(spark, sf, "documents").select(F.col("text").alias("key_text")), ["key_text"])
 
 
-@query("d19_ohlcv", "SELECT * FROM bars_1h", ("bars_1h",))
+@query("d19_ohlcv", "SELECT * FROM bars_1h", ("bars_1h",), open="DOUBLE", high="DOUBLE", low="DOUBLE", close="DOUBLE")
 def d19(spark, sf):
     return bars(spark, sf)
 

@@ -67,13 +67,24 @@ def ctes(*names: str) -> str:
     return "WITH RECURSIVE " + ", ".join(f"{n} AS ({VIEWS[n]})" for n in VIEWS if n in wanted) + " "
 
 
-def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()) -> Callable[[Query], Query]:
+# Types in which values leave the queries: both engines print and hash these alike.
+LEAVE_AS = {"DOUBLE": "double", "VARCHAR": "string"}
+
+
+def query(name: str, sql: str | None = None, views: tuple[str, ...] = (), **leave: str) -> Callable[[Query], Query]:
+    """Register a query with its SQL; `leave` maps an output column to DOUBLE (decimals) or VARCHAR (dates)."""
     def add(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = fn
+
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            return fn(spark, sf).withColumns({c: F.col(c).cast(LEAVE_AS[t]) for c, t in leave.items()})
+
+        QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = (ctes(*views) + sql) if views else sql
+            text = (ctes(*views) + sql) if views else sql
+            casts = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in leave.items())
+            ORACLES[name] = f"SELECT * REPLACE ({casts}) FROM ({text})" if casts else text
         return fn
 
     return add

@@ -87,19 +87,19 @@ def scan(spark, sf):
     return jobs.scan_rows(rows, ["symbol"], "event_date", "trade_id", "trade_id", "ts", TICK_RULES)
 
 
-@query("k03_scan_members", SCAN_SQL + " SELECT * FROM m", ("ticks",))
+@query("k03_scan_members", SCAN_SQL + " SELECT * FROM m", ("ticks",), event_date="VARCHAR")
 def k03(spark, sf):
     return scan(spark, sf).members
 
 
 @query("k03_scan_segments", SCAN_SQL + """ SELECT symbol, min(event_date) AS seg_start, max(event_date) AS seg_end, count(*) AS days FROM
- (SELECT symbol, event_date, event_date - CAST(row_number() OVER (PARTITION BY symbol ORDER BY event_date) AS INTEGER) AS run FROM m WHERE status = 'proven') GROUP BY symbol, run""", ("ticks",))
+ (SELECT symbol, event_date, event_date - CAST(row_number() OVER (PARTITION BY symbol ORDER BY event_date) AS INTEGER) AS run FROM m WHERE status = 'proven') GROUP BY symbol, run""", ("ticks",), seg_start="VARCHAR", seg_end="VARCHAR")
 def k03s(spark, sf):
     return scan(spark, sf).segments
 
 
 @query("k03_scan_missing", SCAN_SQL + """, g AS (SELECT symbol, event_date FROM m WHERE status = 'proven')
-SELECT symbol, day FROM (SELECT symbol, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT symbol, min(event_date) AS lo, max(event_date) AS hi FROM g GROUP BY 1)) EXCEPT SELECT symbol, event_date FROM g""", ("ticks",))
+SELECT symbol, day FROM (SELECT symbol, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT symbol, min(event_date) AS lo, max(event_date) AS hi FROM g GROUP BY 1)) EXCEPT SELECT symbol, event_date FROM g""", ("ticks",), day="VARCHAR")
 def k03m(spark, sf):
     return scan(spark, sf).missing
 
@@ -222,7 +222,7 @@ def k10s(spark, sf):
 @query("k11_decision_card", """
 , j AS (SELECT symbol, event_date, n_rows, CASE WHEN NOT n_rows > 40 THEN 'data' WHEN NOT n_rows > 50 THEN 'sample' WHEN NOT first_id % 2 = 0 THEN 'edge' WHEN NOT last_id % 3 <> 0 THEN 'cost' END AS reason FROM members),
 p AS (SELECT symbol, event_date, CAST(row_number() OVER (PARTITION BY event_date ORDER BY n_rows DESC, symbol) AS INTEGER) AS rank FROM j WHERE reason IS NULL)
-SELECT j.event_date, j.symbol, j.n_rows, reason IS NULL AS allowed, reason, CASE WHEN rank <= 2 THEN rank END AS rank, CASE WHEN rank <= 2 THEN 1 ELSE 0 END AS size FROM j LEFT JOIN p ON j.symbol = p.symbol AND j.event_date = p.event_date""", ("members",))
+SELECT j.event_date, j.symbol, j.n_rows, reason IS NULL AS allowed, reason, CASE WHEN rank <= 2 THEN rank END AS rank, CASE WHEN rank <= 2 THEN 1 ELSE 0 END AS size FROM j LEFT JOIN p ON j.symbol = p.symbol AND j.event_date = p.event_date""", ("members",), event_date="VARCHAR")
 def k11(spark, sf):
     c, yes = F.col, F.lit(True)
     gates = {"data": c("n_rows") > 40, "sample": c("n_rows") > 50, "edge": c("first_id") % 2 == 0, "cost": c("last_id") % 3 != 0,

@@ -64,7 +64,7 @@ def i04(spark, sf):
     return finish(spark, out, "i04").select("symbol", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("first_ts", "last_ts")], "n_rows")
 
 
-@query("i05_stream_bars", f"SELECT * FROM bars_1h WHERE bar_ts + INTERVAL 1 HOUR <= {CLOSED}", ("bars_1h",))
+@query("i05_stream_bars", f"SELECT * FROM bars_1h WHERE bar_ts + INTERVAL 1 HOUR <= {CLOSED}", ("bars_1h",), open="DOUBLE", high="DOUBLE", low="DOUBLE", close="DOUBLE")
 def i05(spark, sf):
     return finish(spark, L.stream_bars(tick_stream(spark, sf), "1 hour", "1 hour"), "i05").withColumn(
         "bar_ts", F.col("bar_ts").cast("timestamp_ntz"))

@@ -58,7 +58,7 @@ def e04(spark, sf):
         "l_orderkey", "l_linenumber", "collected_at", "latency_s", "order_status")
 
 
-@query("e05_segments", "SELECT grp, seg_start, seg_end, days FROM segs", ("segs",))
+@query("e05_segments", "SELECT grp, seg_start, seg_end, days FROM segs", ("segs",), seg_start="VARCHAR", seg_end="VARCHAR")
 def e05(spark, sf):
     return E.segments(order_days(spark, sf), ["grp"], "day")
 
@@ -216,7 +216,7 @@ def f02(spark, sf):
 
 @query("f03_daily_top", """
 SELECT day, trade_id, price, rank FROM (SELECT CAST(ts AS DATE) AS day, trade_id, price, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY price DESC, trade_id) AS rank
- FROM ticks WHERE symbol = 'purchase' AND qty >= 90) WHERE rank <= 2""", ("ticks",))
+ FROM ticks WHERE symbol = 'purchase' AND qty >= 90) WHERE rank <= 2""", ("ticks",), price="DOUBLE", day="VARCHAR")
 def f03(spark, sf):
     rows = ticks(spark, sf).withColumn("day", F.to_date("ts"))
     top = R.daily_top(rows, ["day"], "price", "trade_id", (F.col("symbol") == "purchase") & (F.col("qty") >= 90))
@@ -226,7 +226,7 @@ def f03(spark, sf):
 @query("f04_member_bounds", """
 SELECT symbol, CAST(ts AS DATE) AS event_date, arg_min(ts, trade_id) AS first_ts, arg_min(price, trade_id) AS first_price, arg_max(ts, trade_id) AS last_ts, arg_max(price, trade_id) AS last_price,
  count(*) AS n_rows, count(*) FILTER (NOT ts BETWEEN TIMESTAMP '2024-01-02 00:00:00' AND TIMESTAMP '2024-01-25 12:00:00') AS outside,
- CASE WHEN count(*) FILTER (NOT ts BETWEEN TIMESTAMP '2024-01-02 00:00:00' AND TIMESTAMP '2024-01-25 12:00:00') = 0 THEN 'in_bounds' ELSE 'out_of_bounds' END AS bound_status FROM ticks GROUP BY 1, 2""", ("ticks",))
+ CASE WHEN count(*) FILTER (NOT ts BETWEEN TIMESTAMP '2024-01-02 00:00:00' AND TIMESTAMP '2024-01-25 12:00:00') = 0 THEN 'in_bounds' ELSE 'out_of_bounds' END AS bound_status FROM ticks GROUP BY 1, 2""", ("ticks",), first_price="DOUBLE", last_price="DOUBLE", event_date="VARCHAR")
 def f04(spark, sf):
     rows = ticks(spark, sf).withColumn("event_date", F.to_date("ts"))
     lo, hi = (F.lit(t).cast("timestamp_ntz") for t in ("2024-01-02 00:00:00", "2024-01-25 12:00:00"))
@@ -348,7 +348,7 @@ NUMBER_SQL = r"regexp_full_match(t, '-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?')"
 
 @query("h05_strict_decimal", f"""
 SELECT t, {NUMBER_SQL} AS is_number, CASE WHEN {NUMBER_SQL} THEN TRY_CAST(t AS DECIMAL(18,6)) END AS number, count(*) AS n FROM
- (SELECT CAST(event_id AS VARCHAR) || (CASE user_id % 4 WHEN 0 THEN '' WHEN 1 THEN '.50' WHEN 2 THEN 'e3' ELSE '.' END) AS t FROM events) GROUP BY ALL""")
+ (SELECT CAST(event_id AS VARCHAR) || (CASE user_id % 4 WHEN 0 THEN '' WHEN 1 THEN '.50' WHEN 2 THEN 'e3' ELSE '.' END) AS t FROM events) GROUP BY ALL""", number="DOUBLE")
 def h05(spark, sf):
     tail = F.when(F.col("user_id") % 4 == 0, "").when(F.col("user_id") % 4 == 1, ".50").when(F.col("user_id") % 4 == 2, "e3").otherwise(".")
     rows = load(spark, sf, "events").select(F.concat(F.col("event_id").cast("string"), tail).alias("t"))
@@ -456,7 +456,7 @@ def h15(spark, sf):
 
 @query("h16_session_label", """
 SELECT event_id, CASE WHEN m >= 480 AND m < 900 THEN 'asia' WHEN m >= 900 AND m < 1290 THEN 'europe' ELSE 'us' END AS session, CAST(ts AS DATE) AS session_date FROM
- (SELECT event_id, ts, hour(ts + INTERVAL 8 HOUR) * 60 + minute(ts + INTERVAL 8 HOUR) AS m FROM events)""")
+ (SELECT event_id, ts, hour(ts + INTERVAL 8 HOUR) * 60 + minute(ts + INTERVAL 8 HOUR) AS m FROM events)""", session_date="VARCHAR")
 def h16(spark, sf):
     return load(spark, sf, "events").select("event_id", S.session_label("ts").alias("session"), S.session_date("ts").alias("session_date"))
 
@@ -536,7 +536,7 @@ def h21(spark, sf):
 
 @query("h22_permission", """
 SELECT symbol, event_date, reason IS NULL AS allowed, reason FROM (SELECT symbol, event_date, CASE WHEN NOT n_rows > 40 THEN 'data' WHEN NOT n_rows > 50 THEN 'sample' WHEN NOT first_id % 2 = 0 THEN 'edge' WHEN NOT last_id % 3 <> 0 THEN 'cost'
- WHEN NOT n_rows % 2 = 0 THEN 'risk' END AS reason FROM members)""", ("members",))
+ WHEN NOT n_rows % 2 = 0 THEN 'risk' END AS reason FROM members)""", ("members",), event_date="VARCHAR")
 def h22(spark, sf):
     c, yes = F.col, F.lit(True)
     gates = {"data": c("n_rows") > 40, "sample": c("n_rows") > 50, "edge": c("first_id") % 2 == 0, "cost": c("last_id") % 3 != 0,

@@ -2,84 +2,82 @@
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 import time
 from pathlib import Path
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-ROOT = Path(__file__).resolve().parents[1]
-sys.path.insert(0, str(ROOT))
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
 KINDS = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean",
-         "TIMESTAMP": "timestamp_ntz", "DATE": "date"}
+         "TIMESTAMP": "timestamp_ntz"}
+
+
+def connect(sf: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    return con
 
 
-def normal(v):
+def _text(v) -> str:
     return "<null>" if v is None else repr(v) if isinstance(v, float) else str(v)
 
 
+def difference(con: duckdb.DuckDBPyConnection, sql: str, df: DataFrame) -> tuple[int, str | None]:
+    """Rows of the result and what differs from the SQL result in names, types or values (None: nothing)."""
+    rows = df.collect()
+    relation = con.execute(sql)
+    kinds = {d[0]: KINDS.get(str(d[1]), str(d[1])) for d in relation.description}
+    names, want = [d[0] for d in relation.description], relation.fetchall()
+    if sorted(names) != sorted(df.columns):
+        return len(rows), f"columns {sorted(df.columns)} against {sorted(names)}"
+    types = [f"{f.name}: {f.dataType.simpleString()} against {kinds[f.name]}" for f in df.schema if f.dataType.simpleString() != kinds[f.name]]
+    if types:
+        return len(rows), f"types {types}"
+    order = sorted(names)
+    got = sorted(tuple(_text(r[c]) for c in order) for r in rows)
+    spots = [names.index(c) for c in order]
+    expected = sorted(tuple(_text(r[i]) for i in spots) for r in want)
+    if got == expected:
+        return len(rows), None
+    left, right = set(got), set(expected)
+    return len(rows), (f"{len(got)} against {len(expected)} rows of {order}; "
+                       f"here {[x for x in got if x not in right][:3]} there {[x for x in expected if x not in left][:3]}")
+
+
 def main() -> int:
+    from registry import ORACLES, QUERIES
+
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     parts = sys.argv[2:]
-    spec = importlib.util.spec_from_file_location("entry", ROOT / "__spark_entry__.py")
-    entry = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(entry)
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
              .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
              .config("spark.plumbline.hotRows", os.environ.get("HOT_ROWS", "1000000"))
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    con = duckdb.connect()
-    con.execute("SET TimeZone='UTC'")
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
-    sql = entry.oracle_sql()
-    bad = 0
-    for name, fn in entry.queries().items():
+    con, bad = connect(sf), 0
+    for name, run in QUERIES.items():
         if parts and not any(p in name for p in parts):
             continue
         start = time.time()
         try:
-            df = fn(spark, sf)
-            rows = df.collect()
-        except Exception as e:  # report and go on
-            bad += 1
-            print(f"FAIL {name}: {str(e)[:1500]}")
-            continue
-        took = time.time() - start
-        note = ""
-        if name not in sql:
-            print(f"rows {name}: {len(rows)} ({took:.1f}s)")
-            continue
-        try:
-            rel = con.execute(sql[name])
-            cols = [d[0] for d in rel.description]
-            types = {d[0]: str(d[1]) for d in rel.description}
-            want = rel.fetchall()
-        except Exception as e:
-            bad += 1
-            print(f"FAIL {name}: oracle {str(e)[:600]}")
-            continue
-        if sorted(cols) != sorted(df.columns):
-            bad += 1
-            print(f"FAIL {name}: columns {sorted(df.columns)} vs {sorted(cols)}")
-            continue
-        for f in df.schema:
-            if KINDS.get(types[f.name], types[f.name]) != f.dataType.simpleString():
-                note += f" [{f.name}: {f.dataType.simpleString()} vs {types[f.name]}]"
-        order = sorted(cols)
-        got = sorted(tuple(normal(r[c]) for c in order) for r in rows)
-        exp = sorted(tuple(normal(r[cols.index(c)]) for c in order) for r in want)
-        if got != exp:
-            bad += 1
-            diff = [x for x in got if x not in set(exp)][:3], [x for x in exp if x not in set(got)][:3]
-            print(f"FAIL {name}: {len(got)} vs {len(exp)} rows; {order}\n   spark {diff[0]}\n   duck  {diff[1]}{note}")
-        else:
-            print(f"ok   {name}: {len(got)} rows ({took:.1f}s){note}")
+            if name in ORACLES:
+                n, wrong = difference(con, ORACLES[name], run(spark, sf))
+            else:
+                n, wrong = run(spark, sf).count(), None
+        except Exception as e:  # report and go on with the next query
+            n, wrong = -1, str(e)[:1500]
+        bad += wrong is not None
+        label = "FAIL" if wrong else "ok" if name in ORACLES else "rows"
+        print(f"{label:4} {name}: {n} rows ({time.time() - start:.1f}s) {wrong or ''}", flush=True)
     print("bad:", bad)
     return bad
 

@@ -238,25 +238,26 @@ def event_window_join(events: DataFrame, bars: DataFrame, by: list[str], event_t
 
 
 def event_window_totals(events: DataFrame, rows: DataFrame, by: list[str], event_ts: str, event_id: str,
-                        row_ts: str, measure: Column, pre_minutes: int, post_minutes: int,
+                        row_ts: str, amount: Column, pre_minutes: int, post_minutes: int,
                         layout: Layout | None = None) -> DataFrame:
-    """Rows and sum of `measure` in [event - pre, event + post] without forming pairs.
+    """Rows and sum of `amount` in [event - pre, event + post] without forming pairs.
 
     Running totals are read at both ends of each window; their difference is the window.
     """
-    ends = events.select(*by, event_id, F.explode(F.array(
-        F.struct((micros(event_ts) - pre_minutes * 60_000_000).alias("at"), F.lit(0).alias("side"), F.lit(-1).alias("sign")),
-        F.struct((micros(event_ts) + post_minutes * 60_000_000).alias("at"), F.lit(2).alias("side"), F.lit(1).alias("sign")),
-    )).alias("e")).select(*by, event_id, "e.*")
-    points = rows.select(*by, micros(row_ts).alias("at"), F.lit(1).alias("side"), measure.alias("__m"))
+    def end(minutes: int, side: int, sign: int) -> Column:
+        return F.struct((micros(event_ts) + minutes * 60_000_000).alias("__at"), F.lit(side).alias("__side"), F.lit(sign).alias("__sign"))
+
+    # At equal times the lower end sorts before the rows and the upper end after them.
+    ends = events.select(*by, event_id, F.inline(F.array(end(-pre_minutes, 0, -1), end(post_minutes, 2, 1))))
+    points = rows.select(*by, micros(row_ts).alias("__at"), F.lit(1).alias("__side"), amount.alias("__m"))
     merged = over_order(
-        ends.unionByName(points, allowMissingColumns=True), by, [F.col("at"), F.col("side")],
-        {"__cnt": ((F.col("side") == 1).cast("bigint"), "sum"), "__sum": (F.col("__m"), "sum")},
-        {"run_n": lambda w: F.sum("__cnt").over(upto(w)), "run_sum": lambda w: F.sum("__sum").over(upto(w))}, layout,
+        ends.unionByName(points, allowMissingColumns=True), by, [F.col("__at"), F.col("__side")],
+        {"__cnt": ((F.col("__side") == 1).cast("bigint"), "sum"), "__sum": (F.col("__m"), "sum")},
+        {"__run_n": lambda w: F.sum("__cnt").over(upto(w)), "__run_sum": lambda w: F.sum("__sum").over(upto(w))}, layout,
     )
-    return merged.filter("side <> 1").groupBy(*by, event_id).agg(
-        F.sum(F.col("sign") * F.col("run_n")).alias("rows_in_window"),
-        F.sum(F.col("sign") * F.coalesce(F.col("run_sum"), F.lit(0))).alias("sum_in_window"),
+    return merged.filter("__side <> 1").groupBy(*by, event_id).agg(
+        F.sum(F.col("__sign") * F.col("__run_n")).alias("rows_in_window"),
+        F.sum(F.col("__sign") * F.coalesce(F.col("__run_sum"), F.lit(0))).alias("sum_in_window"),
     )
 
 

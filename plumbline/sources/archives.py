@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import ArrowInvalid, fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +38,6 @@ def _lines(path: str, member: str, stream: io.TextIOBase) -> Iterator[pd.DataFra
 
 
 def _archive(path: str) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
     system, place = fs.FileSystem.from_uri(path)
     member = None
     try:
@@ -53,7 +53,7 @@ def _archive(path: str) -> Iterator[pd.DataFrame]:
                 return
             with archive.open(member) as data:
                 yield from _lines(path, member, io.TextIOWrapper(data, encoding="utf-8"))
-    except (zipfile.BadZipFile, EOFError, UnicodeDecodeError, zipfile.zlib.error) as broken:
+    except (zipfile.BadZipFile, EOFError, UnicodeDecodeError, zlib.error, ArrowInvalid) as broken:  # a failing read of the store still raises
         yield _note(path, member, "crc_mismatch" if "CRC" in str(broken) else "unreadable")
 
 

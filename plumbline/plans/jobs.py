@@ -33,55 +33,55 @@ class Audit:
     anomalies: DataFrame
 
 
+def _unit_facts(name: str, df: DataFrame, contract: UnitContract, budget: int) -> DataFrame:
+    """One row with everything the content of a unit says: profile and broken rules in one pass, copies, missing days."""
+    facts = aggregates.profile(df, rules=contract.rules).groupBy().agg(
+        F.max("n_rows").alias("n_rows"), F.sum("n_null").alias("n_null"), F.sum("n_blank").alias("n_blank"),
+        F.sum("n_non_finite").alias("n_non_finite"), F.max("broken").alias("broken"))
+    copies = aggregates.duplicate_verdict(df, [], scalars.record_sha(df.columns), budget)
+    missing = F.lit(None).cast("bigint")
+    if contract.day:
+        days = df.select(F.lit(name).alias("unit"), contract.day)
+        missing = joins.missing_days(days, ["unit"], contract.day).agg(F.count("*")).scalar()
+    return facts.select(
+        F.lit(name).alias("asset_id"), "*", copies.select(F.struct("n_duplicate", "duplicate_verdict")).scalar().alias("copies"),
+        F.lit("measured" if contract.day else "undetermined").alias("gap_status"), missing.alias("n_missing_days"),
+        F.lit(contract.rules.sha).alias("rule_sha"))
+
+
 def audit_inventory(spark: SparkSession, units: DataFrame, frames: dict[str, DataFrame],
                     contracts: dict[str, UnitContract], budget: int) -> Audit:
-    """Two-phase audit: schemas and frozen rules first, then one content pass per unit.
+    """Two-phase audit: schemas and frozen rules first, then the content of each unit, stored as one row per unit.
 
     `units` holds `asset_id`; every unit appears in all three outputs, with `not_executed`
     where no content could be read.
     """
-    quality = gaps = anomalies = None
-
-    def add(acc: DataFrame | None, part: DataFrame) -> DataFrame:
-        return part if acc is None else acc.unionByName(part)
-
     columns = catalog.catalog_metadata(spark, frames)
     times = catalog.time_candidates(columns).groupBy(F.col("table").alias("asset_id")).agg(F.count("*").alias("time_candidates"))
+    facts = None
     for name, df in frames.items():
-        contract = contracts[name]
-        tag = F.lit(name).alias("asset_id")
-        facts = aggregates.profile(df, rules=contract.rules).groupBy().agg(
-            F.max("n_rows").alias("n_rows"), F.sum("n_null").alias("n_null"), F.sum("n_blank").alias("n_blank"),
-            F.sum("n_non_finite").alias("n_non_finite"), F.max("broken").alias("broken"))
-        copies = aggregates.duplicate_verdict(df, [], scalars.record_sha(df.columns), budget).select("n_duplicate", "duplicate_verdict")
-        quality = add(quality, facts.drop("broken").withColumn("asset_id", F.lit(name)).join(
-            copies.withColumn("asset_id", F.lit(name)), "asset_id").withColumn("rule_sha", F.lit(contract.rules.sha)))
-        structure = F.array(F.struct(F.lit("blank_field").alias("anomaly"), F.col("n_blank").alias("n")),
-                            F.struct(F.lit("non_finite").alias("anomaly"), F.col("n_non_finite").alias("n")))
-        broken = F.filter("broken", lambda b: b["n"] > 0)
-        anomalies = add(anomalies, facts.select(tag, F.inline(F.concat(structure, broken))))
-        if contract.day:
-            lost = joins.missing_days(df.select(F.lit(name).alias("asset_id"), contract.day), ["asset_id"], contract.day)
-            gap = lost.agg(F.count("*").alias("n_missing_days")).select(tag, F.lit("measured").alias("gap_status"), "n_missing_days")
-        else:
-            gap = spark.range(1).select(tag, F.lit("undetermined").alias("gap_status"), F.lit(None).cast("bigint").alias("n_missing_days"))
-        gaps = add(gaps, gap)
+        row = _unit_facts(name, df, contracts[name], budget)
+        facts = row if facts is None else facts.unionByName(row)
+    found = units.select("asset_id").distinct().join(materialise(facts, "unit-facts"), "asset_id", "left")
 
     critical = [c.critical_rule for c in contracts.values() if c.critical_rule]
-    failed = anomalies.filter(F.col("anomaly").isin(critical) & (F.col("n") > 0)).select("asset_id", F.lit(True).alias("failed")).distinct()
-    ids = units.select("asset_id").distinct()
-    full = ids.join(quality, "asset_id", "left").join(times, "asset_id", "left").join(failed, "asset_id", "left").join(
-        gaps.select("asset_id", "gap_status"), "asset_id", "left")
+    failed = F.exists("broken", lambda b: b["anomaly"].isin(critical) & (b["n"] > 0))
     # The evidence of a unit is complete only with a measured gap and a decided duplicate check.
-    open_evidence = F.col("n_rows").isNull() | (F.col("gap_status") != "measured") | (F.col("duplicate_verdict") == "undetermined")
-    verdict = verdicts.availability(F.col("failed"), open_evidence, F.col("n_null") + F.col("n_blank") > 0, F.lit(False), F.lit(False))
+    verdict_of_copies = F.col("copies")["duplicate_verdict"]
+    open_evidence = F.col("n_rows").isNull() | (F.col("gap_status") != "measured") | (verdict_of_copies == "undetermined")
+    verdict = verdicts.availability(failed, open_evidence, F.col("n_null") + F.col("n_blank") > 0, F.lit(False), F.lit(False))
     scanned = F.when(F.col("n_rows").isNull(), "not_executed").otherwise("scanned")
+    structure = F.array(F.struct(F.lit("blank_field").alias("anomaly"), F.col("n_blank").alias("n")),
+                        F.struct(F.lit("non_finite").alias("anomaly"), F.col("n_non_finite").alias("n")))
+    nothing = F.array(F.struct(F.lit("not_executed").alias("anomaly"), F.lit(None).cast("bigint").alias("n")))
+    listed = F.when(F.col("n_rows").isNull(), nothing).otherwise(F.concat(structure, F.filter("broken", lambda b: b["n"] > 0)))
     return Audit(
-        full.select("asset_id", scanned.alias("scan_status"), "n_rows", "n_null", "n_blank", "n_non_finite", "n_duplicate",
-                    "duplicate_verdict", F.coalesce("time_candidates", F.lit(0)).alias("time_candidates"), "rule_sha",
-                    verdict.alias("availability")),
-        ids.join(gaps, "asset_id", "left").withColumn("gap_status", F.coalesce("gap_status", F.lit("not_executed"))),
-        ids.join(anomalies, "asset_id", "left").withColumn("anomaly", F.coalesce("anomaly", F.lit("not_executed"))),
+        found.join(times, "asset_id", "left").select(
+            "asset_id", scanned.alias("scan_status"), "n_rows", "n_null", "n_blank", "n_non_finite", F.col("copies")["n_duplicate"].alias("n_duplicate"),
+            verdict_of_copies.alias("duplicate_verdict"), F.coalesce("time_candidates", F.lit(0)).alias("time_candidates"), "rule_sha",
+            verdict.alias("availability")),
+        found.select("asset_id", F.coalesce("gap_status", F.lit("not_executed")).alias("gap_status"), "n_missing_days"),
+        found.select("asset_id", F.inline(listed)),
     )
 
 

@@ -121,3 +121,10 @@ SENSITIVE_PATTERNS = {
     "git_token": r"\bgh[pousr]_[A-Za-z0-9]{20,}\b",
     "assignment": r"(?i)\b(?:password|passwd|secret|token)\s*[:=]\s*[^\s,;]+",
 }
+
+# Literals without which a pattern cannot match; a text that holds none of them skips the pattern.
+SENSITIVE_LITERALS = {
+    "private_key": ["-----BEGIN"],
+    "cloud_token": ["AKIA"],
+    "git_token": ["ghp_", "gho_", "ghu_", "ghs_", "ghr_"],
+}

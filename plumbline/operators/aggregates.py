@@ -107,23 +107,26 @@ def denominators(df: DataFrame, dims: list[str], formal: Column, rejected: Colum
         F.sum("__f").alias("formal"), F.sum("__r").alias("rejected"))
 
 
-def coverage_record(df: DataFrame, by: list[str], ts: str, version: str = "1") -> DataFrame:
+def coverage_record(df: DataFrame, by: list[str], ts: str, version: str = "1", totals: dict[str, Column] | None = None) -> DataFrame:
     """Bounds, rows, covered and missing days, segments and research flag per group.
 
-    Days are reduced first, so the window sees at most one row per calendar day.
+    One pass: rows are reduced to days (together with `totals`, sums of further measures),
+    and the window sees at most one row per calendar day.
     """
     from plumbline.operators.windows import segments
 
+    totals = totals or {}
+    sums = ["n", *totals]
     daily = df.groupBy(*by, F.to_date(ts).alias("day")).agg(
-        F.count("*").alias("n"), F.min(ts).alias("lo"), F.max(ts).alias("hi"))
-    seg = segments(daily, by, "day", extra=[F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")])
+        F.count("*").alias("n"), F.min(ts).alias("lo"), F.max(ts).alias("hi"), *[F.sum(c).alias(name) for name, c in totals.items()])
+    seg = segments(daily, by, "day", extra=[*[F.sum(c).alias(c) for c in sums], F.min("lo").alias("lo"), F.max("hi").alias("hi")])
     covered = F.sum("days")
     span = F.datediff(F.max("seg_end"), F.min("seg_start")) + 1
     return seg.groupBy(*by).agg(
         F.lit(version).alias("version"), F.min("lo").alias("first_ts"), F.max("hi").alias("last_ts"),
         F.sum("n").alias("n_rows"), covered.alias("days_covered"), (span - covered).alias("days_missing"),
         F.count("*").alias("n_segments"), F.max("days").alias("longest_segment"),
-        (span == covered).alias("research_ready"))
+        (span == covered).alias("research_ready"), *[F.sum(c).alias(c) for c in totals])
 
 
 def leaf_verdict(gates: DataFrame, leaves: DataFrame, leaf: list[str], required: list[str],
@@ -164,13 +167,17 @@ def fingerprint_levels(df: DataFrame, cols: list[str], by: list[str]) -> DataFra
     hashes are spread over 16^6 buckets, these over 16^3, and those are hashed once more.
     No list grows past about 4,096 entries until a group passes 10^11 distinct rows.
     """
-    rows = df.groupBy(*by, record_sha(cols).alias("sha")).agg(F.count("*").alias("n"))
-    leafs = rows.groupBy(*by, F.substring("sha", 1, 6).alias("p")).agg(F.sum("n").alias("n"), F.sha2(F.array_join(F.array_sort(
-        F.collect_list(F.concat_ws(":", "sha", F.col("n").cast("string")))), ","), 256).alias("h"))
-    middle = leafs.groupBy(*by, F.substring("p", 1, 3).alias("p")).agg(F.sum("n").alias("n"), F.sha2(F.array_join(F.array_sort(
-        F.collect_list(F.concat_ws(":", "p", "h"))), ","), 256).alias("h"))
-    return middle.groupBy(*by).agg(F.sum("n").alias("n_rows"), F.sha2(F.array_join(F.array_sort(
-        F.collect_list(F.concat_ws(":", "p", "h"))), ","), 256).alias("fingerprint"))
+    # Digests travel as 32 bytes and are spelled out only where they are hashed again.
+    rows = df.groupBy(*by, F.unhex(record_sha(cols)).alias("sha")).agg(F.count("*").alias("n"))
+    spelled = F.lower(F.hex("sha"))
+    leafs = rows.groupBy(*by, F.substring(spelled, 1, 6).alias("p")).agg(
+        F.sum("n").alias("n"), _joined_sha(F.concat_ws(":", spelled, F.col("n").cast("string"))).alias("h"))
+    middle = leafs.groupBy(*by, F.substring("p", 1, 3).alias("p")).agg(F.sum("n").alias("n"), _joined_sha(F.concat_ws(":", "p", "h")).alias("h"))
+    return middle.groupBy(*by).agg(F.sum("n").alias("n_rows"), _joined_sha(F.concat_ws(":", "p", "h")).alias("fingerprint"))
+
+
+def _joined_sha(entry: Column) -> Column:
+    return F.sha2(F.array_join(F.array_sort(F.collect_list(entry)), ","), 256)
 
 
 def set_fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -52,26 +52,24 @@ def volume_contraction(bars: DataFrame, short: int = 5, long: int = 20, by: list
 
 
 def ema(df: DataFrame, value: str, n: int, out: str, by: list[str] = BY, row: str = "__n") -> DataFrame:
-    """Exponential mean with weight 2 / (n + 1), started at the first value; needs a 0-based row number.
+    """Exponential mean with weight 2 / (n + 1), started at the first value; needs a 0-based gapless row number.
 
-    The recursion is linear, so rows are cut into blocks of 8n: inside a block it is a
-    weighted running sum, and what a block hands on is its last value times a power of the
-    decay. Six blocks back the weight is below 1e-40, under double precision.
+    The recursion is linear, so rows are cut into blocks of 24n: inside a block it is a
+    weighted running sum, and of the block before only its last value counts, times a power
+    of the decay. What lies two blocks back has a weight below 1e-20, under double precision.
     """
     alpha = 2.0 / (n + 1)
-    decay, size = 1.0 - alpha, 8 * n
-    block, i = F.floor(F.col(row) / size), F.col(row) % size
+    decay, size = 1.0 - alpha, 24 * n
+    i = F.col(row) % size
     share = F.when(F.col(row) == 0, _d(value)).otherwise(_d(value) * alpha)
     inside = W.partitionBy(*by, "__block").orderBy(row).rowsBetween(W.unboundedPreceding, 0)
-    local = df.withColumn("__block", block).withColumn("__i", i).withColumn(
-        "__local", F.pow(F.lit(decay), F.col("__i")) * F.sum(share * F.pow(F.lit(decay), -F.col("__i"))).over(inside))
-    ends = local.groupBy(*by, "__block").agg(F.max_by("__local", row).alias("__end"))
-    across = W.partitionBy(*by).orderBy("__block")
-    carry = sum((F.coalesce(F.lag("__end", k).over(across), F.lit(0.0)) * decay ** (size * (k - 1)) for k in range(1, 7)), F.lit(0.0))
-    heads = ends.select(*by, "__block", carry.alias("__carry"))
-    return local.join(heads, [*by, "__block"]).withColumn(
-        out, F.col("__local") + F.pow(F.lit(decay), F.col("__i") + 1) * F.col("__carry")
-    ).drop("__block", "__i", "__local", "__carry")
+    local = df.withColumn("__block", F.floor(F.col(row) / size)).withColumn(
+        "__local", F.pow(F.lit(decay), i) * F.sum(share * F.pow(F.lit(decay), -i)).over(inside))
+    before = W.partitionBy(*by).orderBy(row).rowsBetween(W.unboundedPreceding, -1)
+    handed_on = F.last(F.when(i == size - 1, F.col("__local")), ignorenulls=True).over(before)
+    return local.withColumn(
+        out, F.col("__local") + F.pow(F.lit(decay), i + 1) * F.coalesce(handed_on, F.lit(0.0))
+    ).drop("__block", "__local")
 
 
 def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, by: list[str] = BY) -> DataFrame:

@@ -64,10 +64,15 @@ def label_visibility(df: DataFrame, cutoff: Column, visible: str = "source_visib
     return df.withColumn("visibility", label)
 
 
+def label_scope(df: DataFrame, symbols: list[str], symbol: str = "symbol") -> DataFrame:
+    """Flag `in_scope`; rows of other or unknown symbols stay as history but are refused as new input."""
+    return df.withColumn("in_scope", F.coalesce(F.col(symbol).isin(symbols), F.lit(False)))
+
+
 def scope_filter(df: DataFrame, symbols: list[str], symbol: str = "symbol") -> tuple[DataFrame, DataFrame]:
-    """Rows of allowed symbols, and the refused rest (unknown symbols are refused)."""
-    allowed = F.coalesce(F.col(symbol).isin(symbols), F.lit(False))
-    return df.filter(allowed), df.filter(~allowed)
+    """Rows of allowed symbols, and the refused rest."""
+    labelled = label_scope(df, symbols, symbol)
+    return labelled.filter("in_scope").drop("in_scope"), labelled.filter("NOT in_scope").drop("in_scope")
 
 
 def is_fresh(evidence: Column, observed: Column, max_age: str = "1 HOUR") -> Column:

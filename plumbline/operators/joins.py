@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.ordering import Layout, measure, micros, over_order, skew_join, upto
@@ -208,11 +209,15 @@ def scenario_grid(members: DataFrame, sides: list[str], kinds: list[str], clocks
 
 
 def missing_days(df: DataFrame, by: list[str], day: str) -> DataFrame:
-    """Calendar days between the first and last day of a group on which the group has no row."""
-    days = df.select(*by, F.to_date(day).alias("day")).distinct()
-    expected = days.groupBy(*by).agg(F.min("day").alias("lo"), F.max("day").alias("hi")).select(
-        *by, F.explode(F.sequence("lo", "hi")).alias("day"))
-    return expected.join(days, [*by, "day"], "left_anti")
+    """Calendar days between the first and last day of a group on which the group has no row.
+
+    Rows are reduced to their distinct days first; the hole after a day is read off the next
+    day, so the calendar is never joined.
+    """
+    days = df.select(*by, F.to_date(day).alias("__day")).distinct()
+    following = F.lead("__day").over(W.partitionBy(*by).orderBy("__day"))
+    holes = days.select(*by, "__day", following.alias("__next")).filter(F.datediff("__next", "__day") > 1)
+    return holes.select(*by, F.explode(F.sequence(F.date_add("__day", 1), F.date_sub("__next", 1))).alias("day"))
 
 
 def event_window_join(events: DataFrame, bars: DataFrame, by: list[str], event_ts: str, bar_ts: str,

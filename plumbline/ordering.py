@@ -75,7 +75,7 @@ def measure(df: DataFrame, by: list[str], order: list[Column]) -> Layout:
     n, found, top = rows.agg(F.count("*"), F.percentile_approx(keys[0], probs, 10 * grid), _top_hashes()).first()
     hot = _heavy(top, n, spark) if by else None
     if hot == [] or n <= hot_rows(spark) or not found:
-        return Layout(hot and [], [])
+        return WHOLE
     step = max(1, int(grid * hot_rows(spark) / (2 * n)))  # no finer than the row bound asks for
     found = found[::step]
     repeated = sorted({v for v, following in zip(found, found[1:]) if v == following})
@@ -90,7 +90,7 @@ def measure(df: DataFrame, by: list[str], order: list[Column]) -> Layout:
 def place(df: DataFrame, by: list[str], order: list[str], layout: Layout) -> DataFrame:
     """Add `__chunk`, which never falls along the order inside a key; -1 marks keys kept whole."""
     if not layout.splits:
-        return df.withColumn("__chunk", F.lit(0 if layout.hot is None else -1))
+        return df.withColumn("__chunk", F.lit(-1))
     cut = Bucketizer(inputCol="__key", outputCol="__bucket", handleInvalid="keep",
                      splits=[float("-inf"), *layout.splits, float("inf")])
     lowest = F.lit(float("-inf"))

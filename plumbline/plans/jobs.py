@@ -125,7 +125,7 @@ def scan_rows(rows: DataFrame, group: list[str], day: str, row_no: str, key: str
     """Row audit in one ordered pass per member, then boundaries, segments and missing days on the members.
 
     Order checks stay inside a member (and inside chunks of a large one); only one row per
-    member goes on.
+    member goes on, and it is stored, so the rows are read once for all three results.
     """
     member = [*group, day]
     seen = over_order(
@@ -144,7 +144,7 @@ def scan_rows(rows: DataFrame, group: list[str], day: str, row_no: str, key: str
     bounded = windows.boundary_conflicts(per_member, group, day, "first_key", "last_key").drop("highest_before")
     bad = sum((F.col(n) for n in checks), F.lit(0))
     status = F.when((bad > 0) | (F.col("boundary_status") == "conflict"), "rejected").otherwise("proven")
-    members = bounded.withColumn("status", status)
+    members = materialise(bounded.withColumn("status", status), "scan-members")
     good = members.filter("status = 'proven'").select(*group, day)
     return Scan(members, windows.segments(good, group, day), joins.missing_days(good, group, day))
 
@@ -156,22 +156,23 @@ def freeze_decide_replay(first: DataFrame, second: DataFrame, cutoff: Column, gr
 
     One row per group: formal, rejected and total counts, both fingerprints and the replay verdict.
     """
-    def decide(members: DataFrame, tag: str) -> tuple[DataFrame, DataFrame]:
+    def decide(members: DataFrame, tag: str) -> DataFrame:
         labelled = filters.label_visibility(members, cutoff)
-        counts = labelled.groupBy(*group).agg(
-            F.count("*").alias("total"), F.count_if(F.col("visibility") == "visible").alias("formal"),
-            F.count_if(F.col("visibility") == "time_boundary_rejected").alias("rejected"),
-            F.count_if(F.col("visibility") == "undetermined").alias("undetermined"))
-        prints = aggregates.fingerprint_levels(labelled.filter("visibility = 'visible'"), [*group, *key], group).select(
-            *group, F.col("fingerprint").alias(tag))
-        return counts, prints
-
-    counts, one = decide(first, "decision_sha")
-    _, two = decide(second, "replay_sha")
-    intent = scalars.input_version([cutoff, F.lit(rule_version)])
+        prints = aggregates.fingerprint_levels(labelled, [*group, *key], [*group, "visibility"])  # counts come with it
+        state = F.col("visibility")
+
+        def count(name: str) -> Column:
+            return F.coalesce(F.sum(F.when(state == name, F.col("n_rows"))), F.lit(0))
+
+        return prints.groupBy(*group).agg(
+            F.sum("n_rows").alias("total"), count("visible").alias("formal"), count("time_boundary_rejected").alias("rejected"),
+            count("undetermined").alias("undetermined"), F.max(F.when(state == "visible", F.col("fingerprint"))).alias(tag))
+
+    replay = decide(second, "replay_sha").select(*group, "replay_sha")
     status = F.when(F.col("decision_sha").eqNullSafe(F.col("replay_sha")), "equal").otherwise("different")
-    return counts.join(one, group, "left").join(two, group, "left").withColumn("replay_status", status).withColumn(
-        "intent_sha", intent).withColumn("difference", F.col("total") - F.col("formal") - F.col("rejected") - F.col("undetermined"))
+    return decide(first, "decision_sha").join(replay, group, "left").withColumn("replay_status", status).withColumn(
+        "intent_sha", scalars.input_version([cutoff, F.lit(rule_version)])).withColumn(
+        "difference", F.col("total") - F.col("formal") - F.col("rejected") - F.col("undetermined"))
 
 
 # ---- K05 ----
@@ -217,18 +218,19 @@ def lifecycle_evidence(snapshots: DataFrame, n: int, cutoff: Column) -> DataFram
     """Terminal states per symbol, kind and clock, with the number of illegal or backward steps."""
     events = lifecycle_events(snapshots, n, cutoff)
     audited = windows.transition_audit(events, "order_id", "seq", "state", LIFECYCLE_EDGES, ["created"], WHOLE)
-    ends = audited.filter("seq = 4")
-    wrong = audited.groupBy("symbol", "kind", "clock").agg(F.count_if(~F.col("step_status").isin("start", "ok")).alias("illegal_steps"))
-    tally = aggregates.terminal_counts(ends, ["symbol", "kind", "clock"], "state", ["filled", "canceled", "unknown"])
-    return tally.join(wrong, ["symbol", "kind", "clock"])
+    ended = F.col("seq") == 4
+    return audited.groupBy("symbol", "kind", "clock").agg(
+        *[F.count_if(ended & (F.col("state") == end)).alias(f"n_{end}") for end in ("filled", "canceled", "unknown")],
+        F.count_if(ended).alias("n_all"), F.count_if(~F.col("step_status").isin("start", "ok")).alias("illegal_steps"))
 
 
 # ---- K07 ----
 def missing_data_audit(df: DataFrame, by: list[str], ts: str, status: str, states: list[str]) -> DataFrame:
     """Coverage per group with missing days, segments, counts and conservation."""
-    coverage = aggregates.coverage_record(df, by, ts)
-    kept = aggregates.conservation(df, by, status, states)
-    return coverage.join(kept, by).withColumn("audit_status", F.when(
+    coverage = aggregates.coverage_record(df, by, ts, totals={"in_states": F.col(status).isin(states).cast("bigint")})
+    kept = coverage.withColumn("in_states", F.coalesce("in_states", F.lit(0))).withColumn("population", F.col("n_rows")).withColumn(
+        "difference", F.col("population") - F.col("in_states"))
+    return kept.withColumn("audit_status", F.when(
         (F.col("difference") == 0) & (F.col("days_missing") == 0), "complete").otherwise("gaps"))
 
 

@@ -35,8 +35,8 @@ def time_candidates(columns: DataFrame) -> DataFrame:
     """Columns whose name or type suggests a time: candidates only, the contract stays undetermined."""
     named = F.col("column").rlike(r"(?i)(^|_)(event_time|arrival_time|collected_at|created_at|updated_at|ts|time|date|.*date)(_ms|_sec)?$")
     typed = F.col("type").rlike("^(timestamp|date)")
-    return columns.filter(named | typed).select(
-        "table", "column", F.when(typed, "typed").otherwise("named").alias("evidence"), F.lit("undetermined").alias("time_contract"))
+    return columns.filter(named | typed).withColumn(
+        "evidence", F.when(typed, "typed").otherwise("named")).withColumn("time_contract", F.lit("undetermined"))
 
 
 def scan_bounded(df: DataFrame, key: tuple[str, str], ts: str, lo: str, hi: str, cols: list[str]) -> DataFrame:

@@ -136,9 +136,7 @@ def b05(spark, sf):
 @query("b06_scope_filter", """
 SELECT symbol, symbol IN ('purchase', 'view') AS in_scope, count(*) AS n FROM ticks GROUP BY ALL""", ("ticks",))
 def b06(spark, sf):
-    inside, outside = B.scope_filter(ticks(spark, sf), ["purchase", "view"])
-    return inside.withColumn("in_scope", F.lit(True)).unionByName(outside.withColumn("in_scope", F.lit(False))).groupBy(
-        "symbol", "in_scope").agg(F.count("*").alias("n"))
+    return B.label_scope(ticks(spark, sf), ["purchase", "view"]).groupBy("symbol", "in_scope").agg(F.count("*").alias("n"))
 
 
 @query("b07_is_fresh", """

@@ -412,7 +412,7 @@ SELECT 'orders' AS "table", 'o_orderdate' AS "column", 'typed' AS evidence, 'und
 UNION ALL SELECT 'events', 'ts', 'typed', 'undetermined', count(*) FROM events UNION ALL SELECT 'lineitem', 'l_shipdate', 'typed', 'undetermined', count(*) FROM lineitem""")
 def h12(spark, sf):
     columns = catalog.catalog_metadata(spark, {t: load(spark, sf, t) for t in ("orders", "events", "lineitem", "labels")})
-    return catalog.time_candidates(columns).join(columns.select("table", "column", "n_rows"), ["table", "column"])
+    return catalog.time_candidates(columns).select("table", "column", "evidence", "time_contract", "n_rows")
 
 
 @query("h13_unique_json_long", """

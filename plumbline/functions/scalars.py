@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,11 +44,19 @@ def _may_match(text: Column, rule: str) -> Column | None:
 
 
 def redact(c: str | Column, mark: str = "[redacted]") -> Column:
-    """Replace every sensitive pattern by a mark."""
+    """Replace every sensitive pattern by a mark.
+
+    Rules with a fixed literal share one branch, tested on the original text (a mark never
+    brings a literal about), so ordinary texts run only the patterns without one.
+    """
     text = _col(c)
-    for rule, pattern in SENSITIVE_PATTERNS.items():
-        possible, replaced = _may_match(text, rule), F.regexp_replace(text, pattern, mark)
-        text = replaced if possible is None else F.when(possible, replaced).otherwise(text)
+    for has_literal, group in groupby(SENSITIVE_PATTERNS, key=lambda rule: rule in SENSITIVE_LITERALS):
+        rules = list(group)
+        replaced = reduce(lambda t, rule: F.regexp_replace(t, SENSITIVE_PATTERNS[rule], mark), rules, text)
+        if has_literal:
+            possible = reduce(lambda x, y: x | y, [_may_match(_col(c), rule) for rule in rules])
+            replaced = F.when(possible, replaced).otherwise(text)
+        text = replaced
     return text
 
 

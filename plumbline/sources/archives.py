@@ -7,10 +7,11 @@ and freely partitioned.
 
 from __future__ import annotations
 
+import hashlib
 import io
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyarrow import ArrowInvalid, fs
@@ -64,6 +65,30 @@ def member_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield from _archive(path)
 
 
+WRITTEN_SCHEMA = "name string, n_lines long"
+
+
+def line_archives(root: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Writer for `mapInPandas`: each Arrow batch of column `line` becomes one archive, so its size is bounded.
+
+    Names come from the content: a task that runs again writes the same archive over itself.
+    """
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            text = "\n".join(batch["line"]) + "\n"
+            stem = hashlib.sha256(text.encode()).hexdigest()[:32]
+            system, place = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+            system.create_dir(place, recursive=True)
+            packed = io.BytesIO()
+            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr(f"{stem}.csv", text)
+            with system.open_output_stream(f"{place}/{stem}.zip") as out:
+                out.write(packed.getvalue())
+            yield pd.DataFrame({"name": [f"{stem}.zip"], "n_lines": [len(batch)]})
+
+    return write
+
+
 def read_archive_members(spark: SparkSession, root: str, tasks: int | None = None) -> DataFrame:
     """(path, member, row_no, line, reason) of every archive below `root`; listing reads no content."""
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 from plumbline.operators.filters import project_allowed
 
 
-def catalog_metadata(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
-    """Column name, type, position and nullability of each table beside its row count.
+def catalog_metadata(spark: SparkSession, frames: dict[str, DataFrame], keys: dict[str, list[str]] | None = None) -> DataFrame:
+    """Column name, type, position, nullability and declared key position of each table beside its row count.
 
-    The facts come from the schemas; the only scan is `count(*)`, which Parquet answers
-    from its footers without reading a column.
+    The facts come from the schemas and from declared keys, never from names or values; the
+    only scan is `count(*)`, which Parquet answers from its footers without reading a column.
     """
     out = None
     for table, df in frames.items():
+        declared = (keys or {}).get(table, [])
         cells = F.array(*[
             F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
-                     F.lit(i).alias("position"), F.lit(f.nullable).alias("nullable"))
+                     F.lit(i).alias("position"), F.lit(f.nullable).alias("nullable"),
+                     F.lit(declared.index(f.name) if f.name in declared else None).cast("int").alias("key_position"))
             for i, f in enumerate(df.schema)
         ])
         rows = df.agg(F.count("*").alias("n_rows")).select(F.lit(table).alias("table"), "n_rows", F.inline(cells))

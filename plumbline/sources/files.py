@@ -24,15 +24,18 @@ def file_inventory(spark: SparkSession, roots: list[str], formats: dict[str, str
 
 
 def read_delimited_strict(spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str = ",") -> DataFrame:
-    """Columns of `schema`, the raw line, and `line_class`: ok / malformed.
+    """Columns of `schema`, the file, the raw line where it is malformed, and `line_class`: ok / malformed / blank.
 
-    Lines with a wrong width or a value that does not parse keep their raw text.
+    The text is parsed as one value with the whole schema: the CSV file reader would skip blank
+    lines, and would not notice a malformed value in a column that a later `select` prunes.
     """
-    full = T.StructType([*schema.fields, T.StructField("raw_line", T.StringType(), True)])
-    reader = spark.read.schema(full).options(
-        mode="PERMISSIVE", columnNameOfCorruptRecord="raw_line", sep=sep, header="false", enforceSchema="true")
-    return reader.csv(path).withColumn(
-        "line_class", F.when(F.col("raw_line").isNull(), "ok").otherwise("malformed"))
+    full = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), "raw_line string"])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "raw_line", "sep": sep}
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value"))
+    blank = F.trim("value") == ""
+    parsed = lines.select("file", blank.alias("blank"), F.from_csv("value", full, options).alias("cells"))
+    status = F.when(F.col("blank"), "blank").when(F.col("cells.raw_line").isNull(), "ok").otherwise("malformed")
+    return parsed.select("file", *[F.col(f"cells.{f.name}") for f in schema], "cells.raw_line", status.alias("line_class"))
 
 
 def delimited_counts(spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str = ",") -> DataFrame:
@@ -67,3 +70,17 @@ def read_jsonl_strict(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Each line with its file and class; field union and counts are aggregates over it."""
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
     return lines.withColumn("line_class", json_class(F.col("line")))
+
+
+def jsonl_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines per class and duplicate objects per file; duplicates compare the canonical JSON (sorted keys, no blanks)."""
+    lines = read_jsonl_strict(spark, path)
+    canonical = F.when(F.col("line_class") == "object", F.to_json(F.try_parse_json("line")))
+    per_record = lines.groupBy("file", "line_class", F.sha2(canonical, 256).alias("__f")).agg(F.count("*").alias("__n"))
+
+    def count(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("line_class") == name, F.col("__n"))), F.lit(0))
+
+    return per_record.groupBy("file").agg(
+        F.sum("__n").alias("n_lines"), *[count(c).alias(f"n_{c}") for c in ("object", "blank", "illegal", "non_object")],
+        F.coalesce(F.sum(F.when(F.col("line_class") == "object", F.col("__n") - 1)), F.lit(0)).alias("n_duplicate"))

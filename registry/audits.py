@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions import scalars as S
 from plumbline.operators import aggregates as D
@@ -10,7 +11,8 @@ from plumbline.operators import filters as B
 from plumbline.operators import joins as C
 from plumbline.operators import windows as E
 from plumbline.rules import Rule, RuleSet
-from plumbline.sources import catalog, files, sinks
+from plumbline.session import fresh_folder, materialise
+from plumbline.sources import archives, catalog, files, sinks
 from registry.base import bars, load, members, oi, order_days, query, ticks, visibility
 
 CUTOFF = "1998-06-15 00:00:00"
@@ -27,11 +29,89 @@ def a01(spark, sf):
         F.count("*").alias("n_files"), F.sum("bytes").alias("bytes"))
 
 
+def order_lines(spark, sf):
+    """The orders as delimited text with blank, short and unparsable lines, written by Spark."""
+    k = F.col("o_orderkey")
+    good = F.concat_ws(",", k.cast("string"), F.col("o_custkey").cast("string"), "o_orderstatus")
+    line = F.when(k % 50 == 0, "").when(k % 51 == 0, k.cast("string")).when(k % 52 == 0, F.concat(F.lit("x"), good)).otherwise(good)
+    path = fresh_folder(spark, "order-lines")
+    load(spark, sf, "orders").select(line.alias("value")).write.text(path)
+    return path
+
+
+LINE_CASE = "CASE WHEN o_orderkey % 50 = 0 THEN 'blank' WHEN o_orderkey % 51 = 0 THEN 'short' WHEN o_orderkey % 52 = 0 THEN 'text' ELSE 'good' END"
+
+
+@query("a02_delimited_strict", f"""
+SELECT line_class, count(*) AS n, count(o_custkey) AS n_cust, CAST(sum(o_custkey) AS BIGINT) AS sum_cust FROM
+ (SELECT CASE {LINE_CASE} WHEN 'good' THEN 'ok' WHEN 'blank' THEN 'blank' ELSE 'malformed' END AS line_class, CASE WHEN {LINE_CASE} IN ('good', 'text') THEN o_custkey END AS o_custkey
+  FROM orders) GROUP BY 1""")
+def a02(spark, sf):
+    fields = T.StructType([T.StructField("k", T.LongType()), T.StructField("c", T.LongType()), T.StructField("s", T.StringType())])
+    rows = files.read_delimited_strict(spark, order_lines(spark, sf), fields)
+    return rows.groupBy("line_class").agg(F.count("*").alias("n"), F.count("c").alias("n_cust"), F.sum("c").alias("sum_cust"))
+
+
+@query("a02_delimited_counts", f"""
+SELECT count(*) AS n_lines, count(*) FILTER ({LINE_CASE} = 'blank') AS n_blank_lines, count(*) FILTER ({LINE_CASE} = 'short') AS n_wrong_width, 0::BIGINT AS n_blank_fields FROM orders""")
+def a02c(spark, sf):
+    fields = T.StructType([T.StructField(c, T.StringType()) for c in "kcs"])
+    counts = files.delimited_counts(spark, order_lines(spark, sf), fields)  # one row per file
+    return counts.agg(*[F.sum(c).alias(c) for c in ("n_lines", "n_blank_lines", "n_wrong_width", "n_blank_fields")])
+
+
+def event_text():
+    m, k = F.col("user_id") % 5, F.col("event_id").cast("string")
+    return F.when(m == 0, " ").when(m == 1, F.concat(F.lit("["), k, F.lit("]"))).when(m == 2, F.concat(F.lit('{"k": '), k)).otherwise(F.col("props"))
+
+
 @query("a03_json_classes", """
-SELECT CASE WHEN trim(props) = '' THEN 'blank' WHEN props LIKE '{%}' THEN 'object' ELSE 'illegal' END AS json_class,
-       count(*) AS n FROM events GROUP BY 1""")
+SELECT CASE user_id % 5 WHEN 0 THEN 'blank' WHEN 1 THEN 'non_object' WHEN 2 THEN 'illegal' ELSE 'object' END AS json_class, count(*) AS n FROM events GROUP BY 1""")
 def a03(spark, sf):
-    return load(spark, sf, "events").groupBy(files.json_class(F.col("props")).alias("json_class")).agg(F.count("*").alias("n"))
+    return load(spark, sf, "events").groupBy(files.json_class(event_text()).alias("json_class")).agg(F.count("*").alias("n"))
+
+
+@query("a03_jsonl_counts", """
+SELECT count(*) AS n_lines, count(*) FILTER (user_id % 5 > 2) AS n_object, count(*) FILTER (user_id % 5 = 0) AS n_blank, count(*) FILTER (user_id % 5 = 2) AS n_illegal, count(*) FILTER (user_id % 5 = 1) AS n_non_object,
+ (SELECT CAST(sum(n - 1) AS BIGINT) FROM (SELECT props, count(*) AS n FROM events WHERE user_id % 5 > 2 GROUP BY 1)) AS n_duplicate FROM events""")
+def a03c(spark, sf):
+    path = fresh_folder(spark, "event-lines")
+    # One file: duplicates are counted per file. The copy is a fixture for the reader, not part of it.
+    load(spark, sf, "events").select(event_text().alias("value")).coalesce(1).write.text(path)
+    return files.jsonl_counts(spark, path).drop("file")
+
+
+def tick_archives(spark, sf):
+    """The ticks as ZIP archives of bounded size, written by the tasks that hold the rows."""
+    root = fresh_folder(spark, "tick-archives")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    line = F.concat_ws(",", F.col("event_id").cast("string"), F.col("value").cast("decimal(18,2)").cast("string"), (k + 1).cast("string"), F.lit("1"),
+                       F.floor(us / 1000).cast("string"), F.when(k % 2 == 0, "true").otherwise("false"))
+    lines = load(spark, sf, "events").select(line.alias("line"))
+    written = lines.mapInPandas(archives.line_archives(root), archives.WRITTEN_SCHEMA)
+    return root, materialise(written, "archive-list")
+
+
+@query("a04_archive_members", """
+SELECT symbol_free AS is_buyer_maker, count(*) AS n, CAST(sum(qty) AS BIGINT) AS qty, CAST(sum(price) AS DOUBLE) AS price, min(make_timestamp((epoch_us(ts) // 1000) * 1000)) AS first_ts, 0::BIGINT AS n_bad
+FROM (SELECT *, buyer_maker AS symbol_free FROM ticks) GROUP BY 1""", ("ticks",))
+def a04(spark, sf):
+    root, _ = tick_archives(spark, sf)
+    rows = archives.parse_trades(archives.read_archive_members(spark, root))
+    return rows.groupBy("is_buyer_maker").agg(
+        F.count("*").alias("n"), F.sum("qty").cast("bigint").alias("qty"), F.sum(F.col("price").cast("decimal(18,6)")).cast("double").alias("price"),
+        F.min("ts").cast("timestamp_ntz").alias("first_ts"), F.count_if(F.size("reasons") > 0).alias("n_bad"))
+
+
+@query("j02_member_rows", "SELECT count(*) AS n_rows, 0::BIGINT AS n_uneven FROM events")
+def j02(spark, sf):
+    root, written = tick_archives(spark, sf)
+    seen = archives.read_archive_members(spark, root).groupBy(F.element_at(F.split("path", "/"), -1).alias("name")).agg(
+        F.count("row_no").alias("n"), F.max("row_no").alias("last"))
+    both = written.join(seen, "name", "full_outer")
+    ok = (F.col("n") == F.col("n_lines")) & (F.col("last") == F.col("n_lines") - 1)
+    return both.agg(F.sum("n").alias("n_rows"), F.count_if(~F.coalesce(ok, F.lit(False))).alias("n_uneven"))
 
 
 @query("a05_catalog_metadata", """
@@ -57,6 +137,13 @@ def a06(spark, sf):
                                 "2024-01-05 00:00:00", "2024-01-06 00:00:00", ["event_id", "ts", "user_id"])
 
 
+@query("a07_publish_batch", "SELECT event_type, count(*) AS n, max(event_id) AS last_id FROM events GROUP BY 1")
+def a07(spark, sf):
+    root = fresh_folder(spark, "batches")
+    sinks.publish_batch(load(spark, sf, "events").select("event_id", "event_type"), root, "b1", {"rule_version": "1"})
+    return sinks.read_batch(spark, root, "b1").groupBy("event_type").agg(F.count("*").alias("n"), F.max("event_id").alias("last_id"))
+
+
 @query("a08_safe_text", """
 SELECT doc_id, sha256(CASE WHEN regexp_matches(text, '^[=+\\-@\\t\\r]') THEN '''' || text ELSE text END) AS safe_sha FROM documents""")
 def a08(spark, sf):

@@ -33,7 +33,9 @@ def test_delimited_lines_are_all_counted(spark, tmp_path):
     got = files.delimited_counts(spark, str(tmp_path / "t.csv"), PAIR).first()
     assert (got.n_lines, got.n_blank_lines, got.n_wrong_width, got.n_blank_fields) == (7, 1, 1, 1)
     rows = files.read_delimited_strict(spark, str(tmp_path / "t.csv"), PAIR).collect()
-    assert sorted(r.line_class for r in rows) == ["malformed"] * 2 + ["ok"] * 4
+    assert sorted(r.line_class for r in rows) == ["blank"] + ["malformed"] * 2 + ["ok"] * 4
+    pruned = files.read_delimited_strict(spark, str(tmp_path / "t.csv"), PAIR).groupBy("line_class").agg(F.count("c").alias("n"))
+    assert {r.line_class: r.n for r in pruned.collect()} == {"blank": 0, "malformed": 1, "ok": 4}
     assert {r.raw_line for r in rows if r.line_class == "malformed"} == {"3,only", "bad,x,y"}
     text = spark.read.text(str(tmp_path / "t.csv"))
     assert D.record_duplicates(text.filter("value <> ''")).first().copies == 2
@@ -44,6 +46,8 @@ def test_json_lines_are_all_classed(spark, tmp_path):
     rows = files.read_jsonl_strict(spark, str(tmp_path / "t.jsonl"))
     assert {r.line_class: r["count"] for r in rows.groupBy("line_class").count().collect()} == {
         "object": 3, "blank": 1, "illegal": 1, "non_object": 3}
+    counts = files.jsonl_counts(spark, str(tmp_path / "t.jsonl")).first()
+    assert counts[1:] == (8, 3, 1, 1, 3, 1)
     fields = G.field_union(rows.filter("line_class = 'object'"), "line")
     assert {r.field: r.n_records for r in fields.collect()} == {"a": 2, "b": 2, "c": 1}
 
@@ -149,7 +153,8 @@ def test_safe_csv_escapes_sorts_and_refuses_secrets(spark, tmp_path):
 
 def test_catalog_and_time_candidates(spark):
     df = spark.createDataFrame([], "event_time string, arrival_time string, collected_at timestamp, note string")
-    columns = catalog.catalog_metadata(spark, {"t": df})
+    columns = catalog.catalog_metadata(spark, {"t": df}, keys={"t": ["note"]})
+    assert [r.column for r in columns.filter("key_position = 0").collect()] == ["note"]
     assert [r.position for r in columns.orderBy("position").collect()] == [0, 1, 2, 3]
     found = {r.column: r.time_contract for r in catalog.time_candidates(columns).collect()}
     assert found == dict.fromkeys(["event_time", "arrival_time", "collected_at"], "undetermined")

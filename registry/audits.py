@@ -94,7 +94,7 @@ def tick_archives(spark, sf):
 
 
 @query("a04_archive_members", """
-SELECT symbol_free AS is_buyer_maker, count(*) AS n, CAST(sum(qty) AS BIGINT) AS qty, CAST(sum(price) AS DOUBLE) AS price, min(make_timestamp((epoch_us(ts) // 1000) * 1000)) AS first_ts, 0::BIGINT AS n_bad
+SELECT symbol_free AS is_buyer_maker, count(*) AS n, CAST(sum(qty) AS BIGINT) AS qty, CAST(sum(price) AS DOUBLE) AS price, min(make_timestamp((epoch_us(ts) // 1000) * 1000)) AS first_ts, count(*) FILTER (price <= 0) AS n_bad
 FROM (SELECT *, buyer_maker AS symbol_free FROM ticks) GROUP BY 1""", ("ticks",))
 def a04(spark, sf):
     root, _ = tick_archives(spark, sf)

@@ -160,19 +160,20 @@ def remaining_gap(gates: DataFrame, leaf: list[str], reason: str = "reason", rel
     return unmet.orderBy(F.desc("n_gates"), reason, release).limit(1)
 
 
-def fingerprint_levels(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
-    """Order-free fingerprint of each group's rows as a hash tree.
+def fingerprint_levels(df: DataFrame, cols: list[str], by: list[str], only: Column | None = None) -> DataFrame:
+    """Order-free fingerprint of each group's rows as a hash tree; rows outside `only` are counted but not hashed.
 
     Equal rows are counted first, so copies cannot pile up in one list; distinct row
-    hashes are spread over 16^6 buckets, these over 16^3, and those are hashed once more.
-    No list grows past about 4,096 entries until a group passes 10^11 distinct rows.
+    hashes are spread over 16^5 buckets, these over 16^2, and those are hashed once more.
+    The longest list holds distinct rows / 10^6 entries (about a million at 10^12 rows).
     """
     # Digests travel as 32 bytes and are spelled out only where they are hashed again.
-    rows = df.groupBy(*by, F.unhex(record_sha(cols)).alias("sha")).agg(F.count("*").alias("n"))
+    digest = record_sha(cols) if only is None else F.when(only, record_sha(cols))
+    rows = df.groupBy(*by, F.unhex(digest).alias("sha")).agg(F.count("*").alias("n"))
     spelled = F.lower(F.hex("sha"))
-    leafs = rows.groupBy(*by, F.substring(spelled, 1, 6).alias("p")).agg(
+    leafs = rows.groupBy(*by, F.substring(spelled, 1, 5).alias("p")).agg(
         F.sum("n").alias("n"), _joined_sha(F.concat_ws(":", spelled, F.col("n").cast("string"))).alias("h"))
-    middle = leafs.groupBy(*by, F.substring("p", 1, 3).alias("p")).agg(F.sum("n").alias("n"), _joined_sha(F.concat_ws(":", "p", "h")).alias("h"))
+    middle = leafs.groupBy(*by, F.substring("p", 1, 2).alias("p")).agg(F.sum("n").alias("n"), _joined_sha(F.concat_ws(":", "p", "h")).alias("h"))
     return middle.groupBy(*by).agg(F.sum("n").alias("n_rows"), _joined_sha(F.concat_ws(":", "p", "h")).alias("fingerprint"))
 
 
@@ -226,11 +227,14 @@ def assert_unique(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("n")).filter("n <> 1")
 
 
-def bar_columns(price: str = "price", qty: str = "qty", maker: str = "buyer_maker", ts: str = "ts", row_id: str = "trade_id") -> list[Column]:
-    """Aggregates of a bar. A buyer that is the maker means the taker sold. Ids break ties of time."""
-    at = F.struct(ts, row_id)
+def bar_columns(price: str = "price", qty: str = "qty", maker: str = "buyer_maker", row_id: str = "trade_id") -> list[Column]:
+    """Aggregates of a bar. A buyer that is the maker means the taker sold.
+
+    First and last trade go by the business key, which rises with time in proven rows; one
+    integer as order keeps the aggregation in hash tables (a struct would force a sort).
+    """
     return [
-        F.min_by(price, at).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), F.max_by(price, at).alias("close"),
+        F.min_by(price, row_id).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), F.max_by(price, row_id).alias("close"),
         F.sum(qty).alias("volume"), F.sum(F.when(~F.col(maker), F.col(qty)).otherwise(0)).alias("taker_buy"),
         F.sum(F.when(F.col(maker), F.col(qty)).otherwise(0)).alias("taker_sell"), F.count("*").alias("n_trades"),
     ]
@@ -239,7 +243,7 @@ def bar_columns(price: str = "price", qty: str = "qty", maker: str = "buyer_make
 def ohlcv(ticks: DataFrame, width: str, by: list[str] | None = None, ts: str = "ts", **names: str) -> DataFrame:
     """Open, high, low, close, volume and taker sides per key and bar of `width` (for example `1 hour`)."""
     by = by or ["symbol"]
-    bars = ticks.groupBy(*by, F.window(ts, width).alias("__w")).agg(*bar_columns(ts=ts, **names))
+    bars = ticks.groupBy(*by, F.window(ts, width).alias("__w")).agg(*bar_columns(**names))
     return bars.select(*by, F.col("__w")["start"].alias("bar_ts"), *[c for c in bars.columns if c not in (*by, "__w")])
 
 

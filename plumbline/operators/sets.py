@@ -1,6 +1,6 @@
 """Set proofs: partitions of a population, replay equality, restore and append-only checks.
 
-Multiset comparison adds +1 and -1 per row fingerprint in one aggregation, so both
+Multiset comparison adds +1 and -1 per distinct row in one aggregation, so both
 directions cost one shuffle and copies combine before it.
 """
 
@@ -14,11 +14,15 @@ from plumbline.operators.aggregates import fingerprint_levels
 from plumbline.operators.joins import _per_key, _present
 
 
-def multiset_balance(a: DataFrame, b: DataFrame, cols: list[str]) -> DataFrame:
-    """Per distinct row: copies in `a` minus copies in `b`, zero rows left out."""
-    signed = a.select(record_sha(cols).alias("record_sha"), F.lit(1).alias("s")).unionByName(
-        b.select(record_sha(cols).alias("record_sha"), F.lit(-1).alias("s")))
-    return signed.groupBy("record_sha").agg(F.sum("s").alias("balance")).filter("balance <> 0")
+def multiset_balance(a: DataFrame, b: DataFrame, cols: list[str], digest: bool = False) -> DataFrame:
+    """Per distinct row: copies in `a` minus copies in `b`, zero rows left out.
+
+    Rows are grouped by their values; `digest=True` groups wide rows by fingerprint instead,
+    so that 32 bytes per distinct row are shuffled.
+    """
+    keys = [F.unhex(record_sha(cols)).alias("record_sha")] if digest else [F.col(c) for c in cols]
+    signed = a.select(*keys, F.lit(1).alias("__s")).unionByName(b.select(*keys, F.lit(-1).alias("__s")))
+    return signed.groupBy(*signed.columns[:-1]).agg(F.sum("__s").alias("balance")).filter("balance <> 0")
 
 
 def population(candidates: DataFrame, parts: dict[str, DataFrame], key: list[str]) -> DataFrame:

@@ -137,7 +137,11 @@ def over_order(
         "*", *[c.cast("bigint").alias(k) for c, k in zip(order, keys)],
         *[value.alias(name) for name, (value, _) in state.items()],
     )
-    rows = place(rows, by, keys, layout or measure(df, by, order))
+    layout = layout or measure(df, by, order)
+    if not layout.splits:  # plain window; a table bucketed by `by` and sorted in order needs no exchange and no sort
+        plain = W.partitionBy(*by).orderBy(*keys)
+        return rows.select(*df.columns, *[make(plain).alias(name) for name, make in outputs.items()])
+    rows = place(rows, by, keys, layout)
     summary = rows.filter("__chunk >= 0").groupBy(*by, "__chunk").agg(
         *[_SUMMARY[kind](name, keys).alias(name) for name, (_, kind) in state.items()]
     )

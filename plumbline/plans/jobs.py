@@ -121,21 +121,28 @@ class Scan:
     missing: DataFrame
 
 
-def scan_rows(rows: DataFrame, group: list[str], day: str, row_no: str, key: str, ts: str, rules: RuleSet) -> Scan:
+def scan_rows(rows: DataFrame, group: list[str], day: str, row_no: str, key: str, ts: str, rules: RuleSet,
+              before: str | None = None) -> Scan:
     """Row audit in one ordered pass per member, then boundaries, segments and missing days on the members.
 
+    `before` names a struct(k, t) of the row before, where the reader knew the physical order
+    (archives): then the rows are neither shuffled nor sorted, only counted per member.
+
     Order checks stay inside a member (and inside chunks of a large one); only one row per
     member goes on, and it is stored, so the rows are read once for all three results.
     """
     member = [*group, day]
-    seen = over_order(
-        rows, member, [F.col(row_no)], {"__row_state": (F.struct(F.col(key).alias("k"), F.col(ts).alias("t")), "last")},
-        {"__before": lambda w: F.lag("__row_state").over(w)},
-    )
-    before = F.col("__before")
+    if before:
+        seen = rows.withColumn("__before", F.col(before))
+    else:
+        seen = over_order(
+            rows, member, [F.col(row_no)], {"__row_state": (F.struct(F.col(key).alias("k"), F.col(ts).alias("t")), "last")},
+            {"__before": lambda w: F.lag("__row_state").over(w)},
+        )
+    last = F.col("__before")
     checks = {
-        "key_repeat": F.col(key) == before["k"], "key_regression": F.col(key) < before["k"],
-        "time_regression": F.col(ts) < before["t"], "date_mismatch": ~scalars.date_matches(ts, day),
+        "key_repeat": F.col(key) == last["k"], "key_regression": F.col(key) < last["k"],
+        "time_regression": F.col(ts) < last["t"], "date_mismatch": ~scalars.date_matches(ts, day),
         "rule_violation": F.size(rules.reasons()) > 0,
     }
     per_member = seen.groupBy(*member).agg(
@@ -158,7 +165,8 @@ def freeze_decide_replay(first: DataFrame, second: DataFrame, cutoff: Column, gr
     """
     def decide(members: DataFrame, tag: str) -> DataFrame:
         labelled = filters.label_visibility(members, cutoff)
-        prints = aggregates.fingerprint_levels(labelled, [*group, *key], [*group, "visibility"])  # counts come with it
+        prints = aggregates.fingerprint_levels(  # the counts of all states come with it
+            labelled, [*group, *key], [*group, "visibility"], only=F.col("visibility") == "visible")
         state = F.col("visibility")
 
         def count(name: str) -> Column:

@@ -52,3 +52,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = fresh_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a freshly read table over all cores when it comes as fewer splits than there are cores.
+
+    For expensive row work (patterns, digests of long texts) on few or large files. Inputs of
+    cluster size have more splits than cores and pass through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -15,25 +15,25 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyarrow import ArrowInvalid, fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import from_epoch, strict_bool, strict_decimal
 
 BATCH_LINES = 50_000
-LINE_SCHEMA = "path string, member string, row_no long, line string, reason string"
+LINE_SCHEMA = "path string, member string, row_no long, line string, reason string, line_before string"
 
 
 def _note(path: str, member: str | None, reason: str) -> pd.DataFrame:
-    return pd.DataFrame({"path": [path], "member": [member], "row_no": pd.array([None], dtype="Int64"), "line": [None], "reason": [reason]})
+    return pd.DataFrame({"path": [path], "member": [member], "row_no": pd.array([None], dtype="Int64"), "line": [None], "reason": [reason], "line_before": [None]})
 
 
 def _lines(path: str, member: str, stream: io.TextIOBase) -> Iterator[pd.DataFrame]:
-    start = 0
+    start, last = 0, None
     while batch := [text.rstrip("\r\n") for _, text in zip(range(BATCH_LINES), stream)]:
         numbers = pd.array(range(start, start + len(batch)), dtype="Int64")
-        yield pd.DataFrame({"path": path, "member": member, "row_no": numbers, "line": batch, "reason": None})
-        start += len(batch)
+        yield pd.DataFrame({"path": path, "member": member, "row_no": numbers, "line": batch, "reason": None, "line_before": [last, *batch[:-1]]})
+        start, last = start + len(batch), batch[-1]
     if start == 0:
         yield _note(path, member, "empty_member")
 
@@ -90,22 +90,35 @@ def line_archives(root: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.D
 
 
 def read_archive_members(spark: SparkSession, root: str, tasks: int | None = None) -> DataFrame:
-    """(path, member, row_no, line, reason) of every archive below `root`; listing reads no content."""
+    """Every line of every archive below `root` with its number and the line before it; listing reads no content.
+
+    The reader sees the physical order, so checks against the row before need no sort later.
+    """
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.zip").load(root).select("path")
     # A stated number of partitions is not coalesced, so archives stay spread over tasks.
     return paths.repartition(tasks, "path").mapInPandas(member_rows, LINE_SCHEMA)
 
 
+def _state(line: str) -> Column:
+    """Key and time of a raw line, as the order checks compare them; null where there is no line."""
+    cells = F.split(line, ",", -1)
+    key, at = (F.get(cells, F.lit(i)).try_cast("bigint") for i in (0, 4))
+    return F.when(F.col(line).isNotNull(), F.struct(key.alias("k"), from_epoch(at, "ms").alias("t")))
+
+
 def parse_trades(lines: DataFrame, width: int = 6) -> DataFrame:
-    """Typed trade columns from raw lines: id, price, qty, quote_qty, time_ms, is_buyer_maker; bad rows keep null and a reason."""
+    """Typed trade columns from raw lines: id, price, qty, quote_qty, time_ms, is_buyer_maker; bad rows keep null and a reason.
+
+    `before` is struct(k, t): key and time of the line before in the same member.
+    """
     cells = F.split("line", ",", -1)
     price, qty, quote = (strict_decimal(F.get(cells, F.lit(i))) for i in (1, 2, 3))
     trade_id, at = (F.get(cells, F.lit(i)).try_cast("bigint") for i in (0, 4))
     typed = lines.select(
         "path", "member", "row_no", "line", F.size(cells).alias("n_fields"), trade_id.alias("id"), price.alias("price"), qty.alias("qty"),
         quote.alias("quote_qty"), from_epoch(at, "ms").alias("ts"), strict_bool(F.get(cells, F.lit(5))).alias("is_buyer_maker"),
-        F.col("reason").alias("archive_reason"))
+        F.col("reason").alias("archive_reason"), _state("line_before").alias("before"))
     open_row = F.col("line").isNotNull()
     reasons = F.array_compact(F.array(
         F.col("archive_reason"),

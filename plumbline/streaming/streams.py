@@ -54,7 +54,7 @@ def stream_segments(stream: DataFrame, ts: str, gap: str, delay: str, by: list[s
 def stream_bars(stream: DataFrame, width: str, delay: str, slide: str | None = None, ts: str = "ts") -> DataFrame:
     """Bars per symbol, tumbling or sliding, from the same aggregates as the batch bars."""
     window = F.window(ts, width, slide) if slide else F.window(ts, width)
-    out = stream.withWatermark(ts, delay).groupBy("symbol", window.alias("w")).agg(*bar_columns(ts=ts))
+    out = stream.withWatermark(ts, delay).groupBy("symbol", window.alias("w")).agg(*bar_columns())
     return out.select("symbol", F.col("w")["start"].alias("bar_ts"), *[c for c in out.columns if c not in ("symbol", "w")])
 
 

@@ -608,8 +608,8 @@ def d12(spark, sf):
 
 TREE_SQL = """
 SELECT {by_out} sum(n)::BIGINT AS n_rows, sha256(string_agg(p || ':' || h, ',' ORDER BY p)) AS fingerprint FROM
- (SELECT {by} left(p, 3) AS p, sum(n) AS n, sha256(string_agg(p || ':' || h, ',' ORDER BY p)) AS h FROM
-  (SELECT {by} left(s, 6) AS p, sum(n) AS n, sha256(string_agg(s || ':' || n, ',' ORDER BY s)) AS h FROM
+ (SELECT {by} left(p, 2) AS p, sum(n) AS n, sha256(string_agg(p || ':' || h, ',' ORDER BY p)) AS h FROM
+  (SELECT {by} left(s, 5) AS p, sum(n) AS n, sha256(string_agg(s || ':' || n, ',' ORDER BY s)) AS h FROM
    (SELECT {by} s, count(*) AS n FROM ({rows}) GROUP BY ALL) GROUP BY ALL) GROUP BY ALL) {tail}"""
 EVENT_SHA = """sha256('{"event_id":' || event_id || ',"event_type":"' || event_type || '","ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","user_id":' || user_id || '}') AS s"""
 

@@ -78,6 +78,7 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = (), **leav
             raise ValueError(f"query {name} registered twice")
 
         def run(spark: SparkSession, sf: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")  # part of the data contract
             return fn(spark, sf).withColumns({c: F.col(c).cast(LEAVE_AS[t]) for c, t in leave.items()})
 
         QUERIES[name] = run

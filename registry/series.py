@@ -12,6 +12,7 @@ from plumbline.operators import ranking as R
 from plumbline.operators import sets as G
 from plumbline.operators import windows as E
 from plumbline.rules import Rule, RuleSet
+from plumbline.session import spread
 from plumbline.sources import catalog
 from registry.audits import EVENT_SHA, TREE_SQL
 from registry.base import bars, load, members, oi, order_days, query, ticks, visibility
@@ -332,7 +333,7 @@ def _nested_redaction():
 @query("h03_redact", f"SELECT doc_id, sha256({_nested_redaction()}) AS redacted_sha, {_nested_redaction()} <> text AS changed FROM documents")
 def h03(spark, sf):
     clean = S.redact("text")
-    return load(spark, sf, "documents").select("doc_id", S.sha256(clean).alias("redacted_sha"), (clean != F.col("text")).alias("changed"))
+    return spread(load(spark, sf, "documents").select("doc_id", "text")).select("doc_id", S.sha256(clean).alias("redacted_sha"), (clean != F.col("text")).alias("changed"))
 
 
 @query("h04_sensitive_hits", " UNION ALL ".join(
@@ -340,7 +341,7 @@ def h03(spark, sf):
     for rule, p in _sensitive_sql().items()))
 def h04(spark, sf):
     cells = F.array(*[F.struct(F.lit(r).alias("rule"), c.alias("hits")) for r, c in S.sensitive_counts("text").items()])
-    return load(spark, sf, "documents").select("doc_id", F.inline(cells)).filter("hits > 0")
+    return spread(load(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.inline(cells)).filter("hits > 0")
 
 
 NUMBER_SQL = r"regexp_full_match(t, '-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?')"

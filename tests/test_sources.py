@@ -112,6 +112,20 @@ def test_scan_of_an_archive_rejects_its_member(spark, zips):
     assert (member.status, member.time_regression, member.date_mismatch) == ("rejected", 1, 1)
 
 
+def test_scan_in_reading_order_equals_the_sorted_scan(spark, tmp_path):
+    (tmp_path / "z").mkdir()
+    for m, rows in {"a": [(1, 10), (2, 5), (2, 7), (1, 7)], "b": [(5, 1), (6, 2), (7, 2)], "c": [(8, 3)]}.items():
+        text = "".join(f"{i},1,1,1,{1704067200000 + t},true\n" for i, t in rows)
+        make_zip(tmp_path / "z" / f"{m}.zip", {f"{m}.csv": text})
+    rows = archives.parse_trades(archives.read_archive_members(spark, str(tmp_path / "z"))).withColumn("day", F.to_date(F.lit("2024-01-01")))
+    rules = RuleSet.freeze([Rule("r", "size(reasons) > 0", "bad_row")])
+    by_reader = jobs.scan_rows(rows, ["member"], "day", "row_no", "id", "ts", rules, before="before").members
+    by_sort = jobs.scan_rows(rows, ["member"], "day", "row_no", "id", "ts", rules).members
+    assert sorted(map(tuple, by_reader.collect())) == sorted(map(tuple, by_sort.collect()))
+    a = by_reader.filter("member = 'a.csv'").first()
+    assert (a.key_repeat, a.key_regression, a.time_regression, a.status) == (1, 1, 1, "rejected")
+
+
 def test_provenance_reasons(spark):
     def sha(t):
         return hashlib.sha256(t.encode()).hexdigest()

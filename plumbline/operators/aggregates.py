@@ -178,7 +178,7 @@ def fingerprint_levels(df: DataFrame, cols: list[str], by: list[str], only: Colu
 
 
 def _joined_sha(entry: Column) -> Column:
-    return F.sha2(F.array_join(F.array_sort(F.collect_list(entry)), ","), 256)
+    return F.sha2(F.array_join(F.sort_array(F.collect_list(entry)), ","), 256)
 
 
 def set_fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

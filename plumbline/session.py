@@ -32,10 +32,12 @@ _LOCAL: list[str] = []
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; only where none is set (tests) one local folder per process."""
+    """The shared folder the cluster names; in local mode without one (tests) one local folder per process."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _LOCAL:
         _LOCAL.append(tempfile.mkdtemp(prefix="plumbline-"))
     return _LOCAL[0]

@@ -100,25 +100,25 @@ def read_archive_members(spark: SparkSession, root: str, tasks: int | None = Non
     return paths.repartition(tasks, "path").mapInPandas(member_rows, LINE_SCHEMA)
 
 
-def _state(line: str) -> Column:
-    """Key and time of a raw line, as the order checks compare them; null where there is no line."""
-    cells = F.split(line, ",", -1)
-    key, at = (F.get(cells, F.lit(i)).try_cast("bigint") for i in (0, 4))
-    return F.when(F.col(line).isNotNull(), F.struct(key.alias("k"), from_epoch(at, "ms").alias("t")))
-
-
 def parse_trades(lines: DataFrame, width: int = 6) -> DataFrame:
     """Typed trade columns from raw lines: id, price, qty, quote_qty, time_ms, is_buyer_maker; bad rows keep null and a reason.
 
-    `before` is struct(k, t): key and time of the line before in the same member.
+    `before` is struct(k, t): key and time of the line before in the same member. Lines are cut
+    once, in a projection of their own, and every field is parsed from the pieces.
     """
-    cells = F.split("line", ",", -1)
-    price, qty, quote = (strict_decimal(F.get(cells, F.lit(i))) for i in (1, 2, 3))
-    trade_id, at = (F.get(cells, F.lit(i)).try_cast("bigint") for i in (0, 4))
-    typed = lines.select(
-        "path", "member", "row_no", "line", F.size(cells).alias("n_fields"), trade_id.alias("id"), price.alias("price"), qty.alias("qty"),
-        quote.alias("quote_qty"), from_epoch(at, "ms").alias("ts"), strict_bool(F.get(cells, F.lit(5))).alias("is_buyer_maker"),
-        F.col("reason").alias("archive_reason"), _state("line_before").alias("before"))
+    def piece(cells: str, i: int) -> Column:
+        return F.get(F.col(cells), F.lit(i))
+
+    cut = lines.select(
+        "path", "member", "row_no", "line", "reason", F.split("line", ",", -1).alias("__cells"), F.split("line_before", ",", -1).alias("__before"))
+    price, qty, quote = (strict_decimal(piece("__cells", i)) for i in (1, 2, 3))
+    key_before, time_before = (piece("__before", i).try_cast("bigint") for i in (0, 4))
+    typed = cut.select(
+        "path", "member", "row_no", "line", F.size("__cells").alias("n_fields"), piece("__cells", 0).try_cast("bigint").alias("id"),
+        price.alias("price"), qty.alias("qty"), quote.alias("quote_qty"),
+        from_epoch(piece("__cells", 4).try_cast("bigint"), "ms").alias("ts"), strict_bool(piece("__cells", 5)).alias("is_buyer_maker"),
+        F.col("reason").alias("archive_reason"),
+        F.when(F.col("__before").isNotNull(), F.struct(key_before.alias("k"), from_epoch(time_before, "ms").alias("t"))).alias("before"))
     open_row = F.col("line").isNotNull()
     reasons = F.array_compact(F.array(
         F.col("archive_reason"),

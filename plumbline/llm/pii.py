@@ -11,6 +11,7 @@ numeric form; they become keyed digests, which are equal for equal values too.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -26,16 +27,23 @@ DATE = r"(?<![\d./-])(?:(?:19|20)\d\d-\d\d-\d\d|\d\d[./](?:\d\d)[./](?:19|20)\d\
 NUMBER = r"(?<![\d.])\d(?:[ -]?\d){8,18}(?![\d])"
 FORMS = (SECRET, EMAIL, IPV4, PHONE, DATE, NUMBER)
 ANY = "|".join(f"(?:{f})" for f in FORMS)
+#: Whatever has none of these characters holds no value of any form.
+HINT = "[0-9@=:]"
 FIRST_DAY, DAYS_A, DAYS_B = "1900-01-01", 250, 292
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` evaluated once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def mixed(key: str, *parts: Column) -> Column:
     """A keyed pseudo-random number of 60 bits."""
     return F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), *[p.cast("string") for p in parts]), 256), 1, 15), 16, 10).cast("long")
 
 
-def feistel(key: str, a: Column, b: Column, size_a: Column, size_b: Column) -> tuple[Column, Column]:
-    """Permute the pairs a < size_a, b < size_b: in turn, one half is shifted by a keyed number drawn from the other."""
+def feistel(key: str, a: Column, b: Column, size_a: Column, size_b: Column) -> Column:
+    """Permute the pairs a < size_a, b < size_b: in turn, one half is shifted by a keyed number drawn from the other. A struct (a, b)."""
 
     def step(state: Column, i: Column) -> Column:
         even = i % 2 == 0
@@ -44,8 +52,7 @@ def feistel(key: str, a: Column, b: Column, size_a: Column, size_b: Column) -> t
         return F.struct(F.when(even, (state["a"] + number % size_a) % size_a).otherwise(state["a"]).alias("a"),
                         F.when(even, state["b"]).otherwise((state["b"] + number % size_b) % size_b).alias("b"))
 
-    out = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), F.struct(a.cast("long").alias("a"), b.cast("long").alias("b")), step)
-    return out["a"], out["b"]
+    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), F.struct(a.cast("long").alias("a"), b.cast("long").alias("b")), step)
 
 
 def permuted_digits(key: str, digits: Column) -> Column:
@@ -54,8 +61,8 @@ def permuted_digits(key: str, digits: Column) -> Column:
     left = F.floor(n / 2).cast("int")
     right = n - left
     size_a, size_b = F.pow(F.lit(10.0), left).cast("long"), F.pow(F.lit(10.0), right).cast("long")
-    a, b = feistel(key, F.substring(digits, F.lit(1), left).cast("long"), F.substring(digits, left + 1, right).cast("long"), size_a, size_b)
-    return F.concat(F.lpad(a.cast("string"), left, F.lit("0")), F.lpad(b.cast("string"), right, F.lit("0")))
+    halves = feistel(key, F.substring(digits, F.lit(1), left).cast("long"), F.substring(digits, left + 1, right).cast("long"), size_a, size_b)
+    return let(halves, lambda h: F.concat(F.lpad(h["a"].cast("string"), left, F.lit("0")), F.lpad(h["b"].cast("string"), right, F.lit("0"))))
 
 
 def luhn_digit(body: Column) -> Column:
@@ -88,31 +95,34 @@ def digits_of(text: Column) -> Column:
 
 def number_pseudonym(key: str, value: Column) -> Column:
     """Card and account numbers: with a valid check digit it is made valid again, else all digits are permuted."""
-    digits = digits_of(value)
-    body = F.substring(digits, F.lit(1), F.length(digits) - 1)
-    valid = (F.length(digits) >= 13) & (luhn_digit(body) == F.substring(digits, F.length(digits), F.lit(1)))
-    new_body = permuted_digits(key + "card", body)
-    plain = permuted_digits(key + "number", digits)
-    return F.when(valid, refilled(value, F.concat(new_body, luhn_digit(new_body)))).otherwise(refilled(value, plain))
+
+    def new(digits: Column) -> Column:
+        body = F.substring(digits, F.lit(1), F.length(digits) - 1)
+        valid = (F.length(digits) >= 13) & (luhn_digit(body) == F.substring(digits, F.length(digits), F.lit(1)))
+        card = let(permuted_digits(key + "card", body), lambda new_body: F.concat(new_body, luhn_digit(new_body)))
+        return F.when(valid, card).otherwise(permuted_digits(key + "number", digits))
+
+    return refilled(value, let(digits_of(value), new))
 
 
 def ip_pseudonym(key: str, value: Column) -> Column:
-    part = F.split(value, r"\.")
-    number = [F.element_at(part, i + 1).cast("long") for i in range(4)]
-    a, b = feistel(key + "ip", number[0] * 256 + number[1], number[2] * 256 + number[3], F.lit(65536), F.lit(65536))
-    return F.concat_ws(".", *[x.cast("string") for x in (F.floor(a / 256), a % 256, F.floor(b / 256), b % 256)])
+    part = F.transform(F.split(value, r"\."), lambda p: F.coalesce(p.try_cast("long"), F.lit(0)))
+    halves = let(part, lambda p: feistel(key + "ip", p[0] * 256 + p[1], p[2] * 256 + p[3], F.lit(65536), F.lit(65536)))
+    return let(halves, lambda h: F.concat_ws(".", *[x.cast("string") for x in (F.floor(h["a"] / 256), h["a"] % 256, F.floor(h["b"] / 256), h["b"] % 256)]))
 
 
 def date_pseudonym(key: str, value: Column) -> Column:
     """A calendar day within the range becomes another one, written alike; what is no day, or outside, is permuted as digits."""
-    out = refilled(value, permuted_digits(key + "nodate", digits_of(value)))
-    for form in reversed(("yyyy-MM-dd", "dd.MM.yyyy", "dd/MM/yyyy")):
-        mark = form.replace("yyyy", "").replace("MM", "").replace("dd", "")[0]
-        day = F.datediff(F.try_to_timestamp(value, F.lit(form)).cast("date"), F.lit(FIRST_DAY).cast("date"))
-        a, b = feistel(key + "date", F.floor(day / DAYS_B), day % DAYS_B, F.lit(DAYS_A), F.lit(DAYS_B))
-        moved = F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), (a * DAYS_B + b).cast("int")), form)
-        out = F.when(value.contains(mark) & (F.substring(value, 3, 1).isin(".", "/") if mark != "-" else F.lit(True)) & day.between(0, DAYS_A * DAYS_B - 1), moved).otherwise(out)
-    return out
+    mark = F.substring(value, 3, 1)
+    form = F.when(mark == ".", "dd.MM.yyyy").when(mark == "/", "dd/MM/yyyy").otherwise("yyyy-MM-dd")
+    zero = F.lit(FIRST_DAY).cast("date")
+
+    def moved(day: Column) -> Column:
+        halves = feistel(key + "date", F.floor(day / DAYS_B), day % DAYS_B, F.lit(DAYS_A), F.lit(DAYS_B))
+        new = let(halves, lambda h: F.call_function("date_format", F.date_add(zero, (h["a"] * DAYS_B + h["b"]).cast("int")), form))
+        return F.when(day.between(0, DAYS_A * DAYS_B - 1), new).otherwise(refilled(value, permuted_digits(key + "nodate", digits_of(value))))
+
+    return let(F.datediff(F.try_to_timestamp(value, form).cast("date"), zero), moved)
 
 
 def secret_pseudonym(key: str, value: Column) -> Column:
@@ -137,22 +147,22 @@ def pseudonym(key: str, value: Column) -> Column:
     return reduce(lambda rest, kind: F.when(whole(kind[0]), kind[1](key, value)).otherwise(rest), reversed(kinds), number_pseudonym(key, value))
 
 
-def pseudonymize(docs: DataFrame, key: str = "pseudonym-key", text: str = "text") -> DataFrame:
-    """`docs` with `text` rewritten. Nulls stay null; texts without such data come back unchanged; other columns are kept.
+def pseudonymize(docs: DataFrame, key: str = "pseudonym-key", text: str = "text", count: str | None = None) -> DataFrame:
+    """`docs` with `text` rewritten, and the number of values replaced in the column named `count`, if one is.
 
+    Nulls stay null; texts without such data come back unchanged; other columns are kept.
     Row by row, without a shuffle: repeated rows, hot values and copies cost no more than any row.
     """
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text]
     row = docs.select(F.struct(*rest).alias("r") if rest else F.struct(F.lit(0).alias("none")).alias("r"), F.col(f"`{text}`").alias("t"))
-    found = row.withColumn("m", F.when(F.col("t").rlike(ANY), F.regexp_extract_all("t", F.lit(ANY), F.lit(0))))
+    found = row.withColumn("m", F.when(F.col("t").rlike(HINT), F.regexp_extract_all("t", F.lit(ANY), F.lit(0))))
     parts = F.split(F.col("t"), ANY, -1)
-    new = F.array_join(F.concat(F.flatten(F.zip_with(F.slice(parts, F.lit(1), F.size("m")), F.transform("m", lambda v: pseudonym(key, v)), lambda p, v: F.array(p, v))), F.slice(parts, -1, 1)), "")
-    done = found.select("r", F.when(F.col("m").isNull(), F.col("t")).otherwise(new).alias("t"))
-    return done.select(*[F.col("t").alias(c) if c == text else F.col("r")[c].alias(c) for c in docs.columns])
+    woven = let(parts, lambda p: F.array_join(F.concat(F.flatten(F.zip_with(F.slice(p, F.lit(1), F.size("m")), F.col("m"), lambda a, v: F.array(a, pseudonym(key, v)))), F.slice(p, -1, 1)), ""))
+    n = F.coalesce(F.size("m"), F.lit(0))
+    n = F.when(n > 0, n).otherwise(0).cast("long")
+    done = found.select("r", n.alias("n"), F.when(n > 0, woven).otherwise(F.col("t")).alias("t"))
+    return done.select(*[F.col("t").alias(c) if c == text else F.col("r")[c].alias(c) for c in docs.columns], *([F.col("n").alias(count)] if count else []))
 
 
 def pii_query(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    changed = pseudonymize(docs.withColumn("original", F.col("text")))
-    found = F.when(F.col("original").rlike(ANY), F.size(F.regexp_extract_all("original", F.lit(ANY), F.lit(0))))
-    return changed.select("doc_id", "text", F.coalesce(found, F.lit(0)).cast("long").alias("n_replaced"))
+    return pseudonymize(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), count="n_replaced")

@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,26 +37,28 @@ def leaves(text: str, least: int = LEAF) -> list[str]:
 class SumTree:
     """Characters and tokens of leaves in an implicit binary tree: node i has the children 2 i and 2 i + 1."""
 
-    def __init__(self, chars: np.ndarray, tokens: np.ndarray) -> None:
+    def __init__(self, chars: list[int], tokens: list[int]) -> None:
         self.chars, self.tokens = chars, tokens
         self.base = len(chars) // 2
 
     @classmethod
     def build(cls, chars: list[int], tokens: list[int]) -> SumTree:
         base = 1 << max(0, len(chars) - 1).bit_length()
-        nodes = np.zeros((2, 2 * base), np.int64)
-        nodes[0, base : base + len(chars)], nodes[1, base : base + len(tokens)] = chars, tokens
-        for i in range(base - 1, 0, -1):
-            nodes[:, i] = nodes[:, 2 * i] + nodes[:, 2 * i + 1]
-        return cls(nodes[0], nodes[1])
+        nodes = []
+        for level in (chars, tokens):
+            whole = [0] * base + level + [0] * (base - len(level))
+            for i in range(base - 1, 0, -1):
+                whole[i] = whole[2 * i] + whole[2 * i + 1]
+            nodes.append(whole)
+        return cls(*nodes)
 
     def find(self, at: int) -> tuple[int, int]:
         """The leaf that holds a character, and where the leaf starts; the end of the text belongs to its last character's leaf."""
-        at, node, start = max(0, min(at, int(self.chars[1]) - 1)), 1, 0
+        at, node, start = max(0, min(at, self.chars[1] - 1)), 1, 0
         while node < self.base:
             node *= 2
             if at >= start + self.chars[node]:
-                start += int(self.chars[node])
+                start += self.chars[node]
                 node += 1
         return node - self.base, start
 
@@ -76,7 +77,7 @@ def apply_edit(tree: SumTree, text: str, start: int, removed: int, inserted: str
     end = min(len(text), start + max(0, removed))
     first, low = tree.find(start - CONTEXT)
     last, high = tree.find(end + CONTEXT - 1)
-    high += int(tree.chars[last + tree.base])
+    high += tree.chars[last + tree.base]
     region = text[low:start] + inserted + text[end:high]
     for leaf in range(first, last + 1):
         if tree.chars[leaf + tree.base]:
@@ -127,12 +128,12 @@ def count_after_edits(docs: DataFrame, trees: DataFrame, edits: DataFrame, vocab
         for batch in batches:
             rows = []
             for doc_id, text, chars, tokens, todo in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                tree = SumTree(np.array(chars, np.int64), np.array(tokens, np.int64))
-                before, n_leaves, spent = int(tree.tokens[1]), int((tree.chars[tree.base :] > 0).sum()), 0
+                tree = SumTree(chars, tokens)
+                before, n_leaves, spent = tree.tokens[1], sum(c > 0 for c in tree.chars[tree.base :]), 0
                 for edit in todo or ():
                     text, encoded = apply_edit(tree, text, edit["start"], edit["removed"], edit["inserted"], count)
                     spent += encoded
-                rows.append((doc_id, before, int(tree.tokens[1]), int(tree.chars[1]), spent, n_leaves))
+                rows.append((doc_id, before, tree.tokens[1], tree.chars[1], spent, n_leaves))
             columns = list(zip(*rows, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 

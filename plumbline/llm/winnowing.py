@@ -72,12 +72,13 @@ def fingerprints(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataFrame:
 def in_ranges(docs: DataFrame) -> DataFrame:
     """`docs` (doc_id long, text) cut into ranges of doc_id, each with a copy (`extra`) of the row that follows its last.
 
-    The cut comes from the ids alone; one row per range, as many as there are shuffle partitions, passes the driver. Texts are
+    The cut comes from the ids alone; one row per range, four times as many as there are shuffle partitions, passes the driver. Texts are
     shuffled once. The last range is followed by the very first row. Null ids come first, as the smallest number.
     """
     spark = docs.sparkSession
     id_ = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
-    ids = docs.select(id_.alias("id")).repartitionByRange("id").withColumn("part", F.spark_partition_id())
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ids = docs.select(id_.alias("id")).repartitionByRange(4 * parts, "id").withColumn("part", F.spark_partition_id())
     starts = np.array(sorted(r["a"] for r in store(ids.groupBy("part").agg(F.min("id").alias("a")), "ranges").collect()), dtype=np.int64)
 
     @F.pandas_udf(LongType())
@@ -98,7 +99,7 @@ def in_ranges(docs: DataFrame) -> DataFrame:
     copies = F.when(F.col("leads"), F.array(F.struct(F.col("range"), F.lit(False).alias("extra")), F.struct(before.alias("range"), F.lit(True).alias("extra")))).otherwise(
         F.array(F.struct(F.col("range"), F.lit(False).alias("extra"))))
     dealt = placed.select("doc_id", "text", "id", F.explode(copies).alias("c")).select("doc_id", "text", "id", "c.range", "c.extra")
-    return dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "range").sortWithinPartitions("range", "extra", "id", "text")
+    return dealt.repartition(parts, "range").sortWithinPartitions("range", "extra", "id", "text")
 
 
 def against_next(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataFrame:

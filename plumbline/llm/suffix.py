@@ -29,7 +29,7 @@ from plumbline.llm.shared import paired_names, sliding_min, span_names, store
 
 LENGTH = 50
 #: Windows worked on at once, and entries a task gathers before it sends them.
-SEGMENT, FLUSH = 1 << 18, 600_000
+SEGMENT, FLUSH = 1 << 18, 300_000
 ENTRIES = "bucket int, settled boolean, rids binary, docs binary, `row` binary, name binary, whole binary, lo binary, n binary"
 SPANS = "rid long, round int, lo array<int>, n array<int>"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -150,11 +150,11 @@ def settled(entries: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and held[0][0] != row[0]:
+            for bucket, done, *packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *batch.columns[2:], strict=True):
+                if held and held[0][0] != bucket:
                     yield from settle(held)
                     held = []
-                held.append(row)
+                held.append((bucket, done, *[p.as_buffer() for p in packed]))  # views of the batch, no copies
         if held:
             yield from settle(held)
 
@@ -210,6 +210,28 @@ def second_round(keyed: DataFrame, spans: DataFrame, length: int) -> DataFrame:
     return settled(keyed.join(open_, "rid").select("rid", "doc_id", "text", "lo", "n").mapInArrow(scan, ENTRIES))
 
 
+def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """`docs` (doc_id, text) with the repeated strings of each row: first places `lo` and numbers `n` of runs of them, in no order; null where there are none."""
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("rid"), F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    first = store(first_round(keyed, length), "repeats")
+    second = second_round(keyed, first, length)
+    found = first.where("round = 0").unionByName(second).groupBy("rid").agg(F.flatten(F.collect_list("lo")).alias("lo"), F.flatten(F.collect_list("n")).alias("n"))
+    return keyed.join(found, "rid", "left").select("doc_id", "text", "lo", "n")
+
+
+def merged(lows: pa.ListScalar, many: pa.ListScalar, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs of bytes (starts, lengths) that the repeated strings cover."""
+    if lows.values is None or not len(lows.values):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    lo = lows.values.to_numpy(zero_copy_only=False).astype(np.int64)
+    order = np.argsort(lo, kind="stable")
+    lo, hi = lo[order], (lo + many.values.to_numpy(zero_copy_only=False) + length - 1)[order]
+    reach = np.maximum.accumulate(hi)
+    head = np.concatenate(([True], lo[1:] > reach[:-1]))
+    last = np.append(np.flatnonzero(head)[1:], len(lo)) - 1
+    return lo[head], reach[last] - lo[head]
+
+
 def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per row of `docs` (doc_id, text): the text as bytes, and the maximal runs of bytes that lie in a string of `length` bytes
     which also starts in a document with a smaller doc_id. Strings are judged on the input; overlaps count.
@@ -217,54 +239,41 @@ def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Null texts are empty, null ids are the smallest, rows with equal ids do not remove from each other. Returns doc_id, text,
     `starts` and `lengths` of the runs (array<long>). Texts shorter than `length` lose nothing; an empty table gives no rows.
     """
-    keyed = docs.select(F.xxhash64("doc_id", "text").alias("rid"), F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    first = store(first_round(keyed, length), "repeats")
-    second = second_round(keyed, first, length)
-    found = first.where("round = 0").unionByName(second).groupBy("rid").agg(F.flatten(F.collect_list("lo")).alias("lo"), F.flatten(F.collect_list("n")).alias("n"))
-    joined = keyed.join(found, "rid", "left").select("doc_id", "text", "lo", "n")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts, sizes = [], []
-            for lows, many in zip(batch.column(2), batch.column(3), strict=True):
-                if lows.values is None:
-                    starts.append([])
-                    sizes.append([])
-                    continue
-                lo = lows.values.to_numpy(zero_copy_only=False).astype(np.int64)
-                order = np.argsort(lo, kind="stable")
-                lo, hi = lo[order], (lo + many.values.to_numpy(zero_copy_only=False) + length - 1)[order]
-                reach = np.maximum.accumulate(hi)
-                head = np.concatenate(([True], lo[1:] > reach[:-1]))
-                last = np.append(np.flatnonzero(head)[1:], len(lo)) - 1
-                starts.append(lo[head])
-                sizes.append(reach[last] - lo[head])
+            both = [merged(lo, n, length) for lo, n in zip(batch.column(2), batch.column(3), strict=True)]
             kind = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(starts, kind), pa.array(sizes, kind)], ["doc_id", "text", "starts", "lengths"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array([x[i] for x in both], kind) for i in (0, 1)]], ["doc_id", "text", "starts", "lengths"])
 
-    return joined.mapInArrow(scan, "doc_id long, text string, starts array<long>, lengths array<long>")
+    return repeats(docs, length).mapInArrow(scan, "doc_id long, text string, starts array<long>, lengths array<long>")
 
 
-def suffix_query(spark, sf_dir):
-    spans = removed_spans(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+def removal_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """What `removed_spans` removes, as counts and the SHA-256 of the bytes that are left."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, text, starts, lengths in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                raw = text.encode("utf-8", "surrogatepass")
+            for doc_id, text, lo, n in zip(batch.column(0).to_pylist(), *batch.columns[1:], strict=True):
+                raw = text.as_py().encode("utf-8", "surrogatepass")
+                starts, sizes = merged(lo, n, length)
                 kept, at = hashlib.sha256(), 0
-                for a, n in zip(starts, lengths, strict=True):
+                for a, size in zip(starts.tolist(), sizes.tolist(), strict=True):
                     kept.update(raw[at:a])
-                    at = a + n
+                    at = a + size
                 kept.update(raw[at:])
-                rows.append((doc_id, len(raw), sum(lengths), len(starts), kept.hexdigest()))
+                rows.append((doc_id, len(raw), int(sizes.sum()), len(starts), kept.hexdigest()))
             columns = list(zip(*rows, strict=True)) or [()] * 5
             kinds = (*[pa.int64()] * 4, pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    return spans.mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return repeats(docs, length).mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def suffix_query(spark, sf_dir):
+    return removal_digests(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 
 SUFFIX_SQL = """

@@ -150,7 +150,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, threshold: int = 2, n: int = 3) -> DataFrame:
-    """(doc_id, text_hash, fp, component_id) per row of `docs` (doc_id, text).
+    """(doc_id, text_hash, fp, root, component_id) per row of `docs` (doc_id, text); root is the component's smallest fingerprint.
 
     component_id is the smallest doc_id reachable over links of at most `threshold` differing bits, the row's own included.
     Blank and null texts share fingerprint zero, which links like any other. Repeated rows come out repeated;
@@ -161,14 +161,14 @@ def near_groups(docs: DataFrame, threshold: int = 2, n: int = 3) -> DataFrame:
     roots = components(store(links(least.select("fp"), threshold), "links"))
     named = least.join(roots, least["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     groups = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    members = named.select("fp", "root").join(groups, "root").select("fp", "component_id")
-    return prints.join(members, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    members = named.select("fp", "root").join(groups, "root").select("fp", "root", "component_id")
+    return prints.join(members, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, threshold: int = 2, n: int = 3) -> DataFrame:
     """One row of each group of near-duplicates, with the columns of `docs`: the smallest doc_id (null last), among its rows any one."""
     groups = near_groups(docs.select("doc_id", "text"), threshold, n)
-    best = groups.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("f")).agg(
+    best = groups.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("b")).select(F.col("b.doc_id").alias("i"), F.col("b.text_hash").alias("h"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), F.col("doc_id"), F.xxhash64("text").alias("h"))
     kept = rows.alias("k").join(best.alias("b"), F.col("k.doc_id").eqNullSafe(F.col("b.i")) & (F.col("k.h") == F.col("b.h")), "left_semi").dropDuplicates(["doc_id", "h"])

@@ -14,7 +14,7 @@ from plumbline.llm.shared import BLANK, WORD, order_first, running, store
 
 #: The random key has so many bits; one range of it holds about RANGE documents.
 KEY_BITS = 60
-RANGE = 20_000
+RANGE = 4_000
 
 
 def word_count(text: Column) -> Column:

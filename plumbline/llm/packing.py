@@ -26,6 +26,8 @@ from plumbline.llm.shared import store
 
 CAPACITY = 1024
 END_ID = 2
+#: Pieces of one length are ranked in cells of about so many.
+CELL = 4_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -130,8 +132,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     starts = np.array([base[r[0]] + r[1] for r in runs], dtype=np.int64)
     firsts, each, offsets, long = (np.array([r[i] for r in runs], dtype=np.int64) for i in (2, 3, 4, 0))
 
-    cells = max(1, sum(counts.values()) // 50_000)
-    celled = pieces.withColumn("__cell", F.pmod(F.xxhash64("doc_id"), F.lit(cells)))
+    spark = pieces.sparkSession
+    cells = spark.createDataFrame([(n, -(-counts[n] // CELL)) for n in lengths], "length long, __cells long")
+    celled = pieces.join(F.broadcast(cells), "length").withColumn("__cell", F.pmod(F.xxhash64("doc_id"), F.col("__cells"))).drop("__cells")
     totals = celled.groupBy("length", "__cell").agg(F.count(F.lit(1)).alias("__n"))
     before = W.partitionBy("length").orderBy("__cell").rowsBetween(W.unboundedPreceding, -1)
     placed = totals.select("length", "__cell", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))

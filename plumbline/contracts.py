@@ -2,31 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-PRICE = T.DecimalType(38, 18)
-
-
-def _struct(text: str) -> T.StructType:
-    """`name:type` pairs separated by blanks."""
-    kinds = {"s": T.StringType(), "l": T.LongType(), "d": T.DateType(), "b": T.BooleanType(),
-             "p": PRICE, "t": T.TimestampType()}
-    fields = (pair.split(":") for pair in text.split())
-    return T.StructType([T.StructField(name, kinds[kind], True) for name, kind in fields])
-
-
-INVENTORY = _struct(
-    "asset_id:s asset_type:s host:s service:s name:s location:s format:s symbols:s time_range:s "
-    "bytes:l mtime:t access:s evidence:s limit:s next_task:s"
-)
-TRADE = _struct("id:l price:p qty:p quote_qty:p time_ms:l is_buyer_maker:b")
-AGG_TRADE = _struct("agg_trade_id:l price:p qty:p first_trade_id:l last_trade_id:l time_ms:l is_buyer_maker:b")
-MEMBER = _struct(
-    "symbol:s contract:s object:s event_date:d path:s size:l sha256:s source_visible_at:t collected_at:t status:s"
-)
-SNAPSHOT = _struct("snapshot_id:s symbol:s capture_ts_ms:l created_ms:l payload:s")
-LEVEL = T.ArrayType(T.StructType([T.StructField("price", PRICE), T.StructField("qty", PRICE)]))
-
 # Candidate file suffixes and the format each one names.
 FILE_FORMATS = {
     ".csv": "CSV", ".jsonl": "JSONL", ".ndjson": "NDJSON", ".parquet": "Parquet",
@@ -35,7 +10,6 @@ FILE_FORMATS = {
 
 # Statuses of a member, worst first; the position is the rank.
 STATUSES = ["failed", "rejected", "expired", "undetermined", "immature", "not_executed", "proven"]
-STATUS_RANK = {name: rank for rank, name in enumerate(STATUSES)}
 
 # Availability verdicts, worst first.
 AVAILABILITY = ["unavailable", "undetermined", "limited", "available"]
@@ -69,26 +43,6 @@ OUTCOME_HORIZONS_M = [15, 60, 240, 480, 1440, 2880]
 # Cost components.
 COST_COMPONENTS = ["fee", "funding", "spread", "depth", "impact"]
 
-# Keys and time columns of the shared order-book tables: keys | event | arrival | unit.
-SHARED_TABLES = {
-    "order_book_feature_buckets": "exchange,symbol,bucket_ts_sec,aggregation,feature_version | bucket_ts_sec | created_at,updated_at | s",
-    "order_book_micro_events": "event_id | ts_ms,bucket_ts_sec | created_at | ms",
-    "order_book_signals": "signal_offset | ts_ms,bucket_ts_sec | created_at | ms",
-    "raw_input_log": "log_sequence | event_time_ms,transaction_time_ms | recv_ts_ms,local_recv_monotonic_ms | ms",
-    "symbol_metadata": "exchange,symbol | metadata_updated_at_ms | created_at,updated_at | ms",
-    "order_book_risk_states": "risk_id | ts_ms | created_at | ms",
-    "order_book_health_events": "event_id | ts_ms | created_at | ms",
-    "order_book_raw_snapshots": "snapshot_id | capture_ts_ms,bucket_ts_sec | created_at | ms",
-    "order_book_signal_delivery_acks": "delivery_id | sent_ts_ms,acked_ts_ms | created_at,updated_at | ms",
-    "order_book_liquidation_events": "event_id | event_time_ms | transaction_time_ms,local_recv_ts_ms,created_at | ms",
-    "order_book_liquidation_heatmap_buckets": "symbol,source_kind,bucket_start_ms,price_bucket_start,side | bucket_start_ms,bucket_end_ms | created_at,updated_at | ms",
-    "order_book_open_interest": "symbol,period,timestamp_ms | timestamp_ms | created_at,updated_at | ms",
-    "order_book_market_structure_snapshots": "snapshot_id | as_of_ms | created_at,updated_at | ms",
-    "order_book_public_context_snapshots": "snapshot_id | as_of_ms | created_at,updated_at | ms",
-    "order_book_decision_context_snapshots": "decision_id | decision_time_ms,as_of_ms | created_at,updated_at | ms",
-    "historical_backfill_files": "data_source,market_type,dataset,symbol,interval_name,file_date | file_date | created_at_ms,updated_at_ms | date",
-}
-
 # Physical column names allowed for each logical field of a declaration.
 DECLARATION_ALIASES = {
     "member_no": ["member_id", "member_no", "成员编号", "成员ID"],

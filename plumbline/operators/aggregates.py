@@ -44,12 +44,12 @@ def record_duplicates(df: DataFrame, cols: list[str] | None = None) -> DataFrame
         F.count("*").alias("copies")).filter("copies > 1")
 
 
-def duplicate_verdict(df: DataFrame, by: list[str], fingerprint: Column, budget: int) -> DataFrame:
-    """Duplicate rows per group; beyond the record budget the verdict is `undetermined`, the counts stay."""
+def duplicate_verdict(df: DataFrame, by: list[str], fingerprint: Column) -> DataFrame:
+    """Duplicate rows per group and whether there are any, at every size."""
     per_record = df.groupBy(*by, fingerprint.alias("__f")).agg(F.count("*").alias("__n"))
     totals = per_record.groupBy(*by).agg(
         F.sum("__n").alias("n_rows"), F.sum(F.col("__n") - 1).alias("n_duplicate"))
-    verdict = F.when(F.col("n_rows") > budget, "undetermined").when(F.col("n_duplicate") > 0, "duplicates").otherwise("unique")
+    verdict = F.when(F.col("n_duplicate") > 0, "duplicates").otherwise("unique")
     return totals.withColumn("duplicate_verdict", verdict)
 
 

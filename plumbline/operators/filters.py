@@ -20,7 +20,7 @@ def select_units(inv: DataFrame, kinds: list[str], formats: list[str], kind: str
 
 def check_inventory(inv: DataFrame, required: list[str], key: str, batch: str, formats: list[str], fmt: str,
                     path: str, roots: list[str]) -> DataFrame:
-    """Reason codes per row: duplicate id, second batch, bad format, relative or escaping path, outside roots."""
+    """Reason codes per row: missing or duplicate id, second batch (no batch is one), bad format, relative or escaping path, outside roots."""
     missing = [c for c in required if c not in inv.columns]
     if missing:
         raise ValueError(f"inventory lacks columns {missing}")
@@ -30,8 +30,9 @@ def check_inventory(inv: DataFrame, required: list[str], key: str, batch: str, f
         inside = inside | F.col(path).startswith(root.rstrip("/") + "/")
     code = F.when
     reasons = F.array_compact(F.array(
+        code(F.col(key).isNull(), "missing_id"),
         code(F.col("repeated"), "duplicate_id"),
-        code(F.col(batch) != inv.agg(F.min(batch)).scalar(), "second_batch"),
+        code(~F.col(batch).eqNullSafe(inv.agg(F.min(batch)).scalar()), "second_batch"),
         code(~F.coalesce(F.col(fmt).isin(formats), F.lit(False)), "bad_format"),
         code(~F.coalesce(F.col(path).startswith("/"), F.lit(False)), "relative_path"),
         code(F.col(path).rlike(r"(^|/)\.\.(/|$)"), "path_escape"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plumbline.ordering import Layout, ordinal
+from plumbline.ordering import place_all
 
 
 def latest_n(df: DataFrame, by: list[str], ts: str, row_id: str, n: int, cutoff: Column | None = None) -> DataFrame:
@@ -17,14 +17,16 @@ def latest_n(df: DataFrame, by: list[str], ts: str, row_id: str, n: int, cutoff:
     """
     rows = df if cutoff is None else df.filter(F.col(ts) <= cutoff)
     w = W.partitionBy(*by).orderBy(F.desc(ts), F.desc(row_id))
-    top = rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    # Rows that tie with the n-th stay until their identity is counted, or a repetition at the cut would go unseen.
+    tied = rows.withColumn("rank", F.rank().over(w)).filter(F.col("rank") <= n)
     same = F.count("*").over(W.partitionBy(*by, ts, row_id)) > 1
-    return top.withColumn("identity_status", F.when(same, "duplicate_identity").otherwise("unique"))
+    known = tied.withColumn("identity_status", F.when(same, "duplicate_identity").otherwise("unique"))
+    return known.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def canonical_order(df: DataFrame, order: list[Column], layout: Layout | None = None) -> DataFrame:
-    """Ordinal of each row in the canonical total order of the whole table, without a single-task sort."""
-    return ordinal(df, [], order, "ordinal", layout)
+def canonical_order(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Ordinal of each row in the canonical total order of the whole table, without a single-task sort; keys of any type, nulls first."""
+    return place_all(df, order, "ordinal")
 
 
 def daily_top(df: DataFrame, day: list[str], score: str, tie: str, passed: Column, k: int = 2) -> DataFrame:

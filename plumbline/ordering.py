@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from plumbline.session import materialise
+
 HOT_SHARE = 0.001
 TRACKED = 10_000  # sketch entries: the count error stays near 0.02 % of the rows, so no key above HOT_SHARE is missed
 MAX_CHUNKS = 10_000
@@ -190,9 +192,9 @@ def ordinal(df: DataFrame, by: list[str], order: list[Column], name: str = "ordi
 def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join rows to a side that is unique on `on` (`inner`, `left`, `left_semi`, `left_anti`).
 
-    Rows of heavy keys meet a broadcast of the right rows of those keys (at most one per
-    key, so at most 1/HOT_SHARE), and are never shuffled; all other keys are small and take
-    the ordinary join, whose strategy is left to the optimizer.
+    Rows of heavy keys are joined apart with the right rows of those keys. A right side that is unique has few of
+    them, and the optimizer broadcasts what it measures as small; one that is not is shuffled, and adaptive
+    execution splits its skewed partitions. No broadcast is forced.
     """
     kinds = {f.name: f.dataType for f in left.schema}  # equal values hash alike only within one type
     right = right.select(*[F.col(c).cast(kinds[c]).alias(c) if c in on else F.col(c) for c in right.columns])
@@ -200,5 +202,21 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left
     if not hot:
         return left.join(right, on, how)
     is_hot = F.xxhash64(*on).isin(hot)
-    large = left.filter(is_hot).join(F.broadcast(right.filter(is_hot)), on, how)
+    large = left.filter(is_hot).join(right.filter(is_hot), on, how)
     return left.filter(~is_hot).join(right.filter(~is_hot), on, how).unionByName(large)
+
+
+def place_all(df: DataFrame, order: list[Column], name: str = "ordinal") -> DataFrame:
+    """Number all rows of a table in the order of keys of any type, each compared as what it is.
+
+    Rows are range-partitioned by the keys, which splits any accumulation of values but fully equal ones; the cut is fixed
+    in a stored table, so that counting and numbering see the same parts; a table with one row per part gives the offsets.
+    """
+    keys = [F.col(f"__k{i}") for i in range(len(order))]
+    keyed = df.select("*", *[c.alias(f"__k{i}") for i, c in enumerate(order)])
+    cut = materialise(keyed.repartitionByRange(*keys).withColumn("__part", F.spark_partition_id()), "ordered")
+    before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = cut.groupBy("__part").agg(F.count("*").alias("__n")).select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    inside = F.row_number().over(W.partitionBy("__part").orderBy(*keys))
+    numbered = cut.withColumn(name, inside).join(offsets, "__part")
+    return numbered.withColumn(name, F.col(name) + F.col("__before")).select(*df.columns, name)

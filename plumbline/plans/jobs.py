@@ -33,12 +33,12 @@ class Audit:
     anomalies: DataFrame
 
 
-def _unit_facts(name: str, df: DataFrame, contract: UnitContract, budget: int) -> DataFrame:
+def _unit_facts(name: str, df: DataFrame, contract: UnitContract) -> DataFrame:
     """One row with everything the content of a unit says: profile and broken rules in one pass, copies, missing days."""
     facts = aggregates.profile(df, rules=contract.rules).groupBy().agg(
         F.max("n_rows").alias("n_rows"), F.sum("n_null").alias("n_null"), F.sum("n_blank").alias("n_blank"),
         F.sum("n_non_finite").alias("n_non_finite"), F.max("broken").alias("broken"))
-    copies = aggregates.duplicate_verdict(df, [], scalars.record_sha(df.columns), budget)
+    copies = aggregates.duplicate_verdict(df, [], scalars.record_sha(df.columns))
     missing = F.lit(None).cast("bigint")
     if contract.day:
         days = df.select(F.lit(name).alias("unit"), contract.day)
@@ -50,7 +50,7 @@ def _unit_facts(name: str, df: DataFrame, contract: UnitContract, budget: int) -
 
 
 def audit_inventory(spark: SparkSession, units: DataFrame, frames: dict[str, DataFrame],
-                    contracts: dict[str, UnitContract], budget: int) -> Audit:
+                    contracts: dict[str, UnitContract]) -> Audit:
     """Two-phase audit: schemas and frozen rules first, then the content of each unit, stored as one row per unit.
 
     `units` holds `asset_id`; every unit appears in all three outputs, with `not_executed`
@@ -60,15 +60,15 @@ def audit_inventory(spark: SparkSession, units: DataFrame, frames: dict[str, Dat
     times = catalog.time_candidates(columns).groupBy(F.col("table").alias("asset_id")).agg(F.count("*").alias("time_candidates"))
     facts = None
     for name, df in frames.items():
-        row = _unit_facts(name, df, contracts[name], budget)
+        row = _unit_facts(name, df, contracts[name])
         facts = row if facts is None else facts.unionByName(row)
     found = units.select("asset_id").distinct().join(materialise(facts, "unit-facts"), "asset_id", "left")
 
     critical = [c.critical_rule for c in contracts.values() if c.critical_rule]
     failed = F.exists("broken", lambda b: b["anomaly"].isin(critical) & (b["n"] > 0))
-    # The evidence of a unit is complete only with a measured gap and a decided duplicate check.
+    # The evidence of a unit is complete only with a measured gap.
     verdict_of_copies = F.col("copies")["duplicate_verdict"]
-    open_evidence = F.col("n_rows").isNull() | (F.col("gap_status") != "measured") | (verdict_of_copies == "undetermined")
+    open_evidence = F.col("n_rows").isNull() | (F.col("gap_status") != "measured")
     verdict = verdicts.availability(failed, open_evidence, F.col("n_null") + F.col("n_blank") > 0, F.lit(False), F.lit(False))
     scanned = F.when(F.col("n_rows").isNull(), "not_executed").otherwise("scanned")
     structure = F.array(F.struct(F.lit("blank_field").alias("anomaly"), F.col("n_blank").alias("n")),
@@ -161,7 +161,8 @@ def freeze_decide_replay(first: DataFrame, second: DataFrame, cutoff: Column, gr
                          rule_version: str) -> DataFrame:
     """Decide on member evidence under a frozen intent, decide again from the re-read evidence, compare.
 
-    One row per group: formal, rejected and total counts, both fingerprints and the replay verdict.
+    One row per group of either evidence: formal, rejected and total counts of the first, both fingerprints and the
+    replay verdict. A group that only one of them holds is `different`.
     """
     def decide(members: DataFrame, tag: str) -> DataFrame:
         labelled = filters.label_visibility(members, cutoff)
@@ -176,9 +177,13 @@ def freeze_decide_replay(first: DataFrame, second: DataFrame, cutoff: Column, gr
             F.sum("n_rows").alias("total"), count("visible").alias("formal"), count("time_boundary_rejected").alias("rejected"),
             count("undetermined").alias("undetermined"), F.max(F.when(state == "visible", F.col("fingerprint"))).alias(tag))
 
-    replay = decide(second, "replay_sha").select(*group, "replay_sha")
-    status = F.when(F.col("decision_sha").eqNullSafe(F.col("replay_sha")), "equal").otherwise("different")
-    return decide(first, "decision_sha").join(replay, group, "left").withColumn("replay_status", status).withColumn(
+    # Both decisions have one row per group; the union keeps null groups together and loses none.
+    first_rows = decide(first, "decision_sha").withColumn("decided", F.lit(1))
+    both = first_rows.unionByName(decide(second, "replay_sha").select(*group, "replay_sha", F.lit(1).alias("replayed")), allowMissingColumns=True)
+    counts = ["total", "formal", "rejected", "undetermined"]
+    joined = both.groupBy(*group).agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in counts], *[F.max(c).alias(c) for c in ("decision_sha", "replay_sha", "decided", "replayed")])
+    status = F.when(F.col("decided").isNotNull() & F.col("replayed").isNotNull() & F.col("decision_sha").eqNullSafe(F.col("replay_sha")), "equal").otherwise("different")
+    return joined.withColumn("replay_status", status).drop("decided", "replayed").withColumn(
         "intent_sha", scalars.input_version([cutoff, F.lit(rule_version)])).withColumn(
         "difference", F.col("total") - F.col("formal") - F.col("rejected") - F.col("undetermined"))
 

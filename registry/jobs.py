@@ -24,15 +24,15 @@ def audit(spark, sf):
     units = files.file_inventory(spark, [sf]).select(name.alias("asset_id")).filter(F.col("asset_id").isin("orders", "documents", "labels"))
     frames = {"orders": load(spark, sf, "orders"), "documents": load(spark, sf, "documents")}
     contracts = {"orders": jobs.UnitContract(ORDER_RULES, day="o_orderdate"), "documents": jobs.UnitContract(DOC_RULES, critical_rule="short_text")}
-    return jobs.audit_inventory(spark, units, frames, contracts, 12000)
+    return jobs.audit_inventory(spark, units, frames, contracts)
 
 
 @query("k01_audit_quality", f"""
 WITH o AS (SELECT count(*) AS n, (count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM orders)))::BIGINT AS d FROM orders),
 x AS (SELECT count(*) AS n, sum(CASE WHEN trim(text) = '' THEN 1 ELSE 0 END)::BIGINT AS b, (count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM documents)))::BIGINT AS d, count(*) FILTER (n_chars < 200) AS short FROM documents)
 SELECT 'orders' AS asset_id, 'scanned' AS scan_status, n AS n_rows, 0::BIGINT AS n_null, 0::BIGINT AS n_blank, 0::BIGINT AS n_non_finite, d AS n_duplicate,
- CASE WHEN n > 12000 THEN 'undetermined' WHEN d > 0 THEN 'duplicates' ELSE 'unique' END AS duplicate_verdict, 1::BIGINT AS time_candidates, '{ORDER_RULES.sha}' AS rule_sha, 'undetermined' AS availability FROM o
-UNION ALL SELECT 'documents', 'scanned', n, 0, b, 0, d, CASE WHEN n > 12000 THEN 'undetermined' WHEN d > 0 THEN 'duplicates' ELSE 'unique' END, 0, '{DOC_RULES.sha}', CASE WHEN short > 0 THEN 'unavailable' ELSE 'undetermined' END FROM x
+ CASE WHEN d > 0 THEN 'duplicates' ELSE 'unique' END AS duplicate_verdict, 1::BIGINT AS time_candidates, '{ORDER_RULES.sha}' AS rule_sha, 'undetermined' AS availability FROM o
+UNION ALL SELECT 'documents', 'scanned', n, 0, b, 0, d, CASE WHEN d > 0 THEN 'duplicates' ELSE 'unique' END, 0, '{DOC_RULES.sha}', CASE WHEN short > 0 THEN 'unavailable' ELSE 'undetermined' END FROM x
 UNION ALL SELECT 'labels', 'not_executed', NULL, NULL, NULL, NULL, NULL, NULL, 0, NULL, 'undetermined'""")
 def k01(spark, sf):
     return audit(spark, sf).quality
@@ -125,6 +125,15 @@ def k04(spark, sf):
     return jobs.freeze_decide_replay(visibility(spark, sf), visibility(spark, sf), cutoff(), ["l_returnflag"], ["l_orderkey", "l_linenumber"], "rules-1")
 
 
+@query("k04_replay_differs", f""", v AS (SELECT *, source_visible_at > TIMESTAMP '{CUTOFF}' OR collected_at > TIMESTAMP '{CUTOFF}' AS late FROM visibility)
+SELECT l_returnflag, CASE WHEN l_returnflag = 'N' OR count(*) FILTER (NOT late AND l_returnflag = 'R' AND l_linenumber = 7) > 0 THEN 'different' ELSE 'equal' END AS replay_status
+FROM v GROUP BY l_returnflag""", ("visibility",))
+def k04d(spark, sf):
+    first = visibility(spark, sf)
+    second = first.filter("l_returnflag <> 'N' AND NOT (l_returnflag = 'R' AND l_linenumber = 7)")
+    return jobs.freeze_decide_replay(first, second, cutoff(), ["l_returnflag"], ["l_orderkey", "l_linenumber"], "rules-1").select("l_returnflag", "replay_status")
+
+
 LEAF_SQL = f""", {GATE_VIEW},
 w AS (SELECT symbol, scale_h, gate, i FROM (SELECT DISTINCT symbol FROM members) CROSS JOIN (SELECT unnest([4, 8, 24, 48]) AS scale_h) CROSS JOIN (SELECT unnest(['identity', 'time', 'quality', 'coverage']) AS gate, unnest([0, 1, 2, 3]) AS i)),
 lv AS (SELECT w.symbol, w.scale_h, count(*) FILTER (ok) AS gates_passed, CASE WHEN bool_and(ok) THEN 'pass' ELSE 'blocked' END AS verdict, arg_min(w.gate, w.i) FILTER (NOT ok) AS first_gate

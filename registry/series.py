@@ -208,11 +208,11 @@ def f01(spark, sf):
 
 
 @query("f02_canonical_order", """
-SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_custkey, o_orderkey) AS ordinal FROM orders""")
+SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderstatus, o_totalprice / 7, o_orderdate, o_orderkey) AS ordinal FROM orders""")
 def f02(spark, sf):
-    from plumbline.ordering import micros
-    rows = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return R.canonical_order(rows, [micros("o_orderdate"), F.col("o_custkey"), F.col("o_orderkey")]).select("o_orderkey", "ordinal")
+    rows = load(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice", "o_orderdate")
+    keys = [F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("o_totalprice") / 7, F.col("o_orderdate"), F.col("o_orderkey")]
+    return R.canonical_order(rows, keys).select("o_orderkey", "ordinal")
 
 
 @query("f03_daily_top", """

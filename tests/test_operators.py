@@ -299,3 +299,21 @@ def test_components_never_stand_in_for_one_another(spark):
     grid = spark.createDataFrame([("s",), ("t",)], "k string")
     got = {(r.k, r.component): r.cost_state for r in D.cost_coverage(df, grid, ["k"], ["fee", "funding"]).collect()}
     assert got == {("s", "fee"): "covered", ("s", "funding"): "missing", ("t", "fee"): "missing", ("t", "funding"): "missing"}
+
+
+def test_latest_n_counts_an_identity_that_the_cut_splits(spark):
+    df = spark.createDataFrame([("a", 1, 7), ("a", 1, 7), ("a", 0, 1)], "k string, ts long, id long")
+    assert [(r["rank"], r["identity_status"]) for r in R.latest_n(df, ["k"], "ts", "id", 1).collect()] == [(1, "duplicate_identity")]
+
+
+def test_canonical_order_over_text_and_fractions(spark):
+    rows = [("b", 0.2), ("a", 0.9), ("a", 0.5), (None, 1.5), ("b", 0.1)]
+    df = spark.createDataFrame(rows, "s string, x double")
+    got = sorted(R.canonical_order(df, [F.col("s"), F.col("x")]).collect(), key=lambda r: r["ordinal"])
+    assert [(r["s"], r["x"], r["ordinal"]) for r in got] == [(None, 1.5, 1), ("a", 0.5, 2), ("a", 0.9, 3), ("b", 0.1, 4), ("b", 0.2, 5)]
+
+
+def test_inventory_rows_without_id_or_batch_are_named(spark):
+    df = spark.createDataFrame([("1", "x", "CSV", "/d/a"), (None, None, "CSV", "/d/b")], "id string, batch string, fmt string, path string")
+    got = {r["path"]: r["reasons"] for r in B.check_inventory(df, ["id"], "id", "batch", ["CSV"], "fmt", "path", ["/d"]).collect()}
+    assert got == {"/d/a": [], "/d/b": ["missing_id", "second_batch"]}

@@ -121,7 +121,9 @@ def count_after_edits(docs: DataFrame, trees: DataFrame, edits: DataFrame, vocab
     listed = edits.groupBy(F.col("doc_id").cast("long").alias("e_id")).agg(F.array_sort(F.collect_list(e)).alias("edits"))
     known = trees.dropDuplicates(["doc_id", "text_hash"]).select(F.col("doc_id").alias("t_id"), F.col("text_hash").alias("t_hash"), "chars", "tokens")
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
-    joined = keyed.join(known, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("text_hash") == F.col("t_hash"))).join(listed, F.col("doc_id").eqNullSafe(F.col("e_id")), "left")
+    # Trees and edits are narrow and meet first; texts are shuffled once.
+    prepared = known.join(listed, F.col("t_id").eqNullSafe(F.col("e_id")), "left")
+    joined = keyed.join(prepared, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("text_hash") == F.col("t_hash")))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(vocabulary)

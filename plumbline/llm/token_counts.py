@@ -117,13 +117,14 @@ def count_after_edits(docs: DataFrame, trees: DataFrame, edits: DataFrame, vocab
     beyond the text are moved to its end, nulls are 0 and empty. A document without edits keeps its count. Rows with the same
     id all get that id's edits; repeated rows come out repeated. `trees` are those of `build_trees`.
     """
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("k")
     e = F.struct("seq", F.coalesce("start", F.lit(0)).cast("long").alias("start"), F.coalesce("removed", F.lit(0)).cast("long").alias("removed"), F.coalesce("inserted", F.lit("")).alias("inserted"))
-    listed = edits.groupBy(F.col("doc_id").cast("long").alias("e_id")).agg(F.array_sort(F.collect_list(e)).alias("edits"))
-    known = trees.dropDuplicates(["doc_id", "text_hash"]).select(F.col("doc_id").alias("t_id"), F.col("text_hash").alias("t_hash"), "chars", "tokens")
-    keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
-    # Trees and edits are narrow and meet first; texts are shuffled once.
-    prepared = known.join(listed, F.col("t_id").eqNullSafe(F.col("e_id")), "left")
-    joined = keyed.join(prepared, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("text_hash") == F.col("t_hash")))
+    listed = edits.groupBy(key).agg(F.array_sort(F.collect_list(e)).alias("edits"))
+    # One key for all three, so that each is shuffled once; an id that several texts share brings the trees of all of them.
+    known = trees.groupBy(key).agg(F.collect_set(F.struct("text_hash", "chars", "tokens")).alias("trees"))
+    keyed = docs.select(key, F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
+    tree = F.element_at(F.filter("trees", lambda t: t["text_hash"] == F.col("text_hash")), 1)
+    joined = keyed.join(known.join(listed, "k", "left"), "k").select("doc_id", "text", "edits", tree.alias("tree")).select("doc_id", "text", "tree.chars", "tree.tokens", "edits")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(vocabulary)

@@ -12,7 +12,7 @@ from plumbline.session import SETTINGS
 from registry import QUERIES
 
 HEADLINE = [
-    "k01_audit_quality", "k03_scan_members", "k04_freeze_decide_replay", "k05_final_gate", "k07_missing_data_audit",
+    "k01_audit_quality", "k03_scan_members", "k03_scan_archives", "k04_freeze_decide_replay", "k05_final_gate", "k07_missing_data_audit",
     "k09_session_study", "k10_compression_study", "c08_asof_join", "c15_forward_outcome", "d13_set_fingerprint",
     "d19_ohlcv", "e04_latency_disorder", "f01_latest_n", "g02_replay_equal", "g04_replicate", "h03_redact",
 ]

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from plumbline.contracts import CLOCKS, LIFECYCLE_EDGES, ORDER_KINDS, PERMISSION_GATES, SIDES
 from plumbline.functions import book, scalars, verdicts
@@ -122,12 +123,15 @@ class Scan:
 
 
 def scan_rows(rows: DataFrame, group: list[str], day: str, row_no: str, key: str, ts: str, rules: RuleSet,
-              before: str | None = None) -> Scan:
+              before: str | None = None, failed: Column | None = None) -> Scan:
     """Row audit in one ordered pass per member, then boundaries, segments and missing days on the members.
 
     `before` names a struct(k, t) of the row before, where the reader knew the physical order
     (archives): then the rows are neither shuffled nor sorted, only counted per member.
 
+    `failed` marks rows that say that their member could not be read to its end: they are not counted as rows, and
+    all that was read of that member before is `failed` with it, on every day.
+
     Order checks stay inside a member (and inside chunks of a large one); only one row per
     member goes on, and it is stored, so the rows are read once for all three results.
     """
@@ -145,13 +149,15 @@ def scan_rows(rows: DataFrame, group: list[str], day: str, row_no: str, key: str
         "time_regression": F.col(ts) < last["t"], "date_mismatch": ~scalars.date_matches(ts, day),
         "rule_violation": F.size(rules.reasons()) > 0,
     }
+    fault = F.lit(False) if failed is None else F.coalesce(failed, F.lit(False))
     per_member = seen.groupBy(*member).agg(
-        F.count("*").alias("n_rows"), F.min(key).alias("first_key"), F.max(key).alias("last_key"),
-        *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in checks.items()])
+        F.count_if(~fault).alias("n_rows"), F.count_if(fault).alias("n_faults"), F.min(key).alias("first_key"), F.max(key).alias("last_key"),
+        *[F.count_if(F.coalesce(c, F.lit(False)) & ~fault).alias(n) for n, c in checks.items()])
     bounded = windows.boundary_conflicts(per_member, group, day, "first_key", "last_key").drop("highest_before")
     bad = sum((F.col(n) for n in checks), F.lit(0))
-    status = F.when((bad > 0) | (F.col("boundary_status") == "conflict"), "rejected").otherwise("proven")
-    members = materialise(bounded.withColumn("status", status), "scan-members")
+    broken = F.max("n_faults").over(W.partitionBy(*group)) > 0
+    status = F.when(broken, "failed").when((bad > 0) | (F.col("boundary_status") == "conflict"), "rejected").otherwise("proven")
+    members = materialise(bounded.withColumn("status", status).drop("n_faults"), "scan-members")
     good = members.filter("status = 'proven'").select(*group, day)
     return Scan(members, windows.segments(good, group, day), joins.missing_days(good, group, day))
 

@@ -101,7 +101,7 @@ def read_archive_members(spark: SparkSession, root: str, tasks: int | None = Non
 
 
 def parse_trades(lines: DataFrame, width: int = 6) -> DataFrame:
-    """Typed trade columns from raw lines: id, price, qty, quote_qty, time_ms, is_buyer_maker; bad rows keep null and a reason.
+    """Typed trade columns from raw lines: id, price, qty, quote_qty, time_ms, is_buyer_maker; bad rows keep null and a reason. `archive_reason` says why a member could not be read to its end.
 
     `before` is struct(k, t): key and time of the line before in the same member. Lines are cut
     once, in a projection of their own, and every field is parsed from the pieces.
@@ -130,4 +130,4 @@ def parse_trades(lines: DataFrame, width: int = 6) -> DataFrame:
         F.when(F.col("price") <= 0, "price_not_positive"), F.when(F.col("qty") <= 0, "quantity_not_positive"),
         F.when(F.col("quote_qty") < 0, "quote_negative"),
     ))
-    return typed.withColumn("reasons", reasons).drop("archive_reason")
+    return typed.withColumn("reasons", reasons)

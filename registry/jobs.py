@@ -110,7 +110,8 @@ def k03z(spark, sf):
     root, _ = tick_archives(spark, sf)
     rows = archives.parse_trades(archives.read_archive_members(spark, root)).withColumn("day", F.to_date("ts"))
     rules = RuleSet.freeze([Rule("z", "size(reasons) > 0", "bad_row")])
-    members = jobs.scan_rows(rows, ["member"], "day", "row_no", "id", "ts", rules, before="before").members
+    members = jobs.scan_rows(rows, ["member"], "day", "row_no", "id", "ts", rules, before="before",
+                             failed=F.col("archive_reason").isNotNull()).members
     return members.agg(F.sum("n_rows").alias("n_rows"), F.sum(F.col("key_repeat") + F.col("key_regression") + F.col("time_regression")).alias("n_order"),
                        F.sum("rule_violation").alias("n_rules"))
 

@@ -172,3 +172,24 @@ def test_catalog_and_time_candidates(spark):
     assert [r.position for r in columns.orderBy("position").collect()] == [0, 1, 2, 3]
     found = {r.column: r.time_contract for r in catalog.time_candidates(columns).collect()}
     assert found == dict.fromkeys(["event_time", "arrival_time", "collected_at"], "undetermined")
+
+
+def test_a_damaged_member_fails_on_every_day(spark, tmp_path):
+    import zipfile
+
+    from plumbline.plans import jobs
+    from plumbline.rules import Rule, RuleSet
+
+    lines = "".join(f"{i},1.5,2,3,{1704067200000 + i * 1000},true\n" for i in range(200_000))  # two days and more
+    for name in ("good", "bad"):
+        with zipfile.ZipFile(tmp_path / f"{name}.zip", "w", zipfile.ZIP_STORED) as z:
+            z.writestr(f"{name}.csv", lines)
+    raw = bytearray((tmp_path / "bad.zip").read_bytes())
+    raw[len(lines) - 500] ^= 1  # near the end, so that whole batches come before the check sum is known
+    (tmp_path / "bad.zip").write_bytes(raw)
+    rows = archives.parse_trades(archives.read_archive_members(spark, str(tmp_path))).withColumn("day", F.to_date("ts"))
+    rules = RuleSet.freeze([Rule("z", "size(reasons) > 0", "bad_row")])
+    members = jobs.scan_rows(rows, ["member"], "day", "row_no", "id", "ts", rules, before="before", failed=F.col("archive_reason").isNotNull()).members
+    got = {(r["member"][:3], r["status"]) for r in members.collect()}
+    assert got == {("goo", "proven"), ("bad", "failed")}
+    assert members.where("member like 'good%'").agg(F.sum("n_rows")).first()[0] == 200_000

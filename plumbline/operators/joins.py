@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plumbline.ordering import Layout, measure, micros, over_order, skew_join, upto
+from plumbline.ordering import micros, over_order, skew_join, upto
 
 
 def _per_key(df: DataFrame, on: list[str], fields: list[str], tag: str) -> DataFrame:
@@ -111,7 +111,7 @@ def bind_evidence(records: DataFrame, bindings: DataFrame, key: str, shared: lis
 
 def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, right_id: str,
               cols: list[str], visible_ts: str | None = None, tolerance: str | None = None,
-              layout: Layout | None = None) -> DataFrame:
+              whole: bool = False) -> DataFrame:
     """Last right row whose event and visible time are both known and not after the left row.
 
     Both sides go through one shuffle as one ordered sequence: a right row stands at
@@ -129,7 +129,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, ri
     targets = left.withColumn("__at", micros(left_ts)).withColumn("__side", F.lit(1))
     merged = over_order(
         targets.unionByName(sources, allowMissingColumns=True), by, [F.col("__at"), F.col("__side")],
-        {"__best": (F.col("__cand"), "max")}, {"matched": lambda w: F.max("__best").over(upto(w))}, layout,
+        {"__best": (F.col("__cand"), "max")}, {"matched": lambda w: F.max("__best").over(upto(w))}, whole,
     )
     found = F.col("matched")
     fits = F.col("__at").isNotNull()
@@ -139,7 +139,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, ri
 
 
 def forward_outcome(df: DataFrame, by: list[str], ts: str, row_id: str, value: str,
-                    horizons_minutes: list[int], layout: Layout | None = None) -> DataFrame:
+                    horizons_minutes: list[int], whole: bool = False) -> DataFrame:
     """First value at or after t + h inside the same `by` group, one row per input row and horizon.
 
     Put the segment into `by` to keep outcomes from crossing a gap: beyond the last row of
@@ -147,7 +147,6 @@ def forward_outcome(df: DataFrame, by: list[str], ts: str, row_id: str, value: s
     is the next row; horizons multiply rows by a fixed list, not by pairs.
     """
     rows = df.select(*by, row_id, ts, micros(ts).alias("__at"), F.col(value).alias("base"))
-    layout = layout or measure(rows, by, [-F.col("__at")])  # the base rows show the shape of the union as well
     asks = rows.select(
         "*", F.explode(F.array(*[F.lit(h) for h in horizons_minutes])).alias("horizon_min"), F.lit(1).alias("__side")
     ).withColumn("__at", F.col("__at") + F.col("horizon_min").cast("bigint") * 60_000_000)
@@ -157,7 +156,7 @@ def forward_outcome(df: DataFrame, by: list[str], ts: str, row_id: str, value: s
     )
     merged = over_order(
         asks.unionByName(answers, allowMissingColumns=True), by, [-F.col("__at"), F.col("__side")],
-        {"__next": (F.col("__cand"), "min")}, {"__hit": lambda w: F.min("__next").over(upto(w))}, layout,
+        {"__next": (F.col("__cand"), "min")}, {"__hit": lambda w: F.min("__next").over(upto(w))}, whole,
     )
     return merged.filter("__side = 1").select(
         *by, row_id, ts, "base", "horizon_min",
@@ -221,30 +220,26 @@ def missing_days(df: DataFrame, by: list[str], day: str) -> DataFrame:
 
 
 def event_window_join(events: DataFrame, bars: DataFrame, by: list[str], event_ts: str, bar_ts: str,
-                      pre_minutes: int, post_minutes: int, salts: int = 8) -> DataFrame:
+                      pre_minutes: int, post_minutes: int) -> DataFrame:
     """Bars in [event - pre, event + post], joined on time buckets as wide as the window.
 
     Each event meets the two or three buckets its window touches. Bars are few per bucket
-    (bucket width over bar width), events may crowd into one bucket: they are spread over
-    `salts`, and the bars are repeated once per salt.
+    (bucket width over bar width); where events crowd into one bucket, adaptive execution splits
+    its partition on their side.
     """
     width = (pre_minutes + post_minutes) * 60_000_000
     lo = micros(event_ts) - pre_minutes * 60_000_000
     hi = micros(event_ts) + post_minutes * 60_000_000
-    spread = events.select(
-        "*", lo.alias("__lo"), hi.alias("__hi"),
-        F.pmod(F.xxhash64(*events.columns), F.lit(salts)).cast("int").alias("__salt"),
-        F.explode(F.sequence(F.floor(lo / width), F.floor(hi / width))).alias("__slot"),
-    )
-    right = bars.withColumn("__at", micros(bar_ts)).withColumn("__slot", F.floor(F.col("__at") / width)).withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(right, [*by, "__slot", "__salt"]).filter(
-        F.col("__at").between(F.col("__lo"), F.col("__hi"))).drop("__lo", "__hi", "__salt", "__slot", "__at")
+    slotted = events.select(
+        "*", lo.alias("__lo"), hi.alias("__hi"), F.explode(F.sequence(F.floor(lo / width), F.floor(hi / width))).alias("__slot"))
+    right = bars.withColumn("__at", micros(bar_ts)).withColumn("__slot", F.floor(F.col("__at") / width))
+    return slotted.join(right, [*by, "__slot"]).filter(
+        F.col("__at").between(F.col("__lo"), F.col("__hi"))).drop("__lo", "__hi", "__slot", "__at")
 
 
 def event_window_totals(events: DataFrame, rows: DataFrame, by: list[str], event_ts: str, event_id: str,
                         row_ts: str, amount: Column, pre_minutes: int, post_minutes: int,
-                        layout: Layout | None = None) -> DataFrame:
+                        whole: bool = False) -> DataFrame:
     """Rows and sum of `amount` in [event - pre, event + post] without forming pairs.
 
     Running totals are read at both ends of each window; their difference is the window.
@@ -258,7 +253,7 @@ def event_window_totals(events: DataFrame, rows: DataFrame, by: list[str], event
     merged = over_order(
         ends.unionByName(points, allowMissingColumns=True), by, [F.col("__at"), F.col("__side")],
         {"__cnt": ((F.col("__side") == 1).cast("bigint"), "sum"), "__sum": (F.col("__m"), "sum")},
-        {"__run_n": lambda w: F.sum("__cnt").over(upto(w)), "__run_sum": lambda w: F.sum("__sum").over(upto(w))}, layout,
+        {"__run_n": lambda w: F.sum("__cnt").over(upto(w)), "__run_sum": lambda w: F.sum("__sum").over(upto(w))}, whole,
     )
     return merged.filter("__side <> 1").groupBy(*by, event_id).agg(
         F.sum(F.col("__sign") * F.col("__run_n")).alias("rows_in_window"),

@@ -10,20 +10,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plumbline.ordering import Layout, earlier, micros, ordinal, over_order, prior
+from plumbline.ordering import earlier, micros, ordinal, over_order, prior
 
 
-def key_order(df: DataFrame, by: list[str], row_no: str, key: str, layout: Layout | None = None) -> DataFrame:
+def key_order(df: DataFrame, by: list[str], row_no: str, key: str, whole: bool = False) -> DataFrame:
     """The business key must rise strictly in physical order: ok / repeat / regression per row."""
-    seen = prior(df, by, [F.col(row_no)], [key], "__before", layout)
+    seen = prior(df, by, [F.col(row_no)], [key], "__before", whole)
     before = F.col("__before")[key]
     status = F.when(before.isNull(), "ok").when(F.col(key) == before, "repeat").when(F.col(key) < before, "regression")
     return seen.withColumn("key_status", status.otherwise("ok")).drop("__before")
 
 
-def time_regression(df: DataFrame, by: list[str], row_no: str, ts: str, layout: Layout | None = None) -> DataFrame:
+def time_regression(df: DataFrame, by: list[str], row_no: str, ts: str, whole: bool = False) -> DataFrame:
     """Event time may repeat but may not go back in physical order."""
-    seen = prior(df, by, [F.col(row_no)], [ts], "__before", layout)
+    seen = prior(df, by, [F.col(row_no)], [ts], "__before", whole)
     back = F.coalesce(F.col(ts) < F.col("__before")[ts], F.lit(False))
     return seen.withColumn("time_status", F.when(back, "regression").otherwise("ok")).drop("__before")
 
@@ -37,12 +37,12 @@ def boundary_conflicts(members: DataFrame, by: list[str], order: str, first_key:
 
 
 def latency_disorder(df: DataFrame, by: list[str], event: str, arrival: str, row_id: str,
-                     layout: Layout | None = None) -> DataFrame:
+                     whole: bool = False) -> DataFrame:
     """Arrival latency in seconds and inversions of arrival order; `undetermined` unless both times are known."""
     known = F.col(event).isNotNull() & F.col(arrival).isNotNull()
     seen = over_order(
         df, by, [micros(arrival), F.col(row_id)], {"__event": (F.when(known, micros(event)), "max")},
-        {"__newest": lambda w: F.max("__event").over(earlier(w))}, layout,
+        {"__newest": lambda w: F.max("__event").over(earlier(w))}, whole,
     )
     inverted = F.coalesce(micros(event) < F.col("__newest"), F.lit(False))
     return seen.select(
@@ -61,9 +61,9 @@ def segments(df: DataFrame, by: list[str], day: str, extra: list[Column] | None
 
 
 def transition_audit(df: DataFrame, key: str, seq: str, state: str, edges: list[tuple[str, str]],
-                     starts: list[str], layout: Layout | None = None) -> DataFrame:
+                     starts: list[str], whole: bool = False) -> DataFrame:
     """Each step against the allowed edges: start / ok / illegal_start / illegal."""
-    seen = prior(df, [key], [F.col(seq)], [state], "__before", layout)
+    seen = prior(df, [key], [F.col(seq)], [state], "__before", whole)
     before = F.col("__before")[state]
     legal = F.concat_ws(">", before, F.col(state)).isin([f"{a}>{b}" for a, b in edges])
     status = (
@@ -85,9 +85,9 @@ def timeline_audit(df: DataFrame, steps: list[str], visible: str | None = None)
     return df.withColumn("bad_step", bad).withColumn("timeline_status", status)
 
 
-def warm(df: DataFrame, by: list[str], order: list[Column], k: int, layout: Layout | None = None) -> DataFrame:
+def warm(df: DataFrame, by: list[str], order: list[Column], k: int, whole: bool = False) -> DataFrame:
     """A row is usable only after `k` rows of its own segment (`by` includes the segment)."""
-    return ordinal(df, by, order, "segment_row", layout).withColumn("is_warm", F.col("segment_row") > k)
+    return ordinal(df, by, order, "segment_row", whole).withColumn("is_warm", F.col("segment_row") > k)
 
 
 def current_declaration(df: DataFrame, key: list[str], version: str, payload: list[str],
@@ -99,9 +99,9 @@ def current_declaration(df: DataFrame, key: list[str], version: str, payload: li
 
 
 def revisions(df: DataFrame, key: list[str], seen: list[Column], content: Column,
-              layout: Layout | None = None) -> DataFrame:
+              whole: bool = False) -> DataFrame:
     """Same key seen again: `repeat` with equal content, `revision` with other content; nothing is overwritten."""
-    hashed = prior(df.withColumn("__content", content), key, seen, ["__content"], "__before", layout)
+    hashed = prior(df.withColumn("__content", content), key, seen, ["__content"], "__before", whole)
     before = F.col("__before")["__content"]
     kind = F.when(F.col("__before").isNull(), "first").when(before == F.col("__content"), "repeat").otherwise("revision")
     return hashed.withColumn("seen_as", kind).drop("__before", "__content")

@@ -1,113 +1,50 @@
 """Ordered work (lag, running totals, row numbers, as-of) when one key may hold most of the rows.
 
-A plain window sorts a whole key in one task. Here a key that holds a large share of
-the rows is cut into chunks along the order; each chunk is one window partition, and
-what earlier chunks of the key leave behind (a count, a maximum, the last row) enters
-as one *seed* row placed at the head of the chunk. Keys that are not large keep one
-chunk and get no seed.
-
-One aggregate is read on the driver before the work: the heavy keys (at most 1/HOT_SHARE)
-and at most MAX_CHUNKS split points. Together they bound a chunk by about rows / chunks,
-and a key that is left whole by max(HOT_SHARE of the rows, `spark.plumbline.hotRows`).
+A plain window sorts a whole key in one task. Here rows are range-partitioned by (key, order): Spark samples the keys and
+cuts the rows into parts of about equal size, through the middle of a large key or of a crowd of equal order values alike.
+A part is a chunk and each key of a chunk a window partition. What earlier chunks of a key leave behind (a count, a
+maximum, the last row) enters as one *seed* row at the head of the chunk. A chunk is contiguous, so only its first key
+can have begun earlier: the summaries that seeds are made of are two rows a chunk at most, whatever the rows.
+
+The number of parts is `spark.sql.shuffle.partitions`, the setting of every other shuffle; adaptive execution merges small
+ones. The cut rows are written once to the shared folder, so that summaries and windows see the same chunks after a lost
+executor too, and the input is evaluated twice (for the sample and for the write) and never again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from plumbline.session import materialise
 
-HOT_SHARE = 0.001
-TRACKED = 10_000  # sketch entries: the count error stays near 0.02 % of the rows, so no key above HOT_SHARE is missed
-MAX_CHUNKS = 10_000
-TIE_CHUNKS = 32
-
 
 def micros(ts: str | Column) -> Column:
-    """Microseconds since the epoch; order keys are integers so that they can be split and negated."""
+    """Microseconds since the epoch, as whole numbers: they can be shifted and negated."""
     return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
 
 
-def hot_rows(spark: SparkSession) -> int:
-    """Rows one task may hold of a single key."""
-    return int(spark.conf.get("spark.plumbline.hotRows", "1000000"))
-
-
-def _top_hashes() -> Column:
-    return F.expr(f"approx_top_k(__hash, {int(1 / HOT_SHARE)}, {TRACKED})")
-
-
-def _heavy(top: list, n: int, spark: SparkSession) -> list[int]:
-    floor = max(n * HOT_SHARE, hot_rows(spark))
-    return sorted(entry["item"] for entry in top or [] if entry["count"] >= floor)
-
-
-def heavy_hashes(df: DataFrame, keys: list[str]) -> list[int]:
-    """xxhash64 of every key above max(HOT_SHARE of the rows, hotRows): one pass over the keys, combined map-side."""
-    top, n = df.select(F.xxhash64(*keys).alias("__hash")).agg(_top_hashes(), F.count("*")).first()
-    return _heavy(top, n, df.sparkSession)
-
-
-@dataclass(frozen=True)
-class Layout:
-    """How keys are cut: which keys (None = the whole table is one key), where, and how heavy single order values are cut further."""
-
-    hot: list[int] | None
-    splits: list[float]
-    ties: dict[int, list[int]] = field(default_factory=dict)
+def cut(df: DataFrame, by: list[str], order: list[str], name: str = "ordered") -> DataFrame:
+    """Range-partition by (`by`, `order`) and store the rows with `__chunk`, which never falls along that order.
 
+    Rows equal in both go on by a digest of the whole row, so that a crowd of ties is cut as well; only copies equal in
+    every column stay together. Keys keep their types and are compared as what they are, nulls first.
+    """
+    digested = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    ranged = df.withColumn("__tie", F.xxhash64(*digested)).repartitionByRange(*by, *order, "__tie")
+    return materialise(ranged.drop("__tie").withColumn("__chunk", F.spark_partition_id()), name)
 
-# For rows already reduced to few per key (bars, days, members): no key is cut and nothing is measured.
-WHOLE = Layout([], [])
 
-
-def measure(df: DataFrame, by: list[str], order: list[Column]) -> Layout:
-    """Choose the cuts from the data, in one aggregate: heavy keys and quantiles of the first order column."""
-    spark = df.sparkSession
-    grid = max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), MAX_CHUNKS))
-    keys = [f"__o{i}" for i in range(len(order))]
-    rows = df.select(F.xxhash64(*(by or [F.lit(0)])).alias("__hash"), *[c.cast("bigint").alias(k) for c, k in zip(order, keys)])
-    probs = [i / grid for i in range(1, grid)]
-    n, found, top = rows.agg(F.count("*"), F.percentile_approx(keys[0], probs, 10 * grid), _top_hashes()).first()
-    hot = _heavy(top, n, spark) if by else None
-    if hot == [] or n <= hot_rows(spark) or not found:
-        return WHOLE
-    step = max(1, int(grid * hot_rows(spark) / (2 * n)))  # no finer than the row bound asks for
-    found = found[::step]
-    repeated = sorted({v for v, following in zip(found, found[1:]) if v == following})
-    ties = {}
-    if repeated and len(order) > 1:
-        parts = [i / TIE_CHUNKS for i in range(1, TIE_CHUNKS)]
-        cuts = rows.filter(F.col(keys[0]).isin(repeated)).groupBy(keys[0]).agg(F.percentile_approx(keys[1], parts, 10 * TIE_CHUNKS))
-        ties = {value: sorted(set(at or [])) for value, at in cuts.collect()}  # one row per repeated split point
-    return Layout(hot, sorted({float(v) for v in found}), ties)
-
-
-def place(df: DataFrame, by: list[str], order: list[str], layout: Layout) -> DataFrame:
-    """Add `__chunk`, which never falls along the order inside a key; -1 marks keys kept whole."""
-    if not layout.splits:
-        return df.withColumn("__chunk", F.lit(-1))
-    cut = Bucketizer(inputCol="__key", outputCol="__bucket", handleInvalid="keep",
-                     splits=[float("-inf"), *layout.splits, float("inf")])
-    lowest = F.lit(float("-inf"))
-    df = cut.transform(df.withColumn("__key", F.coalesce(F.col(order[0]).cast("double"), lowest)))
-    chunk = F.col("__bucket").cast("int")
-    if layout.ties:
-        sub = F.lit(TIE_CHUNKS + 1)
-        for value, cuts in layout.ties.items():
-            spots = F.array(*[F.lit(c) for c in cuts])
-            position = F.size(F.filter(spots, lambda s: s <= F.col(order[1])))
-            sub = F.when(F.col(order[0]) == value, F.coalesce(position, F.lit(0))).otherwise(sub)
-        chunk = chunk * (TIE_CHUNKS + 2) + sub
-    if layout.hot is not None:
-        chunk = F.when(F.xxhash64(*by).isin(layout.hot), chunk).otherwise(-1)
-    return df.withColumn("__chunk", chunk).drop("__key", "__bucket")
+def _spanning(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Rows of the first and the last key of each chunk: no other key can reach into another chunk."""
+    if not by:
+        return rows
+    key = F.struct(*by)
+    edges = rows.groupBy("__chunk").agg(F.min(key).alias("__first"), F.max(key).alias("__last"))
+    return rows.join(edges, "__chunk").filter(key.eqNullSafe(F.col("__first")) | key.eqNullSafe(F.col("__last"))).drop("__first", "__last")
 
 
 # How the value of a chunk is summed up, and how summaries of earlier chunks are put together.
@@ -126,25 +63,25 @@ def over_order(
     order: list[Column],
     state: dict[str, tuple[Column, str]],
     outputs: dict[str, Callable[[WindowSpec], Column]],
-    layout: Layout | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     """Window functions over `by` in `order` whose result needs only `state` of the rows before.
 
     `state` names a row value and how it is carried (`sum`, `max`, `min`, `last`);
     `outputs` build columns from the state on a window that already holds the seed.
-    `order` must be total and ascending (negate for descending).
+    `order` must be total and ascending (negate numbers for descending); nulls come first. `whole` leaves keys uncut,
+    for rows already reduced to few per key (bars, days, members).
     """
     keys = [f"__o{i}" for i in range(len(order))]
     rows = df.select(
-        "*", *[c.cast("bigint").alias(k) for c, k in zip(order, keys)],
+        "*", *[c.alias(k) for c, k in zip(order, keys)],
         *[value.alias(name) for name, (value, _) in state.items()],
     )
-    layout = layout or measure(df, by, order)
-    if not layout.splits:  # plain window; a table bucketed by `by` and sorted in order needs no exchange and no sort
+    if whole:  # a table bucketed by `by` and sorted in order needs no exchange and no sort
         plain = W.partitionBy(*by).orderBy(*keys)
         return rows.select(*df.columns, *[make(plain).alias(name) for name, make in outputs.items()])
-    rows = place(rows, by, keys, layout)
-    summary = rows.filter("__chunk >= 0").groupBy(*by, "__chunk").agg(
+    rows = cut(rows, by, keys)
+    summary = _spanning(rows, by).groupBy(*by, "__chunk").agg(
         *[_SUMMARY[kind](name, keys).alias(name) for name, (_, kind) in state.items()]
     )
     before = W.partitionBy(*by).orderBy("__chunk")
@@ -172,51 +109,34 @@ def earlier(window: WindowSpec) -> WindowSpec:
 
 
 def prior(df: DataFrame, by: list[str], order: list[Column], cols: list[str], name: str = "prior",
-          layout: Layout | None = None) -> DataFrame:
+          whole: bool = False) -> DataFrame:
     """The row before, as struct `name` of `cols` (null on the first row of a key)."""
     return over_order(
         df, by, order, {"__prior": (F.struct(*cols), "last")},
-        {name: lambda w: F.lag("__prior").over(w)}, layout,
+        {name: lambda w: F.lag("__prior").over(w)}, whole,
     )
 
 
 def ordinal(df: DataFrame, by: list[str], order: list[Column], name: str = "ordinal",
-            layout: Layout | None = None) -> DataFrame:
+            whole: bool = False) -> DataFrame:
     """Exact row number of each row inside its key (the whole table when `by` is empty)."""
     return over_order(
         df, by, order, {"__one": (F.lit(1).cast("bigint"), "sum")},
-        {name: lambda w: F.sum("__one").over(upto(w))}, layout,
+        {name: lambda w: F.sum("__one").over(upto(w))}, whole,
     )
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
-    """Join rows to a side that is unique on `on` (`inner`, `left`, `left_semi`, `left_anti`).
+    """Join rows, whose keys may be skewed, to a side of one row per key (`inner`, `left`, `left_semi`, `left_anti`).
 
-    Rows of heavy keys are joined apart with the right rows of those keys. A right side that is unique has few of
-    them, and the optimizer broadcasts what it measures as small; one that is not is shuffled, and adaptive
-    execution splits its skewed partitions. No broadcast is forced.
+    Nothing is measured or hinted: the optimizer broadcasts what it sees to be small, and where it does not, adaptive execution
+    splits the large partitions of `left`, one of a single key too. Key columns of `right` take the types of `left`.
     """
-    kinds = {f.name: f.dataType for f in left.schema}  # equal values hash alike only within one type
+    kinds = {f.name: f.dataType for f in left.schema}
     right = right.select(*[F.col(c).cast(kinds[c]).alias(c) if c in on else F.col(c) for c in right.columns])
-    hot = heavy_hashes(left, on)
-    if not hot:
-        return left.join(right, on, how)
-    is_hot = F.xxhash64(*on).isin(hot)
-    large = left.filter(is_hot).join(right.filter(is_hot), on, how)
-    return left.filter(~is_hot).join(right.filter(~is_hot), on, how).unionByName(large)
+    return left.join(right, on, how)
 
 
 def place_all(df: DataFrame, order: list[Column], name: str = "ordinal") -> DataFrame:
-    """Number all rows of a table in the order of keys of any type, each compared as what it is.
-
-    Rows are range-partitioned by the keys, which splits any accumulation of values but fully equal ones; the cut is fixed
-    in a stored table, so that counting and numbering see the same parts; a table with one row per part gives the offsets.
-    """
-    keys = [F.col(f"__k{i}") for i in range(len(order))]
-    keyed = df.select("*", *[c.alias(f"__k{i}") for i, c in enumerate(order)])
-    cut = materialise(keyed.repartitionByRange(*keys).withColumn("__part", F.spark_partition_id()), "ordered")
-    before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = cut.groupBy("__part").agg(F.count("*").alias("__n")).select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    inside = F.row_number().over(W.partitionBy("__part").orderBy(*keys))
-    numbered = cut.withColumn(name, inside).join(offsets, "__part")
-    return numbered.withColumn(name, F.col(name) + F.col("__before")).select(*df.columns, name)
+    """Number all rows of a table in the order of keys of any type, each compared as what it is."""
+    return ordinal(df, [], order, name)

@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from plumbline.contracts import CLOCKS, LIFECYCLE_EDGES, ORDER_KINDS, PERMISSION_GATES, SIDES
 from plumbline.functions import book, scalars, verdicts
 from plumbline.operators import aggregates, features, filters, joins, ranking, sets, windows
-from plumbline.ordering import WHOLE, over_order
+from plumbline.ordering import over_order
 from plumbline.rules import RuleSet
 from plumbline.session import materialise
 from plumbline.sources import catalog
@@ -236,7 +236,7 @@ def lifecycle_events(snapshots: DataFrame, n: int, cutoff: Column) -> DataFrame:
 def lifecycle_evidence(snapshots: DataFrame, n: int, cutoff: Column) -> DataFrame:
     """Terminal states per symbol, kind and clock, with the number of illegal or backward steps."""
     events = lifecycle_events(snapshots, n, cutoff)
-    audited = windows.transition_audit(events, "order_id", "seq", "state", LIFECYCLE_EDGES, ["created"], WHOLE)
+    audited = windows.transition_audit(events, "order_id", "seq", "state", LIFECYCLE_EDGES, ["created"], whole=True)
     ended = F.col("seq") == 4
     return audited.groupBy("symbol", "kind", "clock").agg(
         *[F.count_if(ended & (F.col("state") == end)).alias(f"n_{end}") for end in ("filled", "canceled", "unknown")],
@@ -275,7 +275,7 @@ def session_study(bars: DataFrame, horizon_minutes: int) -> DataFrame:
     broken = features.range_break(bars)
     labelled = broken.withColumn("session", scalars.session_label("bar_ts"))
     labelled = labelled.withColumn("row", F.unix_micros(F.col("bar_ts").cast("timestamp")))
-    later = joins.forward_outcome(labelled, ["symbol"], "bar_ts", "row", "close", [horizon_minutes], WHOLE).select("symbol", "row", "outcome")
+    later = joins.forward_outcome(labelled, ["symbol"], "bar_ts", "row", "close", [horizon_minutes], whole=True).select("symbol", "row", "outcome")
     known = labelled.join(later, ["symbol", "row"])
     ret = F.ln(F.col("outcome").cast("double") / F.col("close").cast("double"))
     return known.groupBy("symbol", "session").agg(
@@ -304,7 +304,7 @@ def compression_features(bars: DataFrame, oi: DataFrame, needed: int = 4, n: int
 def compression_study(bars: DataFrame, oi: DataFrame, horizon_minutes: int, needed: int = 4) -> DataFrame:
     """Outcome rate after compressed and other bars, per symbol and first-release mark."""
     x = materialise(compression_features(bars, oi, needed), "features").withColumn("row", F.unix_micros(F.col("bar_ts").cast("timestamp")))
-    later = joins.forward_outcome(x, ["symbol"], "bar_ts", "row", "close", [horizon_minutes], WHOLE).select("symbol", "row", "outcome")
+    later = joins.forward_outcome(x, ["symbol"], "bar_ts", "row", "close", [horizon_minutes], whole=True).select("symbol", "row", "outcome")
     joined = x.join(later, ["symbol", "row"])
     return aggregates.hit_rate(joined, ["symbol", "compressed", "is_first_release"], F.col("outcome") > F.col("close"))
 

@@ -19,9 +19,15 @@ def spark():
     session.stop()
 
 
+CUT = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
 @pytest.fixture
 def split(spark):
-    """Treat nearly every key as heavy, so that the chunked paths run on small fixtures."""
-    spark.conf.set("spark.plumbline.hotRows", "5")
+    """Leave small shuffle partitions apart, so that keys are cut into many chunks on small fixtures."""
+    kept = {k: spark.conf.get(k) for k in CUT}
+    for k, v in CUT.items():
+        spark.conf.set(k, v)
     yield spark
-    spark.conf.unset("spark.plumbline.hotRows")
+    for k, v in kept.items():
+        spark.conf.set(k, v)

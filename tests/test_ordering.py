@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import joins as C
 from plumbline.operators import windows as E
-from plumbline.ordering import Layout, heavy_hashes, measure, ordinal, over_order, place, prior, skew_join, upto
+from plumbline.ordering import cut, ordinal, over_order, prior, skew_join, upto
 
 
 def rows_with_hot_key(n: int = 400, ties: bool = False, seed: int = 1):
@@ -30,9 +30,6 @@ def rows_with_hot_key(n: int = 400, ties: bool = False, seed: int = 1):
 def test_prior_and_running_maximum_match_brute_force(split, ties):
     data = rows_with_hot_key(ties=ties)
     df = split.createDataFrame(data, "k string, at long, id long, v long").repartition(5)
-    layout = measure(df, ["k"], [F.col("at"), F.col("id")])
-    assert layout.hot and layout.splits
-    assert bool(layout.ties) == ties
     seen = {r.id: r for r in prior(df, ["k"], [F.col("at"), F.col("id")], ["v"], "p").collect()}
     top = {r.id: r.m for r in over_order(
         df, ["k"], [F.col("at"), F.col("id")], {"x": (F.col("v"), "max")}, {"m": lambda w: F.max("x").over(upto(w))}).collect()}
@@ -53,20 +50,43 @@ def test_ordinal_over_the_whole_table(split):
     assert got == expected
 
 
+def sizes_of(df, order):
+    """Rows and bounds of each chunk of a table that is cut by `order` inside the key k."""
+    return cut(df, ["k"], order).groupBy("__chunk").agg(
+        F.count("*").alias("n"), F.min(F.struct("k", *order)).alias("lo"), F.max(F.struct("k", *order)).alias("hi")).orderBy("__chunk").collect()
+
+
 def test_chunks_are_monotone_and_small(split):
-    df = split.range(0, 5000).select(F.lit("one").alias("k"), F.col("id").alias("__o0"), F.lit(0).cast("bigint").alias("__o1"))
-    layout = measure(df, ["k"], [F.col("__o0"), F.col("__o1")])
-    sizes = place(df, ["k"], ["__o0", "__o1"], layout).groupBy("__chunk").agg(
-        F.count("*").alias("n"), F.min("__o0").alias("lo"), F.max("__o0").alias("hi")).orderBy("__chunk").collect()
-    assert len(sizes) > 4 and max(s.n for s in sizes) < 2 * 5000 / 8
+    sizes = sizes_of(split.range(0, 5000).select(F.lit("one").alias("k"), F.col("id").alias("a")), ["a"])
+    assert len(sizes) > 8 and max(s.n for s in sizes) < 5000 / 8
     assert all(a.hi < b.lo for a, b in zip(sizes, sizes[1:]))
 
 
-def test_one_order_value_holding_most_rows_is_cut_by_the_second_column(split):
-    df = split.range(0, 4000).select(F.lit("one").alias("k"), F.lit(7).cast("bigint").alias("__o0"), F.col("id").alias("__o1"))
-    layout = measure(df, ["k"], [F.col("__o0"), F.col("__o1")])
-    sizes = [r["count"] for r in place(df, ["k"], ["__o0", "__o1"], layout).groupBy("__chunk").count().collect()]
-    assert max(sizes) < 4000 / 8
+def test_one_key_and_time_holding_most_rows_is_cut(split):
+    """Also where the rest of the order does not tell the rows apart, as in an as-of join."""
+    df = split.range(0, 4000).select(F.lit("one").alias("k"), F.lit(7).alias("at"), F.lit(0).alias("side"), "id")
+    assert max(s.n for s in sizes_of(df, ["at", "side"])) < 4000 / 8
+    right = split.createDataFrame([("one", 7, 1), ("one", 8, 2)], "k string, at long, id long").withColumn("at", F.timestamp_seconds("at"))
+    left = df.select("k", "id", F.timestamp_seconds("at").alias("ts"))
+    found = C.asof_join(left, right, ["k"], "ts", "at", "id", []).groupBy("matched.id").count().collect()
+    assert [tuple(r) for r in found] == [(1, 4000)]
+
+
+def test_thousands_of_tied_values(split):
+    df = split.range(0, 9000).select(F.lit("one").alias("k"), (F.col("id") % 3000).alias("day"), "id")
+    got = ordinal(df, ["k"], [F.col("day"), F.col("id")])
+    assert got.filter(F.col("ordinal") != F.col("day") * 3 + F.floor(F.col("id") / 3000) + 1).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["string", "decimal(20,3)", "double", "date"])
+def test_order_keys_keep_their_type(split, kind):
+    values = {"string": "printf('%05d', id)", "decimal(20,3)": "id / 1000", "double": "id / 7", "date": "date_add(date'1990-01-01', int(id))"}
+    df = split.range(0, 600).selectExpr("if(id % 3 = 0, 'hot', 'k' || id % 20) AS k", f"CAST({values[kind]} AS {kind}) AS at", "id").repartition(7)
+    before = {}
+    for r in sorted(df.collect(), key=lambda r: r.id):
+        before.setdefault(r.k, []).append(r.id)
+    expected = {i: (ids[n - 1] if n else None) for ids in before.values() for n, i in enumerate(ids)}
+    assert {r.id: r.p and r.p.id for r in prior(df, ["k"], [F.col("at")], ["id"], "p").collect()} == expected
 
 
 def test_null_order_and_null_keys_survive(split):
@@ -79,7 +99,6 @@ def test_null_order_and_null_keys_survive(split):
 def test_skew_join_equals_plain_join(split, how):
     left = split.createDataFrame([("hot" if i % 2 else f"k{i % 40}", i) for i in range(500)], "k string, v int")
     right = split.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(0, 40, 4)], "k string, w int")
-    assert heavy_hashes(left, ["k"])
     plain = left.join(right, ["k"], how)
     assert sorted(map(str, skew_join(left, right, ["k"], how).collect())) == sorted(map(str, plain.collect()))
 
@@ -133,8 +152,13 @@ def test_latency_disorder_ignores_unknown_clocks(split):
         newest = max(newest, e) if a is not None else newest
 
 
-def test_layout_is_only_physical(split):
+def test_the_cut_is_only_physical(split):
     df = split.createDataFrame(rows_with_hot_key(), "k string, at long, id long, v long")
     order = [F.col("at"), F.col("id")]
-    plain = sorted(map(tuple, ordinal(df, ["k"], order, layout=Layout([], [])).collect()))
+    plain = sorted(map(tuple, ordinal(df, ["k"], order, whole=True).collect()))
     assert sorted(map(tuple, ordinal(df, ["k"], order).collect())) == plain
+
+
+def test_empty_table(split):
+    df = split.createDataFrame([], "k string, at long")
+    assert ordinal(df, ["k"], [F.col("at")]).collect() == [] and ordinal(df, [], [F.col("at")]).collect() == []

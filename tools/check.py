@@ -60,7 +60,8 @@ def main() -> int:
     parts = sys.argv[2:]
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
              .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
-             .config("spark.plumbline.hotRows", os.environ.get("HOT_ROWS", "1000000"))
+             # CUT=1 keeps small shuffle partitions apart, so that keys are cut into chunks on small tables too
+             .config("spark.sql.adaptive.coalescePartitions.enabled", str("CUT" not in os.environ).lower())
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf), 0

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import record_sha
-from plumbline.operators.aggregates import fingerprint_levels
+from plumbline.operators.aggregates import fingerprint_sums
 from plumbline.operators.joins import _per_key, _present
 
 
@@ -68,7 +68,7 @@ def replicate(df: DataFrame, k: int, name: str = "copy") -> DataFrame:
 
 def replicated_fingerprints(df: DataFrame, cols: list[str], k: int) -> DataFrame:
     """One fingerprint per copy; all must agree."""
-    return fingerprint_levels(replicate(df, k), cols, ["copy"])
+    return fingerprint_sums(replicate(df, k), cols, ["copy"])
 
 
 def field_union(df: DataFrame, json_col: str) -> DataFrame:

@@ -172,7 +172,7 @@ def freeze_decide_replay(first: DataFrame, second: DataFrame, cutoff: Column, gr
     """
     def decide(members: DataFrame, tag: str) -> DataFrame:
         labelled = filters.label_visibility(members, cutoff)
-        prints = aggregates.fingerprint_levels(  # the counts of all states come with it
+        prints = aggregates.fingerprint_sums(  # the counts of all states come with it
             labelled, [*group, *key], [*group, "visibility"], only=F.col("visibility") == "visible")
         state = F.col("visibility")
 

@@ -606,15 +606,13 @@ def d12(spark, sf):
     return D.remaining_gap(gates, ["o_custkey"])
 
 
-TREE_SQL = """
-SELECT {by_out} sum(n)::BIGINT AS n_rows, sha256(string_agg(p || ':' || h, ',' ORDER BY p)) AS fingerprint FROM
- (SELECT {by} left(p, 2) AS p, sum(n) AS n, sha256(string_agg(p || ':' || h, ',' ORDER BY p)) AS h FROM
-  (SELECT {by} left(s, 5) AS p, sum(n) AS n, sha256(string_agg(s || ':' || n, ',' ORDER BY s)) AS h FROM
-   (SELECT {by} s, count(*) AS n FROM ({rows}) GROUP BY ALL) GROUP BY ALL) GROUP BY ALL) {tail}"""
+# count(s) and the sums of nine 20-bit words of the digests s, hashed once.
+SUMS_SQL = "sha256(concat_ws(':', count(s), " + ", ".join(
+    f"coalesce(sum((CAST('0x' || substr(s, {at}, 15) AS BIGINT) >> {down}) & 1048575), 0)" for at in (1, 16, 31) for down in (0, 20, 40)) + "))"
 EVENT_SHA = """sha256('{"event_id":' || event_id || ',"event_type":"' || event_type || '","ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","user_id":' || user_id || '}') AS s"""
 
 
-@query("d13_set_fingerprint", TREE_SQL.format(by_out="", by="", tail="", rows=f"SELECT {EVENT_SHA} FROM events"))
+@query("d13_set_fingerprint", f"SELECT count(*) AS n_rows, {SUMS_SQL} AS fingerprint FROM (SELECT {EVENT_SHA} FROM events)")
 def d13(spark, sf):
     return D.set_fingerprint(load(spark, sf, "events"), ["event_id", "ts", "user_id", "event_type"])
 

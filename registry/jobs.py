@@ -11,7 +11,7 @@ from plumbline.plans import jobs
 from plumbline.rules import Rule, RuleSet
 from plumbline.session import materialise
 from plumbline.sources import archives, files
-from registry.audits import CUTOFF, GATE_VIEW, GATES, cutoff, gate_rows, tick_archives
+from registry.audits import CUTOFF, GATE_VIEW, GATES, SUMS_SQL, cutoff, gate_rows, tick_archives
 from registry.base import bars, load, members, oi, query, ticks, visibility
 from registry.series import BODY_SQL, BREAK_SQL, OI_SQL, RECURSIVE, VOL_SQL, VOLUME_SQL, books
 
@@ -117,9 +117,8 @@ def k03z(spark, sf):
 
 
 @query("k04_freeze_decide_replay", f""", v AS (SELECT *, source_visible_at > TIMESTAMP '{CUTOFF}' OR collected_at > TIMESTAMP '{CUTOFF}' AS late FROM visibility),
-f AS (SELECT l_returnflag, sha256(string_agg(p || ':' || h, ',' ORDER BY p)) AS fp FROM (SELECT l_returnflag, left(p, 2) AS p, sha256(string_agg(p || ':' || h, ',' ORDER BY p)) AS h FROM
- (SELECT l_returnflag, left(s, 5) AS p, sha256(string_agg(s || ':' || n, ',' ORDER BY s)) AS h FROM (SELECT l_returnflag, sha256('{{"l_linenumber":' || l_linenumber || ',"l_orderkey":' || l_orderkey || ',"l_returnflag":"' || l_returnflag || '"}}') AS s, count(*) AS n
-  FROM v WHERE NOT late GROUP BY ALL) GROUP BY ALL) GROUP BY ALL) GROUP BY ALL)
+f AS (SELECT l_returnflag, {SUMS_SQL} AS fp FROM (SELECT l_returnflag, sha256('{{"l_linenumber":' || l_linenumber || ',"l_orderkey":' || l_orderkey || ',"l_returnflag":"' || l_returnflag || '"}}') AS s
+  FROM v WHERE NOT late) GROUP BY ALL)
 SELECT v.l_returnflag, count(*) AS total, count(*) FILTER (NOT late) AS formal, count(*) FILTER (late) AS rejected, 0::BIGINT AS undetermined, fp AS decision_sha, fp AS replay_sha, 'equal' AS replay_status,
  sha256('{CUTOFF}' || chr(10) || 'rules-1') AS intent_sha, 0::BIGINT AS difference FROM v LEFT JOIN f ON v.l_returnflag = f.l_returnflag GROUP BY v.l_returnflag, fp""", ("visibility",))
 def k04(spark, sf):

@@ -14,7 +14,7 @@ from plumbline.operators import windows as E
 from plumbline.rules import Rule, RuleSet
 from plumbline.session import spread
 from plumbline.sources import catalog
-from registry.audits import EVENT_SHA, TREE_SQL
+from registry.audits import EVENT_SHA, SUMS_SQL
 from registry.base import bars, load, members, oi, order_days, query, ticks, visibility
 
 
@@ -280,8 +280,8 @@ def g03(spark, sf):
                             docs.filter("source <> 'web' OR doc_id % 3 = 0").select("doc_id", S.sha256(text).alias("h")), ["doc_id"], "h")
 
 
-@query("g04_replicate", TREE_SQL.format(by_out="copy,", by="copy,", tail="GROUP BY copy",
-                                        rows=f"SELECT copy, {EVENT_SHA} FROM events, (SELECT unnest([1, 2, 3, 4]) AS copy)"))
+@query("g04_replicate", f"""SELECT copy, count(*) AS n_rows, {SUMS_SQL} AS fingerprint
+FROM (SELECT copy, {EVENT_SHA} FROM events, (SELECT unnest([1, 2, 3, 4]) AS copy)) GROUP BY copy""")
 def g04(spark, sf):
     return G.replicated_fingerprints(load(spark, sf, "events"), ["event_id", "ts", "user_id", "event_type"], 4)
 

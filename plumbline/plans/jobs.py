@@ -123,14 +123,15 @@ class Scan:
 
 
 def scan_rows(rows: DataFrame, group: list[str], day: str, row_no: str, key: str, ts: str, rules: RuleSet,
-              before: str | None = None, failed: Column | None = None) -> Scan:
+              before: str | None = None, failed: Column | None = None, unit: list[str] | None = None) -> Scan:
     """Row audit in one ordered pass per member, then boundaries, segments and missing days on the members.
 
     `before` names a struct(k, t) of the row before, where the reader knew the physical order
     (archives): then the rows are neither shuffled nor sorted, only counted per member.
 
-    `failed` marks rows that say that their member could not be read to its end: they are not counted as rows, and
-    all that was read of that member before is `failed` with it, on every day.
+    `failed` marks rows that say that their member could not be read to its end: they are not counted as rows, all that
+    was read of it is `failed` with it and its keys bound no other member. `unit` names what fails together: by default
+    `group`, on every day; `[*group, day]` where the day is the member's own, from its name.
 
     Order checks stay inside a member (and inside chunks of a large one); only one row per
     member goes on, and it is stored, so the rows are read once for all three results.
@@ -153,11 +154,12 @@ def scan_rows(rows: DataFrame, group: list[str], day: str, row_no: str, key: str
     per_member = seen.groupBy(*member).agg(
         F.count_if(~fault).alias("n_rows"), F.count_if(fault).alias("n_faults"), F.min(key).alias("first_key"), F.max(key).alias("last_key"),
         *[F.count_if(F.coalesce(c, F.lit(False)) & ~fault).alias(n) for n, c in checks.items()])
-    bounded = windows.boundary_conflicts(per_member, group, day, "first_key", "last_key").drop("highest_before")
+    judged = per_member.withColumn("__broken", F.max("n_faults").over(W.partitionBy(*(unit or group))) > 0).withColumns(
+        {c: F.when(~F.col("__broken"), F.col(c)) for c in ("first_key", "last_key")})
+    bounded = windows.boundary_conflicts(judged, group, day, "first_key", "last_key").drop("highest_before")
     bad = sum((F.col(n) for n in checks), F.lit(0))
-    broken = F.max("n_faults").over(W.partitionBy(*group)) > 0
-    status = F.when(broken, "failed").when((bad > 0) | (F.col("boundary_status") == "conflict"), "rejected").otherwise("proven")
-    members = materialise(bounded.withColumn("status", status).drop("n_faults"), "scan-members")
+    status = F.when(F.col("__broken"), "failed").when((bad > 0) | (F.col("boundary_status") == "conflict"), "rejected").otherwise("proven")
+    members = materialise(bounded.withColumn("status", status).drop("n_faults", "__broken"), "scan-members")
     good = members.filter("status = 'proven'").select(*group, day)
     return Scan(members, windows.segments(good, group, day), joins.missing_days(good, group, day))
 

@@ -100,6 +100,20 @@ def read_archive_members(spark: SparkSession, root: str, tasks: int | None = Non
     return paths.repartition(tasks, "path").mapInPandas(member_rows, LINE_SCHEMA)
 
 
+def with_identity(df: DataFrame, path: str = "path") -> DataFrame:
+    """`symbol`, `object` and `member_date` as the archive name SYMBOL-object-YYYY-MM-DD.zip states them; null where it does not.
+
+    The name decides what a member is, never its rows: a row of another day is then a finding, and an archive that
+    cannot be read still has a symbol and a day to be missing from.
+    """
+    name = F.element_at(F.split(path, "/"), -1)
+
+    def part(i: int) -> Column:
+        return F.nullif(F.regexp_extract(name, r"^([^-]+)-([^-]+)-(\d{4}-\d{2}-\d{2})\.zip$", i), F.lit(""))
+
+    return df.select("*", part(1).alias("symbol"), part(2).alias("object"), part(3).try_cast("date").alias("member_date"))
+
+
 def parse_trades(lines: DataFrame, width: int = 6) -> DataFrame:
     """Typed trade columns from raw lines: id, price, qty, quote_qty, time_ms, is_buyer_maker; bad rows keep null and a reason. `archive_reason` says why a member could not be read to its end.
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,6 +98,59 @@ def tick_archives(spark, sf):
     return root, materialise(written, "archive-list")
 
 
+def _one_archive_a_name(root):
+    """Writer for `mapInPandas` over rows sorted by (name, position): a member is streamed into its archive while its rows last."""
+    def write(batches):
+        system, place = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        system.create_dir(place, recursive=True)
+        name, packed, archive, member = None, None, None, None
+
+        def close(damage):
+            member.close()
+            archive.close()
+            content = bytearray(packed.getvalue())
+            if damage == 3:  # the middle of the packed rows, which follow a head of 30 bytes and the file name
+                content[30 + len(f"{name}.csv") + archive.infolist()[0].compress_size // 2] ^= 255
+            with system.open_output_stream(f"{place}/{name}.zip") as out:
+                out.write(bytes(content[: len(content) // 2] if damage == 4 else content))
+
+        damage = 0
+        for batch in batches:
+            for key, rows in batch.groupby("name", sort=False):
+                if key != name:
+                    if name is not None:
+                        close(damage)
+                        yield pd.DataFrame({"name": [name]})
+                    name, damage, packed = key, rows["kind"].iloc[0], io.BytesIO()
+                    archive = zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED)
+                    member = archive.open(f"{name}.csv", "w")
+                member.write(("\n".join(rows["line"]) + "\n").encode())
+        if name is not None:
+            close(damage)
+            yield pd.DataFrame({"name": [name]})
+
+    return write
+
+
+def daily_archives(spark, sf):
+    """The ticks as one archive per symbol and day, named after both. By day of the month modulo 7: 1 the rows run backwards,
+    2 the first row comes twice, 3 a byte is damaged, 4 the file is cut short, 5 the last row is of the day before."""
+    root = fresh_folder(spark, "daily-archives")
+    rows = ticks(spark, sf).select("symbol", "trade_id", "ts", "qty", F.col("price").cast("decimal(18,2)").alias("price"), "buyer_maker",
+                                   F.to_date("ts").alias("day"), (F.dayofmonth("ts") % 7).alias("kind"))
+    ends = rows.groupBy("symbol", "day").agg(F.min("trade_id").alias("lo"), F.max("trade_id").alias("hi"))
+    copies = F.when((F.col("kind") == 2) & (F.col("trade_id") == F.col("lo")), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    ms = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000) - F.when((F.col("kind") == 5) & (F.col("trade_id") == F.col("hi")), 86_400_000).otherwise(0)
+    line = F.concat_ws(",", F.col("trade_id").cast("string"), F.col("price").cast("string"), F.col("qty").cast("string"), F.lit("1"),
+                       ms.cast("bigint").cast("string"), F.when(F.col("buyer_maker"), "true").otherwise("false"))
+    lines = rows.join(ends, ["symbol", "day"]).withColumn("copy", F.explode(copies)).select(
+        F.concat_ws("-", "symbol", F.lit("trades"), F.col("day").cast("string")).alias("name"), "kind", "copy", line.alias("line"),
+        F.when(F.col("kind") == 1, -F.col("trade_id")).otherwise(F.col("trade_id")).alias("pos"))
+    written = lines.repartition("name").sortWithinPartitions("name", "pos", "copy").mapInPandas(_one_archive_a_name(root), "name string")
+    materialise(written, "archive-list")
+    return root
+
+
 @query("a04_archive_members", """
 SELECT symbol_free AS is_buyer_maker, count(*) AS n, CAST(sum(qty) AS BIGINT) AS qty, CAST(sum(price) AS DOUBLE) AS price, min(make_timestamp((epoch_us(ts) // 1000) * 1000)) AS first_ts, count(*) FILTER (price <= 0) AS n_bad
 FROM (SELECT *, buyer_maker AS symbol_free FROM ticks) GROUP BY 1""", ("ticks",))

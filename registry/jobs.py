@@ -11,7 +11,7 @@ from plumbline.plans import jobs
 from plumbline.rules import Rule, RuleSet
 from plumbline.session import materialise
 from plumbline.sources import archives, files
-from registry.audits import CUTOFF, GATE_VIEW, GATES, SUMS_SQL, cutoff, gate_rows, tick_archives
+from registry.audits import CUTOFF, GATE_VIEW, GATES, SUMS_SQL, cutoff, daily_archives, gate_rows, tick_archives
 from registry.base import bars, load, members, oi, query, ticks, visibility
 from registry.series import BODY_SQL, BREAK_SQL, OI_SQL, RECURSIVE, VOL_SQL, VOLUME_SQL, books
 
@@ -74,6 +74,7 @@ def k02(spark, sf):
     return jobs.prove_members(archives, checksums, listing, F.when(F.col("open"), "undetermined").otherwise("proven"))
 
 
+MEMBER_COUNTS = ["n_rows", "first_key", "last_key", "key_repeat", "key_regression", "time_regression", "date_mismatch", "rule_violation"]
 TICK_RULES = RuleSet.freeze([Rule("t1", "price <= 0.2", "price_too_low"), Rule("t2", "qty <= 0", "quantity_not_positive")])
 SCAN_SQL = """, s AS (SELECT symbol, CAST(ts AS DATE) AS event_date, trade_id, ts, price, qty, lag(trade_id) OVER w AS pk, lag(ts) OVER w AS pt FROM ticks WINDOW w AS (PARTITION BY symbol, CAST(ts AS DATE) ORDER BY trade_id)),
 p AS (SELECT symbol, event_date, count(*) AS n_rows, min(trade_id) AS first_key, max(trade_id) AS last_key, count(*) FILTER (trade_id = pk) AS key_repeat, count(*) FILTER (trade_id < pk) AS key_regression,
@@ -116,6 +117,27 @@ def k03z(spark, sf):
                        F.sum("rule_violation").alias("n_rules"))
 
 
+@query("k03_archive_members", f"""
+, d AS (SELECT symbol, CAST(ts AS DATE) AS day, day(ts) % 7 AS kind, trade_id, epoch_us(ts) // 1000 AS ms, price, min(trade_id) OVER w AS lo, max(trade_id) OVER w AS hi FROM ticks WINDOW w AS (PARTITION BY symbol, CAST(ts AS DATE))),
+r AS (SELECT symbol, day, kind, trade_id, copy, ms - CASE WHEN kind = 5 AND trade_id = hi THEN 86400000 ELSE 0 END AS ms, CAST(price AS DECIMAL(18,2)) AS price, CASE WHEN kind = 1 THEN -trade_id ELSE trade_id END AS pos
+ FROM d, (SELECT unnest([0, 1]) AS copy) WHERE copy = 0 OR (kind = 2 AND trade_id = lo)),
+s AS (SELECT *, lag(trade_id) OVER w AS pk, lag(ms) OVER w AS pt FROM r WINDOW w AS (PARTITION BY symbol, day ORDER BY pos, copy)),
+p AS (SELECT symbol, day, kind IN (3, 4) AS broken, count(*) AS n_rows, min(trade_id) AS first_key, max(trade_id) AS last_key, count(*) FILTER (trade_id = pk) AS key_repeat, count(*) FILTER (trade_id < pk) AS key_regression,
+ count(*) FILTER (ms < pt) AS time_regression, count(*) FILTER (CAST(make_timestamp(ms * 1000) AS DATE) <> day) AS date_mismatch, count(*) FILTER (price <= 0) AS rule_violation FROM s GROUP BY ALL),
+b AS (SELECT *, CASE WHEN NOT broken AND first_key <= max(last_key) FILTER (NOT broken) OVER (PARTITION BY symbol ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 'conflict' ELSE 'ok' END AS boundary_status FROM p)
+SELECT symbol, 'trades' AS object, day AS member_date, boundary_status, CASE WHEN broken THEN 'failed' WHEN key_repeat + key_regression + time_regression + date_mismatch + rule_violation > 0 OR boundary_status = 'conflict' THEN 'rejected' ELSE 'proven' END AS status,
+ {", ".join(f"CASE WHEN NOT broken THEN {c} END AS {c}" for c in MEMBER_COUNTS)} FROM b""", ("ticks",), member_date="VARCHAR")
+def k03m_archives(spark, sf):
+    root = daily_archives(spark, sf)
+    rows = archives.with_identity(archives.parse_trades(archives.read_archive_members(spark, root)))
+    rules = RuleSet.freeze([Rule("z", "size(reasons) > 0", "bad_row")])
+    group = ["symbol", "object"]
+    members = jobs.scan_rows(rows, group, "member_date", "row_no", "id", "ts", rules, before="before",
+                             failed=F.col("archive_reason").isNotNull(), unit=[*group, "member_date"]).members
+    known = F.col("status") != "failed"
+    return members.select(*group, "member_date", "boundary_status", "status", *[F.when(known, F.col(c)).alias(c) for c in MEMBER_COUNTS])
+
+
 @query("k04_freeze_decide_replay", f""", v AS (SELECT *, source_visible_at > TIMESTAMP '{CUTOFF}' OR collected_at > TIMESTAMP '{CUTOFF}' AS late FROM visibility),
 f AS (SELECT l_returnflag, {SUMS_SQL} AS fp FROM (SELECT l_returnflag, sha256('{{"l_linenumber":' || l_linenumber || ',"l_orderkey":' || l_orderkey || ',"l_returnflag":"' || l_returnflag || '"}}') AS s
   FROM v WHERE NOT late) GROUP BY ALL)

@@ -193,3 +193,22 @@ def test_a_damaged_member_fails_on_every_day(spark, tmp_path):
     got = {(r["member"][:3], r["status"]) for r in members.collect()}
     assert got == {("goo", "proven"), ("bad", "failed")}
     assert members.where("member like 'good%'").agg(F.sum("n_rows")).first()[0] == 200_000
+
+
+def test_the_archive_name_says_what_a_member_is(spark):
+    paths = ["file:/x/BTCUSDT-trades-2024-01-02.zip", "s/ETHUSDT-aggTrades-2024-02-30.zip", "y/notes.zip", "BTCUSDT-trades-2024-01.zip"]
+    got = archives.with_identity(spark.createDataFrame([(p,) for p in paths], "path string")).collect()
+    assert [(r.symbol, r.object, r.member_date and str(r.member_date)) for r in got] == [
+        ("BTCUSDT", "trades", "2024-01-02"), ("ETHUSDT", "aggTrades", None), (None, None, None), (None, None, None)]
+
+
+def test_a_broken_member_fails_alone_and_bounds_no_other(spark):
+    rows = spark.createDataFrame(
+        [("a", "2024-01-01", i, i, None) for i in range(5)] + [("a", "2024-01-02", 0, 900, None), ("a", "2024-01-02", None, None, "crc_mismatch"),
+         ("a", "2024-01-03", 0, 10, None)], "symbol string, day string, row_no long, id long, fault string").selectExpr(
+        "symbol", "CAST(day AS date) AS day", "row_no", "id", "CAST(day AS timestamp) AS ts", "fault")
+    rules = RuleSet.freeze([Rule("r", "id < 0", "negative")])
+    scan = jobs.scan_rows(rows, ["symbol"], "day", "row_no", "id", "ts", rules, failed=F.col("fault").isNotNull(), unit=["symbol", "day"])
+    got = {str(r.day)[-1]: (r.status, r.boundary_status, r.first_key) for r in scan.members.collect()}
+    assert got == {"1": ("proven", "ok", 0), "2": ("failed", "ok", None), "3": ("proven", "ok", 10)}
+    assert [str(r.day) for r in scan.missing.collect()] == ["2024-01-02"]

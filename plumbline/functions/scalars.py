@@ -129,13 +129,24 @@ def unique_json_long(c: str | Column, paths: list[str]) -> Column:
     return F.when(F.size(values) == 1, values[0])
 
 
-def session_label(ts: str | Column, us_open: str = "21:30", zone: str = "Asia/Shanghai") -> Column:
-    """Trading session by Beijing clock: Asia 08:00, Europe 15:00, US from `us_open` until 08:00."""
-    local = F.from_utc_timestamp(_col(ts).cast("timestamp"), zone)
-    minute = F.hour(local) * 60 + F.minute(local)
-    hours, minutes = us_open.split(":")
-    us = int(hours) * 60 + int(minutes)
-    return F.when((minute >= 480) & (minute < 900), "asia").when((minute >= 900) & (minute < us), "europe").otherwise("us")
+def _minute_of_day(local: Column) -> Column:
+    return F.hour(local) * 60 + F.minute(local)
+
+
+def session_label(ts: str | Column, us_open: str | None = None, zone: str = "Asia/Shanghai") -> Column:
+    """Trading session by Beijing clock: Asia from 08:00, Europe from 15:00, US until 08:00.
+
+    The US session opens at 09:30 in New York, which is 21:30 in Beijing in summer and 22:30 in winter;
+    `us_open` fixes another opening by Beijing clock.
+    """
+    utc = _col(ts).cast("timestamp")
+    minute = _minute_of_day(F.from_utc_timestamp(utc, zone))
+    if us_open is None:  # from 15:00 to midnight in Beijing it is the morning of the same day in New York
+        early = _minute_of_day(F.from_utc_timestamp(utc, "America/New_York")) < 9 * 60 + 30
+    else:
+        hours, minutes = us_open.split(":")
+        early = minute < int(hours) * 60 + int(minutes)
+    return F.when((minute >= 480) & (minute < 900), "asia").when((minute >= 900) & early, "europe").otherwise("us")
 
 
 def session_date(ts: str | Column, zone: str = "Asia/Shanghai") -> Column:

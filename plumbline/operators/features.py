@@ -114,6 +114,21 @@ def range_break(bars: DataFrame, n: int = 20, confirm: int = 3, by: list[str] =
     return base.withColumn("false_break", back)
 
 
+def session_range_break(bars: DataFrame, session: str, day: str, tested: str = "europe", prior: str = "asia", by: list[str] = BY) -> DataFrame:
+    """Bars of session `tested` whose close lies beyond the range of session `prior` of the same session day.
+
+    `false_break` when a later close of the session is back inside, null on its last bar. A window holds the bars of one session.
+    """
+    of_day = [*by, day]
+    ranges = bars.filter(F.col(session) == prior).groupBy(*of_day).agg(F.max("high").alias("range_high"), F.min("low").alias("range_low"))
+    later = _w(of_day).rowsBetween(1, W.unboundedFollowing)
+    rows = bars.filter(F.col(session) == tested).join(ranges, of_day, "left").withColumn(
+        "break_side", F.when(F.col("close") > F.col("range_high"), "up").when(F.col("close") < F.col("range_low"), "down"))
+    back = F.when(F.col("break_side") == "up", F.min("close").over(later) <= F.col("range_high")).when(
+        F.col("break_side") == "down", F.max("close").over(later) >= F.col("range_low"))
+    return rows.withColumn("false_break", back)
+
+
 def retest_hold(bars: DataFrame, n: int = 3, by: list[str] = BY) -> DataFrame:
     """After an upward break the lows of the next n bars stay above the level (null when not yet known)."""
     following = _w(by).rowsBetween(1, n)

@@ -47,6 +47,18 @@ def match_digest(a: DataFrame, b: DataFrame, on: list[str], computed: Column, de
     return joined.withColumn("digest_status", status)
 
 
+def match_etag(files: DataFrame, listing: DataFrame, on: list[str], content: Column, etag: str) -> DataFrame:
+    """MD5 of a file's bytes against the ETag of its listing (unique on `on`), quotes and case aside.
+
+    An ETag of another form (`...-n` after an upload in parts) is no MD5 of the file: `undetermined`.
+    """
+    joined = skew_join(files.withColumn("computed", F.md5(content)), listing.select(*on, etag), on)
+    plain = F.lower(F.regexp_replace(etag, '"', ""))
+    status = F.when(plain.isNull(), "undeclared").when(~plain.rlike("^[0-9a-f]{32}$"), "undetermined").when(
+        F.col("computed") == plain, "match").otherwise("etag_mismatch")
+    return joined.withColumn("etag_status", status)
+
+
 def classify_drift(frozen: DataFrame, current: DataFrame, key: list[str], raw: str, normalised: str,
                    in_scope: Column | None = None) -> DataFrame:
     """same / normalised_equal / changed / missing / new / not_unique / out_of_scope per key, by two content hashes."""

@@ -72,9 +72,14 @@ def read_jsonl_strict(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return lines.withColumn("line_class", json_class(F.col("line")))
 
 
-def jsonl_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines per class and duplicate objects per file; duplicates compare the canonical JSON (sorted keys, no blanks)."""
+def jsonl_counts(spark: SparkSession, path: str | list[str], unit: Column | None = None) -> DataFrame:
+    """Lines per class and duplicate objects per file; duplicates compare the canonical JSON (sorted keys, no blanks).
+
+    `unit`, an expression of `file`, counts several part files as one (for example by their folder).
+    """
     lines = read_jsonl_strict(spark, path)
+    if unit is not None:
+        lines = lines.withColumn("file", unit)
     canonical = F.when(F.col("line_class") == "object", F.to_json(F.try_parse_json("line")))
     per_record = lines.groupBy("file", "line_class", F.sha2(canonical, 256).alias("__f")).agg(F.count("*").alias("__n"))
 

@@ -3,35 +3,43 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.scalars import escape_formula, is_sensitive
+from plumbline.operators.aggregates import set_fingerprint
 from plumbline.operators.filters import project_allowed
 
 MANIFEST = "manifest"
 
 
 def publish_batch(df: DataFrame, root: str, batch_id: str, manifest: dict[str, str]) -> None:
-    """Write a new `batch_id=` directory; a second publish of the same id fails.
+    """Write a new `batch_id=` directory; a second publish of the same id fails and changes nothing.
 
-    The manifest is written last and marks the batch as complete: readers that go
-    through `published_batches` never see a half-written one.
+    Rows go to a folder of their own first. The manifest is written last, names that folder and the fingerprint of what
+    was written, and marks the batch as complete: `read_batch` never sees a half-written one, and a publish
+    that broke before its manifest can simply be made again.
     """
-    target = f"{root}/batch_id={batch_id}"
-    df.write.mode("errorifexists").parquet(f"{target}/data")
-    row = json.dumps({"batch_id": batch_id, **manifest}, sort_keys=True, ensure_ascii=False)
+    target, staged = f"{root}/batch_id={batch_id}", f"data-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(f"{target}/{staged}")
+    written = set_fingerprint(df.sparkSession.read.schema(df.schema).parquet(f"{target}/{staged}")).first()
+    facts = {**manifest, "batch_id": batch_id, "data": staged, "n_rows": written["n_rows"], "fingerprint": written["fingerprint"]}
+    row = json.dumps(facts, sort_keys=True, ensure_ascii=False)
     schema = T.StructType([T.StructField("value", T.StringType())])
     df.sparkSession.createDataFrame([(row,)], schema).coalesce(1).write.mode("errorifexists").text(f"{target}/{MANIFEST}")
 
 
 def read_batch(spark: SparkSession, root: str, batch_id: str) -> DataFrame:
     """Rows of a completed batch; without a manifest the read fails."""
-    target = f"{root}/batch_id={batch_id}"
-    spark.read.text(f"{target}/{MANIFEST}").schema  # raises when the batch was never completed
-    return spark.read.parquet(f"{target}/data")
+    return spark.read.parquet(f"{root}/batch_id={batch_id}/{read_manifest(spark, root, batch_id)['data']}")
+
+
+def read_manifest(spark: SparkSession, root: str, batch_id: str) -> dict[str, str]:
+    """What a completed batch says about itself; raises when it was never completed."""
+    return json.loads(spark.read.text(f"{root}/batch_id={batch_id}/{MANIFEST}").first()["value"])
 
 
 def safe_projection(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -71,19 +71,21 @@ def lifecycle_steps(edges: list[tuple[str, str]], starts: list[str], patience_ms
             state.remove()
             yield pd.DataFrame([(key[0], seen, last, last, "timeout")], columns=["order_id", "seq", "from_state", "state", "step_status"])
             return
-        out = []
         # The steps of one order are few (one per lifecycle state), so one order fits a task.
-        for row in pd.concat(list(frames)).sort_values("seq").itertuples():
-            if last is None:
-                verdict = "start" if row.state in starts else "illegal_start"
-            else:
-                verdict = "ok" if (last, row.state) in allowed else "illegal"
-            out.append((key[0], row.seq, last, row.state, verdict))
-            last, seen = row.state, row.seq
+        rows = pd.concat(list(frames)).sort_values("seq", kind="stable")
+        # A step that comes after a later one has been judged has no known predecessor: it is told apart and changes nothing.
+        late, due = rows[rows["seq"] <= seen], rows[rows["seq"] > seen]
+        before = [last, *due["state"]][: len(due)]
+        verdicts = ["ok" if pair in allowed else "illegal" for pair in zip(before, due["state"], strict=True)]
+        if last is None and verdicts:
+            verdicts[0] = "start" if due["state"].iloc[0] in starts else "illegal_start"
+        if len(due):
+            last, seen = due["state"].iloc[-1], due["seq"].iloc[-1]
         state.update((last, int(seen)))
         if patience_ms:
             state.setTimeoutDuration(patience_ms)
-        yield pd.DataFrame(out, columns=["order_id", "seq", "from_state", "state", "step_status"])
+        judged = pd.concat([due.assign(from_state=before, step_status=verdicts), late.assign(from_state=None, step_status="late")])
+        yield judged.assign(order_id=key[0])[["order_id", "seq", "from_state", "state", "step_status"]]
 
     return steps
 
@@ -128,6 +130,24 @@ def stream_publish(stream: DataFrame, root: str, checkpoint: str) -> StreamingQu
     return stream.writeStream.foreachBatch(publish_epoch(root)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def with_closing(stream: DataFrame, folder: str) -> DataFrame:
+    """The stream together with `folder`, through which `run_to_end` tells it that nothing more comes."""
+    spark = stream.sparkSession
+    spark.createDataFrame([], stream.schema).write.mode("append").parquet(folder)  # the folder has to be there
+    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(folder))
+
+
+def run_to_end(stream: DataFrame, closing: DataFrame, folder: str, path: str, checkpoint: str) -> DataFrame:
+    """Drive an append stream over all of its input, then publish the windows still open.
+
+    `closing` is one row for `folder` with an event time after all windows: it moves the watermark past them, and
+    its own window stays open for good. It comes only after the input is used up, so it makes no row late.
+    """
+    run_to_files(stream, path, checkpoint)
+    closing.write.mode("append").parquet(folder)
+    return run_to_files(stream, path, checkpoint)
+
+
 def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Drive an append stream over the available input into Parquet and read the result back."""
     query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(

@@ -18,7 +18,7 @@ from plumbline.operators import windows as E
 from plumbline.rules import Rule, RuleSet
 from plumbline.session import fresh_folder, materialise
 from plumbline.sources import archives, catalog, files, sinks
-from registry.base import bars, load, members, oi, order_days, query, ticks, visibility
+from registry.base import bars, load, members, oi, order_days, query, session_sql, ticks, visibility
 
 CUTOFF = "1998-06-15 00:00:00"
 
@@ -77,13 +77,13 @@ def a03(spark, sf):
 
 
 @query("a03_jsonl_counts", """
-SELECT count(*) AS n_lines, count(*) FILTER (user_id % 5 > 2) AS n_object, count(*) FILTER (user_id % 5 = 0) AS n_blank, count(*) FILTER (user_id % 5 = 2) AS n_illegal, count(*) FILTER (user_id % 5 = 1) AS n_non_object,
- (SELECT CAST(sum(n - 1) AS BIGINT) FROM (SELECT props, count(*) AS n FROM events WHERE user_id % 5 > 2 GROUP BY 1)) AS n_duplicate FROM events""")
+SELECT event_type, count(*) AS n_lines, count(*) FILTER (user_id % 5 > 2) AS n_object, count(*) FILTER (user_id % 5 = 0) AS n_blank, count(*) FILTER (user_id % 5 = 2) AS n_illegal, count(*) FILTER (user_id % 5 = 1) AS n_non_object,
+ count(*) FILTER (user_id % 5 > 2) - count(DISTINCT props) FILTER (user_id % 5 > 2) AS n_duplicate FROM events GROUP BY 1""")
 def a03c(spark, sf):
     path = fresh_folder(spark, "event-lines")
-    # One file: duplicates are counted per file. The copy is a fixture for the reader, not part of it.
-    load(spark, sf, "events").select(event_text().alias("value")).coalesce(1).write.text(path)
-    return files.jsonl_counts(spark, path).drop("file")
+    load(spark, sf, "events").select("event_type", event_text().alias("value")).write.partitionBy("event_type").text(path)
+    counts = files.jsonl_counts(spark, path, unit=F.regexp_extract("file", "event_type=([^/]+)/", 1))
+    return counts.withColumnRenamed("file", "event_type")
 
 
 def tick_archives(spark, sf):
@@ -354,6 +354,18 @@ def c03(spark, sf):
         "doc_id", "digest_status", S.md5("text").alias("etag"))
 
 
+@query("c03_match_etag", """
+SELECT d.doc_id, CASE WHEN s.doc_id IS NULL THEN 'undeclared' WHEN toxic = 1 THEN 'etag_mismatch' WHEN quality = 0 THEN 'undetermined' ELSE 'match' END AS etag_status
+FROM documents d LEFT JOIN labels s ON d.doc_id = s.doc_id""")
+def c03e(spark, sf):
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    md5 = F.md5("text")
+    etag = F.when(F.col("toxic") == 1, F.md5(F.concat("text", F.lit(" ")))).when(F.col("quality") == 0, F.concat(md5, F.lit("-2"))).otherwise(
+        F.concat(F.lit('"'), F.upper(md5), F.lit('"')))
+    listing = docs.join(load(spark, sf, "labels"), "doc_id").select("doc_id", etag.alias("listed"))
+    return C.match_etag(docs, listing, ["doc_id"], F.col("text"), "listed").select("doc_id", "etag_status")
+
+
 @query("c04_classify_drift", """
 WITH d AS (SELECT CASE WHEN doc_id < 20 THEN 1 ELSE doc_id END AS k, text, doc_id FROM documents),
 a AS (SELECT k, min(text) AS t, min(trim(text)) AS n, count(*) AS c FROM d WHERE doc_id % 3 <> 0 GROUP BY k),
@@ -687,10 +699,9 @@ def d15(spark, sf):
     return D.terminal_counts(load(spark, sf, "orders"), ["o_orderpriority"], "o_orderstatus", ["F", "O", "P"])
 
 
-@query("d16_session_stats", """
+@query("d16_session_stats", f"""
 SELECT symbol, session, count(*) AS n_bars, count(close > open) AS n_known, round(avg(CAST(close > open AS DOUBLE)), 6) AS hit_rate, round(stddev_samp(ln(CAST(close AS DOUBLE) / CAST(open AS DOUBLE))), 6) AS volatility FROM
- (SELECT *, CASE WHEN m >= 480 AND m < 900 THEN 'asia' WHEN m >= 900 AND m < 1290 THEN 'europe' ELSE 'us' END AS session FROM
-  (SELECT *, hour(bar_ts + INTERVAL 8 HOUR) * 60 + minute(bar_ts + INTERVAL 8 HOUR) AS m FROM bars_1h)) GROUP BY ALL""", ("bars_1h",))
+ (SELECT *, {session_sql('bar_ts')} AS session FROM bars_1h) GROUP BY ALL""", ("bars_1h",))
 def d16(spark, sf):
     rows = bars(spark, sf).withColumn("session", S.session_label("bar_ts"))
     ret = F.ln(F.col("close").cast("double") / F.col("open").cast("double"))

@@ -67,6 +67,14 @@ def ctes(*names: str) -> str:
     return "WITH RECURSIVE " + ", ".join(f"{n} AS ({VIEWS[n]})" for n in VIEWS if n in wanted) + " "
 
 
+def session_sql(ts: str) -> str:
+    """The session of a UTC time: Asia and Europe by Beijing clock, the US opening by New York clock."""
+    beijing = f"(hour({ts} + INTERVAL 8 HOUR) * 60 + minute({ts} + INTERVAL 8 HOUR))"
+    york = f"timezone('America/New_York', timezone('UTC', {ts}))"
+    return (f"CASE WHEN {beijing} >= 480 AND {beijing} < 900 THEN 'asia' "
+            f"WHEN {beijing} >= 900 AND hour({york}) * 60 + minute({york}) < 570 THEN 'europe' ELSE 'us' END")
+
+
 # Types in which values leave the queries: both engines print and hash these alike.
 LEAVE_AS = {"DOUBLE": "double", "VARCHAR": "string"}
 

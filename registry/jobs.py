@@ -12,7 +12,7 @@ from plumbline.rules import Rule, RuleSet
 from plumbline.session import materialise
 from plumbline.sources import archives, files
 from registry.audits import CUTOFF, GATE_VIEW, GATES, SUMS_SQL, cutoff, daily_archives, gate_rows, tick_archives
-from registry.base import bars, load, members, oi, query, ticks, visibility
+from registry.base import bars, load, members, oi, query, session_sql, ticks, visibility
 from registry.series import BODY_SQL, BREAK_SQL, OI_SQL, RECURSIVE, VOL_SQL, VOLUME_SQL, books
 
 ORDER_RULES = RuleSet.freeze([Rule("o1", "o_totalprice <= 1000", "price_low"), Rule("o2", "o_orderstatus NOT IN ('F', 'O', 'P')", "status_unknown")])
@@ -227,9 +227,9 @@ def k08(spark, sf):
     return jobs.cost_evidence(rows, grid, ["symbol", "scale_h"], 5000.0, COST_COMPONENTS)
 
 
-@query("k09_session_study", BREAK_SQL + """, o AS (SELECT a.*, n.close AS outcome FROM (SELECT *, bar_ts + INTERVAL 4 HOUR AS target FROM k) a ASOF LEFT JOIN bars_1h n ON a.symbol = n.symbol AND a.target <= n.bar_ts),
-z AS (SELECT *, hour(bar_ts + INTERVAL 8 HOUR) * 60 + minute(bar_ts + INTERVAL 8 HOUR) AS m, CASE break_side WHEN 'up' THEN next_min <= range_high WHEN 'down' THEN next_max >= range_low END AS false_break FROM o)
-SELECT symbol, CASE WHEN m >= 480 AND m < 900 THEN 'asia' WHEN m >= 900 AND m < 1290 THEN 'europe' ELSE 'us' END AS session, count(*) AS n_bars, count(outcome) AS n_known,
+@query("k09_session_study", BREAK_SQL + f""", o AS (SELECT a.*, n.close AS outcome FROM (SELECT *, bar_ts + INTERVAL 4 HOUR AS target FROM k) a ASOF LEFT JOIN bars_1h n ON a.symbol = n.symbol AND a.target <= n.bar_ts),
+z AS (SELECT *, {session_sql('bar_ts')} AS session, CASE break_side WHEN 'up' THEN next_min <= range_high WHEN 'down' THEN next_max >= range_low END AS false_break FROM o)
+SELECT symbol, session, count(*) AS n_bars, count(outcome) AS n_known,
  round(avg(CAST(outcome > close AS DOUBLE)), 6) AS hit_rate, round(stddev_samp(ln(CAST(outcome AS DOUBLE) / CAST(close AS DOUBLE))), 6) AS volatility, count(break_side) AS n_breaks, count(*) FILTER (false_break) AS n_false_breaks FROM z GROUP BY ALL""", ("bars_1h",))
 def k09(spark, sf):
     out = jobs.session_study(bars(spark, sf), 240)

@@ -28,17 +28,22 @@ def finish(spark, stream, name):
     return L.run_to_files(stream, fresh_folder(spark, f"{name}-out"), fresh_folder(spark, f"{name}-state"))
 
 
-# Append mode emits a window once the watermark (newest event minus the delay) has passed its end.
-CLOSED = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)"
+def finish_windows(spark, sf, name, windows):
+    """All windows that `windows` makes of the ticks, also those that the input leaves open."""
+    folder = fresh_folder(spark, f"{name}-end")
+    ticks = tick_stream(spark, sf)
+    end = spark.range(1).select(*[(F.lit("9000-01-01") if f.name == "ts" else F.lit(None)).cast(f.dataType).alias(f.name) for f in ticks.schema])
+    out = windows(L.with_closing(ticks, folder))
+    return L.run_to_end(out, end, folder, fresh_folder(spark, f"{name}-out"), fresh_folder(spark, f"{name}-state"))
 
 
-@query("i01_stream_quality", f"""
+@query("i01_stream_quality", """
 SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01 00:00:00') AS window_start, symbol, count(*) AS n_rows, count(*) FILTER (price <= 0.5) AS price_low, count(*) FILTER (qty > 90) AS qty_high
-FROM ticks GROUP BY ALL HAVING time_bucket(INTERVAL 6 HOUR, any_value(ts), TIMESTAMP '1970-01-01 00:00:00') + INTERVAL 6 HOUR <= {CLOSED}""", ("ticks",))
+FROM ticks GROUP BY ALL""", ("ticks",))
 def i01(spark, sf):
-    out = L.stream_quality(tick_stream(spark, sf), "ts", "6 hours", "1 hour", ["symbol"],
-                           {"price_low": F.col("price") <= 0.5, "qty_high": F.col("qty") > 90})
-    return finish(spark, out, "i01").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    rules = {"price_low": F.col("price") <= 0.5, "qty_high": F.col("qty") > 90}
+    out = finish_windows(spark, sf, "i01", lambda ticks: L.stream_quality(ticks, "ts", "6 hours", "1 hour", ["symbol"], rules))
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query("i02_stream_dedup", """SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_users FROM (SELECT DISTINCT user_id, symbol FROM ticks)""", ("ticks",))
@@ -56,25 +61,25 @@ def i03(spark, sf):
     return finish(spark, split, "i03").groupBy("arrival_status", "symbol").agg(F.count("*").alias("n"))
 
 
-@query("i04_stream_segments", f""", g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY symbol ORDER BY trade_id) < INTERVAL 1 HOUR THEN 0 ELSE 1 END AS cut FROM ticks),
+@query("i04_stream_segments", """, g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY symbol ORDER BY trade_id) < INTERVAL 1 HOUR THEN 0 ELSE 1 END AS cut FROM ticks),
 s AS (SELECT *, sum(cut) OVER (PARTITION BY symbol ORDER BY trade_id) AS seg FROM g)
-SELECT symbol, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_rows FROM s GROUP BY symbol, seg HAVING max(ts) + INTERVAL 1 HOUR <= {CLOSED}""", ("ticks",))
+SELECT symbol, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_rows FROM s GROUP BY symbol, seg""", ("ticks",))
 def i04(spark, sf):
-    out = L.stream_segments(tick_stream(spark, sf), "ts", "1 hour", "1 hour", ["symbol"])
-    return finish(spark, out, "i04").select("symbol", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("first_ts", "last_ts")], "n_rows")
+    out = finish_windows(spark, sf, "i04", lambda ticks: L.stream_segments(ticks, "ts", "1 hour", "1 hour", ["symbol"]))
+    return out.select("symbol", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("first_ts", "last_ts")], "n_rows")
 
 
-@query("i05_stream_bars", f"SELECT * FROM bars_1h WHERE bar_ts + INTERVAL 1 HOUR <= {CLOSED}", ("bars_1h",), open="DOUBLE", high="DOUBLE", low="DOUBLE", close="DOUBLE")
+@query("i05_stream_bars", "SELECT * FROM bars_1h", ("bars_1h",), open="DOUBLE", high="DOUBLE", low="DOUBLE", close="DOUBLE")
 def i05(spark, sf):
-    return finish(spark, L.stream_bars(tick_stream(spark, sf), "1 hour", "1 hour"), "i05").withColumn(
+    return finish_windows(spark, sf, "i05", lambda ticks: L.stream_bars(ticks, "1 hour", "1 hour")).withColumn(
         "bar_ts", F.col("bar_ts").cast("timestamp_ntz"))
 
 
-@query("i05_stream_bars_sliding", f"""
+@query("i05_stream_bars_sliding", """
 SELECT symbol, w AS bar_ts, CAST(sum(qty) AS BIGINT) AS volume, count(*) AS n_trades FROM (SELECT symbol, qty, unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS w FROM ticks)
-GROUP BY ALL HAVING w + INTERVAL 2 HOUR <= {CLOSED}""", ("ticks",))
+GROUP BY ALL""", ("ticks",))
 def i05b(spark, sf):
-    return finish(spark, L.stream_bars(tick_stream(spark, sf), "2 hours", "1 hour", "1 hour"), "i05b").select(
+    return finish_windows(spark, sf, "i05b", lambda ticks: L.stream_bars(ticks, "2 hours", "1 hour", "1 hour")).select(
         "symbol", F.col("bar_ts").cast("timestamp_ntz").alias("bar_ts"), "volume", "n_trades")
 
 

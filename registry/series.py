@@ -15,7 +15,7 @@ from plumbline.rules import Rule, RuleSet
 from plumbline.session import spread
 from plumbline.sources import catalog
 from registry.audits import EVENT_SHA, SUMS_SQL
-from registry.base import bars, load, members, oi, order_days, query, ticks, visibility
+from registry.base import bars, load, members, oi, order_days, query, session_sql, ticks, visibility
 
 
 def r6(*names):
@@ -149,6 +149,17 @@ def e13(spark, sf):
     return X.range_break(bars(spark, sf)).select("symbol", "bar_ts", "break_side", "false_break")
 
 
+@query("e13_session_break", f"""
+, s AS (SELECT *, {session_sql('bar_ts')} AS session, CAST(bar_ts AS DATE) AS day FROM bars_1h),
+r AS (SELECT symbol, day, max(high) AS rh, min(low) AS rl FROM s WHERE session = 'asia' GROUP BY ALL),
+j AS (SELECT s.*, rh, rl, min(close) OVER f AS later_min, max(close) OVER f AS later_max, CASE WHEN close > rh THEN 'up' WHEN close < rl THEN 'down' END AS break_side
+ FROM s LEFT JOIN r ON s.symbol = r.symbol AND s.day = r.day WHERE session = 'europe' WINDOW f AS (PARTITION BY s.symbol, s.day ORDER BY bar_ts ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
+SELECT symbol, bar_ts, break_side, CASE break_side WHEN 'up' THEN later_min <= rh WHEN 'down' THEN later_max >= rl END AS false_break FROM j""", ("bars_1h",))
+def e13s(spark, sf):
+    rows = bars(spark, sf).withColumn("session", S.session_label("bar_ts")).withColumn("day", S.session_date("bar_ts"))
+    return X.session_range_break(rows, "session", "day").select("symbol", "bar_ts", "break_side", "false_break")
+
+
 @query("e14_retest_hold", BREAK_SQL + """ SELECT symbol, bar_ts, CASE WHEN break_side = 'up' AND next_n = 3 THEN next_low > range_high END AS retest_held FROM k""", ("bars_1h",))
 def e14(spark, sf):
     return X.retest_hold(X.range_break(bars(spark, sf))).select("symbol", "bar_ts", "retest_held")
@@ -455,9 +466,7 @@ def h15(spark, sf):
         F.round(K.depth("asks", n), 5).alias("depth"), (F.round(K.impact("asks", n, F.col("l_extendedprice")), 8) + F.lit(0.0)).alias("impact"))
 
 
-@query("h16_session_label", """
-SELECT event_id, CASE WHEN m >= 480 AND m < 900 THEN 'asia' WHEN m >= 900 AND m < 1290 THEN 'europe' ELSE 'us' END AS session, CAST(ts AS DATE) AS session_date FROM
- (SELECT event_id, ts, hour(ts + INTERVAL 8 HOUR) * 60 + minute(ts + INTERVAL 8 HOUR) AS m FROM events)""", session_date="VARCHAR")
+@query("h16_session_label", f"SELECT event_id, {session_sql('ts')} AS session, CAST(ts AS DATE) AS session_date FROM events", session_date="VARCHAR")
 def h16(spark, sf):
     return load(spark, sf, "events").select("event_id", S.session_label("ts").alias("session"), S.session_date("ts").alias("session_date"))
 

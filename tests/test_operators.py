@@ -255,6 +255,9 @@ def test_availability_order(spark):
 def test_session_edges(spark):
     rows = [("2026-07-01 00:00:00", "asia"), ("2026-07-01 06:59:59", "asia"), ("2026-07-01 07:00:00", "europe"), ("2026-07-01 13:29:59", "europe"),
             ("2026-07-01 13:30:00", "us"), ("2026-07-01 23:59:59", "us")]
+    winter = [("2026-01-15 07:00:00", "europe"), ("2026-01-15 14:29:59", "europe"), ("2026-01-15 14:30:00", "us")]
+    cold = spark.createDataFrame(winter, "t string, want string").withColumn("ts", F.col("t").cast("timestamp"))
+    assert cold.filter(S.session_label("ts") != F.col("want")).count() == 0
     df = spark.createDataFrame(rows, "t string, want string").withColumn("ts", F.col("t").cast("timestamp"))
     assert df.filter(S.session_label("ts") != F.col("want")).count() == 0
     assert {str(r[0]) for r in df.select(S.session_date("ts")).collect()} == {"2026-07-01"}

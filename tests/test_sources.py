@@ -150,9 +150,12 @@ def test_batches_are_never_overwritten(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
         sinks.publish_batch(df, str(tmp_path), "b1", {})
     assert sinks.read_batch(spark, str(tmp_path), "b1").count() == 5
+    assert sinks.read_manifest(spark, str(tmp_path), "b1")["n_rows"] == 5
     df.write.parquet(str(tmp_path / "batch_id=b2" / "data"))  # a batch that broke before its manifest
     with pytest.raises(AnalysisException):
         sinks.read_batch(spark, str(tmp_path), "b2")
+    sinks.publish_batch(spark.range(3), str(tmp_path), "b2", {})  # is made again, and holds only its own rows
+    assert sinks.read_batch(spark, str(tmp_path), "b2").count() == 3
 
 
 def test_safe_csv_escapes_sorts_and_refuses_secrets(spark, tmp_path):

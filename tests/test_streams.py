@@ -60,4 +60,19 @@ def test_lifecycle_state_spans_batches(spark, tmp_path):
 
     step([("a", 0, "created"), ("b", 0, "created")])
     got = step([("a", 1, "sent"), ("b", 1, "filled"), ("c", 0, "sent")])
-    assert got == {("a", 0): "start", ("b", 0): "start", ("a", 1): "ok", ("b", 1): "illegal", ("c", 0): "illegal_start"}
+    want = {("a", 0): "start", ("b", 0): "start", ("a", 1): "ok", ("b", 1): "illegal", ("c", 0): "illegal_start"}
+    assert got == want
+    got = step([("a", 3, "sent"), ("d", 5, "created")])
+    got = step([("a", 2, "created"), ("d", 6, "sent")])  # a step that comes after a later one was judged
+    assert got == {**want, ("a", 3): "illegal", ("d", 5): "start", ("a", 2): "late", ("d", 6): "ok"}
+
+
+def test_open_windows_are_published_at_the_end(spark, tmp_path):
+    source, folder = str(tmp_path / "in"), str(tmp_path / "end")
+    spark.range(100).select(F.timestamp_seconds(F.col("id") * 60).alias("ts"), F.lit("a").alias("k")).write.parquet(source)
+    stream = spark.readStream.schema("ts timestamp, k string").parquet(source)
+    end = spark.sql("SELECT TIMESTAMP '9000-01-01' AS ts, CAST(NULL AS STRING) AS k")
+    for make in (lambda s: L.stream_quality(s, "ts", "1 hour", "1 hour", ["k"], {}), lambda s: L.stream_segments(s, "ts", "5 minutes", "1 hour", ["k"])):
+        out = L.run_to_end(make(L.with_closing(stream, folder)), end, folder, fresh_folder(spark, "t-out"), fresh_folder(spark, "t-state"))
+        assert sum(r.n_rows for r in out.collect()) == 100
+        folder += "-2"

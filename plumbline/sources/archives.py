@@ -12,6 +12,7 @@ import io
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyarrow import ArrowInvalid, fs
@@ -20,6 +21,10 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import from_epoch, strict_bool, strict_decimal
 
+# Fields of a row, in order, in archives of single and of aggregated trades.
+TRADE_FIELDS = ["id", "price", "qty", "quote_qty", "time_ms", "is_buyer_maker"]
+AGG_TRADE_FIELDS = ["id", "price", "qty", "first_trade_id", "last_trade_id", "time_ms", "is_buyer_maker"]
+
 BATCH_LINES = 50_000
 LINE_SCHEMA = "path string, member string, row_no long, line string, reason string, line_before string"
 
@@ -114,34 +119,42 @@ def with_identity(df: DataFrame, path: str = "path") -> DataFrame:
     return df.select("*", part(1).alias("symbol"), part(2).alias("object"), part(3).try_cast("date").alias("member_date"))
 
 
-def parse_trades(lines: DataFrame, width: int = 6) -> DataFrame:
+def parse_trades(lines: DataFrame, fields: list[str] = TRADE_FIELDS) -> DataFrame:
     """Typed trade columns from raw lines: id, price, qty, quote_qty, time_ms, is_buyer_maker; bad rows keep null and a reason. `archive_reason` says why a member could not be read to its end.
 
     `before` is struct(k, t): key and time of the line before in the same member. Lines are cut
-    once, in a projection of their own, and every field is parsed from the pieces.
+    once, in a projection of their own, and every field is parsed from the pieces. With `AGG_TRADE_FIELDS` a row also
+    names the first and last trade in it, which must not be reversed.
     """
-    def piece(cells: str, i: int) -> Column:
-        return F.get(F.col(cells), F.lit(i))
+    def piece(cells: str, field: str) -> Column:
+        return F.get(F.col(cells), F.lit(fields.index(field)))
+
+    numbers = [f for f in ("price", "qty", "quote_qty") if f in fields]
+    ids = [f for f in ("id", "first_trade_id", "last_trade_id") if f in fields]
 
     cut = lines.select(
         "path", "member", "row_no", "line", "reason", F.split("line", ",", -1).alias("__cells"), F.split("line_before", ",", -1).alias("__before"))
-    price, qty, quote = (strict_decimal(piece("__cells", i)) for i in (1, 2, 3))
-    key_before, time_before = (piece("__before", i).try_cast("bigint") for i in (0, 4))
+    key_before, time_before = (piece("__before", f).try_cast("bigint") for f in ("id", "time_ms"))
     typed = cut.select(
-        "path", "member", "row_no", "line", F.size("__cells").alias("n_fields"), piece("__cells", 0).try_cast("bigint").alias("id"),
-        price.alias("price"), qty.alias("qty"), quote.alias("quote_qty"),
-        from_epoch(piece("__cells", 4).try_cast("bigint"), "ms").alias("ts"), strict_bool(piece("__cells", 5)).alias("is_buyer_maker"),
+        "path", "member", "row_no", "line", F.size("__cells").alias("n_fields"),
+        *[piece("__cells", f).try_cast("bigint").alias(f) for f in ids], *[strict_decimal(piece("__cells", f)).alias(f) for f in numbers],
+        from_epoch(piece("__cells", "time_ms").try_cast("bigint"), "ms").alias("ts"), strict_bool(piece("__cells", "is_buyer_maker")).alias("is_buyer_maker"),
         F.col("reason").alias("archive_reason"),
         F.when(F.col("__before").isNotNull(), F.struct(key_before.alias("k"), from_epoch(time_before, "ms").alias("t"))).alias("before"))
     open_row = F.col("line").isNotNull()
+
+    def any_null(names: list[str]) -> Column:
+        return reduce(Column.__or__, [F.col(n).isNull() for n in names])
+
     reasons = F.array_compact(F.array(
         F.col("archive_reason"),
-        F.when(open_row & (F.col("n_fields") != width), "field_count"),
-        F.when(open_row & F.col("id").isNull(), "id_syntax"),
-        F.when(open_row & (F.col("price").isNull() | F.col("qty").isNull() | F.col("quote_qty").isNull()), "number_syntax"),
+        F.when(open_row & (F.col("n_fields") != len(fields)), "field_count"),
+        F.when(open_row & any_null(ids), "id_syntax"),
+        F.when(open_row & any_null(numbers), "number_syntax"),
         F.when(open_row & F.col("ts").isNull(), "time_syntax"),
         F.when(open_row & F.col("is_buyer_maker").isNull(), "boolean_syntax"),
         F.when(F.col("price") <= 0, "price_not_positive"), F.when(F.col("qty") <= 0, "quantity_not_positive"),
-        F.when(F.col("quote_qty") < 0, "quote_negative"),
+        *([F.when(F.col("quote_qty") < 0, "quote_negative")] if "quote_qty" in numbers else []),
+        *([F.when(F.col("first_trade_id") > F.col("last_trade_id"), "trade_id_order")] if "first_trade_id" in ids else []),
     ))
     return typed.withColumn("reasons", reasons)

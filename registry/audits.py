@@ -162,6 +162,22 @@ def a04(spark, sf):
         F.min("ts").cast("timestamp_ntz").alias("first_ts"), F.count_if(F.size("reasons") > 0).alias("n_bad"))
 
 
+@query("a04_aggregate_trades", """
+SELECT CASE WHEN qty = 51 THEN 'id_syntax' WHEN qty = 52 THEN 'field_count,boolean_syntax,trade_id_order' WHEN (qty - 1) % 3 = 0 THEN 'trade_id_order' ELSE '' END AS reasons,
+ count(*) AS n, CAST(sum(qty) AS BIGINT) AS qty, min(trade_id) AS first_id, count(*) FILTER (buyer_maker AND qty <> 52) AS n_maker FROM ticks GROUP BY 1""", ("ticks",))
+def a04a(spark, sf):
+    root = fresh_folder(spark, "aggregate-archives")
+    k, first = F.col("qty") - 1, F.col("trade_id") * 2
+    last = F.when(k == 50, "x").otherwise((first + k % 3 - 1).cast("string"))  # reversed in every third row
+    ms = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000).cast("string")
+    cells = [*[F.col(c).cast("string") for c in ("trade_id", "price", "qty")], first.cast("string"), last, ms]
+    line = F.concat_ws(",", *cells, F.when(k != 51, F.col("buyer_maker").cast("string")))  # one field is missing where it is null
+    materialise(ticks(spark, sf).select(line.alias("line")).mapInPandas(archives.line_archives(root), archives.WRITTEN_SCHEMA), "archive-list")
+    rows = archives.parse_trades(archives.read_archive_members(spark, root), archives.AGG_TRADE_FIELDS)
+    return rows.groupBy(F.array_join("reasons", ",").alias("reasons")).agg(
+        F.count("*").alias("n"), F.sum("qty").cast("bigint").alias("qty"), F.min("id").alias("first_id"), F.count_if("is_buyer_maker").alias("n_maker"))
+
+
 @query("j02_member_rows", "SELECT count(*) AS n_rows, 0::BIGINT AS n_uneven FROM events")
 def j02(spark, sf):
     root, written = tick_archives(spark, sf)

@@ -215,3 +215,12 @@ def test_a_broken_member_fails_alone_and_bounds_no_other(spark):
     got = {str(r.day)[-1]: (r.status, r.boundary_status, r.first_key) for r in scan.members.collect()}
     assert got == {"1": ("proven", "ok", 0), "2": ("failed", "ok", None), "3": ("proven", "ok", 10)}
     assert [str(r.day) for r in scan.missing.collect()] == ["2024-01-02"]
+
+
+def test_aggregate_trades(spark):
+    lines = ["7,1.5,2,10,12,1704067200000,true", "8,1.5,2,13,12,1704067200000,false", "9,1.5,2,a,12,1704067200000,false", "10,1.5,2,3,1704067200000,true"]
+    rows = spark.createDataFrame([("p", "m", i, v, None, None) for i, v in enumerate(lines)], archives.LINE_SCHEMA)
+    got = {r.id: r for r in archives.parse_trades(rows, archives.AGG_TRADE_FIELDS).collect()}
+    assert (got[7].first_trade_id, got[7].last_trade_id, got[7].reasons) == (10, 12, [])
+    assert (got[8].reasons, got[9].reasons) == (["trade_id_order"], ["id_syntax"])
+    assert got[10].reasons[0] == "field_count"

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +45,7 @@ def fingerprint(text: str | None, n: int = 3) -> int:
     votes, total = np.zeros(64, np.int64), len(words) - n + 1
     shingles = map(b" ".join, zip(*(words[i:] for i in range(n)), strict=False))
     while True:
-        part = np.fromiter((digest(s, SEED) for s, _ in zip(shingles, range(65_536), strict=False)), "<u8")
+        part = np.fromiter((digest(s, SEED) for s in islice(shingles, 65_536)), "<u8")
         if len(part):
             votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         if len(part) < 65_536:

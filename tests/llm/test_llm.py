@@ -306,6 +306,16 @@ def test_fingerprint_votes():
     assert simhash.fingerprint(text) == want and simhash.fingerprint(" \n") == simhash.fingerprint(None) == 0
 
 
+def test_fingerprint_votes_of_long_texts():
+    import xxhash
+
+    words = [b"2w%d" % i for i in range(131_080)]  # its fingerprint changes if shingle 65,537 and 131,074 go missing
+    hashes = np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + 3]), 42) for i in range(len(words) - 2)), np.uint64)
+    votes = [int((hashes >> np.uint64(b) & np.uint64(1)).sum()) for b in range(64)]
+    want = sum(1 << b for b in range(64) if 2 * votes[b] > len(hashes))
+    assert simhash.fingerprint(b" ".join(words).decode()) == want
+
+
 # --- 7: pseudonyms
 
 

@@ -32,13 +32,13 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 @lru_cache(maxsize=2)
-def encoding(ranks_path: str, pattern: str):
-    """The byte-level BPE of a rank file. Strings of special tokens are ordinary text."""
+def encoding(ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...] = ()):
+    """The byte-level BPE of a rank file, with special tokens (string, id). `encode_ordinary` takes their strings as text."""
     import tiktoken
 
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special))
 
 
 def default_vocabulary() -> tuple[str, str]:
@@ -48,13 +48,18 @@ def default_vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+#: The added token of the tokenizers file of byte_bpe_50k, found inside texts whatever add_special_tokens says.
+ADDED = (("<|endoftext|>", 50256),)
+
+
 def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: tuple[str, str] | None = None) -> DataFrame:
     """Tokenize (doc_id, text) and cut: a row per piece. Null texts are empty; an empty text is the end id alone.
     A document longer than the capacity gives pieces of exactly the capacity, the first one being shorter if need be."""
-    known = vocabulary
+    known, added = vocabulary, ADDED if vocabulary is None else ()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(*(known or default_vocabulary())).encode_ordinary
+        bpe, special = encoding(*(known or default_vocabulary()), added), {text for text, _ in added}
+        encode = lambda text: bpe.encode(text, allowed_special=special, disallowed_special=())
         tail = [end_id]
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])

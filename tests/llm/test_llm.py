@@ -220,6 +220,19 @@ def test_packing(small, odd):
     assert rows_of(packing.pack_documents(odd.where("false"))) == []
 
 
+def test_pieces_with_added_tokens(spark):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    texts = ["see <|endoftext|> here", "<|endoftext|><|endoftext|>", " <|endoftext|>\n\nx <|endoftext", "a  <|endoftext|>  b", "<|startoftext|> none", "\U00031fff\U000323af <|endoftext|>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packing.token_pieces(df).collect()}
+    for i, text in enumerate(texts):
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [2], "<u4")
+        assert got[i] == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_steps_equal_best_fit_decreasing():
     rng = random.Random(2)
     for _ in range(200):

@@ -399,6 +399,16 @@ def test_winnowing_chooses_rightmost_minima(monkeypatch):
             assert hashes.tolist() == want[0] and at.tolist() == want[1]
 
 
+def test_winnowing_keeps_short_texts_near_their_edits(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("length(text) between 16 and 127").select("doc_id", "text")
+    follow = "QWZXJKVYUGPB" * 20  # shares nothing with the texts
+    texts = [r["text"] for r in docs.collect()] + ["short text of 22 signs", "sixteen letters!"]
+    for text in texts:
+        cut = len(text) // 4
+        prints = [winnowing.winnow(t)[0] for t in (text, text[: len(text) - cut] + follow[:cut], follow)]
+        assert winnowing.likeness(prints[0], prints[1]) > winnowing.likeness(prints[0], prints[2])
+
+
 def test_winnowing_against_next(odd, small):
     for docs in (small, odd):
         rows = sorted(((r["doc_id"], r["text"] or "") for r in docs.collect()), key=lambda r: (-1 if r[0] is None else r[0], r[1]))

@@ -5,8 +5,9 @@ network within its form: same length, same punctuation, still valid. The map is
 stay equal across all documents and different ones stay different; nothing has to be collected or looked up.
 
 Forms, first match wins: assigned secrets (hex digits keep their number), e-mail addresses, IPv4 addresses, phone numbers, dates
-(1900-01-01 and 72,999 days on), card and account numbers of 9 to 19 digits. Secrets and e-mail addresses have no
-numeric form; they become keyed digests, which are equal for equal values too.
+(1900-01-01 and 72,999 days on), card and account numbers: 9 to 19 digits, grouped or not, and unbroken runs of any length above.
+Secrets and e-mail addresses have no numeric form; they become keyed digests, which are equal for equal values too, as do
+runs of more than 36 digits (as digits, of the same length).
 """
 
 from __future__ import annotations
@@ -18,13 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-#: Fixed forms, in order of precedence. Every quantifier has a bound, so no text makes matching slow.
-SECRET = r"""(?i:(?:password|passwd|secret|token|api[_-]?key|access[_-]?key)["']?[ \t]{0,3}[=:][ \t]{0,3}["']?[A-Za-z0-9+/_.~-]{6,200})"""
-EMAIL = r"(?<![\w.+-])[\w.+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,6}"
+#: Fixed forms, in order of precedence. A quantifier has a bound or is possessive and gives nothing back, so no text makes matching slow.
+SECRET = r"""(?i:(?:password|passwd|secret|token|api[_-]?key|access[_-]?key)["']?[ \t]{0,3}[=:][ \t]{0,3}["']?[A-Za-z0-9+/_.~-]{6,}+)"""
+EMAIL = r"(?<![\w.+-])[\w.+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IPV4 = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
 PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|(?<![\d+])\+\d{8,14}(?!\d)|(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 DATE = r"(?<![\d./-])(?:(?:19|20)\d\d-\d\d-\d\d|\d\d[./](?:\d\d)[./](?:19|20)\d\d)(?![\d]|[./-]\d)"
-NUMBER = r"(?<![\d.])\d(?:[ -]?\d){8,18}(?![\d])"
+NUMBER = r"(?<![\d.])\d{20,}+|(?<![\d.])\d(?:[ -]?\d){8,18}(?![\d])"
 FORMS = (SECRET, EMAIL, IPV4, PHONE, DATE, NUMBER)
 ANY = "|".join(f"(?:{f})" for f in FORMS)
 #: Whatever has none of these characters holds no value of any form.
@@ -65,6 +66,14 @@ def permuted_digits(key: str, digits: Column) -> Column:
     return let(halves, lambda h: F.concat(F.lpad(h["a"].cast("string"), left, F.lit("0")), F.lpad(h["b"].cast("string"), right, F.lit("0"))))
 
 
+def digest_digits(key: str, digits: Column) -> Column:
+    """As many digits, drawn from a keyed digest of `digits`; in time proportional to their number."""
+    blocks = F.sequence(F.lit(1), F.ceil(F.length(digits) / 15).cast("int"))
+    drawn = let(F.sha2(F.concat(F.lit(key + "digits|"), digits), 256), lambda seed: F.array_join(
+        F.transform(blocks, lambda i: F.lpad((mixed(key, seed, i) % 10**15).cast("string"), 15, "0")), ""))
+    return F.substring(drawn, F.lit(1), F.length(digits))
+
+
 def luhn_digit(body: Column) -> Column:
     """The check digit that follows a string of digits."""
     n = F.length(body)
@@ -102,7 +111,7 @@ def number_pseudonym(key: str, value: Column) -> Column:
         card = let(permuted_digits(key + "card", body), lambda new_body: F.concat(new_body, luhn_digit(new_body)))
         return F.when(valid, card).otherwise(permuted_digits(key + "number", digits))
 
-    return refilled(value, let(digits_of(value), new))
+    return F.when(value.rlike("^[0-9]{37,}$"), digest_digits(key, value)).otherwise(refilled(value, let(digits_of(value), new)))
 
 
 def ip_pseudonym(key: str, value: Column) -> Column:
@@ -127,7 +136,7 @@ def date_pseudonym(key: str, value: Column) -> Column:
 
 def secret_pseudonym(key: str, value: Column) -> Column:
     """The name and sign stay, the value becomes as many hex digits of a keyed digest (64 at most)."""
-    name = F.regexp_extract(value, r"""^(.*?[=:][ \t]{0,3}["']?)([A-Za-z0-9+/_.~-]{6,200})$""", 1)
+    name = F.regexp_extract(value, r"""^(.*?[=:][ \t]{0,3}["']?)([A-Za-z0-9+/_.~-]{6,}+)$""", 1)
     secret = F.substring(value, F.length(name) + 1, F.length(value))
     return F.concat(name, F.substring(F.sha2(F.concat(F.lit(key + "secret|"), secret), 256), F.lit(1), F.least(F.length(secret), F.lit(64))))
 

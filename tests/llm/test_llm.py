@@ -360,6 +360,22 @@ def test_pseudonyms_link_equal_values_and_only_these(spark):
     assert one(spark, "call 4111 1111 1111 1111") == one(spark, "call 4111 1111 1111 1111") != one(spark, "call 4111 1111 1111 1111", "other")
 
 
+def test_long_values_leave_nothing(spark):
+    rng = random.Random(7)
+    for n in (201, 1_000, 10_000):
+        value = "".join(rng.choice("abcdefXYZ0123456789_-") for _ in range(n))
+        outs = [one(spark, f"token={v} end") for v in (value, value, value[:-1] + ("a" if value[-1] != "a" else "b"))]
+        assert outs[0] == outs[1] != outs[2] and len(outs[0]) == len("token= end") + 64
+        mail = one(spark, f"to {value}@mail.example.com, {'a@b' + '.c' * n}.")
+        assert mail.startswith("to user.") and mail.endswith("@example.invalid.") and len(mail) < 100
+        digits = "".join(rng.choice("0123456789") for _ in range(n))
+        new, again, other = (one(spark, f"DE{d} end")[2:-4] for d in (digits, digits, digits[:-1] + str((int(digits[-1]) + 1) % 10)))
+        assert new == again != other and new != digits and new.isdigit() and len(new) == n
+    for n in (19, 20, 36, 37):
+        new = one(spark, f"DE{'7' * n} end")[2:-4]
+        assert new != "7" * n and new.isdigit() and len(new) == n
+
+
 def test_feistel_is_a_permutation(spark):
     df = spark.range(1000).select(pii.permuted_digits("k", F.lpad(F.col("id").cast("string"), 3, "0")).alias("v"))
     assert sorted(r["v"] for r in df.collect()) == [f"{i:03d}" for i in range(1000)]

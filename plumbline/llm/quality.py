@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.7
@@ -160,22 +161,25 @@ def featurize(docs: DataFrame, extra: dict[str, str]) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS, max_lines: int = MAX_LINES) -> LineField:
-    """Train on labelled documents outside the held-out fold: those of the `max_docs` smallest MD5 of their ids, up to `max_lines` lines.
+    """Train on labelled documents outside the held-out fold: those of the `max_docs` smallest MD5 of their ids, one row an id
+    (the smallest text of repeated ids), in that order as long as they have at most `max_lines` lines together.
 
-    Only this bounded sample comes to the driver. Conflicting labels of one id count as bad; null labels are left out.
+    The sample is cut before it is collected, so no more than that comes to the driver. Conflicting labels of one id
+    count as bad; null labels are left out.
     """
     known = labels.where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("quality").cast("int").alias("good"))
     chosen = known.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(max_docs)
-    short = docs.where(F.length(F.coalesce("text", F.lit(""))) <= max_chars).select("doc_id", "text")
-    rows = featurize(short.join(F.broadcast(chosen), "doc_id"), {"doc_id": dict(docs.dtypes)["doc_id"], "good": "int"})
-    got = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["lines"]))
-    xs, sizes, good, n = [], [], [], 0
-    for r in got:
-        if n + len(r["sizes"]) <= max_lines:
-            xs.append(np.array(r["lines"]).reshape(-1, WIDTH))
-            sizes.append(np.array(r["sizes"]))
-            good.append(int(r["good"] > 0))
-            n += len(r["sizes"])
+    text = F.coalesce("text", F.lit(""))
+    short = docs.where(F.length(text) <= max_chars).select("doc_id", text.alias("text"))
+    single = short.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "good").agg(F.min("text").alias("text"))
+    lines = F.length("text") - F.length(F.translate("text", "\n", "")) + 1
+    drawn = W.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").rowsBetween(W.unboundedPreceding, 0)  # over max_docs rows at most
+    within = single.withColumn("n", F.sum(lines).over(drawn)).where(F.col("n") <= max_lines)
+    rows = featurize(within, {"doc_id": dict(docs.dtypes)["doc_id"], "good": "int"})
+    got = sorted(rows.collect(), key=lambda r: r["doc_id"])
+    xs = [np.array(r["lines"]).reshape(-1, WIDTH) for r in got]
+    sizes = [np.array(r["sizes"]) for r in got]
+    good = [int(r["good"] > 0) for r in got]
     if not xs:
         return train(np.zeros((0, WIDTH)), np.zeros(0), np.zeros(0, int), np.zeros(0, int))
     return train(np.concatenate(xs), np.concatenate(sizes), np.cumsum([0, *[len(s) for s in sizes[:-1]]]), np.array(good))

@@ -149,6 +149,17 @@ def test_quality_on_held_out_documents(spark):
     assert (unseen.predicted == unseen.quality).mean() > 0.97 and got.score.between(0, 1).all()
 
 
+def test_quality_sample_is_cut_before_it_is_collected(spark, monkeypatch):
+    docs = [(i, "\n".join(f"{'Fine words here.' if i % 2 else '### || !!'} {i} {k}" for k in range(5))) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    order = sorted((i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    seen, whole = [], quality.featurize
+    monkeypatch.setattr(quality, "featurize", lambda rows, extra: seen.append(rows) or whole(rows, extra))
+    hot = [(order[0], "zz\nlater text")] * 300  # copies of one id
+    quality.fit(spark.createDataFrame(docs + hot, "doc_id long, text string").repartition(3), labels, max_lines=52)
+    assert sorted(tuple(r) for r in seen[0].select("doc_id", "text").collect()) == sorted(docs[i] for i in order[:10])
+
+
 def test_quality_on_odd_rows(odd, spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     field = quality.fit(spark.read.parquet(f"{SF}/documents.parquet"), labels)

@@ -167,7 +167,11 @@ def near_groups(docs: DataFrame, threshold: int = 2, n: int = 3) -> DataFrame:
 
 def keep_one(docs: DataFrame, threshold: int = 2, n: int = 3) -> DataFrame:
     """One row of each group of near-duplicates, with the columns of `docs`: the smallest doc_id (null last), among its rows any one."""
-    groups = near_groups(docs.select("doc_id", "text"), threshold, n)
+    return smallest(docs, near_groups(docs.select("doc_id", "text"), threshold, n))
+
+
+def smallest(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """One row of `docs` for each root of `groups` (doc_id, text_hash, root): the smallest doc_id (null last), among its rows any one."""
     best = groups.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("b")).select(F.col("b.doc_id").alias("i"), F.col("b.text_hash").alias("h"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), F.col("doc_id"), F.xxhash64("text").alias("h"))

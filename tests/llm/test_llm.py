@@ -488,6 +488,43 @@ def test_chats_round_trip(spark):
 # --- pipeline
 
 
+def test_near_duplicate_stage_against_all_pairs(spark, small):
+    rng = random.Random(8)
+    docs = [(r["doc_id"], r["text"]) for r in small.select("doc_id", "text").limit(120).collect()]
+    for base in [t for _, t in docs if len((t or "").split()) > 60][:15]:  # near copies, some on either side of 0.8
+        for share in (0.005, 0.01, 0.02, 0.04):
+            words = [f"new{rng.random()}" if rng.random() < share else w for w in base.split(" ")]
+            docs.append((10**6 + len(docs), " ".join(words)))
+    passage = " ".join(f"p{i}" for i in range(60))  # a crowd of near copies, and one of texts that only share a passage
+    docs += [(2 * 10**6 + i, f"{passage} {i}") for i in range(40)] + [(3 * 10**6 + i, passage + " " + " ".join(f"q{i}.{k}" for k in range(rng.randint(5, 30)))) for i in range(40)]
+    docs += [(5, None), (6, " "), (7, "a b"), (8, "A  b"), (9, "a b c"), (docs[3][0], docs[3][1]), (None, docs[4][1])]
+
+    def shingles(text):
+        words = (text or "").lower().split()
+        return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+    sets = [shingles(t) for _, t in docs]
+    root = list(range(len(docs)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(docs)):
+        for k in range(i):
+            both = len(sets[i] & sets[k])
+            if sets[i] == sets[k] or (both and 5 * both >= 4 * (len(sets[i]) + len(sets[k]) - both)):
+                root[find(i)] = find(k)
+    want = {}
+    for i, (doc_id, _) in enumerate(docs):
+        key = (doc_id is None, doc_id or 0)
+        want[find(i)] = min(key, want.get(find(i), key))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, df, SF).collect()
+    assert Counter((r["doc_id"] is None, r["doc_id"] or 0) for r in got) == Counter(want.values())
+
+
 def test_pipeline_stages(spark, odd):
     docs = odd
     for name, stage in corpus_pipeline.STAGES[:-1]:

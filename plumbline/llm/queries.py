@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from plumbline.llm import chat, host_rules, mixing, packing, pii, quality, simhash, suffix, token_counts, winnowing
+from plumbline.llm import chat, host_rules, html_text, mixing, packing, periodic, pii, quality, repair, simhash, suffix, token_counts, winnowing
 
 QUERIES = {
     "op1_suffix_dedup": suffix.suffix_query,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_winnowing": winnowing.winnowing_query,
     "op9_host_rules": host_rules.rules_query,
     "op10_chat_format": chat.chat_query,
+    "op11_periodic_runs": periodic.runs_query,
+    "op12_conversation_repair": repair.repair_query,
+    "op13_html_text": html_text.html_query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -24,4 +27,5 @@ ORACLES = {
     "op2_source_mix": mixing.MIX_SQL,
     "op9_host_rules": host_rules.RULES_SQL,
     "op10_chat_format": chat.CHAT_SQL,
+    "op12_conversation_repair": repair.REPAIR_SQL,
 }

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plumbline.ordering import place_all
+from plumbline.ordering import earlier, over_order, place_all
 
 
 def latest_n(df: DataFrame, by: list[str], ts: str, row_id: str, n: int, cutoff: Column | None = None) -> DataFrame:
@@ -46,10 +48,32 @@ def member_bounds(df: DataFrame, by: list[str], row_no: list[str], cols: list[st
         "n_rows", "outside", F.when(F.col("outside") == 0, "in_bounds").otherwise("out_of_bounds").alias("bound_status"))
 
 
+def percent_rank(df: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
+    """Share of the other rows of the group with a smaller value (nulls are the smallest, ties share a rank, a single row has 0).
+
+    Rows are first counted by value, which settles ties and reduces crowds of them; running counts over the values of a group come from
+    range-partitioned chunks, and rows read their rank by value. Neither a group nor a crowd of equal values has to fit one task.
+    """
+    counts = df.groupBy(*by, F.col(value).alias("__value")).agg(F.count("*").alias("__n"))
+    below = over_order(counts, by, [F.col("__value")], {"__count": (F.col("__n"), "sum")},
+                       {"__below": lambda w: F.coalesce(F.sum("__count").over(earlier(w)), F.lit(0))})
+    sizes = counts.groupBy(*by).agg(F.sum("__n").alias("__size"))
+    share = F.when(F.col("__size") > 1, F.col("__below") / (F.col("__size") - 1)).otherwise(0.0)
+    ranks = _null_safe(below, sizes, by).withColumn(name, share).select(*by, "__value", name)
+    return _null_safe(df, ranks, by, (F.col(f"l.{value}"), F.col("r.__value")), "left").drop("__value")
+
+
+def _null_safe(left: DataFrame, right: DataFrame, by: list[str], more: tuple[Column, Column] | None = None, how: str = "inner") -> DataFrame:
+    """Join in which a null key meets a null key; the columns of `by` come from the left."""
+    pairs = [(F.col(f"l.{c}"), F.col(f"r.{c}")) for c in by] + ([more] if more else [])
+    on = reduce(Column.__and__, [a.eqNullSafe(b) for a, b in pairs], F.lit(True))
+    return left.alias("l").join(right.alias("r"), on, how).select("l.*", *[F.col(f"r.{c}") for c in right.columns if c not in by])
+
+
 def rank_factors(df: DataFrame, by: list[str], factors: dict[str, float]) -> DataFrame:
     """Percent rank of every factor inside its group of bars, and the weighted sum as score."""
     ranked = df
     for name in factors:
-        ranked = ranked.withColumn(f"{name}_rank", F.percent_rank().over(W.partitionBy(*by).orderBy(F.col(name).asc_nulls_first())))
+        ranked = percent_rank(ranked, by, name, f"{name}_rank")
     score = sum((F.col(f"{name}_rank") * weight for name, weight in factors.items()), F.lit(0.0))
     return ranked.withColumn("score", score)

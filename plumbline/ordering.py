@@ -81,9 +81,13 @@ def over_order(
         plain = W.partitionBy(*by).orderBy(*keys)
         return rows.select(*df.columns, *[make(plain).alias(name) for name, make in outputs.items()])
     rows = cut(rows, by, keys)
-    summary = _spanning(rows, by).groupBy(*by, "__chunk").agg(
-        *[_SUMMARY[kind](name, keys).alias(name) for name, (_, kind) in state.items()]
-    )
+    return _carried(rows, _spanning(rows, by), by, keys, state, outputs, df.columns)
+
+
+def _carried(rows: DataFrame, edges: DataFrame, by: list[str], keys: list[str], state: dict[str, tuple[Column, str]],
+             outputs: dict[str, Callable[[WindowSpec], Column]], columns: list[str]) -> DataFrame:
+    """`outputs` over the chunks of `rows`, each begun by a seed made of the summaries of the chunks before; `edges` are the rows to sum up."""
+    summary = edges.groupBy(*by, "__chunk").agg(*[_SUMMARY[kind](name, keys).alias(name) for name, (_, kind) in state.items()])
     before = W.partitionBy(*by).orderBy("__chunk")
     earlier = before.rowsBetween(W.unboundedPreceding, -1)
     seeds = summary.select(
@@ -93,7 +97,7 @@ def over_order(
     window = W.partitionBy(*by, "__chunk").orderBy("__row", *keys)
     return (
         rows.withColumn("__row", F.lit(1)).unionByName(seeds, allowMissingColumns=True)
-        .select(*df.columns, "__row", *[make(window).alias(name) for name, make in outputs.items()])
+        .select(*columns, "__row", *[make(window).alias(name) for name, make in outputs.items()])
         .filter("__row = 1").drop("__row")
     )
 
@@ -140,3 +144,57 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left
 def place_all(df: DataFrame, order: list[Column], name: str = "ordinal") -> DataFrame:
     """Number all rows of a table in the order of keys of any type, each compared as what it is."""
     return ordinal(df, [], order, name)
+
+
+# ---- numbered rows: blocks of a fixed number of rows ----
+
+#: Rows of a key that one block holds.
+BLOCK = 1 << 16
+
+
+def numbered(df: DataFrame, by: list[str], order: list[Column], name: str) -> DataFrame:
+    """Rows with their number inside the key (0, 1, 2, ...), in an order that should be total.
+
+    Rows are range-partitioned, sorted in their partition and stored with their place in it; per partition and key one row says how many of the key
+    came before. Numbers do not change when they are read again, and blocks follow from numbers, so nothing is sampled or stored a second time.
+    """
+    keys = [f"__o{i}" for i in range(len(order))]
+    rows = df.select("*", *[c.alias(k) for c, k in zip(order, keys)])
+    ranged = rows.repartitionByRange(*by, *keys).sortWithinPartitions(*by, *keys)
+    # The upper bits of the running id are the partition, the lower 33 the place in it.
+    placed = materialise(ranged.drop(*keys).withColumn("__id", F.monotonically_increasing_id()), name).withColumn(
+        "__chunk", F.shiftright("__id", 33)).withColumn("__at", F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)))
+    held = placed.groupBy(*by, "__chunk").agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(W.partitionBy(*by).orderBy("__chunk").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = materialise(held.select(*[F.col(c).alias(f"__{c}") for c in by], "__chunk", (before - F.col("__first")).alias("__start")), f"{name}-starts")
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
+    joined = placed.withColumnRenamed("__chunk", "__part").join(starts, [*same, F.col("__part") == F.col("__chunk")])
+    return joined.select(*df.columns, (F.col("__at") + F.col("__start")).alias(name))
+
+
+def in_blocks(df: DataFrame, by: list[str], row: str, before: int, after: int,
+              make: Callable[[DataFrame, list[str]], DataFrame], size: int = BLOCK) -> DataFrame:
+    """Window functions that look at most `before` rows back and `after` rows ahead, on numbered rows of keys of any size.
+
+    A key is cut into blocks of `size` rows; the rows at the edges of a block are copied into its neighbour as a halo.
+    `make(rows, keys)` adds columns with windows over `keys`, ordered by `row`; functions built upon one another need the sum of what each looks back.
+    """
+    if max(before, after) > size:
+        raise ValueError("a block must be as long as its halo")
+    block, at = F.floor(F.col(row) / size), F.col(row) % size
+
+    def copy(shift: int, wanted: Column | None) -> Column:
+        one = F.struct((block + shift).alias("__block"), F.lit(shift == 0).alias("__own"))
+        return one if wanted is None else F.when(wanted, one)
+
+    copies = [copy(0, None), *([copy(1, at >= size - before)] if before else []), *([copy(-1, (at < after) & (block > 0))] if after else [])]
+    spread = df.select("*", F.inline(F.array_compact(F.array(*copies))))
+    return make(spread, [*by, "__block"]).filter("__own").drop("__block", "__own")
+
+
+def over_blocks(df: DataFrame, by: list[str], row: str, state: dict[str, tuple[Column, str]],
+                outputs: dict[str, Callable[[WindowSpec], Column]], size: int = BLOCK) -> DataFrame:
+    """`over_order` for numbered rows: what earlier blocks leave behind enters a block as a seed row. Only one row per block is ever
+    brought together by key; numbers may have gaps."""
+    rows = df.select("*", F.col(row).alias("__o0"), F.floor(F.col(row) / size).alias("__chunk"), *[value.alias(name) for name, (value, _) in state.items()])
+    return _carried(rows, rows, by, ["__o0"], state, outputs, df.columns)

@@ -273,12 +273,10 @@ def cost_evidence(books: DataFrame, grid: DataFrame, by: list[str], notional: fl
 # ---- K09 ----
 def session_study(bars: DataFrame, horizon_minutes: int) -> DataFrame:
     """Per symbol and session: bars, share that rose over the horizon, volatility, breaks and false breaks."""
-    bars = materialise(bars, "bars")
-    broken = features.range_break(bars)
-    labelled = broken.withColumn("session", scalars.session_label("bar_ts"))
-    labelled = labelled.withColumn("row", F.unix_micros(F.col("bar_ts").cast("timestamp")))
-    later = joins.forward_outcome(labelled, ["symbol"], "bar_ts", "row", "close", [horizon_minutes], whole=True).select("symbol", "row", "outcome")
-    known = labelled.join(later, ["symbol", "row"])
+    broken = features.range_break(features.number_bars(bars))
+    labelled = materialise(broken.withColumn("session", scalars.session_label("bar_ts")), "labelled")
+    later = joins.forward_outcome(labelled, ["symbol"], "bar_ts", "bar_no", "close", [horizon_minutes]).select("symbol", "bar_no", "outcome")
+    known = labelled.join(later, ["symbol", "bar_no"])
     ret = F.ln(F.col("outcome").cast("double") / F.col("close").cast("double"))
     return known.groupBy("symbol", "session").agg(
         F.count("*").alias("n_bars"), F.count("outcome").alias("n_known"),
@@ -289,25 +287,25 @@ def session_study(bars: DataFrame, horizon_minutes: int) -> DataFrame:
 # ---- K10 ----
 def compression_features(bars: DataFrame, oi: DataFrame, needed: int = 4, n: int = 14) -> DataFrame:
     """Every sign of compression and release on each bar. Both inputs are read several times: hand in stored bars."""
-    x = features.volume_contraction(features.volatility(bars, n))
-    x = features.body_ratio(features.macd(x), n)
-    x = x.join(features.oi_change(oi), ["symbol", "bar_ts"])
+    rows = features.number_bars(bars)
+    means = features.macd(rows.select("symbol", features.ROW, "close")).drop("close")
+    x = features.bounded_features(rows, n).join(means, ["symbol", features.ROW]).join(features.oi_change(oi), ["symbol", "bar_ts"])
     state = verdicts.compression_state(
         F.col("volume_falling"), F.col("volatility_falling"), F.col("body_shrinking"), features.macd_near_zero(), F.col("oi_contracting"), needed)
     x = x.withColumn("s", state).select("*", "s.*").drop("s")
-    x = features.retest_hold(features.range_break(x))
     taker_up, taker_down = F.col("taker_buy") > F.col("taker_sell"), F.col("taker_sell") > F.col("taker_buy")
     x = x.withColumn("direction", verdicts.release_direction(
         F.col("break_side") == "up", F.col("break_side") == "down", F.col("volume_ratio") > 1, taker_up, taker_down,
         F.col("oi_turned_up"), F.col("oi_step") > 0, F.col("retest_held")))
-    return features.first_release(x.withColumn("qualified", F.coalesce(F.col("volume_ratio") > 1, F.lit(False))))
+    marked = materialise(x.withColumn("qualified", F.coalesce(F.col("volume_ratio") > 1, F.lit(False))), "marked")
+    return features.first_release(marked)
 
 
 def compression_study(bars: DataFrame, oi: DataFrame, horizon_minutes: int, needed: int = 4) -> DataFrame:
     """Outcome rate after compressed and other bars, per symbol and first-release mark."""
-    x = materialise(compression_features(bars, oi, needed), "features").withColumn("row", F.unix_micros(F.col("bar_ts").cast("timestamp")))
-    later = joins.forward_outcome(x, ["symbol"], "bar_ts", "row", "close", [horizon_minutes], whole=True).select("symbol", "row", "outcome")
-    joined = x.join(later, ["symbol", "row"])
+    x = materialise(compression_features(bars, oi, needed), "features")
+    later = joins.forward_outcome(x, ["symbol"], "bar_ts", "bar_no", "close", [horizon_minutes]).select("symbol", "bar_no", "outcome")
+    joined = x.join(later, ["symbol", "bar_no"])
     return aggregates.hit_rate(joined, ["symbol", "compressed", "is_first_release"], F.col("outcome") > F.col("close"))
 
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.operators.aggregates import ohlcv
+from plumbline.ordering import over_order, upto
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -121,8 +121,8 @@ def bars(spark: SparkSession, sf: str, width: str = "1 hour") -> DataFrame:
 
 
 def oi(bar_rows: DataFrame) -> DataFrame:
-    w = W.partitionBy("symbol").orderBy("bar_ts").rowsBetween(W.unboundedPreceding, 0)
-    return bar_rows.select("symbol", "bar_ts", F.sum(F.col("taker_buy") - F.col("taker_sell")).over(w).alias("oi"))
+    change = F.col("taker_buy") - F.col("taker_sell")
+    return over_order(bar_rows, ["symbol"], [F.col("bar_ts")], {"__change": (change, "sum")}, {"oi": lambda w: F.sum("__change").over(upto(w))}).select("symbol", "bar_ts", "oi")
 
 
 def visibility(spark: SparkSession, sf: str) -> DataFrame:

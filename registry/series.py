@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import book as K
@@ -11,6 +12,7 @@ from plumbline.operators import features as X
 from plumbline.operators import ranking as R
 from plumbline.operators import sets as G
 from plumbline.operators import windows as E
+from plumbline.ordering import in_blocks
 from plumbline.rules import Rule, RuleSet
 from plumbline.session import spread
 from plumbline.sources import catalog
@@ -173,11 +175,12 @@ n AS (SELECT *, sum(CASE WHEN compressed AND NOT pc THEN 1 ELSE 0 END) OVER (PAR
 q AS (SELECT *, NOT compressed AND qualified AND run > 0 AS cand FROM n)
 SELECT symbol, bar_ts, CAST(run AS BIGINT) AS compression_run, cand AND bar_ts = min(bar_ts) FILTER (cand) OVER (PARTITION BY symbol, run) AS is_first_release FROM q""", ("bars_1h",))
 def e15(spark, sf):
-    from pyspark.sql import Window as W
-    w = W.partitionBy("symbol").orderBy("bar_ts")
-    v, p, p2 = F.col("volume"), F.lag("volume").over(w), F.lag("volume", 2).over(w)
-    rows = bars(spark, sf).withColumn("compressed", F.coalesce((v < p) & (p < p2), F.lit(False))).withColumn(
-        "qualified", F.coalesce(v > 2 * p, F.lit(False)))
+    def flags(rows, keys):
+        w = Window.partitionBy(*keys).orderBy("bar_no")
+        v, p, p2 = F.col("volume"), F.lag("volume").over(w), F.lag("volume", 2).over(w)
+        return rows.withColumn("compressed", F.coalesce((v < p) & (p < p2), F.lit(False))).withColumn("qualified", F.coalesce(v > 2 * p, F.lit(False)))
+
+    rows = in_blocks(X.number_bars(bars(spark, sf)), ["symbol"], "bar_no", 2, 0, flags)
     return X.first_release(rows).select("symbol", "bar_ts", "compression_run", "is_first_release")
 
 

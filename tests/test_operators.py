@@ -268,7 +268,7 @@ def test_ema_over_many_blocks(spark):
     n = 9
     values = [float((i * 37) % 101) for i in range(1500)]
     df = spark.createDataFrame([("s", i, v) for i, v in enumerate(values)], "symbol string, i long, v double").repartition(4)
-    got = {r.i: r.e for r in X.ema(df, "v", n, "e", row="i").collect()}
+    got = {r.i: r.e for r in X.ema(df, {"e": ("v", n)}, row="i").collect()}
     e = values[0]
     for i, v in enumerate(values):
         e = v if i == 0 else e + (v - e) * 2 / (n + 1)

@@ -1,7 +1,8 @@
 """Streaming twins of the batch audits.
 
-Event time must be `timestamp` (cast `timestamp_ntz` first). Rows later than the watermark
-would be dropped by stateful operators, so they are labelled and kept before any of them.
+Event time must be `timestamp` (cast `timestamp_ntz` first). Stateful operators drop rows later than the watermark:
+`stream_quality`, `stream_segments` and `stream_bars` publish a window once, without such rows, which `stream_late_split` can label before them.
+`revisions` holds the same windows with late rows merged in as numbered corrections.
 """
 
 from __future__ import annotations

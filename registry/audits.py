@@ -173,7 +173,7 @@ def a04a(spark, sf):
     cells = [*[F.col(c).cast("string") for c in ("trade_id", "price", "qty")], first.cast("string"), last, ms]
     line = F.concat_ws(",", *cells, F.when(k != 51, F.col("buyer_maker").cast("string")))  # one field is missing where it is null
     materialise(ticks(spark, sf).select(line.alias("line")).mapInPandas(archives.line_archives(root), archives.WRITTEN_SCHEMA), "archive-list")
-    rows = archives.parse_trades(archives.read_archive_members(spark, root), archives.AGG_TRADE_FIELDS)
+    rows = archives.parse_trades(archives.read_archive_members(spark, root, archives.AGG_TRADE_FIELDS), archives.AGG_TRADE_FIELDS)
     return rows.groupBy(F.array_join("reasons", ",").alias("reasons")).agg(
         F.count("*").alias("n"), F.sum("qty").cast("bigint").alias("qty"), F.min("id").alias("first_id"), F.count_if("is_buyer_maker").alias("n_maker"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import zipfile
 
 import pytest
@@ -102,6 +103,34 @@ def test_long_member_is_read_in_batches(spark, tmp_path, monkeypatch):
     assert lines.agg(F.count("*"), F.max("row_no"), F.count_distinct("row_no")).first()[:] == (120_001, 120_000, 120_001)
 
 
+def test_blocks_of_any_size_give_the_same_rows(monkeypatch):
+    text = "1,a,é\n\n,,\r\n2\n3,b,c,d\nlast, no end "
+    want = [["1", "a", "é"], [""], ["", "", ""], ["2"], ["3", "b", "c", "d"], ["last", " no end "]]
+    third = [cells[2] if len(cells) > 2 else None for cells in want]
+    for size in (1, 2, 3, 5, 8, 1 << 20):
+        monkeypatch.setattr(archives, "BLOCK_BYTES", size)
+        got = [r for batch in archives._lines("p", "m", io.BytesIO(text.encode()), [0, 2]) for r in batch.to_pylist()]
+        assert [r["cells"] for r in got] == want and [r["row_no"] for r in got] == list(range(6))
+        assert [r["before"] for r in got] == [None, *({"id": c[0], "time_ms": t} for c, t in zip(want[:-1], third))]
+    with pytest.raises(archives.ArrowInvalid):
+        list(archives._lines("p", "m", io.BytesIO(b"ok\n\xff\n"), [0, 1]))
+
+
+def test_archives_are_planned_by_size(tmp_path, monkeypatch):
+    for i, size in enumerate([10, 900, 40, 40, 40]):
+        (tmp_path / f"{i}.zip").write_bytes(b"x" * size)
+    (tmp_path / "other.txt").write_text("x")
+    monkeypatch.setattr(archives, "PARTITION_BYTES", 100)
+    for root in (str(tmp_path), f"file://{tmp_path}"):
+        parts = archives._ArchiveReader({"path": root, "id": "0", "time": "4"}).partitions()
+        assert [[p.rsplit("/", 1)[-1] for p in part.paths] for part in parts] == [["1.zip"], ["4.zip", "3.zip"], ["2.zip", "0.zip"]]
+        assert all(p.startswith(root) for part in parts for p in part.paths)
+
+
+def test_folder_without_archives(spark, tmp_path):
+    assert archives.read_archive_members(spark, str(tmp_path)).count() == 0
+
+
 def test_scan_of_an_archive_rejects_its_member(spark, zips):
     rows = archives.parse_trades(archives.read_archive_members(spark, str(zips)).filter("path LIKE '%good.zip'"))
     rows = rows.withColumn("day", F.to_date(F.lit("2024-01-01"))).withColumn("symbol", F.lit("s"))
@@ -219,8 +248,8 @@ def test_a_broken_member_fails_alone_and_bounds_no_other(spark):
 
 def test_aggregate_trades(spark):
     lines = ["7,1.5,2,10,12,1704067200000,true", "8,1.5,2,13,12,1704067200000,false", "9,1.5,2,a,12,1704067200000,false", "10,1.5,2,3,1704067200000,true"]
-    rows = spark.createDataFrame([("p", "m", i, v, None, None) for i, v in enumerate(lines)], archives.LINE_SCHEMA)
-    got = {r.id: r for r in archives.parse_trades(rows, archives.AGG_TRADE_FIELDS).collect()}
+    rows = spark.createDataFrame([("p", "m", i, v.split(","), None, None) for i, v in enumerate(lines)], archives.LINE_SCHEMA)
+    got = {r.id: r for r in archives.parse_trades(rows.withColumn("line", F.array_join("cells", ",")), archives.AGG_TRADE_FIELDS).collect()}
     assert (got[7].first_trade_id, got[7].last_trade_id, got[7].reasons) == (10, 12, [])
     assert (got[8].reasons, got[9].reasons) == (["trade_id_order"], ["id_syntax"])
     assert got[10].reasons[0] == "field_count"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +16,7 @@ from plumbline.operators import aggregates, features, filters, joins, ranking, s
 from plumbline.ordering import over_order
 from plumbline.rules import RuleSet
 from plumbline.session import materialise
-from plumbline.sources import catalog
+from plumbline.sources import catalog, sinks
 
 
 # ---- K01 ----
@@ -165,6 +167,79 @@ def scan_rows(rows: DataFrame, group: list[str], day: str, row_no: str, key: str
 
 
 # ---- K04 ----
+def decision(members: DataFrame, cutoff: Column, group: list[str], key: list[str]) -> DataFrame:
+    """What is decided on members under a cutoff: per group all counts, and a fingerprint of the members that are visible."""
+    labelled = filters.label_visibility(members, cutoff)
+    prints = aggregates.fingerprint_sums(  # the counts of all states come with it
+        labelled, [*group, *key], [*group, "visibility"], only=F.col("visibility") == "visible")
+    state = F.col("visibility")
+
+    def count(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(state == name, F.col("n_rows"))), F.lit(0))
+
+    return prints.groupBy(*group).agg(
+        F.sum("n_rows").alias("total"), count("visible").alias("formal"), count("time_boundary_rejected").alias("rejected"),
+        count("undetermined").alias("undetermined"), F.max(F.when(state == "visible", F.col("fingerprint"))).alias("decision_sha"))
+
+
+def freeze(members: DataFrame, root: str, cutoff: str, group: list[str], key: list[str], rule_version: str) -> str:
+    """Publish members, cutoff (UTC time) and rules as an intent, and return its id, which follows from its content. An intent that is there already stays."""
+    spark = members.sparkSession
+    wanted = [*group, *key, "source_visible_at", "collected_at"]
+    staged = materialise(members.select(*wanted), "intent")  # what is hashed is what is published
+    content = aggregates.set_fingerprint(staged).first()["fingerprint"]
+    said = {"kind": "intent", "cutoff": cutoff, "rule_version": rule_version, "group": group, "key": key}
+    intent = "intent-" + hashlib.sha256(json.dumps([said, content], sort_keys=True).encode()).hexdigest()[:32]
+    if not sinks.is_published(spark, root, intent):
+        sinks.publish_batch(staged, root, intent, said)
+    return intent
+
+
+def _decide_frozen(spark: SparkSession, root: str, intent: str) -> DataFrame:
+    """The decision on an intent, from its batch alone: members, cutoff and rules are the published ones, and are checked to be."""
+    said = sinks.read_manifest(spark, root, intent)
+    return decision(sinks.read_batch(spark, root, intent), F.lit(said["cutoff"]).cast("timestamp"), said["group"], said["key"])
+
+
+def decide_frozen(spark: SparkSession, root: str, intent: str) -> str:
+    """Decide on a published intent and publish the decision; returns its id."""
+    name = intent.replace("intent-", "decision-")
+    if not sinks.is_published(spark, root, name):
+        facts = sinks.read_manifest(spark, root, intent)
+        sinks.publish_batch(_decide_frozen(spark, root, intent), root, name, {"kind": "decision", "intent": intent, "intent_fingerprint": facts["fingerprint"]})
+    return name
+
+
+def prove_frozen(spark: SparkSession, root: str, decided: str, attempt: int) -> str:
+    """Decide again, from the intent that a decision names, compare with the decision row by row and publish the proof; returns its id."""
+    facts = sinks.read_manifest(spark, root, decided)
+    name = f"{decided.replace('decision-', 'proof-')}-{attempt}"
+    if sinks.is_published(spark, root, name):
+        return name
+    intent = sinks.read_manifest(spark, root, facts["intent"])
+    if intent["fingerprint"] != facts["intent_fingerprint"]:
+        raise sinks.BatchAltered(f"{facts['intent']} is not the intent that {decided} was made of")
+    group, first, again = intent["group"], sinks.read_batch(spark, root, decided), _decide_frozen(spark, root, facts["intent"])
+    told = [c for c in first.columns if c not in group]
+    # One row per group and side: the union keeps null groups and groups of one side only.
+    sides = first.select(*group, F.struct(*told).alias("decided"), F.lit(None).cast(first.select(F.struct(*told)).schema[0].dataType).alias("replayed")).unionByName(
+        again.select(*group, F.lit(None).cast(first.select(F.struct(*told)).schema[0].dataType).alias("decided"), F.struct(*told).alias("replayed")))
+    both = sides.groupBy(*group).agg(F.max("decided").alias("decided"), F.max("replayed").alias("replayed"))
+    same = F.col("decided").eqNullSafe(F.col("replayed"))
+    proof = both.select(*group, "decided.*", F.col("replayed.decision_sha").alias("replay_sha"), F.when(same, "equal").otherwise("different").alias("replay_status"))
+    sinks.publish_batch(proof, root, name, {"kind": "proof", "decision": decided, "attempt": attempt})
+    return name
+
+
+def batch_state(spark: SparkSession, root: str, batch_id: str) -> DataFrame:
+    """Whether a batch can be used: `intact`, or `altered` with the rows it states and those it holds."""
+    facts = sinks.read_manifest(spark, root, batch_id)
+    held = aggregates.set_fingerprint(spark.read.parquet(f"{root}/batch_id={batch_id}/{facts['data']}"))
+    intact = (F.col("n_rows") == facts["n_rows"]) & (F.col("fingerprint") == facts["fingerprint"])
+    return held.select(F.lit(facts.get("kind")).alias("kind"), F.lit(facts["n_rows"]).cast("bigint").alias("n_stated"), F.col("n_rows").alias("n_held"),
+                       F.when(intact, "intact").otherwise("altered").alias("batch_state"))
+
+
 def freeze_decide_replay(first: DataFrame, second: DataFrame, cutoff: Column, group: list[str], key: list[str],
                          rule_version: str) -> DataFrame:
     """Decide on member evidence under a frozen intent, decide again from the re-read evidence, compare.
@@ -173,17 +248,7 @@ def freeze_decide_replay(first: DataFrame, second: DataFrame, cutoff: Column, gr
     replay verdict. A group that only one of them holds is `different`.
     """
     def decide(members: DataFrame, tag: str) -> DataFrame:
-        labelled = filters.label_visibility(members, cutoff)
-        prints = aggregates.fingerprint_sums(  # the counts of all states come with it
-            labelled, [*group, *key], [*group, "visibility"], only=F.col("visibility") == "visible")
-        state = F.col("visibility")
-
-        def count(name: str) -> Column:
-            return F.coalesce(F.sum(F.when(state == name, F.col("n_rows"))), F.lit(0))
-
-        return prints.groupBy(*group).agg(
-            F.sum("n_rows").alias("total"), count("visible").alias("formal"), count("time_boundary_rejected").alias("rejected"),
-            count("undetermined").alias("undetermined"), F.max(F.when(state == "visible", F.col("fingerprint"))).alias(tag))
+        return decision(members, cutoff, group, key).withColumnRenamed("decision_sha", tag)
 
     # Both decisions have one row per group; the union keeps null groups together and loses none.
     first_rows = decide(first, "decision_sha").withColumn("decided", F.lit(1))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,9 +33,26 @@ def publish_batch(df: DataFrame, root: str, batch_id: str, manifest: dict[str, s
     df.sparkSession.createDataFrame([(row,)], schema).coalesce(1).write.mode("errorifexists").text(f"{target}/{MANIFEST}")
 
 
+class BatchAltered(ValueError):
+    """A batch holds other rows than it was published with."""
+
+
 def read_batch(spark: SparkSession, root: str, batch_id: str) -> DataFrame:
-    """Rows of a completed batch; without a manifest the read fails."""
-    return spark.read.parquet(f"{root}/batch_id={batch_id}/{read_manifest(spark, root, batch_id)['data']}")
+    """Rows of a completed batch, whose fingerprint is computed again and must be the stated one; without a manifest the read fails."""
+    facts = read_manifest(spark, root, batch_id)
+    rows = spark.read.parquet(f"{root}/batch_id={batch_id}/{facts['data']}")
+    found = set_fingerprint(rows).first()
+    if (found["n_rows"], found["fingerprint"]) != (facts["n_rows"], facts["fingerprint"]):
+        raise BatchAltered(f"batch {batch_id} states {facts['n_rows']} rows and holds {found['n_rows']}, or others")
+    return rows
+
+
+def is_published(spark: SparkSession, root: str, batch_id: str) -> bool:
+    try:
+        read_manifest(spark, root, batch_id)
+        return True
+    except AnalysisException:
+        return False
 
 
 def read_manifest(spark: SparkSession, root: str, batch_id: str) -> dict[str, str]:

@@ -9,8 +9,8 @@ from plumbline.functions import verdicts as V
 from plumbline.operators import joins as C
 from plumbline.plans import jobs
 from plumbline.rules import Rule, RuleSet
-from plumbline.session import materialise
-from plumbline.sources import archives, files
+from plumbline.session import fresh_folder, materialise
+from plumbline.sources import archives, files, sinks
 from registry.audits import CUTOFF, GATE_VIEW, GATES, SUMS_SQL, cutoff, daily_archives, gate_rows, tick_archives
 from registry.base import bars, load, members, oi, query, session_sql, ticks, visibility
 from registry.series import BODY_SQL, BREAK_SQL, OI_SQL, RECURSIVE, VOL_SQL, VOLUME_SQL, books
@@ -156,6 +156,42 @@ def k04d(spark, sf):
     return jobs.freeze_decide_replay(first, second, cutoff(), ["l_returnflag"], ["l_orderkey", "l_linenumber"], "rules-1").select("l_returnflag", "replay_status")
 
 
+def frozen(spark, sf, name):
+    """The visibility rows as an intent below a new root, and the decision on it."""
+    root = fresh_folder(spark, name)
+    intent = jobs.freeze(visibility(spark, sf), root, CUTOFF, ["l_returnflag"], ["l_orderkey", "l_linenumber"], "rules-1")
+    return root, intent, jobs.decide_frozen(spark, root, intent)
+
+
+@query("k04_frozen_replay", f""", v AS (SELECT *, source_visible_at > TIMESTAMP '{CUTOFF}' OR collected_at > TIMESTAMP '{CUTOFF}' AS late FROM visibility),
+f AS (SELECT l_returnflag, {SUMS_SQL} AS fp FROM (SELECT l_returnflag, sha256('{{"l_linenumber":' || l_linenumber || ',"l_orderkey":' || l_orderkey || ',"l_returnflag":"' || l_returnflag || '"}}') AS s
+  FROM v WHERE NOT late) GROUP BY ALL)
+SELECT attempt, v.l_returnflag, count(*) AS total, count(*) FILTER (NOT late) AS formal, count(*) FILTER (late) AS rejected, 0::BIGINT AS undetermined, fp AS decision_sha, fp AS replay_sha, 'equal' AS replay_status
+FROM v LEFT JOIN f ON v.l_returnflag = f.l_returnflag CROSS JOIN (SELECT unnest([1, 2]) AS attempt) GROUP BY v.l_returnflag, fp, attempt""", ("visibility",))
+def k04f(spark, sf):
+    """Two proofs, each from the published intent alone."""
+    root, _, decided = frozen(spark, sf, "k04f")
+    proofs = [sinks.read_batch(spark, root, jobs.prove_frozen(spark, root, decided, n)).select(F.lit(n).alias("attempt"), "*") for n in (1, 2)]
+    return proofs[0].unionByName(proofs[1])
+
+
+@query("k04_altered_batch", """
+SELECT 'intent' AS kind, count(*) AS n_stated, count(*) + count(*) FILTER (l_linenumber = 7) AS n_held, CASE WHEN count(*) FILTER (l_linenumber = 7) > 0 THEN 'altered' ELSE 'intact' END AS batch_state, true AS replay_refused FROM visibility
+UNION ALL SELECT 'decision', count(DISTINCT l_returnflag), count(DISTINCT l_returnflag), 'intact', true FROM visibility""", ("visibility",))
+def k04a(spark, sf):
+    """Rows are added to a published intent: it is found altered, its decision is not, and a replay is refused."""
+    root, intent, decided = frozen(spark, sf, "k04a")
+    folder = sinks.read_manifest(spark, root, intent)["data"]
+    sinks.read_batch(spark, root, intent).where("l_linenumber = 7").write.mode("append").parquet(f"{root}/batch_id={intent}/{folder}")
+    try:
+        jobs.prove_frozen(spark, root, decided, 1)
+        refused = False
+    except sinks.BatchAltered:
+        refused = True
+    states = jobs.batch_state(spark, root, intent).unionByName(jobs.batch_state(spark, root, decided))
+    return states.withColumn("replay_refused", F.lit(refused))
+
+
 LEAF_SQL = f""", {GATE_VIEW},
 w AS (SELECT symbol, scale_h, gate, i FROM (SELECT DISTINCT symbol FROM members) CROSS JOIN (SELECT unnest([4, 8, 24, 48]) AS scale_h) CROSS JOIN (SELECT unnest(['identity', 'time', 'quality', 'coverage']) AS gate, unnest([0, 1, 2, 3]) AS i)),
 lv AS (SELECT w.symbol, w.scale_h, count(*) FILTER (ok) AS gates_passed, CASE WHEN bool_and(ok) THEN 'pass' ELSE 'blocked' END AS verdict, arg_min(w.gate, w.i) FILTER (NOT ok) AS first_gate

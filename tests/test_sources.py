@@ -253,3 +253,27 @@ def test_aggregate_trades(spark):
     assert (got[7].first_trade_id, got[7].last_trade_id, got[7].reasons) == (10, 12, [])
     assert (got[8].reasons, got[9].reasons) == (["trade_id_order"], ["id_syntax"])
     assert got[10].reasons[0] == "field_count"
+
+
+def test_frozen_evidence_replays_from_its_batch_only(spark, tmp_path):
+    rows = [("a", 1, "2024-01-01", "2024-01-02"), ("a", 2, "2024-03-01", "2024-01-02"), (None, 3, None, "2024-01-01"), ("b", 4, "2024-01-01", "2024-01-01")]
+    df = spark.createDataFrame(rows, "g string, k long, v string, c string").selectExpr("g", "k", "CAST(v AS timestamp) AS source_visible_at", "CAST(c AS timestamp) AS collected_at")
+    root = str(tmp_path)
+    intent = jobs.freeze(df, root, "2024-02-01 00:00:00", ["g"], ["k"], "1")
+    assert jobs.freeze(df.repartition(3), root, "2024-02-01 00:00:00", ["g"], ["k"], "1") == intent  # content, not partitioning
+    assert jobs.freeze(df, root, "2024-02-01 00:00:00", ["g"], ["k"], "2") != intent and jobs.freeze(df.where("k < 4"), root, "2024-02-01 00:00:00", ["g"], ["k"], "1") != intent
+    decided = jobs.decide_frozen(spark, root, intent)
+    assert jobs.decide_frozen(spark, root, intent) == decided
+    proof = jobs.prove_frozen(spark, root, decided, 1)
+    got = {r.g: (r.total, r.formal, r.rejected, r.undetermined, r.replay_status) for r in sinks.read_batch(spark, root, proof).collect()}
+    assert got == {"a": (2, 1, 1, 0, "equal"), "b": (1, 1, 0, 0, "equal"), None: (1, 0, 0, 1, "equal")}
+    # a decision that was published with other counts is told apart, group by group
+    forged = sinks.read_batch(spark, root, decided).withColumn("formal", F.when(F.col("g") == "b", 9).otherwise(F.col("formal")).cast("bigint"))
+    sinks.publish_batch(forged, root, "decision-forged", {k: sinks.read_manifest(spark, root, decided)[k] for k in ("kind", "intent", "intent_fingerprint")})
+    got = {r.g: r.replay_status for r in sinks.read_batch(spark, root, jobs.prove_frozen(spark, root, "decision-forged", 1)).collect()}
+    assert got == {"a": "equal", "b": "different", None: "equal"}
+    data = sinks.read_manifest(spark, root, intent)["data"]
+    df.where("k = 1").write.mode("append").parquet(f"{root}/batch_id={intent}/{data}")
+    with pytest.raises(sinks.BatchAltered):
+        jobs.prove_frozen(spark, root, decided, 2)
+    assert [tuple(jobs.batch_state(spark, root, b).first())[1:] for b in (intent, decided)] == [(4, 5, "altered"), (3, 3, "intact")]

@@ -621,6 +621,4 @@ def j01(spark, sf):
 e AS (SELECT symbol, bar_ts, n, c AS f FROM b WHERE n = 1 UNION ALL SELECT b.symbol, b.bar_ts, b.n, f + (b.c - f) * 2 / 6.0::DOUBLE FROM e JOIN b ON b.symbol = e.symbol AND b.n = e.n + 1)
 SELECT symbol, bar_ts, round(f, 6) AS ema FROM e""", ("bars_1d",))
 def j03(spark, sf):
-    from pyspark.sql import Window as W
-    rows = bars(spark, sf, "1 day").withColumn("n", F.row_number().over(W.partitionBy("symbol").orderBy("bar_ts")) - 1)
-    return X.ema(rows, "close", 5, "ema", row="n").select("symbol", "bar_ts", *r6("ema"))
+    return X.ema(X.number_bars(bars(spark, sf, "1 day")), {"ema": ("close", 5)}).select("symbol", "bar_ts", *r6("ema"))

@@ -98,6 +98,20 @@ def current_declaration(df: DataFrame, key: list[str], version: str, payload: li
     return best.select(*key, "b.*", "n_versions")
 
 
+def declarations_as_of(df: DataFrame, key: list[str], version: str, payload: list[str], visible: str, revocations: DataFrame,
+                       revoked: str, cutoffs: list[Column]) -> DataFrame:
+    """Latest version per key and cutoff, by what was visible at the cutoff: versions seen by then, less those whose revocation was seen by then.
+
+    A revocation that became visible later changes no earlier answer. `revocations` (key, version, `revoked`) may name a version more than once: the
+    first visible one counts, and one of unknown time never does. A key without a live version at a cutoff has no row there.
+    """
+    first = revocations.groupBy(*key, version).agg(F.min(revoked).alias("__revoked"))
+    known = df.join(first, [*key, version], "left").select(*key, version, *payload, F.col(visible).alias("__visible"), "__revoked", F.explode(F.array(*cutoffs)).alias("cutoff"))
+    live = known.filter((F.col("__visible") <= F.col("cutoff")) & ~F.coalesce(F.col("__revoked") <= F.col("cutoff"), F.lit(False)))
+    best = live.groupBy(*key, "cutoff").agg(F.max(F.struct(version, *payload)).alias("b"), F.count("*").alias("n_versions"))
+    return best.select(*key, "cutoff", "b.*", "n_versions")
+
+
 def revisions(df: DataFrame, key: list[str], seen: list[Column], content: Column,
               whole: bool = False) -> DataFrame:
     """Same key seen again: `repeat` with equal content, `revision` with other content; nothing is overwritten."""

@@ -202,6 +202,24 @@ def e17(spark, sf):
     return E.current_declaration(facts, ["o_custkey"], "o_orderkey", ["o_orderstatus"], revoked)
 
 
+AS_OF = ["1994-01-01", "1996-06-01", "1999-01-01"]
+
+
+@query("e17_declarations_as_of", f"""
+WITH r AS (SELECT l_orderkey, min(l_shipdate) AS revoked FROM lineitem WHERE l_quantity >= 45 GROUP BY 1),
+c AS (SELECT CAST(unnest({AS_OF}) AS TIMESTAMP) AS cutoff)
+SELECT o_custkey, strftime(cutoff, '%Y-%m-%d') AS cutoff, max(o_orderkey) AS o_orderkey, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus, count(*) AS n_versions
+FROM orders LEFT JOIN r ON l_orderkey = o_orderkey CROSS JOIN c WHERE o_orderdate <= cutoff AND (revoked IS NULL OR revoked > cutoff) GROUP BY o_custkey, cutoff""")
+def e17a(spark, sf):
+    """Orders are versions, seen on their day; large lines revoke them when they are shipped."""
+    facts = load(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate")
+    revoked = load(spark, sf, "lineitem").filter("l_quantity >= 45").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_shipdate").alias("revoked_at")).join(
+        facts.select("o_custkey", "o_orderkey"), "o_orderkey")
+    cutoffs = [F.lit(c).cast("timestamp_ntz") for c in AS_OF]
+    out = E.declarations_as_of(facts, ["o_custkey"], "o_orderkey", ["o_orderstatus"], "o_orderdate", revoked, "revoked_at", cutoffs)
+    return out.withColumn("cutoff", F.date_format("cutoff", "yyyy-MM-dd"))
+
+
 @query("e18_revisions", """
 SELECT l_returnflag, CASE WHEN p IS NULL THEN 'first' WHEN p = l_linestatus THEN 'repeat' ELSE 'revision' END AS seen_as, count(*) AS n FROM
  (SELECT *, lag(l_linestatus) OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice) AS p FROM lineitem) GROUP BY ALL""")

@@ -284,6 +284,15 @@ def test_event_windows_agree(split):
     assert totals == {r.e: (r.c, r.s) for r in pairs.collect()}
 
 
+def test_declarations_do_not_look_ahead(spark):
+    facts = spark.createDataFrame([("a", 1, "x", 10), ("a", 2, "y", 20), ("b", 1, "z", 15), ("b", 2, "w", None)], "k string, v int, p string, seen int")
+    revoked = spark.createDataFrame([("a", 2, 30), ("a", 2, 25), ("b", 1, None)], "k string, v int, at int")
+    cutoffs = [F.lit(c) for c in (9, 12, 20, 24, 25, 40)]
+    got = {(r.k, r.cutoff): (r.v, r.p, r.n_versions) for r in E.declarations_as_of(facts, ["k"], "v", ["p"], "seen", revoked, "at", cutoffs).collect()}
+    b = {("b", c): (1, "z", 1) for c in (20, 24, 25, 40)}
+    assert got == {("a", 12): (1, "x", 1), ("a", 20): (2, "y", 2), ("a", 24): (2, "y", 2), ("a", 25): (1, "x", 1), ("a", 40): (1, "x", 1), **b}
+
+
 def test_current_declaration_skips_revoked_versions(spark):
     facts = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k string, v int, p string")
     revoked = spark.createDataFrame([("a", 2), ("b", 1)], "k string, v int")

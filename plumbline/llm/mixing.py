@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plumbline.llm.shared import BLANK, WORD, order_first, running, store
+from plumbline.llm.shared import BLANK, WORD, order_first, quoted, running, store
 
 #: The random key has so many bits; one range of it holds about RANGE documents.
 KEY_BITS = 60
@@ -58,9 +58,14 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     Whole epochs of a source are taken as often as they fit its target; of the last epoch the documents are
     taken in random order until the target, rounded down to a whole word, is reached, the last one in part.
     Null ids, null sources and repeated rows count like others; documents of size 0 take 0; an empty table gives none.
+    Other columns come along under any name; those named like a result are replaced by it.
     `rows` is evaluated three times: pass a stored table if it is dear.
     """
-    keyed = rows.withColumn("__key", random_key(F.col("doc_id"), seed))
+    base, results = ("doc_id", "source", "size"), ("source_size", "target", "taken")
+    kept = [c for c in rows.columns if c.lower() not in results]
+    extra = [c for c in kept if c.lower() not in base]  # packed, so that no name meets one used here
+    packed = [F.struct(*[quoted(c) for c in extra]).alias("__extra")] if extra else []
+    keyed = rows.select(*base, *packed).withColumn("__key", random_key(F.col("doc_id"), seed))
     sources = store(source_targets(rows, weights, share, cap), "targets")
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("docs") / RANGE))).cast("int")
     cuts = sources.select("source", F.col("source_size"), "target", F.least(bits, F.lit(30)).alias("__bits"))
@@ -76,7 +81,8 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     epochs = F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     left = goal - epochs * F.col("source_size") - F.col("__offset") - F.col("__inside")
     taken = epochs * F.col("size") + F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), left))
-    return joined.withColumn("taken", taken.cast("long")).drop("__key", "__bits", "__range", "__inside", "__s", "__r", "__offset")
+    columns = [F.col("__extra")[c].alias(c) if c in extra else F.col(c) for c in kept]
+    return joined.select(*columns, "source_size", "target", taken.cast("long").alias("taken"))
 
 
 def first_words(text: Column, n: Column) -> Column:
@@ -87,7 +93,7 @@ def first_words(text: Column, n: Column) -> Column:
 def mixed_texts(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents, with the columns of `docs`: a row per copy that the mix takes; the last copy of a
     document is cut to the words that are still taken, with `n_chars` to match. Documents of no words are not taken."""
-    plain = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.struct(*docs.columns).alias("__row"))
+    plain = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.struct(*[quoted(c) for c in docs.columns]).alias("__row"))
     mixed = mix(plain, **options).where("taken > 0")
     left = F.when(F.col("__copy") * F.col("size") > F.col("taken"), (F.col("taken") % F.col("size")).cast("int"))
     copies = mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")))))

@@ -16,6 +16,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from plumbline.llm.shared import quoted
 
 THRESHOLD = 0.7
 #: Bounds of the training sample: so many labelled documents at most, none longer than so many characters, and so many lines in all.
@@ -186,8 +189,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars:
 
 
 def score(docs: DataFrame, field: LineField, text: str = "text") -> DataFrame:
-    """`docs` with `score` (0 to 1) and `predicted` (1 from THRESHOLD on). Row by row: no shuffle, whole texts, any length."""
+    """`docs` with `score` (0 to 1) and `predicted` (1 from THRESHOLD on); columns of these names in `docs` are replaced.
+    Row by row: no shuffle, whole texts, any length. Null texts are empty."""
     names = [f.name for f in docs.schema]
+    kept = [i for i, name in enumerate(names) if name.lower() not in ("score", "predicted")]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,15 +202,16 @@ def score(docs: DataFrame, field: LineField, text: str = "text") -> DataFrame:
                 starts = np.cumsum([0, *[len(s) for _, s in rows[:-1]]])
                 values.append(field.score(np.concatenate([x for x, _ in rows]), np.concatenate([s for _, s in rows]), starts))
             got = np.concatenate(values) if values else np.empty(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got), pa.array((got >= THRESHOLD).astype(np.int32))], [*names, "score", "predicted"])
+            columns = [*[batch.column(i) for i in kept], pa.array(got), pa.array((got >= THRESHOLD).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, [*[names[i] for i in kept], "score", "predicted"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(scan, f"{schema}, score double, predicted int")
+    schema = T.StructType([*[docs.schema[i] for i in kept], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    return docs.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(scan, schema)  # by place: names may hold dots
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs`, with its columns, that the classifier accepts."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), F.col("text").alias("t"))
+    packed = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("r"), F.col("text").alias("t"))
     kept = score(packed, fit(docs, labels), "t").where("predicted = 1")
     return kept.select(*[F.col("r")[c].alias(c) for c in docs.columns])
 

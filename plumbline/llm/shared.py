@@ -34,6 +34,11 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def order_first(*names: str) -> list[Column]:
     """Ascending with nulls last, as sources and ids are ordered here."""
     return [F.col(n).asc_nulls_last() for n in names]

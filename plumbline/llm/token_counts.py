@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.packing import default_vocabulary, encoding
+from plumbline.llm.packing import ADDED, default_vocabulary, encoding
 from plumbline.llm.shared import store
 
 #: Characters a leaf has at least (but for the last one), and the context a cut depends on.
@@ -87,8 +87,10 @@ def apply_edit(tree: SumTree, text: str, start: int, removed: int, inserted: str
 
 
 def counter(vocabulary: tuple[str, str] | None):
-    encode = encoding(*(vocabulary or default_vocabulary())).encode_ordinary
-    return lambda text: len(encode(text))
+    """Number of ids as the tokenizers file gives them: its added token counts as one wherever it stands; another vocabulary has none."""
+    added = ADDED if vocabulary is None else ()
+    bpe, special = encoding(*(vocabulary or default_vocabulary()), added), {text for text, _ in added}
+    return lambda text: len(bpe.encode(text, allowed_special=special, disallowed_special=()))
 
 
 def build_trees(docs: DataFrame, vocabulary: tuple[str, str] | None = None) -> DataFrame:
@@ -111,20 +113,21 @@ def build_trees(docs: DataFrame, vocabulary: tuple[str, str] | None = None) -> D
 
 
 def count_after_edits(docs: DataFrame, trees: DataFrame, edits: DataFrame, vocabulary: tuple[str, str] | None = None) -> DataFrame:
-    """Token counts of `docs` (doc_id, text) before and after `edits` (doc_id, seq, start, removed, inserted).
+    """Token counts of `docs` (doc_id, text) before and after `edits` (doc_id, text_hash, seq, start, removed, inserted).
 
-    Edits of a document are made in order of seq (ties by start, removed, inserted), each on the text that the ones before left; places
-    beyond the text are moved to its end, nulls are 0 and empty. A document without edits keeps its count. Rows with the same
-    id all get that id's edits; repeated rows come out repeated. `trees` are those of `build_trees`.
+    An edit is for the text with that id and that xxhash64, as in `trees` (those of `build_trees`); a null id is an id like others.
+    Edits are made in order of seq (ties by start, removed, inserted), each on the text that the ones before left; places
+    beyond the text are moved to its end, nulls are 0 and empty. A document without edits keeps its count. Repeated rows come
+    out repeated. The token `<|endoftext|>` inside a text is one token, as in the packing; texts of one id, however many,
+    are keyed apart, so the work is linear in them.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("k")
+    pair = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("k"), "text_hash"]
     e = F.struct("seq", F.coalesce("start", F.lit(0)).cast("long").alias("start"), F.coalesce("removed", F.lit(0)).cast("long").alias("removed"), F.coalesce("inserted", F.lit("")).alias("inserted"))
-    listed = edits.groupBy(key).agg(F.array_sort(F.collect_list(e)).alias("edits"))
-    # One key for all three, so that each is shuffled once; an id that several texts share brings the trees of all of them.
-    known = trees.groupBy(key).agg(F.collect_set(F.struct("text_hash", "chars", "tokens")).alias("trees"))
-    keyed = docs.select(key, F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
-    tree = F.element_at(F.filter("trees", lambda t: t["text_hash"] == F.col("text_hash")), 1)
-    joined = keyed.join(known.join(listed, "k", "left"), "k").select("doc_id", "text", "edits", tree.alias("tree")).select("doc_id", "text", "tree.chars", "tree.tokens", "edits")
+    listed = edits.groupBy(*pair).agg(F.array_sort(F.collect_list(e)).alias("edits"))
+    # One key for all three, so that each is shuffled once; equal texts of one id have equal trees.
+    known = trees.groupBy(*pair).agg(F.any_value(F.struct("chars", "tokens")).alias("tree"))
+    keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text")).select(*pair, "doc_id", "text")
+    joined = keyed.join(known.join(listed, ["k", "text_hash"], "left"), ["k", "text_hash"]).select("doc_id", "text", "tree.chars", "tree.tokens", "edits")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(vocabulary)
@@ -141,18 +144,22 @@ def count_after_edits(docs: DataFrame, trees: DataFrame, edits: DataFrame, vocab
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
     names = ["doc_id", "n_tokens", "n_tokens_edited", "n_chars_edited", "n_chars_encoded", "n_leaves"]
-    return joined.select("doc_id", "text", "chars", "tokens", "edits").mapInArrow(scan, ", ".join(f"{n} long" for n in names))
+    return joined.mapInArrow(scan, ", ".join(f"{n} long" for n in names))
 
 
 def own_edits(docs: DataFrame) -> DataFrame:
     """Three edits for each document, made of its own text: a passage in the first third is replaced by the document's first 40
-    characters, its source is put in at two thirds, and its last 10 characters come again at the end."""
+    characters, its source is put in at two thirds, and its last 10 characters come again at the end. Rows of the same id and
+    text get one set of edits, with the smallest of their sources."""
     n = F.length("text")
     edits = F.array(
         F.struct(F.lit(0).alias("seq"), F.floor(n / 3).alias("start"), (F.floor(n / 50) + 1).alias("removed"), F.substring("text", 1, 40).alias("inserted")),
         F.struct(F.lit(1).alias("seq"), F.floor(n * 2 / 3).alias("start"), F.lit(0).cast("long").alias("removed"), F.concat(F.lit(" "), F.coalesce("source", F.lit("")), F.lit(" ")).alias("inserted")),
         F.struct(F.lit(2).alias("seq"), (n * 2 + 100).cast("long").alias("start"), F.lit(0).cast("long").alias("removed"), F.substring("text", -10, 10).alias("inserted")))
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "source").select("doc_id", F.explode(edits).alias("e")).select("doc_id", "e.*")
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"), "source")
+    listed = hashed.select("doc_id", "text_hash", "source", F.explode(edits).alias("e"))
+    once = listed.groupBy("doc_id", "text_hash", "e.seq").agg(F.min(F.struct("source", "e")).alias("m"))
+    return once.select("doc_id", "text_hash", "m.e.*")
 
 
 def tokens_query(spark, sf_dir):

@@ -18,7 +18,7 @@ from plumbline.llm import chat, host_rules, mixing, packing, pii, quality, simha
 from plumbline.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, r string, taken long, `range` long, m string, h string, score double"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, r string, taken long, `range` long, m string, h string, score double, predicted string, target string, source_size string, `a.b` string, k string, text_hash string"
 LONG = "word " * 30_000 + "x" * 60_000
 
 
@@ -29,7 +29,7 @@ def odd(spark):
              "é" * 70 + " ünï 😀 \U0001f600 end", "same text " * 12, "same text " * 12, "\n\n\n" * 40, "<s>[INST] x [/INST]</s>"]
     rows = [(i, t, "en", f"s{i % 3}", None if t is None else len(t)) for i, t in enumerate(texts)]
     rows += [rows[10], rows[10], (10, "another text with id ten", None, None, None), (None, "no id at all", None, None, None), (None, None, None, None, None)]
-    return spark.createDataFrame([(*r, 7, "r", 9, 1, "m", "h", 0.5) for r in rows], SCHEMA)
+    return spark.createDataFrame([(*r, 7, "r", 9, 1, "m", "h", 0.5, "p", "t", "z", "a.b", "k", "x") for r in rows], SCHEMA)
 
 
 def rows_of(df):
@@ -105,6 +105,15 @@ def test_mix_reaches_its_targets(odd, spark):
     assert tuple(zero) == (0, 0.0)
 
 
+def test_mix_keeps_columns_of_any_name(odd):
+    got = mixing.mix(odd)
+    assert got.columns == [*[c for c in odd.columns if c not in ("source_size", "target", "taken")], "source_size", "target", "taken"]
+    assert got.where("`a.b` = 'a.b' and m = 'm' and k = 'k' and target >= 0").count() == odd.count()
+    plain = mixing.mix(odd.select("doc_id", "source", "size"))
+    by = ["doc_id", "source", "size", "source_size", "target", "taken"]
+    assert Counter(rows_of(got.select(*by))) == Counter(rows_of(plain.select(*by)))
+
+
 def test_mix_cuts_large_sources_into_ranges(spark, small, monkeypatch):
     sized = small.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
     whole = sorted(rows_of(mixing.mix(sized).select("doc_id", "taken")))
@@ -163,9 +172,11 @@ def test_quality_sample_is_cut_before_it_is_collected(spark, monkeypatch):
 def test_quality_on_odd_rows(odd, spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     field = quality.fit(spark.read.parquet(f"{SF}/documents.parquet"), labels)
-    scored = quality.score(odd.drop("score"), field)
+    scored = quality.score(odd, field)
+    assert scored.columns == [*[c for c in odd.columns if c not in ("score", "predicted")], "score", "predicted"]
+    assert {r[0] for r in scored.select("`a.b`").collect()} == {"a.b"}
     assert scored.count() == odd.count() and scored.where("not score between 0 and 1 or score is null").count() == 0
-    assert rows_of(quality.score(odd.drop("score").where("false"), field)) == []
+    assert rows_of(quality.score(odd.where("false"), field)) == []
     assert quality.keep_good(odd, labels).columns == odd.columns
     assert quality.keep_good(odd, labels.where("false")).count() == odd.count()  # nothing learnt, nothing rejected
 
@@ -173,21 +184,59 @@ def test_quality_on_odd_rows(odd, spark):
 # --- 4: token counts
 
 
-def test_edited_counts_equal_whole_encoding(odd, small):
-    count = token_counts.counter(None)
-    for docs in (small.select("doc_id", "text", "source"), odd.select("doc_id", "text", "source").where("doc_id <> 10")):
-        edits = token_counts.own_edits(docs)
-        todo = {}
-        for e in edits.distinct().collect():
-            todo.setdefault(e["doc_id"], []).append(e)
-        texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
-        for r in token_counts.count_after_edits(docs, token_counts.build_trees(docs), edits).where("doc_id is not null").collect():
-            text = texts[r["doc_id"]]
-            assert r["n_tokens"] == count(text)
-            for e in sorted(todo[r["doc_id"]], key=lambda e: e["seq"]):
-                start = min(e["start"], len(text))
-                text = text[:start] + (e["inserted"] or "") + text[start + e["removed"] :]
-            assert (r["n_tokens_edited"], r["n_chars_edited"]) == (count(text), len(text))
+def file_counter():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return lambda text: len(whole.encode(text, add_special_tokens=False).ids)
+
+
+def check_edits(docs):
+    """Counts of every row, null and repeated ids too, against the tokenizers file on the whole edited text."""
+    count, rows = file_counter(), docs.collect()
+    sources = {}
+    for r in rows:
+        sources.setdefault((r["doc_id"], r["text"]), set()).add(r["source"])
+    want = Counter()
+    for r in rows:
+        text = r["text"] or ""
+        n, source = len(text), min(sources[r["doc_id"], r["text"]], key=lambda s: (s is not None, s or ""))
+        edits = [(n // 3, n // 50 + 1, text[:40]), (n * 2 // 3, 0, f" {source or ''} "), (2 * n + 100, 0, text[-10:])]
+        before = count(text)
+        for start, removed, inserted in edits:
+            start = min(start, len(text))
+            text = text[:start] + inserted + text[start + removed :]
+        want[r["doc_id"], before, count(text), len(text)] += 1
+    got = token_counts.count_after_edits(docs, token_counts.build_trees(docs), token_counts.own_edits(docs))
+    assert Counter(rows_of(got.select("doc_id", "n_tokens", "n_tokens_edited", "n_chars_edited"))) == want
+
+
+def test_edited_counts_equal_whole_encoding(odd, small, spark):
+    check_edits(small.select("doc_id", "text", "source"))
+    check_edits(odd)
+    check_edits(odd.where("false"))
+    mark = "<|endoftext|>"
+    crowd = [(None, f"number {i} {mark} here" + f" and {mark}" * i, f"s{i % 2}") for i in range(60)]  # one id, many texts
+    crowd += [(5, f"{mark}{' word' * 80} {mark}" * 3, s) for s in ("b", "a", None)] + [(6, f"x <|endof text|> {mark}{mark}", "<|")]
+    check_edits(spark.createDataFrame(crowd, "doc_id long, text string, source string"))
+
+
+def test_added_token_is_made_and_broken_by_edits():
+    count, whole = token_counts.counter(None), file_counter()
+    text = "long words " * 40 + "<|endof text|> " + "more words " * 40 + "<|endoftext|> end"
+    runs = token_counts.leaves(text, 12)
+    tree = token_counts.SumTree.build([len(r) for r in runs], [count(r) for r in runs])
+    for start, removed, new in ((text.index("f text|>") + 1, 1, ""), (text.rindex("oftext"), 0, " "), (0, 0, "<|endoftext|>"), (5, 4, "")):
+        text, _ = token_counts.apply_edit(tree, text, start, removed, new, count)
+        assert (tree.tokens[1], tree.chars[1]) == (whole(text), len(text))
+
+
+def test_trees_of_one_id_stay_apart(spark):
+    """Texts that share an id meet one tree each: no row holds the trees or edits of others."""
+    docs = spark.createDataFrame([(None, f"text {i} of many", "s") for i in range(200)], "doc_id long, text string, source string")
+    edits = token_counts.own_edits(docs)
+    assert edits.groupBy("doc_id", "text_hash").count().agg(F.max("count"), F.count("*")).first() == (3, 200)
 
 
 def test_random_edits(spark):

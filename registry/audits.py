@@ -14,6 +14,7 @@ from plumbline.functions import scalars as S
 from plumbline.operators import aggregates as D
 from plumbline.operators import filters as B
 from plumbline.operators import joins as C
+from plumbline.operators import structure
 from plumbline.operators import windows as E
 from plumbline.rules import Rule, RuleSet
 from plumbline.session import fresh_folder, materialise
@@ -703,6 +704,61 @@ def d13(spark, sf):
     return D.set_fingerprint(load(spark, sf, "events"), ["event_id", "ts", "user_id", "event_type"])
 
 
+# Order lines read as the metadata of one table per order: a column and an index entry a line, in two spellings.
+DECLARED_SQL = """
+SELECT 't' || l_orderkey AS tbl, 'column' AS kind, 'c' || l_partkey AS name, l_linenumber AS seq, 'type_' || l_returnflag AS what,
+ l_linestatus = 'F' AS flag, CASE WHEN l_linenumber = 1 THEN '0' ELSE '-' END AS more, l_orderkey AS k, l_partkey AS p, l_suppkey AS s FROM lineitem
+UNION ALL SELECT 't' || l_orderkey, 'index', 'ix_' || l_suppkey, l_linenumber, 'c' || l_partkey, l_linestatus = 'O', 'BTREE', l_orderkey, l_partkey, l_suppkey FROM lineitem"""
+OBSERVED_SQL = """
+SELECT * REPLACE (CASE WHEN kind = 'column' AND p % 61 = 0 THEN NULL ELSE what END AS what, CASE WHEN kind = 'index' AND s % 37 = 0 THEN NOT flag ELSE flag END AS flag)
+FROM facts WHERE k % 13 <> 0 AND NOT (kind = 'column' AND p % 50 = 7) AND NOT (kind = 'index' AND s % 41 = 3)"""
+
+
+def order_metadata(spark, sf, observed=False):
+    """Facts of one table per order, as they are declared or as they are observed."""
+    lines = load(spark, sf, "lineitem").withColumn("table", F.concat(F.lit("t"), "l_orderkey"))
+    columns = indexes = lines.filter("l_orderkey % 13 <> 0" if observed else "l_orderkey % 17 <> 0")
+    kind, unique = F.concat(F.lit("type_"), "l_returnflag"), F.col("l_linestatus") == "O"
+    if observed:
+        columns, indexes = columns.filter("l_partkey % 50 <> 7"), indexes.filter("l_suppkey % 41 <> 3")
+        kind, unique = F.when(F.col("l_partkey") % 61 != 0, kind), unique != (F.col("l_suppkey") % 37 == 0)
+    named = structure.column_facts(columns.select(
+        "table", F.concat(F.lit("C" if observed else "c"), "l_partkey").alias("column"), kind.alias("type"), F.col("l_linenumber").alias("position"),
+        (F.col("l_linestatus") == "F").alias("nullable"), F.when(F.col("l_linenumber") == 1, 0).alias("key_position")))
+    return named.unionByName(structure.index_facts(indexes.select(
+        "table", F.concat(F.lit("ix_" if observed else "IX_"), "l_suppkey").alias("index"), F.col("l_linenumber").alias("seq"),
+        F.concat(F.lit("C"), "l_partkey").alias("column"), unique.alias("non_unique"), F.lit("btree").alias("index_type"))))
+
+
+@query("a05_structure_facts", f"SELECT tbl AS \"table\", kind, name, seq, what, flag, more FROM (WITH facts AS ({DECLARED_SQL}) {OBSERVED_SQL})")
+def a05_structure(spark, sf):
+    return order_metadata(spark, sf, observed=True)
+
+
+@query("h18_structure_sha", f"""
+SELECT tbl AS "table", kind, count(*) AS n_facts, {SUMS_SQL} AS fingerprint FROM (SELECT tbl, kind, sha256('{{"flag":' || flag || ',"kind":"' || kind
+ || '","more":"' || more || '","name":"' || name || '","seq":' || seq || ',"what":"' || what || '"}}') AS s FROM ({DECLARED_SQL}) WHERE k % 17 <> 0) GROUP BY ALL""")
+def h18_structure(spark, sf):
+    return structure.structure_sha(order_metadata(spark, sf))
+
+
+@query("c05_compare_structure", f"""
+WITH facts AS ({DECLARED_SQL}), sides AS (SELECT *, 'd' AS side FROM facts WHERE k % 17 <> 0 UNION ALL SELECT *, 'o' FROM ({OBSERVED_SQL})),
+per AS (SELECT tbl, kind, name, count(*) FILTER (side = 'd') AS d, count(*) FILTER (side = 'o') AS o, count(*) FILTER (what IS NULL) AS u,
+ count(DISTINCT (seq, coalesce(what, ''), flag, more)) AS v FROM sides GROUP BY tbl, kind, name, CASE WHEN kind = 'index' THEN seq ELSE 0 END),
+t AS (SELECT tbl, count(*) FILTER (d > 0) AS dn, count(*) FILTER (o > 0) AS obs, count(*) FILTER (u > 0) AS un, count(*) FILTER (kind = 'column' AND (d = 0 OR o = 0 OR v > 1)) AS cd,
+ count(*) FILTER (kind = 'index' AND (d = 0 OR o = 0 OR v > 1)) AS xd FROM per GROUP BY 1),
+r AS (SELECT 't' || o_orderkey AS tbl, CASE WHEN o_custkey % 29 = 0 THEN 'over_limit' WHEN o_custkey % 23 = 0 THEN 'denied' ELSE 'read' END AS outcome FROM orders WHERE o_orderkey % 19 <> 0)
+SELECT coalesce(t.tbl, r.tbl) AS "table", coalesce(dn, 0) AS declared_n, coalesce(obs, 0) AS observed_n, coalesce(un, 0) AS unknown_n, coalesce(cd, 0) AS columns_differing,
+ coalesce(xd, 0) AS indexes_differing, CASE WHEN coalesce(dn, 0) = 0 THEN 'undeclared' WHEN outcome = 'over_limit' THEN 'failed' WHEN outcome IS NULL OR outcome = 'denied' THEN 'undetermined'
+ WHEN obs = 0 THEN 'not_found' WHEN un > 0 THEN 'undetermined' WHEN cd + xd > 0 THEN 'drift' ELSE 'match' END AS structure_state FROM t FULL JOIN r ON t.tbl = r.tbl""")
+def c05_structure(spark, sf):
+    reads = load(spark, sf, "orders").filter("o_orderkey % 19 <> 0").select(
+        F.concat(F.lit("t"), "o_orderkey").alias("table"),
+        F.when(F.col("o_custkey") % 29 == 0, "over_limit").when(F.col("o_custkey") % 23 == 0, "denied").otherwise("read").alias("outcome"))
+    return structure.compare_structure(order_metadata(spark, sf), order_metadata(spark, sf, observed=True), reads)
+
+
 @query("d14_table_coverage", "SELECT event_type, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_rows FROM events GROUP BY 1")
 def d14(spark, sf):
     return D.table_coverage(load(spark, sf, "events"), ["event_type"], "ts")

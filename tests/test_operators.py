@@ -15,6 +15,7 @@ from plumbline.operators import filters as B
 from plumbline.operators import joins as C
 from plumbline.operators import ranking as R
 from plumbline.operators import sets as G
+from plumbline.operators import structure
 from plumbline.operators import windows as E
 from plumbline.plans import jobs
 from plumbline.rules import Rule, RuleSet
@@ -227,6 +228,33 @@ def test_schema_comparison(spark):
         "m": "match", "d": "drift", "g": "not_found", "u": "undetermined", "x": "undeclared"}
 
 
+def test_structure_comparison(spark):
+    column_rows = "table string, column string, type string, position int, nullable boolean, key_position int"
+    index_rows = "table string, index string, seq int, column string, non_unique boolean, index_type string"
+
+    def facts(columns, indexes):
+        return structure.column_facts(spark.createDataFrame(columns, column_rows)).unionByName(structure.index_facts(spark.createDataFrame(indexes, index_rows)))
+
+    tables = ["same", "order", "unique", "gone", "unknown", "failed", "denied", "unread", "twice", None]
+    declared = facts([(t, "Id", "bigint", 0, False, 0) for t in tables] + [(t, "ts", "int", 1, True, None) for t in tables],
+                     [(t, "PK", 1, "Id", False, "btree") for t in tables] + [(t, "by_ts", i + 1, c, True, "BTREE") for t in tables for i, c in enumerate(("ts", "id"))])
+    seen = [t for t in tables if t != "gone"]
+    columns = [(t, "ID", "bigint", 0, False, 0) for t in seen] + [(t, "ts", None if t == "unknown" else "int", 1, True, None) for t in seen]
+    indexes = [(t, "pk", 1, "id", t == "unique", "BTREE") for t in seen]
+    indexes += [(t, "BY_TS", i + 1, c, True, "btree") for t in seen for i, c in enumerate(("id", "ts") if t == "order" else ("ts", "id"))]
+    observed = facts([*columns, ("twice", "id", "bigint", 0, False, 0), ("extra", "a", "int", 0, True, None)], indexes)
+    outcomes = {"failed": "timeout", "denied": "denied", "unread": None}
+    reads = spark.createDataFrame([(t, outcomes.get(t, "read")) for t in [*tables, "extra", "listed"] if t != "unread"] + [("failed", "read")], "table string, outcome string")
+    got = {r.table: (r.structure_state, r.columns_differing, r.indexes_differing) for r in structure.compare_structure(declared, observed, reads).collect()}
+    assert got == {
+        "same": ("match", 0, 0), "order": ("drift", 0, 2), "unique": ("drift", 0, 1), "gone": ("not_found", 2, 3), "unknown": ("undetermined", 1, 0),
+        "failed": ("failed", 0, 0), "denied": ("undetermined", 0, 0), "unread": ("undetermined", 0, 0), "twice": ("match", 0, 0),
+        None: ("match", 0, 0), "extra": ("undeclared", 1, 0), "listed": ("undeclared", 0, 0)}
+    shas = [{(r.table, r.kind): r.fingerprint for r in structure.structure_sha(f).collect()} for f in (declared, observed.repartition(5))]
+    assert {t for t in seen for k in ("column", "index") if shas[0][t, k] != shas[1][t, k]} == {"order", "unique", "unknown", "twice"}
+    assert structure.compare_structure(declared.limit(0), observed.limit(0), reads.limit(0)).collect() == []
+
+
 def test_window_guard_and_warm_up(spark):
     days = spark.sql("SELECT 's' AS k, explode(sequence(DATE'2026-01-01', DATE'2026-01-31')) AS day").filter("day <> DATE'2026-01-15'")
     seg = E.segments(days, ["k"], "day")

@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import json
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from plumbline.contracts import CLOCKS, LIFECYCLE_EDGES, ORDER_KINDS, PERMISSION_GATES, SIDES
@@ -15,7 +17,7 @@ from plumbline.functions import book, scalars, verdicts
 from plumbline.operators import aggregates, features, filters, joins, ranking, sets, windows
 from plumbline.ordering import over_order
 from plumbline.rules import RuleSet
-from plumbline.session import materialise
+from plumbline.session import fresh_folder, materialise
 from plumbline.sources import catalog, sinks
 
 
@@ -37,35 +39,53 @@ class Audit:
 
 
 def _unit_facts(name: str, df: DataFrame, contract: UnitContract) -> DataFrame:
-    """One row with everything the content of a unit says: profile and broken rules in one pass, copies, missing days."""
-    facts = aggregates.profile(df, rules=contract.rules).groupBy().agg(
-        F.max("n_rows").alias("n_rows"), F.sum("n_null").alias("n_null"), F.sum("n_blank").alias("n_blank"),
-        F.sum("n_non_finite").alias("n_non_finite"), F.max("broken").alias("broken"))
-    copies = aggregates.duplicate_verdict(df, [], scalars.record_sha(df.columns))
-    missing = F.lit(None).cast("bigint")
-    if contract.day:
-        days = df.select(F.lit(name).alias("unit"), contract.day)
-        missing = joins.missing_days(days, ["unit"], contract.day).agg(F.count("*")).scalar()
-    return facts.select(
-        F.lit(name).alias("asset_id"), "*", copies.select(F.struct("n_duplicate", "duplicate_verdict")).scalar().alias("copies"),
-        F.lit("measured" if contract.day else "undetermined").alias("gap_status"), missing.alias("n_missing_days"),
-        F.lit(contract.rules.sha).alias("rule_sha"))
+    """One row with everything the content of a unit says, from one scan of it.
+
+    Records are reduced to one row per digest with what is wrong in them, these to one row per day (a single one where no day is
+    declared), and days to the unit, so that copies, counts and missing days come from the same reading. A unit without rows
+    has zeros and no missing day.
+    """
+    def tally(hits: list[Column]) -> Column:
+        return reduce(lambda x, y: x + y, [F.coalesce(h, F.lit(False)).cast("bigint") for h in hits], F.lit(0).cast("bigint"))
+
+    cells = [(F.col(f"`{f.name}`"), f.dataType) for f in df.schema]
+    texts, reals = ([c for c, kind in cells if isinstance(kind, kinds)] for kinds in (T.StringType, (T.DoubleType, T.FloatType)))
+    counts = {
+        "n_null": tally([c.isNull() for c, _ in cells]), "n_blank": tally([F.trim(c) == "" for c in texts]),
+        "n_non_finite": tally([F.isnan(c) | c.isin(float("inf"), float("-inf")) for c in reals]),
+        **{f"broken_{i}": r.broken().cast("bigint") for i, r in enumerate(contract.rules.rules)}}
+    day = F.to_date(contract.day) if contract.day else F.lit(None).cast("date")
+    rows = df.select(scalars.record_sha(df.columns).alias("sha"), day.alias("day"), *[c.alias(k) for k, c in counts.items()])
+    per_record = rows.groupBy("sha", "day").agg(F.count("*").alias("n"), *[F.sum(k).alias(k) for k in counts])
+    per_day = per_record.groupBy("day").agg(F.sum("n").alias("n_rows"), F.sum(F.col("n") - 1).alias("n_duplicate"), *[F.sum(k).alias(k) for k in counts])
+    whole = per_day.agg(
+        *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in ("n_rows", "n_duplicate", *counts)],
+        F.coalesce(F.datediff(F.max("day"), F.min("day")) + 1 - F.count("day"), F.lit(0)).cast("bigint").alias("n_missing"))
+    broken = F.array(*[F.struct(F.lit(r.reason).alias("anomaly"), F.col(f"broken_{i}").alias("n")) for i, r in enumerate(contract.rules.rules)])
+    duplicate = F.struct("n_duplicate", F.when(F.col("n_duplicate") > 0, "duplicates").otherwise("unique").alias("duplicate_verdict"))
+    return whole.select(
+        F.lit(name).alias("asset_id"), "n_rows", "n_null", "n_blank", "n_non_finite", broken.cast("array<struct<anomaly:string,n:bigint>>").alias("broken"),
+        duplicate.alias("copies"), F.lit("measured" if contract.day else "undetermined").alias("gap_status"),
+        (F.col("n_missing") if contract.day else F.lit(None).cast("bigint")).alias("n_missing_days"), F.lit(contract.rules.sha).alias("rule_sha"))
 
 
 def audit_inventory(spark: SparkSession, units: DataFrame, frames: dict[str, DataFrame],
                     contracts: dict[str, UnitContract]) -> Audit:
     """Two-phase audit: schemas and frozen rules first, then the content of each unit, stored as one row per unit.
 
-    `units` holds `asset_id`; every unit appears in all three outputs, with `not_executed`
-    where no content could be read.
+    `units` holds `asset_id`; every unit appears in all three outputs, with `not_executed` where no content could be read.
+    Each unit is one scan and one job, which appends its row to a facts table in the shared folder; no plan grows with the
+    number of units.
     """
-    columns = catalog.catalog_metadata(spark, frames)
+    schema = [(name, f.name, f.dataType.simpleString()) for name, df in frames.items() for f in df.schema]
+    columns = spark.createDataFrame(schema, "table string, column string, type string")
     times = catalog.time_candidates(columns).groupBy(F.col("table").alias("asset_id")).agg(F.count("*").alias("time_candidates"))
-    facts = None
+    path = fresh_folder(spark, "unit-facts")
+    kind = _unit_facts("", spark.createDataFrame([], "x int"), UnitContract(RuleSet.freeze([]))).schema
     for name, df in frames.items():
-        row = _unit_facts(name, df, contracts[name])
-        facts = row if facts is None else facts.unionByName(row)
-    found = units.select("asset_id").distinct().join(materialise(facts, "unit-facts"), "asset_id", "left")
+        _unit_facts(name, df, contracts[name]).write.mode("append").parquet(path)
+    facts = spark.read.schema(kind).parquet(path) if frames else spark.createDataFrame([], kind)
+    found = units.select("asset_id").distinct().join(facts, "asset_id", "left")
 
     critical = [c.critical_rule for c in contracts.values() if c.critical_rule]
     failed = F.exists("broken", lambda b: b["anomaly"].isin(critical) & (b["n"] > 0))

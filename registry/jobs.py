@@ -54,6 +54,72 @@ def k01a(spark, sf):
     return audit(spark, sf).anomalies
 
 
+# Every given table as a unit, with its columns (text columns, double columns, others), its day and its rules.
+UNITS = {
+    "region": ("r_name", "", "r_regionkey"), "nation": ("n_name", "", "n_nationkey n_regionkey"),
+    "customer": ("c_name c_mktsegment", "c_acctbal", "c_custkey c_nationkey"), "supplier": ("s_name", "s_acctbal", "s_suppkey s_nationkey"),
+    "part": ("p_name p_brand p_type", "p_retailprice", "p_partkey p_size"),
+    "orders": ("o_orderstatus o_orderpriority", "o_totalprice", "o_orderkey o_custkey o_orderdate"),
+    "lineitem": ("l_returnflag l_linestatus", "l_quantity l_extendedprice l_discount l_tax", "l_orderkey l_partkey l_suppkey l_linenumber l_shipdate"),
+    "events": ("event_type props", "value", "event_id ts user_id"), "documents": ("text lang source", "", "doc_id n_chars"),
+    "embeddings": ("", "", "vec_id embedding label"), "pages": ("url html", "", "page_id"), "benchmark": ("text", "", "item_id"),
+    "labels": ("", "", "doc_id quality toxic"), "conversations": ("role text", "", "conv_id turn"),
+}
+UNIT_DAYS = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
+UNIT_RULES = {
+    "orders": ORDER_RULES, "documents": DOC_RULES,
+    "customer": RuleSet.freeze([Rule("c1", "c_acctbal < 0", "overdrawn")]), "supplier": RuleSet.freeze([Rule("s1", "s_acctbal < 0", "overdrawn")]),
+    "lineitem": RuleSet.freeze([Rule("l1", "l_discount > l_tax", "discount_above_tax"), Rule("l2", "l_quantity < 1", "no_quantity")]),
+    "events": RuleSet.freeze([Rule("e1", "value >= 100", "value_high")]), "labels": RuleSet.freeze([Rule("t1", "quality = 1 AND toxic = 1", "good_and_toxic")]),
+    "conversations": RuleSet.freeze([Rule("v1", "role NOT IN ('system', 'user', 'assistant')", "role_unknown")]),
+}
+NO_RULES = RuleSet.freeze([])
+TIME_COLUMNS = {"orders": 1, "lineitem": 1, "events": 1}
+
+
+def _unit_sql(name: str) -> str:
+    texts, reals, others = (part.split() for part in UNITS[name])
+    total = lambda parts: " + ".join(["0", *parts])
+    nulls = total(f"count(*) - count({c})" for c in (*texts, *reals, *others))
+    blanks, odd = total(f"count(*) FILTER (trim({c}) = '')" for c in texts), total(f"count(*) FILTER (isnan({c}) OR isinf({c}))" for c in reals)
+    day = UNIT_DAYS.get(name)
+    gap = f"datediff('day', CAST(min({day}) AS DATE), CAST(max({day}) AS DATE)) + 1 - count(DISTINCT CAST({day} AS DATE))" if day else "NULL"
+    rules = UNIT_RULES.get(name, NO_RULES)
+    broken = ", ".join(f"{{'anomaly': '{r.reason}', 'n': count(*) FILTER (coalesce({r.violation}, true))}}" for r in rules.rules)
+    return (f"SELECT '{name}' AS asset_id, count(*) AS n_rows, CAST({nulls} AS BIGINT) AS n_null, CAST({blanks} AS BIGINT) AS n_blank, CAST({odd} AS BIGINT) AS n_non_finite, "
+            f"CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {name})) AS BIGINT) AS n_duplicate, CAST({TIME_COLUMNS.get(name, 0)} AS BIGINT) AS time_candidates, "
+            f"'{rules.sha}' AS rule_sha, CAST({gap} AS BIGINT) AS n_missing_days, CAST([{broken}] AS STRUCT(anomaly VARCHAR, n BIGINT)[]) AS broken FROM {name}")
+
+
+UNITS_SQL = " UNION ALL ".join(_unit_sql(name) for name in UNITS)
+
+
+def audit_whole(spark, sf):
+    name = F.regexp_extract("path", r"([^/]+)\.parquet$", 1)
+    units = files.file_inventory(spark, [sf]).select(name.alias("asset_id"))
+    contracts = {u: jobs.UnitContract(UNIT_RULES.get(u, NO_RULES), day=UNIT_DAYS.get(u), critical_rule="good_and_toxic" if u == "labels" else None) for u in UNITS}
+    return jobs.audit_inventory(spark, units, {u: load(spark, sf, u) for u in UNITS}, contracts)
+
+
+@query("k01_whole_quality", f"""
+SELECT asset_id, 'scanned' AS scan_status, n_rows, n_null, n_blank, n_non_finite, n_duplicate, CASE WHEN n_duplicate > 0 THEN 'duplicates' ELSE 'unique' END AS duplicate_verdict,
+ time_candidates, rule_sha, CASE WHEN len(list_filter(broken, lambda b: b.anomaly = 'good_and_toxic' AND b.n > 0)) > 0 THEN 'unavailable' ELSE 'undetermined' END AS availability FROM ({UNITS_SQL})""")
+def k01_whole(spark, sf):
+    return audit_whole(spark, sf).quality
+
+
+@query("k01_whole_gaps", f"SELECT asset_id, CASE WHEN n_missing_days IS NULL THEN 'undetermined' ELSE 'measured' END AS gap_status, n_missing_days FROM ({UNITS_SQL})")
+def k01_whole_gaps(spark, sf):
+    return audit_whole(spark, sf).gaps
+
+
+@query("k01_whole_anomalies", f"""
+WITH u AS ({UNITS_SQL}) SELECT asset_id, 'blank_field' AS anomaly, n_blank AS n FROM u UNION ALL SELECT asset_id, 'non_finite', n_non_finite FROM u
+UNION ALL SELECT asset_id, b.anomaly, b.n FROM (SELECT asset_id, unnest(broken) AS b FROM u) WHERE b.n > 0""")
+def k01_whole_anomalies(spark, sf):
+    return audit_whole(spark, sf).anomalies
+
+
 @query("k02_prove_members", """
 WITH a AS (SELECT 'd-' || doc_id AS name, length(text) AS size, sha256(text) AS sha, CASE WHEN source = (SELECT min(source) FROM documents) THEN 'undetermined' ELSE 'proven' END AS identity, doc_id FROM documents),
 c AS (SELECT 'd-' || d.doc_id AS name, CASE WHEN d.doc_id % 11 = 0 THEN 'broken' ELSE sha256(CASE WHEN d.doc_id % 7 = 0 THEN text || 'x' ELSE text END) END AS sha, 'd-' || (CASE WHEN d.doc_id % 13 = 0 THEN 0 ELSE d.doc_id END) AS cname FROM documents d WHERE d.doc_id % 5 <> 0),

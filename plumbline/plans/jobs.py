@@ -55,7 +55,7 @@ def _unit_facts(name: str, df: DataFrame, contract: UnitContract) -> DataFrame:
         "n_non_finite": tally([F.isnan(c) | c.isin(float("inf"), float("-inf")) for c in reals]),
         **{f"broken_{i}": r.broken().cast("bigint") for i, r in enumerate(contract.rules.rules)}}
     day = F.to_date(contract.day) if contract.day else F.lit(None).cast("date")
-    rows = df.select(scalars.record_sha(df.columns).alias("sha"), day.alias("day"), *[c.alias(k) for k, c in counts.items()])
+    rows = df.select(scalars.record_sha([f"`{c}`" for c in df.columns]).alias("sha"), day.alias("day"), *[c.alias(k) for k, c in counts.items()])
     per_record = rows.groupBy("sha", "day").agg(F.count("*").alias("n"), *[F.sum(k).alias(k) for k in counts])
     per_day = per_record.groupBy("day").agg(F.sum("n").alias("n_rows"), F.sum(F.col("n") - 1).alias("n_duplicate"), *[F.sum(k).alias(k) for k in counts])
     whole = per_day.agg(

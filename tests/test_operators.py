@@ -255,6 +255,26 @@ def test_structure_comparison(spark):
     assert structure.compare_structure(declared.limit(0), observed.limit(0), reads.limit(0)).collect() == []
 
 
+def test_audit_reads_each_unit_once(spark):
+    rules = RuleSet.freeze([Rule("r1", "v > 1", "large"), Rule("r2", "`a.b` = ''", "empty")])
+    shape = "`a.b` string, v double, d date"
+    unit = spark.sql("SELECT * FROM VALUES ('x', 2D, DATE'2026-01-01'), ('x', 2D, DATE'2026-01-01'), (' ', double('NaN'), DATE'2026-01-04'), (NULL, NULL, NULL), ('', 1D, DATE'2026-01-04') AS t(`a.b`, v, d)")
+    frames = {"full": unit, "empty": spark.createDataFrame([], shape), "bare": unit.select(F.lit(1).alias("one"))}
+    contracts = {"full": jobs.UnitContract(rules, day="d", critical_rule="large"), "empty": jobs.UnitContract(rules, day="d"), "bare": jobs.UnitContract(RuleSet.freeze([]))}
+    units = spark.createDataFrame([(u,) for u in ("full", "empty", "bare", "lost", "full")], "asset_id string")
+    for name, df in frames.items():
+        plan = jobs._unit_facts(name, df, contracts[name])._jdf.queryExecution().analyzed()
+        assert plan.collectLeaves().size() == 1, name
+    audit = jobs.audit_inventory(spark, units, frames, contracts)
+    got = {r.asset_id: (r.scan_status, r.n_rows, r.n_null, r.n_blank, r.n_non_finite, r.n_duplicate, r.time_candidates, r.availability) for r in audit.quality.collect()}
+    assert got == {"full": ("scanned", 5, 3, 2, 1, 1, 1, "unavailable"), "empty": ("scanned", 0, 0, 0, 0, 0, 1, "undetermined"),
+                   "bare": ("scanned", 5, 0, 0, 0, 4, 0, "undetermined"), "lost": ("not_executed", None, None, None, None, None, 0, "undetermined")}
+    assert {r.asset_id: (r.gap_status, r.n_missing_days) for r in audit.gaps.collect()} == {
+        "full": ("measured", 2), "empty": ("measured", 0), "bare": ("undetermined", None), "lost": ("not_executed", None)}
+    # NaN is larger than any number, and a rule that cannot be decided counts as broken
+    assert {(r.anomaly, r.n) for r in audit.anomalies.collect() if r.asset_id == "full"} == {("blank_field", 2), ("non_finite", 1), ("large", 4), ("empty", 2)}
+
+
 def test_window_guard_and_warm_up(spark):
     days = spark.sql("SELECT 's' AS k, explode(sequence(DATE'2026-01-01', DATE'2026-01-31')) AS day").filter("day <> DATE'2026-01-15'")
     seg = E.segments(days, ["k"], "day")

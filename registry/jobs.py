@@ -20,7 +20,7 @@ DOC_RULES = RuleSet.freeze([Rule("d1", "n_chars < 200", "short_text"), Rule("d2"
 
 
 def audit(spark, sf):
-    name = F.regexp_extract("path", r"([^/]+)\.parquet$", 1)
+    name = F.regexp_extract("path", r"([^/]+)\.parquet(/|$)", 1)
     units = files.file_inventory(spark, [sf]).select(name.alias("asset_id")).filter(F.col("asset_id").isin("orders", "documents", "labels"))
     frames = {"orders": load(spark, sf, "orders"), "documents": load(spark, sf, "documents")}
     contracts = {"orders": jobs.UnitContract(ORDER_RULES, day="o_orderdate"), "documents": jobs.UnitContract(DOC_RULES, critical_rule="short_text")}
@@ -95,7 +95,7 @@ UNITS_SQL = " UNION ALL ".join(_unit_sql(name) for name in UNITS)
 
 
 def audit_whole(spark, sf):
-    name = F.regexp_extract("path", r"([^/]+)\.parquet$", 1)
+    name = F.regexp_extract("path", r"([^/]+)\.parquet(/|$)", 1)
     units = files.file_inventory(spark, [sf]).select(name.alias("asset_id"))
     contracts = {u: jobs.UnitContract(UNIT_RULES.get(u, NO_RULES), day=UNIT_DAYS.get(u), critical_rule="good_and_toxic" if u == "labels" else None) for u in UNITS}
     return jobs.audit_inventory(spark, units, {u: load(spark, sf, u) for u in UNITS}, contracts)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plumbline.ordering import micros, over_order, skew_join, upto
+from plumbline.ordering import micros, numbered, over_order, skew_join, upto
 
 
 def _per_key(df: DataFrame, on: list[str], fields: list[str], tag: str) -> DataFrame:
@@ -231,22 +231,36 @@ def missing_days(df: DataFrame, by: list[str], day: str) -> DataFrame:
     return holes.select(*by, F.explode(F.sequence(F.date_add("__day", 1), F.date_sub("__next", 1))).alias("day"))
 
 
+#: Bar numbers that one row of an event stands for before it is spread out: no array is longer, however long the window.
+SPAN = 4096
+
+
 def event_window_join(events: DataFrame, bars: DataFrame, by: list[str], event_ts: str, bar_ts: str,
                       pre_minutes: int, post_minutes: int) -> DataFrame:
-    """Bars in [event - pre, event + post], joined on time buckets as wide as the window.
+    """Bars in [event - pre, event + post], without candidate pairs: work is events plus bars plus rows of the result.
 
-    Each event meets the two or three buckets its window touches. Bars are few per bucket
-    (bucket width over bar width); where events crowd into one bucket, adaptive execution splits
-    its partition on their side.
+    Bars are numbered by time within their key. Running counts at both ends of a window say which numbers lie in it, and the
+    event meets exactly these by an equi-join on (key, number), where each number is one bar. Crowds of events or bars at one
+    moment that lie outside each other's windows never meet. Rows without key or time are in no window.
     """
-    width = (pre_minutes + post_minutes) * 60_000_000
-    lo = micros(event_ts) - pre_minutes * 60_000_000
-    hi = micros(event_ts) + post_minutes * 60_000_000
-    slotted = events.select(
-        "*", lo.alias("__lo"), hi.alias("__hi"), F.explode(F.sequence(F.floor(lo / width), F.floor(hi / width))).alias("__slot"))
-    right = bars.withColumn("__at", micros(bar_ts)).withColumn("__slot", F.floor(F.col("__at") / width))
-    return slotted.join(right, [*by, "__slot"]).filter(
-        F.col("__at").between(F.col("__lo"), F.col("__hi"))).drop("__lo", "__hi", "__slot", "__at")
+    at = F.col("__at")
+    placed = numbered(bars.filter(F.col(bar_ts).isNotNull()), by, [micros(bar_ts)], "__no")
+    points = placed.select(*by, micros(bar_ts).alias("__at"), F.lit(1).alias("__side"))
+
+    def bars_until(rows: DataFrame, minutes: int, side: int, name: str) -> DataFrame:
+        # At equal times the lower end sorts before the bars and the upper end after them.
+        ends = rows.withColumn("__at", micros(event_ts) + minutes * 60_000_000).withColumn("__side", F.lit(side))
+        merged = over_order(
+            ends.unionByName(points, allowMissingColumns=True), by, [at, F.col("__side")],
+            {"__one": ((F.col("__side") == 1).cast("bigint"), "sum")}, {name: lambda w: F.sum("__one").over(upto(w))})
+        return merged.filter("__side <> 1").drop("__at", "__side")
+
+    known = events.filter(F.col(event_ts).isNotNull())
+    ranged = bars_until(bars_until(known, -pre_minutes, 0, "__from"), post_minutes, 2, "__to").filter("__to > __from")
+    spans = ranged.withColumn("__span", F.explode(F.sequence(F.floor(F.col("__from") / SPAN), F.floor((F.col("__to") - 1) / SPAN))))
+    first, last = F.greatest("__from", F.col("__span") * SPAN), F.least(F.col("__to"), (F.col("__span") + 1) * SPAN) - 1
+    wanted = spans.withColumn("__no", F.explode(F.sequence(first, last))).drop("__from", "__to", "__span")
+    return skew_join(wanted, placed, [*by, "__no"], "inner").drop("__no")
 
 
 def event_window_totals(events: DataFrame, rows: DataFrame, by: list[str], event_ts: str, event_id: str,

@@ -394,6 +394,26 @@ def compression_study(bars: DataFrame, oi: DataFrame, horizon_minutes: int, need
     return aggregates.hit_rate(joined, ["symbol", "compressed", "is_first_release"], F.col("outcome") > F.col("close"))
 
 
+def run_length_outcomes(marked: DataFrame, horizon_minutes: int) -> DataFrame:
+    """Per symbol and length of a run of compressed bars: runs, releases, and how often a release went on in its own direction.
+
+    `marked` are the stored rows of `compression_features`. A run that reaches the last bar of its symbol is `censored`: its length is
+    only a lower bound, and it is counted apart. A release goes on when the close `horizon_minutes` later lies beyond its close in the
+    direction of its body; without such a bar the outcome is unknown, and a body without direction never goes on.
+    """
+    inside, number = F.col("compressed"), F.col("bar_no")
+    runs = marked.filter("compression_run > 0").groupBy("symbol", "compression_run").agg(
+        F.count_if(inside).alias("run_length"), (F.max(number) == F.max(F.when(inside, number))).alias("censored"),
+        F.min(F.when(F.col("is_first_release"), F.struct("bar_no", "open", "close"))).alias("release"))
+    later = joins.forward_outcome(marked, ["symbol"], "bar_ts", "bar_no", "close", [horizon_minutes]).select("symbol", F.col("bar_no").alias("release_no"), "outcome")
+    known = runs.withColumn("release_no", F.col("release")["bar_no"]).join(later, ["symbol", "release_no"], "left")
+    begun, ended, then = F.col("release")["open"], F.col("release")["close"], F.col("outcome")
+    went_on = ((then > ended) & (ended > begun)) | ((then < ended) & (ended < begun))
+    return known.groupBy("symbol", "run_length", "censored").agg(
+        F.count("*").alias("n_runs"), F.count("release").alias("n_released"), F.count("outcome").alias("n_known"),
+        F.count_if(went_on).alias("n_continued"), F.avg(F.when(F.col("outcome").isNotNull(), F.coalesce(went_on, F.lit(False)).cast("double"))).alias("rate"))
+
+
 # ---- K11 ----
 def decision_card(candidates: DataFrame, gates: dict[str, Column], day: str, score: str, tie: str, k: int = 2,
                   order: list[str] = PERMISSION_GATES) -> DataFrame:

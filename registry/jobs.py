@@ -363,6 +363,19 @@ def k10s(spark, sf):
     return jobs.compression_study(rows, oi(rows), 240, needed=3).withColumn("rate", F.round("rate", 6))
 
 
+@query("k10_run_length_outcomes", STUDY_SQL + """,
+len_runs AS (SELECT symbol, run, count(*) FILTER (compressed) AS run_length, max(bar_ts) = max(bar_ts) FILTER (compressed) AS censored, min(bar_ts) FILTER (is_first_release) AS released FROM y4 WHERE run > 0 GROUP BY symbol, run),
+len_rel AS (SELECT lr.*, b.open, b.close, released + INTERVAL 4 HOUR AS target FROM len_runs lr LEFT JOIN bars_1h b ON b.symbol = lr.symbol AND b.bar_ts = lr.released),
+len_out AS (SELECT q.*, n.close AS later FROM len_rel q ASOF LEFT JOIN bars_1h n ON q.symbol = n.symbol AND q.target <= n.bar_ts)
+SELECT symbol, run_length, censored, count(*) AS n_runs, count(released) AS n_released, count(later) AS n_known,
+ count(*) FILTER ((later > close AND close > open) OR (later < close AND close < open)) AS n_continued,
+ round(avg(CASE WHEN later IS NOT NULL THEN CAST((later > close AND close > open) OR (later < close AND close < open) AS DOUBLE) END), 6) AS rate FROM len_out GROUP BY ALL""", ("bars_1h", "oi"))
+def k10r(spark, sf):
+    rows = materialise(bars(spark, sf), "bars")
+    marked = materialise(jobs.compression_features(rows, oi(rows), needed=3), "features")
+    return jobs.run_length_outcomes(marked, 240).withColumn("rate", F.round("rate", 6))
+
+
 @query("k11_decision_card", """
 , j AS (SELECT symbol, event_date, n_rows, CASE WHEN NOT n_rows > 40 THEN 'data' WHEN NOT n_rows > 50 THEN 'sample' WHEN NOT first_id % 2 = 0 THEN 'edge' WHEN NOT last_id % 3 <> 0 THEN 'cost' END AS reason FROM members),
 p AS (SELECT symbol, event_date, CAST(row_number() OVER (PARTITION BY event_date ORDER BY n_rows DESC, symbol) AS INTEGER) AS rank FROM j WHERE reason IS NULL)

@@ -110,3 +110,51 @@ def test_percent_rank_with_ties_and_nulls(bars, split):
     everything = R.percent_rank(rows, [], "volume", "p")
     assert everything.withColumn("want", F.percent_rank().over(Window.orderBy("volume"))).where("abs(p - want) > 1e-12").count() == 0
     assert R.percent_rank(rows.where("false"), ["symbol"], "v", "p").count() == 0
+
+
+def test_event_windows_of_crowds(split):
+    """Bars crowd in one minute, events in another: only events whose window holds bars meet any, however crowded; ties and nulls included."""
+    import random
+
+    from plumbline.operators import joins
+
+    rng = random.Random(5)
+    at = lambda minute: f"2024-01-01 {minute // 60:02d}:{minute % 60:02d}:00"
+    events = [(i, "a", 0 if i % 40 else rng.randrange(600)) for i in range(2_000)] + [(9_000, "b", 5), (9_001, None, 5), (9_002, "a", None)]
+    rows = [(i, "a", 30 if i % 40 else rng.randrange(600)) for i in range(2_000)] + [(9_000, "b", 0), (9_001, "b", 25), (9_002, None, 5), (9_003, "a", None)]
+    make = lambda table, name: split.createDataFrame([(i, k, None if m is None else at(m)) for i, k, m in table], f"{name} int, k string, t string").selectExpr(
+        name, "k", f"CAST(t AS timestamp) AS {name}_ts")
+    got = joins.event_window_join(make(events, "e"), make(rows, "r"), ["k"], "e_ts", "r_ts", 10, 20)
+    want = sorted((e, r) for e, k, m in events for r, j, n in rows if None not in (k, j, m, n) and k == j and m - 10 <= n <= m + 20)
+    assert got.columns == ["k", "e", "e_ts", "r", "r_ts"]
+    assert sorted((x["e"], x["r"]) for x in got.collect()) == want
+    assert joins.event_window_join(make(events, "e").where("false"), make(rows, "r"), ["k"], "e_ts", "r_ts", 10, 20).count() == 0
+
+
+def test_event_windows_longer_than_a_span(spark, monkeypatch):
+    from plumbline.operators import joins
+
+    monkeypatch.setattr(joins, "SPAN", 7)
+    rows = spark.range(100).selectExpr("id AS r", "'a' AS k", "timestamp_seconds(id * 60) AS r_ts")
+    events = spark.range(0, 100, 9).selectExpr("id AS e", "'a' AS k", "timestamp_seconds(id * 60) AS e_ts")
+    got = joins.event_window_join(events, rows, ["k"], "e_ts", "r_ts", 30, 15).select("e", "r").collect()
+    assert sorted(map(tuple, got)) == sorted((e, r) for e in range(0, 100, 9) for r in range(100) if e - 30 <= r <= e + 15)
+
+
+def test_outcomes_by_length_of_compression(spark):
+    """Runs of 2 (released, goes on), 3 (released, turns back), 1 (released, outcome unknown), 2 (reaches the end: censored) and one never released."""
+    from plumbline.plans import jobs
+
+    marks = [*"cc.rxx", *"ccc", *"rxx", *"c.", *"cc", *"r", *"cc"]
+    close = {3: 12, 4: 13, 9: 12, 10: 11}
+    rows, run, was = [], 0, False
+    for i, m in enumerate(marks):
+        run += m == "c" and not was
+        was = m == "c"
+        rows.append(("s", i, f"2024-01-01 {i:02d}:00:00", 11.0, float(close.get(i, 11)), m == "c", m == "r", run))
+    bars = spark.createDataFrame(rows, "symbol string, bar_no long, t string, open double, close double, compressed boolean, is_first_release boolean, compression_run long").selectExpr(
+        "*", "CAST(t AS timestamp) AS bar_ts")
+    got = sorted(tuple(r) for r in jobs.run_length_outcomes(bars, 60).collect())
+    # symbol, length, censored, runs, released, known, continued, rate
+    assert got == [("s", 1, False, 1, 0, 0, 0, None), ("s", 2, False, 2, 2, 2, 1, 0.5), ("s", 2, True, 1, 0, 0, 0, None), ("s", 3, False, 1, 1, 1, 0, 0.0)]
+    assert jobs.run_length_outcomes(bars.where("false"), 60).collect() == []

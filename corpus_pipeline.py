@@ -28,7 +28,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five words, similarity 0.8 or more) stays: the one with the smallest id."""
+    """One document of each group of near-duplicates (five words, similarity 0.8 or more) stays: the one with the smallest id.
+
+    SimHash groups come first, each compared exactly; prefixes find the near pairs whose fingerprints lie further apart.
+    """
     return keep_one(docs)
 
 

@@ -1,12 +1,15 @@
-"""Near-duplicates by exact Jaccard similarity of five-word shingles, every pair of 0.8 or more found.
+"""Near-duplicates by SimHash and exact Jaccard similarity of five-word shingles, every pair of 0.8 or more found.
 
-Shingles are put in one order for all texts, the rarer first. Two sets of a similarity of 0.8 share one of the first
-floor(n / 5) + 1 shingles of each (its prefix), so texts meet where prefixes do. Fingerprints are no base for this rule: at
-a similarity of 0.8 those of 64 bits differ in about ten bits, with a spread of three, and no number of blocks bounds that.
-Rarity only decides how many meet; it is counted in a fixed number of cells.
+The groups of `simhash.near_groups` (fingerprints of five-word shingles, anchors of Golay code words, components) come first. Each
+set of a group is compared in full with one of them, drawn anew for each group, and joins it if it is near.
+
+At a similarity of 0.8 fingerprints of 64 bits differ in about ten bits, with a spread of three, and no number of blocks bounds
+that, so the pairs that lie further apart than a group reaches are found by prefixes, exactly. Shingles are put in one order for
+all texts, the rarer first. Two sets of a similarity of 0.8 share one of the first floor(n / 5) + 1 shingles of each (its prefix),
+so texts meet where prefixes do. Rarity only decides how many meet; it is counted in a fixed number of cells.
 
 Where many meet, each is first compared with one of them, drawn anew for each shingle, so a crowd of near copies joins in
-linear work; then only those that are still apart are compared with each other. Most of these share a passage and are not near. Every set has a
+linear work (what the fingerprints have joined is not compared again); then only those that are still apart are compared with each other. Most of these share a passage and are not near. Every set has a
 sketch for them: shingles are dealt over a few hundred bits, and a bit says whether their number is odd. A shingle in one of two sets only
 changes one bit, so sketches differ in no more bits than the sets have shingles apart, and where they differ in more than a near pair can, the pair is none.
 Sketches are compared inside the join, so that only what may be near leaves it, and only that is read and compared in full.
@@ -22,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.shared import span_names, store
-from plumbline.llm.simhash import SEED, components, smallest, words_of
+from plumbline.llm.simhash import SEED, components, near_groups, smallest, words_of
 
 #: Similarity from which texts are near: NEAR / OF.
 NEAR, OF = 4, 5
@@ -150,16 +153,36 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
+def ordered(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def fingerprint_pairs(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of each set with the drawn one of its SimHash group: as many as there are sets, however large a group is."""
+    groups = near_groups(docs, n=SHINGLE).select("text_hash", "root").distinct()
+    members = store(groups.join(sets.select("text_hash", "sid").distinct(), "text_hash").select("root", "sid").distinct(), "groups")
+    lead = members.groupBy("root").agg(F.min(F.struct(F.xxhash64("sid", "root").alias("draw"), "sid")).alias("l")).select("root", F.col("l.sid").alias("lead"))
+    return members.join(lead, "root").where("sid <> lead").select(*ordered("sid", "lead")).distinct()
+
+
+def still_apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Those of `pairs` (a, b) that `roots` (sid, root) does not lead to one root."""
+    of = lambda c: roots.select(F.col("sid").alias(c), F.col("root").alias(f"{c}_root"))
+    return pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+
+
 def near_sets(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, root) per row of `docs` (doc_id, text): root is the smallest set that a chain of near ones leads to."""
     sets = store(named(docs), "sets")
+    alike = store(verified(store(fingerprint_pairs(docs, sets), "pairs"), docs, sets), "links")
+    joined = components(alike).withColumnRenamed("node", "sid")
     entries = store(prefixes(docs), "prefixes")
     met = entries.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("token")
     shared = store(entries.join(store(met, "tokens"), "token").distinct(), "shared")
     lead = shared.groupBy("token").agg(F.min(F.struct(F.xxhash64("sid", "token").alias("draw"), "sid", "at", "n")).alias("l")).select("token", "l.sid", "l.at", "l.n")
-    pair = lambda df: store(df.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct(), "pairs")
+    pair = lambda df: store(df.select(*ordered("x.sid", "y.sid")).distinct(), "pairs")
     star = pair(shared.alias("x").join(lead.alias("y"), "token").where((F.col("x.sid") != F.col("y.sid")) & may_be_near("x", "y")))
-    links = store(verified(star, docs, sets), "links")
+    links = store(alike.union(verified(store(still_apart(star, joined), "pairs"), docs, sets)), "links")
     roots = components(links).withColumnRenamed("node", "sid")
     apart = shared.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     still = apart.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")

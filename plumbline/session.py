@@ -64,3 +64,12 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def dealt(df: DataFrame, *keys: str, rows: int = 1 << 18) -> DataFrame:
+    """The rows dealt by `keys` into partitions of about `rows` rows each, whatever the size of the input.
+
+    For groupings with nearly as many groups as rows: a join or grouping on these keys then runs in these partitions, so the
+    memory of a task stays the same and their number grows. Costs one count of `df`.
+    """
+    return df.repartition(max(1, -(-df.count() // rows)), *keys)

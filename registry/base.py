@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators.aggregates import ohlcv
 from plumbline.ordering import over_order, upto
+from plumbline.session import dealt
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -125,9 +126,12 @@ def oi(bar_rows: DataFrame) -> DataFrame:
     return over_order(bar_rows, ["symbol"], [F.col("bar_ts")], {"__change": (change, "sum")}, {"oi": lambda w: F.sum("__change").over(upto(w))}).select("symbol", "bar_ts", "oi")
 
 
-def visibility(spark: SparkSession, sf: str) -> DataFrame:
+def visibility(spark: SparkSession, sf: str, by_order: bool = False) -> DataFrame:
+    """Lines with the times at which they could be seen; `by_order` deals them by order into partitions of bounded size."""
     orders = load(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").alias("event_ts"))
     lines = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.col("l_shipdate").alias("collected_at"))
+    if by_order:  # both sides in the same partitions: neither is held whole by a task
+        lines, orders = dealt(lines, "l_orderkey"), orders.hint("merge")
     return lines.join(orders, "l_orderkey").withColumn("source_visible_at", F.greatest("event_ts", "collected_at"))
 
 

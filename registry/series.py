@@ -420,7 +420,7 @@ def h08(spark, sf):
 @query("h09_date_matches", """
 SELECT l_orderkey, l_linenumber, count(*) FILTER (CAST(source_visible_at AS DATE) = CAST(collected_at AS DATE)) AS n_match, count(*) AS n FROM visibility GROUP BY ALL""", ("visibility",))
 def h09(spark, sf):
-    return visibility(spark, sf).groupBy("l_orderkey", "l_linenumber").agg(
+    return visibility(spark, sf, by_order=True).groupBy("l_orderkey", "l_linenumber").agg(
         F.count_if(S.date_matches("source_visible_at", F.to_date("collected_at"))).alias("n_match"), F.count("*").alias("n"))
 
 

@@ -377,3 +377,33 @@ def test_inventory_rows_without_id_or_batch_are_named(spark):
     df = spark.createDataFrame([("1", "x", "CSV", "/d/a"), (None, None, "CSV", "/d/b")], "id string, batch string, fmt string, path string")
     got = {r["path"]: r["reasons"] for r in B.check_inventory(df, ["id"], "id", "batch", ["CSV"], "fmt", "path", ["/d"]).collect()}
     assert got == {"/d/a": [], "/d/b": ["missing_id", "second_batch"]}
+
+
+def test_lines_are_grouped_in_partitions_of_bounded_size(spark, tmp_path):
+    """Groups of about one line each: every task gets a bounded number of lines, and orders are not held whole by each."""
+    from plumbline.session import dealt
+    from registry import QUERIES
+
+    rows = spark.range(1000).select(F.when(F.col("id") % 50 != 0, F.col("id") % 300).alias("k"), "id")
+    parts = dealt(rows, "k", rows=100)
+    at = parts.withColumn("p", F.spark_partition_id()).collect()
+    assert parts.rdd.getNumPartitions() == 10 and sorted(r.id for r in at) == list(range(1000))
+    assert len({(r.k, r.p) for r in at}) == len({r.k for r in at})
+    assert dealt(rows.where("false"), "k").count() == 0
+
+    day = "timestamp_ntz'1995-03-01 00:00:00' + make_dt_interval(cast({} as int))"
+    orders = spark.range(40).selectExpr("nullif(id, 7) as o_orderkey", day.format("id % 5") + " as o_orderdate")
+    lines = spark.range(120).selectExpr("id % 45 as l_orderkey", "cast(id % 3 as int) as l_linenumber", "'R' as l_returnflag", f"if(id % 11 = 0, null, {day.format('id % 4')}) as l_shipdate")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    lines.union(lines.where("l_orderkey = 3")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = QUERIES["h09_date_matches"](spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "Broadcast" not in plan
+    want = {}
+    for i in [*range(120), *(i for i in range(120) if i % 45 == 3)]:
+        k = i % 45
+        if k < 40 and k != 7:
+            n = want.setdefault((k, i % 3), [0, 0])
+            n[0] += i % 11 != 0 and i % 4 >= k % 5
+            n[1] += 1
+    assert {(r.l_orderkey, r.l_linenumber): [r.n_match, r.n] for r in got.collect()} == want
